@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
 from pyspark.sql.types import (
     DecimalType,
     DoubleType,
@@ -123,7 +124,8 @@ class Fuente:
     llave: tuple[str, ...]  # one row survives per key
     orden: tuple[str, ...]  # newest first, then tie-breaks; all other columns follow
     constantes: Mapping[str, str | None] = field(default_factory=dict)
-    zonas: Mapping[str, str] = field(default_factory=dict)  # timestamps not reported in UTC
+    zonas: Mapping[str, str | Column] = field(default_factory=dict)  # local timestamps; UTC if absent
+    sku_sin_espacios: bool = False  # also remove blanks inside skus
     centavos: tuple[str, ...] = ()  # money reported in minor units
     pii: tuple[str, ...] = ()  # hashed before anything is written
     monto: str | None = None  # must be positive; negative means a return

@@ -20,10 +20,10 @@ def no_vacio(c: Column) -> Column:
     return c.isNotNull() & (F.trim(c.cast("string")) != "")
 
 
-def a_utc(c: Column, zona: str | None = None) -> Column:
-    """Wall-clock time in `zona` (UTC if omitted) to an instant. Needs a UTC session."""
+def a_utc(c: Column, zona: str | Column | None = None) -> Column:
+    """Wall-clock time in `zona` (a name or a column; UTC if omitted) to an instant. Needs a UTC session."""
     instante = c.try_cast("timestamp")
-    return F.to_utc_timestamp(instante, zona) if zona else instante
+    return F.to_utc_timestamp(instante, zona) if zona is not None else instante
 
 
 def entero(c: Column, *, es_texto: bool = False) -> Column:

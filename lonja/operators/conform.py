@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 from operator import and_, or_
@@ -25,10 +26,10 @@ from lonja.functions import (
 VALIDA, DEVOLUCION, RECHAZO = "valida", "devolucion", "rechazo"
 
 
-def _valor(fuente: Fuente, campo: StructField, tipos: dict[str, str], *, sku_sin_espacios: bool) -> Column:
+def _valor(fuente: Fuente, campo: StructField, tipos: Mapping[str, str]) -> Column:
     crudo = F.col(fuente.columnas[campo.name])
     if campo.name == "sku":
-        return normalizar_sku(crudo, sin_espacios=sku_sin_espacios)
+        return normalizar_sku(crudo, sin_espacios=fuente.sku_sin_espacios)
     if isinstance(campo.dataType, DecimalType):
         return dinero(crudo, campo.dataType, centavos=campo.name in fuente.centavos)
     if isinstance(campo.dataType, TimestampType):
@@ -38,6 +39,18 @@ def _valor(fuente: Fuente, campo: StructField, tipos: dict[str, str], *, sku_sin
     return crudo.cast(campo.dataType)
 
 
+def es_valida(fuente: Fuente, valores: Mapping[str, Column]) -> Column:
+    """Conjunction over typed columns; true exactly when no reason speaks against the row."""
+    partes = [no_vacio(valores[c]) for c in fuente.requeridas]
+    partes += [
+        valores[f.name].isNotNull()
+        for f in fuente.contrato
+        if f.name in valores and not f.nullable and f.name not in fuente.requeridas
+    ]
+    partes += [valores[c] > 0 for c in (fuente.monto, fuente.cantidad) if c]
+    return reduce(and_, partes)
+
+
 def _motivos(fuente: Fuente, valores: dict[str, Column], corrupto: bool) -> Column:
     """Every reason a row is not valid, as an array (empty when it is)."""
     motivos = []
@@ -59,10 +72,14 @@ def _motivos(fuente: Fuente, valores: dict[str, Column], corrupto: bool) -> Colu
     for nombre, motivo in ((fuente.monto, "monto_no_positivo"), (fuente.cantidad, "cantidad_no_positiva")):
         if nombre:
             motivos.append(F.when(valores[nombre] <= 0, F.lit(motivo)))
-    return F.array_compact(F.array(*motivos))
+    sana = es_valida(fuente, valores)
+    if corrupto:
+        sana = sana & F.col(CORRUPTO).isNull()
+    # Sound rows, the usual case, skip building the array.
+    return F.when(sana, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*motivos)))
 
 
-def tipar(df: DataFrame, fuente: Fuente, *, sku_sin_espacios: bool = False) -> DataFrame:
+def tipar(df: DataFrame, fuente: Fuente) -> DataFrame:
     """One projection: rename, normalise, cast, scale money, move local times to UTC.
 
     Only what the feed carries is kept, which keeps the rows that go through the deduplication
@@ -71,7 +88,7 @@ def tipar(df: DataFrame, fuente: Fuente, *, sku_sin_espacios: bool = False) -> D
     """
     tipos = dict(df.dtypes)
     valores = {
-        campo.name: _valor(fuente, campo, tipos, sku_sin_espacios=sku_sin_espacios)
+        campo.name: _valor(fuente, campo, tipos)
         for campo in fuente.contrato
         if campo.name in fuente.columnas
     }
@@ -85,18 +102,6 @@ def tipar(df: DataFrame, fuente: Fuente, *, sku_sin_espacios: bool = False) -> D
     return df.select(*[v.alias(n) for n, v in valores.items()], *extra, motivos.alias("_motivos"))
 
 
-def es_valida(fuente: Fuente, columnas: list[str]) -> Column:
-    """Conjunction over typed columns; agrees with an empty `_motivos` without building the array."""
-    partes = [no_vacio(F.col(c)) for c in fuente.requeridas]
-    partes += [
-        F.col(f.name).isNotNull()
-        for f in fuente.contrato
-        if f.name in columnas and not f.nullable and f.name not in fuente.requeridas
-    ]
-    partes += [F.col(c) > 0 for c in (fuente.monto, fuente.cantidad) if c]
-    return reduce(and_, partes)
-
-
 def clase(fuente: Fuente) -> Column:
     """valida / devolucion / rechazo for a typed row.
 
@@ -117,7 +122,7 @@ def clase(fuente: Fuente) -> Column:
 def validas(df: DataFrame, fuente: Fuente) -> DataFrame:
     """Valid rows of a *raw* feed, typed."""
     tipado = tipar(df.where(F.col(CORRUPTO).isNull()) if CORRUPTO in df.columns else df, fuente)
-    return tipado.where(es_valida(fuente, tipado.columns)).drop("_motivos", "_netas")
+    return tipado.where(es_valida(fuente, {c: F.col(c) for c in tipado.columns})).drop("_motivos", "_netas")
 
 
 def clasificar(df: DataFrame, fuente: Fuente) -> DataFrame:

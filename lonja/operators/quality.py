@@ -28,7 +28,7 @@ def metricas_crudas(fuente: Fuente) -> dict[str, Column]:
     """Aggregates over classified rows; usable in `agg` and, for a write, in `observe`."""
     monto_nulo = F.lit(False)
     if fuente.monto:
-        monto_nulo = F.array_contains("_motivos", f"nulo:{fuente.monto}")
+        monto_nulo = F.col(fuente.monto).isNull() & F.array_contains("_motivos", f"nulo:{fuente.monto}")
     netas_nulas = F.col("_netas").isNull() if fuente.stock else F.lit(False)
     netas_negativas = F.col("_netas") < 0 if fuente.stock else F.lit(False)
     return {
@@ -43,8 +43,8 @@ def metricas_crudas(fuente: Fuente) -> dict[str, Column]:
     }
 
 
-def filas_calidad(metricas: DataFrame, tabla: str) -> DataFrame:
-    """Raw and clean metric rows from one row of `metricas_crudas` plus `unicas`.
+def filas_calidad(metricas: DataFrame) -> DataFrame:
+    """Raw and clean metric rows per row of `tabla`, `metricas_crudas` and `unicas`.
 
     Clean rows passed the checks for a present sku and a positive amount, so their NULL counts are 0
     by construction.
@@ -63,7 +63,7 @@ def filas_calidad(metricas: DataFrame, tabla: str) -> DataFrame:
         F.col("unicas").alias("total"),
         *[cero.alias(c) for c in [*comunes[1:], *stock]],
     )
-    return metricas.select(F.inline(F.array(cruda, limpia))).select(F.lit(tabla).alias("tabla"), "*")
+    return metricas.select("tabla", F.inline(F.array(cruda, limpia)))
 
 
 def calidad_fuente(clasificado: DataFrame, fuente: Fuente) -> DataFrame:
@@ -74,9 +74,8 @@ def calidad_fuente(clasificado: DataFrame, fuente: Fuente) -> DataFrame:
     """
     llave = F.when(F.col("_clase") == VALIDA, F.struct(*fuente.llave))
     metricas = {n: c.alias(n) for n, c in metricas_crudas(fuente).items()}
-    return filas_calidad(
-        clasificado.agg(*metricas.values(), F.count_distinct(llave).alias("unicas")), fuente.tabla
-    )
+    medido = clasificado.agg(*metricas.values(), F.count_distinct(llave).alias("unicas"))
+    return filas_calidad(medido.withColumn("tabla", F.lit(fuente.tabla)))
 
 
 def duplicados(df: DataFrame, llave: list[str]) -> DataFrame:

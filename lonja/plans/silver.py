@@ -130,10 +130,8 @@ def procesar_silver(
         filas[f"{destino}_apartadas"] = escribir_silver(
             mala, f"{destino}_apartadas", silver, run_date, hora=hora, por_clase=("clase", clases)
         )
-    calidad = [
-        filas_calidad(spark.createDataFrame([{**medidas[f.tabla].get, **limpias[f.tabla].get}]), f.tabla)
-        for f in fuentes
-    ]
-    informe = unificar(*calidad).withColumn("_procesado_en", F.lit(run_ts).cast("timestamp"))
-    filas["calidad"] = escribir_silver(informe.coalesce(1), "calidad", silver, run_date, hora=hora)
+    observado = [{"tabla": f.tabla, **medidas[f.tabla].get, **limpias[f.tabla].get} for f in fuentes]
+    informe = filas_calidad(spark.createDataFrame(observado).coalesce(1))
+    informe = informe.withColumn("_procesado_en", F.lit(run_ts).cast("timestamp"))
+    filas["calidad"] = escribir_silver(informe, "calidad", silver, run_date, hora=hora)
     return filas

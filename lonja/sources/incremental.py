@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lonja.contracts import Fuente
+from lonja.sources.bronze import ruta_bronze
+
 
 def extraer_incremental(
     df: DataFrame,
@@ -35,6 +38,26 @@ def nueva_marca(df: DataFrame, columna: str, marca: datetime | None = None) -> D
     return df.agg(F.greatest(F.max(columna), F.lit(marca).cast(tipo)).alias("marca"))
 
 
+def ingerir(
+    df: DataFrame, fuente: Fuente, bronze: str, run_date: date | str, columna: str, marca: datetime, hasta: datetime
+) -> datetime:
+    """Land the window (marca, hasta] of a source table in Bronze and return the next mark.
+
+    The window has its own `lote=` folder, so repeating an extract replaces it. The mark is observed
+    while the rows are written; without new rows the old one is returned.
+    """
+    vista = Observation("marca")
+    nuevas = extraer_incremental(df, columna, marca, hasta=hasta)
+    lote = marca.strftime("%Y%m%dT%H%M%S%f")
+    (
+        nuevas.observe(vista, F.max(F.col(columna).cast("timestamp_ntz").cast("string")).alias("marca"))
+        .write.mode("overwrite")
+        .parquet(f"{ruta_bronze(bronze, fuente.tabla, run_date)}/lote={lote}")
+    )
+    ultima = vista.get["marca"]
+    return max(marca, datetime.fromisoformat(ultima)) if ultima else marca
+
+
 def opciones_jdbc(
     url: str,
     tabla: str,

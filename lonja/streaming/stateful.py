@@ -23,9 +23,24 @@ def conformar_flujo(flujo: DataFrame, fuente: Fuente, run_ts: datetime) -> DataF
     return completar(validas(flujo, fuente), fuente, run_ts)
 
 
-def primera_entrega(ventas: DataFrame, horizonte: str, *, llave: str = "venta_id", tiempo: str = "vendido_en") -> DataFrame:
-    """Each sale once under redelivery: the first arrival within `horizonte` wins."""
-    return ventas.withWatermark(tiempo, horizonte).dropDuplicatesWithinWatermark([llave])
+def primera_entrega(
+    ventas: DataFrame,
+    horizonte: str,
+    *,
+    llave: str = "venta_id",
+    tiempo: str = "vendido_en",
+    reparto: tuple[str, ...] = (),
+) -> DataFrame:
+    """Each sale once under redelivery: the first arrival within `horizonte` wins.
+
+    A key redelivered in bulk would meet in one state partition. `reparto` names columns in which the
+    copies differ (arrival time, say); copies are then first reduced per key and spread value, on many
+    partitions, and only one row per pair reaches the second step.
+    """
+    vistas = ventas.withWatermark(tiempo, horizonte)
+    if reparto:
+        vistas = vistas.dropDuplicatesWithinWatermark([llave, *reparto])
+    return vistas.dropDuplicatesWithinWatermark([llave])
 
 
 def separar_tardias(
@@ -71,7 +86,7 @@ def escribir_totales(totales: DataFrame, ruta: str, checkpoint: str) -> Streamin
 
 
 def tardias_descartadas(consulta: StreamingQuery) -> int:
-    """Rows the stateful operators of a query dropped as older than their watermark, so far."""
+    """Rows dropped as older than the watermark, over the progress reports Spark still holds."""
     return sum(
         op["numRowsDroppedByWatermark"] for progreso in consulta.recentProgress for op in progreso["stateOperators"]
     )
