@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from lonja.functions import (
 )
 
 VALIDA, DEVOLUCION, RECHAZO = "valida", "devolucion", "rechazo"
+MONTO_NO_POSITIVO, CANTIDAD_NO_POSITIVA = "monto_no_positivo", "cantidad_no_positiva"
 
 
 def _valor(fuente: Fuente, campo: StructField, tipos: Mapping[str, str]) -> Column:
@@ -39,52 +40,61 @@ def _valor(fuente: Fuente, campo: StructField, tipos: Mapping[str, str]) -> Colu
     return crudo.cast(campo.dataType)
 
 
-def es_valida(fuente: Fuente, valores: Mapping[str, Column]) -> Column:
-    """Conjunction over typed columns; true exactly when no reason speaks against the row."""
-    partes = [no_vacio(valores[c]) for c in fuente.requeridas]
-    partes += [
-        valores[f.name].isNotNull()
-        for f in fuente.contrato
-        if f.name in valores and not f.nullable and f.name not in fuente.requeridas
-    ]
-    partes += [valores[c] > 0 for c in (fuente.monto, fuente.cantidad) if c]
-    return reduce(and_, partes)
-
-
-def _motivos(fuente: Fuente, valores: dict[str, Column], corrupto: bool) -> Column:
-    """Every reason a row is not valid, as an array (empty when it is)."""
-    motivos = []
-    if corrupto:
-        motivos.append(F.when(F.col(CORRUPTO).isNotNull(), F.lit("registro_corrupto")))
+def _reglas(fuente: Fuente, valores: Mapping[str, Column], corrupto: bool) -> dict[str, Column]:
+    """Every rule a row can break: reason -> condition, never NULL. The reasons depend on the feed only."""
+    reglas = {"registro_corrupto": F.col(CORRUPTO).isNotNull() if corrupto else F.lit(False)}
     for nombre in fuente.requeridas:
-        motivos.append(F.when(~no_vacio(valores[nombre]), F.lit(f"vacio:{nombre}")))
+        reglas[f"vacio:{nombre}"] = ~no_vacio(valores[nombre])
     for campo in fuente.contrato:
-        if campo.name not in valores:
+        nombre = campo.name
+        if nombre not in valores or nombre in fuente.requeridas:
             continue
-        if not isinstance(campo.dataType, StringType) and campo.name in fuente.columnas:
-            crudo = F.col(fuente.columnas[campo.name])
-            ilegible = crudo.isNotNull() & valores[campo.name].isNull()
-            motivos.append(F.when(ilegible, F.lit(f"tipo:{campo.name}")))
+        if nombre in fuente.columnas and not isinstance(campo.dataType, StringType):
+            crudo = F.col(fuente.columnas[nombre])
+            reglas[f"tipo:{nombre}"] = crudo.isNotNull() & valores[nombre].isNull()
             if not campo.nullable:
-                motivos.append(F.when(crudo.isNull(), F.lit(f"nulo:{campo.name}")))
-        elif not campo.nullable and campo.name not in fuente.requeridas:
-            motivos.append(F.when(valores[campo.name].isNull(), F.lit(f"nulo:{campo.name}")))
-    for nombre, motivo in ((fuente.monto, "monto_no_positivo"), (fuente.cantidad, "cantidad_no_positiva")):
+                reglas[f"nulo:{nombre}"] = crudo.isNull()
+        elif not campo.nullable:
+            reglas[f"nulo:{nombre}"] = valores[nombre].isNull()
+    for nombre, motivo in ((fuente.monto, MONTO_NO_POSITIVO), (fuente.cantidad, CANTIDAD_NO_POSITIVA)):
         if nombre:
-            motivos.append(F.when(valores[nombre] <= 0, F.lit(motivo)))
-    sana = es_valida(fuente, valores)
-    if corrupto:
-        sana = sana & F.col(CORRUPTO).isNull()
-    # Sound rows, the usual case, skip building the array.
-    return F.when(sana, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*motivos)))
+            reglas[motivo] = F.coalesce(valores[nombre] <= 0, F.lit(False))
+    return reglas
+
+
+def _bits(fuente: Fuente) -> dict[str, int]:
+    """Reason -> its bit in `_faltas`."""
+    nombres = _reglas(fuente, {f.name: F.col(f.name) for f in fuente.contrato if _llega(fuente, f.name)}, False)
+    return {motivo: 1 << i for i, motivo in enumerate(nombres)}
+
+
+def _llega(fuente: Fuente, nombre: str) -> bool:
+    return nombre in fuente.columnas or (nombre == "stock_disponible" and fuente.stock is not None)
+
+
+def falta(fuente: Fuente, *motivos: str) -> Column:
+    """Whether a typed row breaks any of the given rules."""
+    bits = _bits(fuente)
+    return F.col("_faltas").bitwiseAND(sum(bits.get(m, 0) for m in motivos)) != 0
+
+
+def motivos(fuente: Fuente) -> Column:
+    """The broken rules by name."""
+    return _presentes({m: falta(fuente, m) for m in _bits(fuente)})
+
+
+def _presentes(banderas: Mapping[str, Column]) -> Column:
+    """Names whose flag is set, as an array."""
+    return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in banderas.items()]))
 
 
 def tipar(df: DataFrame, fuente: Fuente) -> DataFrame:
     """One projection: rename, normalise, cast, scale money, move local times to UTC.
 
     Only what the feed carries is kept, which keeps the rows that go through the deduplication
-    shuffle narrow: constants and hashes are added by `completar` afterwards. `_motivos` (why a row
-    is not valid) and `_netas` (stock before clamping) are pruned by Catalyst unless used.
+    shuffle narrow: constants and hashes are added by `completar` afterwards. `_faltas` (one bit per
+    broken rule, plain integer arithmetic) and `_netas` (stock before clamping) are pruned by Catalyst
+    unless used.
     """
     tipos = dict(df.dtypes)
     valores = {
@@ -97,43 +107,81 @@ def tipar(df: DataFrame, fuente: Fuente) -> DataFrame:
         netas = existencias_netas(*map(F.col, fuente.stock))
         valores["stock_disponible"] = existencias_disponibles(netas)
         extra.append(netas.alias("_netas"))
-    corrupto = CORRUPTO in df.columns
-    motivos = _motivos(fuente, valores, corrupto)
-    return df.select(*[v.alias(n) for n, v in valores.items()], *extra, motivos.alias("_motivos"))
+    if CORRUPTO in df.columns:
+        extra.append(F.col(CORRUPTO).isNotNull().alias("_corrupto"))
+    reglas = _reglas(fuente, valores, CORRUPTO in df.columns).values()
+    faltas = reduce(add, [F.when(r, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(reglas)])
+    return df.select(*[v.alias(n) for n, v in valores.items()], *extra, faltas.alias("_faltas"))
+
+
+def _integra(tipado: DataFrame, fuente: Fuente) -> Column:
+    """Readable, keys present, nothing missing that the contract demands. Never NULL."""
+    partes = [no_vacio(F.col(c)) for c in fuente.requeridas]
+    partes += [
+        F.col(f.name).isNotNull()
+        for f in fuente.contrato
+        if f.name in tipado.columns and not f.nullable and f.name not in fuente.requeridas
+    ]
+    if "_corrupto" in tipado.columns:
+        partes.append(~F.col("_corrupto"))
+    return reduce(and_, partes)
 
 
-def clase(fuente: Fuente) -> Column:
-    """valida / devolucion / rechazo for a typed row.
+def es_valida(tipado: DataFrame, fuente: Fuente) -> Column:
+    """True exactly when no rule is broken, from the typed columns alone.
 
-    A negative amount on an otherwise sound row is a return, whatever its quantity; a zero or missing
-    amount is a reject.
+    Filters use this instead of `_faltas` or `_clase`: a short-circuit conjunction stays cheap when
+    Catalyst substitutes it below projections and into joins.
     """
+    positivas = [F.col(c) > 0 for c in (fuente.monto, fuente.cantidad) if c]
+    return reduce(and_, positivas, _integra(tipado, fuente))
+
+
+def es_devolucion(tipado: DataFrame, fuente: Fuente) -> Column:
+    """An otherwise sound row with a negative amount, whatever its quantity."""
     if not fuente.monto:
-        return F.when(F.size("_motivos") == 0, F.lit(VALIDA)).otherwise(F.lit(RECHAZO))
-    signo = ("monto_no_positivo", "cantidad_no_positiva")
-    estructural = F.size(F.array_except("_motivos", F.array(*map(F.lit, signo)))) > 0
+        return F.lit(False)
+    return (F.col(fuente.monto) < 0) & _integra(tipado, fuente)
+
+
+def clase(tipado: DataFrame, fuente: Fuente) -> Column:
+    """valida / devolucion / rechazo for a typed row; a zero or missing amount is a reject."""
     return (
-        F.when(F.size("_motivos") == 0, F.lit(VALIDA))
-        .when(~estructural & (F.col(fuente.monto) < 0), F.lit(DEVOLUCION))
+        F.when(es_valida(tipado, fuente), F.lit(VALIDA))
+        .when(es_devolucion(tipado, fuente), F.lit(DEVOLUCION))
         .otherwise(F.lit(RECHAZO))
     )
 
 
 def validas(df: DataFrame, fuente: Fuente) -> DataFrame:
     """Valid rows of a *raw* feed, typed."""
-    tipado = tipar(df.where(F.col(CORRUPTO).isNull()) if CORRUPTO in df.columns else df, fuente)
-    return tipado.where(es_valida(fuente, {c: F.col(c) for c in tipado.columns})).drop("_motivos", "_netas")
+    tipado = tipar(df, fuente)
+    return tipado.where(es_valida(tipado, fuente)).drop("_faltas", "_netas", "_corrupto")
+
+
+def devueltas(df: DataFrame, fuente: Fuente) -> DataFrame:
+    """Returns of a raw feed, typed and classified."""
+    tipado = tipar(df, fuente)
+    return tipado.where(es_devolucion(tipado, fuente)).withColumn("_clase", F.lit(DEVOLUCION))
+
+
+def rechazadas(df: DataFrame, fuente: Fuente) -> DataFrame:
+    """Rejects of a raw feed, typed and classified."""
+    tipado = tipar(df, fuente)
+    mala = ~es_valida(tipado, fuente) & ~es_devolucion(tipado, fuente)
+    return tipado.where(mala).withColumn("_clase", F.lit(RECHAZO))
 
 
 def clasificar(df: DataFrame, fuente: Fuente) -> DataFrame:
-    """All rows of a raw feed, typed, each with its class and reasons."""
-    return tipar(df, fuente).withColumn("_clase", clase(fuente))
+    """All rows of a raw feed, typed, each with its class and broken rules."""
+    tipado = tipar(df, fuente)
+    return tipado.withColumn("_clase", clase(tipado, fuente))
 
 
 def completar(df: DataFrame, fuente: Fuente, run_ts: datetime, *, sal: str | None = None) -> DataFrame:
     """Typed rows -> exact contract: hash personal data, add constants and audit columns.
 
-    Columns outside the contract are dropped, except `_clase` and `_motivos` when present.
+    Columns outside the contract are dropped; a classified frame keeps `_clase` and its reasons.
     """
     fijas = {**fuente.constantes, "_fuente": fuente.etiqueta, "_procesado_en": run_ts}
     salida = []
@@ -145,7 +193,9 @@ def completar(df: DataFrame, fuente: Fuente, run_ts: datetime, *, sal: str | Non
         else:
             col = F.col(campo.name)
         salida.append(col.cast(campo.dataType).alias(campo.name))
-    return df.select(*salida, *[c for c in ("_clase", "_motivos") if c in df.columns])
+    if "_clase" in df.columns:
+        salida += [F.col("_clase"), motivos(fuente).alias("_motivos")]
+    return df.select(*salida)
 
 
 def validar_no_vacios(df: DataFrame, columnas: list[str]) -> DataFrame:
@@ -155,9 +205,8 @@ def validar_no_vacios(df: DataFrame, columnas: list[str]) -> DataFrame:
 
 def rechazar_vacios(df: DataFrame, columnas: list[str]) -> DataFrame:
     """Exact complement of `validar_no_vacios`, with the offending columns in `_motivos`."""
-    motivos = [F.when(~no_vacio(F.col(c)), F.lit(f"vacio:{c}")) for c in columnas]
-    alguno = reduce(or_, [~no_vacio(F.col(c)) for c in columnas], F.lit(False))
-    return df.where(alguno).withColumn("_motivos", F.array_compact(F.array(*motivos)))
+    vacias = {f"vacio:{c}": ~no_vacio(F.col(c)) for c in columnas}
+    return df.where(reduce(or_, vacias.values(), F.lit(False))).withColumn("_motivos", _presentes(vacias))
 
 
 def mask_pii(df: DataFrame, *columnas: str, sal: str | None = None, normalizar: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lonja.contracts import Fuente
-from lonja.operators.conform import DEVOLUCION, RECHAZO, VALIDA
+from lonja.operators.conform import DEVOLUCION, RECHAZO, VALIDA, falta
 
 
 def log_quality(
@@ -28,7 +28,7 @@ def metricas_crudas(fuente: Fuente) -> dict[str, Column]:
     """Aggregates over classified rows; usable in `agg` and, for a write, in `observe`."""
     monto_nulo = F.lit(False)
     if fuente.monto:
-        monto_nulo = F.col(fuente.monto).isNull() & F.array_contains("_motivos", f"nulo:{fuente.monto}")
+        monto_nulo = falta(fuente, f"nulo:{fuente.monto}")
     netas_nulas = F.col("_netas").isNull() if fuente.stock else F.lit(False)
     netas_negativas = F.col("_netas") < 0 if fuente.stock else F.lit(False)
     return {

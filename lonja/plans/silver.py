@@ -15,7 +15,16 @@ from lonja.contracts import (
     VENTAS_TIENDAS,
     Fuente,
 )
-from lonja.operators.conform import DEVOLUCION, RECHAZO, VALIDA, clasificar, completar, validas
+from lonja.operators.conform import (
+    DEVOLUCION,
+    RECHAZO,
+    VALIDA,
+    clasificar,
+    completar,
+    devueltas,
+    rechazadas,
+    validas,
+)
 from lonja.operators.dedup import deduplicar
 from lonja.operators.quality import filas_calidad, metricas_crudas
 from lonja.sources.bronze import leer_bronze
@@ -58,19 +67,14 @@ def unificar(*ventas: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, ventas)
 
 
-def apartadas(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
-    """Everything `transformar` leaves out for its content: returns and rejects, with reasons."""
-    return completar(clasificar(df, fuente).where(F.col("_clase") != VALIDA), fuente, run_ts)
-
-
 def devoluciones(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
-    """Sound rows with a negative amount."""
-    return apartadas(df, fuente, run_ts).where(F.col("_clase") == DEVOLUCION).drop("_clase", "_motivos")
+    """Sound rows with a negative amount, which `transformar` leaves out."""
+    return completar(devueltas(df, fuente), fuente, run_ts).drop("_clase", "_motivos")
 
 
 def rechazos(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
     """Rows that break a rule, with all their reasons in `_motivos`."""
-    return apartadas(df, fuente, run_ts).where(F.col("_clase") == RECHAZO).drop("_clase")
+    return completar(rechazadas(df, fuente), fuente, run_ts).drop("_clase")
 
 
 def procesar_silver(
