@@ -16,7 +16,6 @@ from lonja.contracts import (
     BRONZE_INVENTARIO,
     BRONZE_TIENDAS,
     INVENTARIO_ERP,
-    VENTAS_ECOMMERCE,
     VENTAS_TIENDAS,
 )
 from lonja.operators.conform import clasificar, completar, mask_pii, rechazar_vacios, validar_no_vacios, validas
@@ -208,7 +207,3 @@ def test_mask_salt_and_normalisation(spark):
     assert iguales.select("correo").distinct().count() == 1
     assert iguales.first()["correo"] == hashlib.sha256(b"sana@x.com").hexdigest()
     assert mask_pii(df, "correo").select("correo").distinct().count() == 2
-
-
-def test_sources_differ_only_by_description(spark, run_ts):
-    assert VENTAS_ECOMMERCE.contrato is VENTAS_TIENDAS.contrato
