@@ -7,6 +7,8 @@ reconciliation rules are definitions of this package.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,14 +67,9 @@ def ventas_vigentes(ventas: DataFrame) -> DataFrame:
 
 def dim_tienda(*tablas: DataFrame) -> DataFrame:
     """Stores seen in sales or stock. The greatest name wins, so the result is deterministic."""
-    vistas = [
-        t.where(F.col("tienda_id").isNotNull()).groupBy("tienda_id").agg(F.max("tienda_nombre").alias("tienda_nombre"))
-        for t in tablas
-    ]
-    union = vistas[0]
-    for v in vistas[1:]:
-        union = union.unionByName(v)
-    return union.groupBy("tienda_id").agg(F.max("tienda_nombre").alias("tienda_nombre"))
+    vistas = reduce(DataFrame.unionByName, [t.select("tienda_id", "tienda_nombre") for t in tablas])
+    con_id = vistas.where(F.col("tienda_id").isNotNull())
+    return con_id.groupBy("tienda_id").agg(F.max("tienda_nombre").alias("tienda_nombre"))
 
 
 def dim_producto(ventas: DataFrame) -> DataFrame:
@@ -141,19 +138,16 @@ def ventas_vs_inventario(ventas: DataFrame, inventario: DataFrame, *, como: str
 def sku_conformidad(**sistemas: DataFrame) -> DataFrame:
     """For each sku, which systems know it, and whether all of them do.
 
-    Every system is reduced to its distinct skus before the one exchange by sku; flags are booleans,
-    so nothing grows with the number of rows per sku.
+    One exchange: the flags are or-ed per sku on the map side, so it carries one row per sku and task
+    whatever the number of rows, and no set is collected.
     """
     nombres = list(sistemas)
-    vistos = None
-    for nombre, df in sistemas.items():
-        uno = df.select("sku").distinct().select("sku", *[F.lit(n == nombre).alias(f"en_{n}") for n in nombres])
-        vistos = uno if vistos is None else vistos.unionByName(uno)
+    vistos = [
+        df.select("sku", *[F.lit(n == nombre).alias(f"en_{n}") for n in nombres]) for nombre, df in sistemas.items()
+    ]
     banderas = [F.bool_or(f"en_{n}").alias(f"en_{n}") for n in nombres]
-    todos = F.lit(True)
-    for n in nombres:
-        todos = todos & F.col(f"en_{n}")
-    return vistos.groupBy("sku").agg(*banderas).withColumn("conforme", todos)
+    unidos = reduce(DataFrame.unionByName, vistos).groupBy("sku").agg(*banderas)
+    return unidos.withColumn("conforme", reduce(and_, [F.col(f"en_{n}") for n in nombres]))
 
 
 def conciliar_inventario(inventario: DataFrame, conteos: DataFrame) -> DataFrame:

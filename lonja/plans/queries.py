@@ -334,10 +334,15 @@ def marca_siguiente(spark, sf_dir):
 # --- streaming -------------------------------------------------------------------------------------
 
 
+def _flujo_eventos(spark, sf_dir):
+    esquema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # As a glob, since a stream takes a plain path for a folder and the table may be one file.
+    return spark.readStream.schema(esquema).parquet(f"{sf_dir}/{{events.parquet}}")
+
+
 def _eventos_repetidos(spark, sf_dir):
     """The online feed as a stream in which every event is delivered twice."""
-    esquema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    eventos = spark.readStream.schema(esquema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    eventos = _flujo_eventos(spark, sf_dir)
     return feeds.ventas_ecommerce_de(eventos).unionByName(feeds.ventas_ecommerce_de(eventos))
 
 
@@ -381,8 +386,7 @@ def stream_ventas_totales(spark, sf_dir):
 def stream_ventas_tardias(spark, sf_dir):
     """Sales that arrive, at the end of the month, more than 15 days after they happened."""
     salida, marcas = espacio(spark, "silver"), espacio(spark, "checkpoint")
-    esquema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    eventos = spark.readStream.schema(esquema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    eventos = _flujo_eventos(spark, sf_dir)
     ventas = stateful.conformar_flujo(feeds.ventas_ecommerce_de(eventos), VENTAS_ECOMMERCE, RUN_TS)
     llegada = ventas.withColumn("_llegada", F.lit(datetime(2024, 1, 31)))
     _, tarde = stateful.separar_tardias(llegada, "15 days")
