@@ -40,47 +40,45 @@ def _valor(fuente: Fuente, campo: StructField, tipos: Mapping[str, str]) -> Colu
     return crudo.cast(campo.dataType)
 
 
-def _reglas(fuente: Fuente, valores: Mapping[str, Column], corrupto: bool) -> dict[str, Column]:
-    """Every rule a row can break: reason -> condition, never NULL. The reasons depend on the feed only."""
-    reglas = {"registro_corrupto": F.col(CORRUPTO).isNotNull() if corrupto else F.lit(False)}
-    for nombre in fuente.requeridas:
-        reglas[f"vacio:{nombre}"] = ~no_vacio(valores[nombre])
+def reglas(fuente: Fuente) -> list[str]:
+    """Names of the rules a row of the feed can break. The position is the bit in `_faltas`."""
+    nombres = ["registro_corrupto", *(f"vacio:{c}" for c in fuente.requeridas)]
     for campo in fuente.contrato:
-        nombre = campo.name
-        if nombre not in valores or nombre in fuente.requeridas:
+        derivada = campo.name == "stock_disponible" and fuente.stock is not None
+        if campo.name in fuente.requeridas or not (derivada or campo.name in fuente.columnas):
             continue
-        if nombre in fuente.columnas and not isinstance(campo.dataType, StringType):
-            crudo = F.col(fuente.columnas[nombre])
-            reglas[f"tipo:{nombre}"] = crudo.isNotNull() & valores[nombre].isNull()
-            if not campo.nullable:
-                reglas[f"nulo:{nombre}"] = crudo.isNull()
-        elif not campo.nullable:
-            reglas[f"nulo:{nombre}"] = valores[nombre].isNull()
-    for nombre, motivo in ((fuente.monto, MONTO_NO_POSITIVO), (fuente.cantidad, CANTIDAD_NO_POSITIVA)):
-        if nombre:
-            reglas[motivo] = F.coalesce(valores[nombre] <= 0, F.lit(False))
-    return reglas
-
-
-def _bits(fuente: Fuente) -> dict[str, int]:
-    """Reason -> its bit in `_faltas`."""
-    nombres = _reglas(fuente, {f.name: F.col(f.name) for f in fuente.contrato if _llega(fuente, f.name)}, False)
-    return {motivo: 1 << i for i, motivo in enumerate(nombres)}
-
-
-def _llega(fuente: Fuente, nombre: str) -> bool:
-    return nombre in fuente.columnas or (nombre == "stock_disponible" and fuente.stock is not None)
+        if not derivada and not isinstance(campo.dataType, StringType):
+            nombres.append(f"tipo:{campo.name}")
+        if not campo.nullable:
+            nombres.append(f"nulo:{campo.name}")
+    nombres += [m for c, m in ((fuente.monto, MONTO_NO_POSITIVO), (fuente.cantidad, CANTIDAD_NO_POSITIVA)) if c]
+    return nombres
+
+
+def _incumple(regla: str, fuente: Fuente, valores: Mapping[str, Column], corrupto: bool) -> Column:
+    """Whether a raw row, typed as `valores`, breaks a rule. Never NULL."""
+    tipo, _, nombre = regla.partition(":")
+    if tipo == "registro_corrupto":
+        return F.col(CORRUPTO).isNotNull() if corrupto else F.lit(False)
+    if tipo == MONTO_NO_POSITIVO:
+        return F.coalesce(valores[fuente.monto] <= 0, F.lit(False))
+    if tipo == CANTIDAD_NO_POSITIVA:
+        return F.coalesce(valores[fuente.cantidad] <= 0, F.lit(False))
+    if tipo == "vacio":
+        return ~no_vacio(valores[nombre])
+    crudo = F.col(fuente.columnas[nombre]) if nombre in fuente.columnas else valores[nombre]
+    return crudo.isNull() if tipo == "nulo" else crudo.isNotNull() & valores[nombre].isNull()
 
 
 def falta(fuente: Fuente, *motivos: str) -> Column:
     """Whether a typed row breaks any of the given rules."""
-    bits = _bits(fuente)
-    return F.col("_faltas").bitwiseAND(sum(bits.get(m, 0) for m in motivos)) != 0
+    bits = sum(1 << i for i, regla in enumerate(reglas(fuente)) if regla in motivos)
+    return F.col("_faltas").bitwiseAND(bits) != 0
 
 
 def motivos(fuente: Fuente) -> Column:
     """The broken rules by name."""
-    return _presentes({m: falta(fuente, m) for m in _bits(fuente)})
+    return _presentes({m: falta(fuente, m) for m in reglas(fuente)})
 
 
 def _presentes(banderas: Mapping[str, Column]) -> Column:
@@ -109,8 +107,11 @@ def tipar(df: DataFrame, fuente: Fuente) -> DataFrame:
         extra.append(netas.alias("_netas"))
     if CORRUPTO in df.columns:
         extra.append(F.col(CORRUPTO).isNotNull().alias("_corrupto"))
-    reglas = _reglas(fuente, valores, CORRUPTO in df.columns).values()
-    faltas = reduce(add, [F.when(r, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(reglas)])
+    bits = [
+        F.when(_incumple(regla, fuente, valores, CORRUPTO in df.columns), F.lit(1 << i)).otherwise(F.lit(0))
+        for i, regla in enumerate(reglas(fuente))
+    ]
+    faltas = reduce(add, bits).cast("long")
     return df.select(*[v.alias(n) for n, v in valores.items()], *extra, faltas.alias("_faltas"))
 
 

@@ -79,13 +79,10 @@ def dim_producto(ventas: DataFrame) -> DataFrame:
 
 
 def dim_fecha(ventas: DataFrame, *, zona: str | None = None) -> DataFrame:
-    return dim_fecha_de(con_fecha(ventas, zona))
-
-
-def dim_fecha_de(hechos: DataFrame) -> DataFrame:
-    """Calendar of the dates that occur in a frame with `fecha`."""
+    """Calendar of the dates that occur."""
     return (
-        hechos.select("fecha")
+        con_fecha(ventas, zona)
+        .select("fecha")
         .distinct()
         .select(
             "fecha",

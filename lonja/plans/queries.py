@@ -456,12 +456,12 @@ def gold_dim_fecha(spark, sf_dir):
 
 @consulta
 def gold_estrella_ventas(spark, sf_dir):
-    """The star is written once and queried from its tables, so sales are not rebuilt per dimension."""
-    raiz = espacio(spark, "gold")
-    gold.hechos_ventas(silver_ventas(spark, sf_dir)).write.parquet(f"{raiz}/hechos")
-    hechos = spark.read.parquet(f"{raiz}/hechos")
-    tiendas = gold.dim_tienda(validas(feeds.ventas_tiendas(spark, sf_dir), VENTAS_TIENDAS))
-    return gold.consulta_estrella(hechos, tiendas, gold.dim_fecha_de(hechos))
+    """Silver is written once; fact and dimensions are read from it instead of being rebuilt each."""
+    raiz = espacio(spark, "silver")
+    silver_ventas(spark, sf_dir).write.parquet(f"{raiz}/ventas")
+    ventas = spark.read.parquet(f"{raiz}/ventas")
+    hechos = gold.hechos_ventas(ventas)
+    return gold.consulta_estrella(hechos, gold.dim_tienda(ventas), gold.dim_fecha(ventas))
 
 
 @consulta

@@ -129,7 +129,8 @@ def procesar_silver(
         planes[destino] = (unificar(*buenas), apartada)
     filas = {}
     for destino, (buena, mala) in planes.items():
-        clases = (DEVOLUCION, RECHAZO)
+        con_monto = any(f.monto for f in fuentes if f.destino == destino)
+        clases = (DEVOLUCION, RECHAZO) if con_monto else (RECHAZO,)
         filas[destino] = escribir_silver(buena, destino, silver, run_date, hora=hora)
         filas[f"{destino}_apartadas"] = escribir_silver(
             mala, f"{destino}_apartadas", silver, run_date, hora=hora, por_clase=("clase", clases)
