@@ -72,9 +72,10 @@ def ventas_ecommerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feed(spark, sf_dir, ECOMMERCE, "events")
 
 
-def ventas_ecommerce_de(eventos: DataFrame) -> DataFrame:
-    """The same mapping over any events frame, streaming ones included."""
-    return eventos.sparkSession.sql(ECOMMERCE, events=eventos)
+def ventas_ecommerce_de(eventos: DataFrame, *auxiliares: str) -> DataFrame:
+    """The same mapping over any events frame, streaming ones included, keeping some of its columns."""
+    extra = "".join(f", {c}" for c in auxiliares)
+    return eventos.sparkSession.sql(ECOMMERCE.replace("AS customer_email", f"AS customer_email{extra}"), events=eventos)
 
 
 def inventario(spark: SparkSession, sf_dir: str) -> DataFrame:

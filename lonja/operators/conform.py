@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 from operator import add, and_, or_
@@ -86,13 +86,13 @@ def _presentes(banderas: Mapping[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in banderas.items()]))
 
 
-def tipar(df: DataFrame, fuente: Fuente) -> DataFrame:
+def tipar(df: DataFrame, fuente: Fuente, *, conservar: Sequence[str] = ()) -> DataFrame:
     """One projection: rename, normalise, cast, scale money, move local times to UTC.
 
     Only what the feed carries is kept, which keeps the rows that go through the deduplication
     shuffle narrow: constants and hashes are added by `completar` afterwards. `_faltas` (one bit per
     broken rule, plain integer arithmetic) and `_netas` (stock before clamping) are pruned by Catalyst
-    unless used.
+    unless used. `conservar` names source columns to carry along as they are (an arrival time, say).
     """
     tipos = dict(df.dtypes)
     valores = {
@@ -112,7 +112,7 @@ def tipar(df: DataFrame, fuente: Fuente) -> DataFrame:
         for i, regla in enumerate(reglas(fuente))
     ]
     faltas = reduce(add, bits).cast("long")
-    return df.select(*[v.alias(n) for n, v in valores.items()], *extra, faltas.alias("_faltas"))
+    return df.select(*[v.alias(n) for n, v in valores.items()], *extra, faltas.alias("_faltas"), *conservar)
 
 
 def _integra(tipado: DataFrame, fuente: Fuente) -> Column:
@@ -154,9 +154,9 @@ def clase(tipado: DataFrame, fuente: Fuente) -> Column:
     )
 
 
-def validas(df: DataFrame, fuente: Fuente) -> DataFrame:
+def validas(df: DataFrame, fuente: Fuente, *, conservar: Sequence[str] = ()) -> DataFrame:
     """Valid rows of a *raw* feed, typed."""
-    tipado = tipar(df, fuente)
+    tipado = tipar(df, fuente, conservar=conservar)
     return tipado.where(es_valida(tipado, fuente)).drop("_faltas", "_netas", "_corrupto")
 
 
@@ -179,10 +179,13 @@ def clasificar(df: DataFrame, fuente: Fuente) -> DataFrame:
     return tipado.withColumn("_clase", clase(tipado, fuente))
 
 
-def completar(df: DataFrame, fuente: Fuente, run_ts: datetime, *, sal: str | None = None) -> DataFrame:
+def completar(
+    df: DataFrame, fuente: Fuente, run_ts: datetime, *, sal: str | None = None, conservar: Sequence[str] = ()
+) -> DataFrame:
     """Typed rows -> exact contract: hash personal data, add constants and audit columns.
 
-    Columns outside the contract are dropped; a classified frame keeps `_clase` and its reasons.
+    Columns outside the contract and `conservar` are dropped; a classified frame keeps `_clase` and its
+    reasons.
     """
     fijas = {**fuente.constantes, "_fuente": fuente.etiqueta, "_procesado_en": run_ts}
     salida = []
@@ -196,7 +199,7 @@ def completar(df: DataFrame, fuente: Fuente, run_ts: datetime, *, sal: str | Non
         salida.append(col.cast(campo.dataType).alias(campo.name))
     if "_clase" in df.columns:
         salida += [F.col("_clase"), motivos(fuente).alias("_motivos")]
-    return df.select(*salida)
+    return df.select(*salida, *conservar)
 
 
 def validar_no_vacios(df: DataFrame, columnas: list[str]) -> DataFrame:

@@ -33,6 +33,7 @@ RUN_TS = datetime(2025, 4, 13, 10, 0)
 DIA = date(2024, 1, 15)  # the business date of the one-day report
 MARCA = datetime(1998, 1, 1)  # the high-water mark of the incremental extract
 HORIZONTE = "60 days"
+SALES = 32  # state partitions over which the copies of one sale may spread
 
 Consulta = Callable[[SparkSession, str], DataFrame]
 CONSULTAS: dict[str, Consulta] = {}
@@ -335,15 +336,25 @@ def marca_siguiente(spark, sf_dir):
 
 
 def _flujo_eventos(spark, sf_dir):
+    """The events table as a stream, with a salt from each row's position in its file."""
     esquema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # As a glob, since a stream takes a plain path for a folder and the table may be one file.
-    return spark.readStream.schema(esquema).parquet(f"{sf_dir}/{{events.parquet}}")
+    eventos = spark.readStream.schema(esquema).parquet(f"{sf_dir}/{{events.parquet}}")
+    return eventos.withColumn("_sal", F.pmod("_metadata.row_index", F.lit(SALES)))
 
 
-def _eventos_repetidos(spark, sf_dir):
+def _eventos_repetidos(spark, sf_dir, *auxiliares):
     """The online feed as a stream in which every event is delivered twice."""
     eventos = _flujo_eventos(spark, sf_dir)
-    return feeds.ventas_ecommerce_de(eventos).unionByName(feeds.ventas_ecommerce_de(eventos))
+    return feeds.ventas_ecommerce_de(eventos, *auxiliares).unionByName(
+        feeds.ventas_ecommerce_de(eventos, *auxiliares)
+    )
+
+
+def _primeras(spark, sf_dir):
+    repetidos = _eventos_repetidos(spark, sf_dir, "_sal")
+    ventas = stateful.conformar_flujo(repetidos, VENTAS_ECOMMERCE, RUN_TS, conservar=("_sal",))
+    return stateful.primera_entrega(ventas, HORIZONTE, reparto=("_sal",)).drop("_sal")
 
 
 @consulta
@@ -367,8 +378,7 @@ def stream_ventas_ecommerce(spark, sf_dir):
 def stream_primera_entrega(spark, sf_dir):
     """Each sale once, first delivery, within the watermark horizon."""
     salida, marcas = espacio(spark, "silver"), espacio(spark, "checkpoint")
-    ventas = stateful.conformar_flujo(_eventos_repetidos(spark, sf_dir), VENTAS_ECOMMERCE, RUN_TS)
-    stateful.escribir_anexo(stateful.primera_entrega(ventas, HORIZONTE), salida, marcas).awaitTermination()
+    stateful.escribir_anexo(_primeras(spark, sf_dir), salida, marcas).awaitTermination()
     return spark.read.parquet(salida)
 
 
@@ -376,8 +386,7 @@ def stream_primera_entrega(spark, sf_dir):
 def stream_ventas_totales(spark, sf_dir):
     """Running totals over the redelivered stream."""
     salida, marcas = espacio(spark, "gold"), espacio(spark, "checkpoint")
-    ventas = stateful.conformar_flujo(_eventos_repetidos(spark, sf_dir), VENTAS_ECOMMERCE, RUN_TS)
-    totales = stateful.totales_en_flujo(stateful.primera_entrega(ventas, HORIZONTE))
+    totales = stateful.totales_en_flujo(_primeras(spark, sf_dir))
     stateful.escribir_totales(totales, salida, marcas).awaitTermination()
     return spark.read.parquet(salida)
 
@@ -386,10 +395,11 @@ def stream_ventas_totales(spark, sf_dir):
 def stream_ventas_tardias(spark, sf_dir):
     """Sales that arrive, at the end of the month, more than 15 days after they happened."""
     salida, marcas = espacio(spark, "silver"), espacio(spark, "checkpoint")
-    eventos = _flujo_eventos(spark, sf_dir)
-    ventas = stateful.conformar_flujo(feeds.ventas_ecommerce_de(eventos), VENTAS_ECOMMERCE, RUN_TS)
-    llegada = ventas.withColumn("_llegada", F.lit(datetime(2024, 1, 31)))
-    _, tarde = stateful.separar_tardias(llegada, "15 days")
+    eventos = _flujo_eventos(spark, sf_dir).withColumn("_llegada", F.lit(datetime(2024, 1, 31)))
+    ventas = stateful.conformar_flujo(
+        feeds.ventas_ecommerce_de(eventos, "_llegada"), VENTAS_ECOMMERCE, RUN_TS, conservar=("_llegada",)
+    )
+    _, tarde = stateful.separar_tardias(ventas, "15 days")
     stateful.escribir_anexo(tarde.drop("_llegada"), salida, marcas).awaitTermination()
     return spark.read.parquet(salida)
 

@@ -7,6 +7,7 @@ lost: `separar_tardias` routes them to their own table, and the micro-batch reco
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -18,9 +19,11 @@ from lonja.operators.conform import completar, validas
 from lonja.plans.gold import MONTO, con_fecha
 
 
-def conformar_flujo(flujo: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
-    """Valid, typed and completed rows of a streaming feed; stateless."""
-    return completar(validas(flujo, fuente), fuente, run_ts)
+def conformar_flujo(
+    flujo: DataFrame, fuente: Fuente, run_ts: datetime, *, conservar: Sequence[str] = ()
+) -> DataFrame:
+    """Valid, typed and completed rows of a streaming feed, with the source columns `conservar`; stateless."""
+    return completar(validas(flujo, fuente, conservar=conservar), fuente, run_ts, conservar=conservar)
 
 
 def primera_entrega(
@@ -34,8 +37,9 @@ def primera_entrega(
     """Each sale once under redelivery: the first arrival within `horizonte` wins.
 
     A key redelivered in bulk would meet in one state partition. `reparto` names columns in which the
-    copies differ (arrival time, say); copies are then first reduced per key and spread value, on many
-    partitions, and only one row per pair reaches the second step.
+    copies differ (arrival time, a salt from the row's position in its file); copies are then first
+    reduced per key and spread value, on many partitions, and only one row per pair reaches the second
+    step. The columns must not change when a batch is replayed.
     """
     vistas = ventas.withWatermark(tiempo, horizonte)
     if reparto:

@@ -136,6 +136,17 @@ def test_totals_over_batches_equal_the_batch_total(spark, lago, run_ts, tmp_path
     assert vistos == {1: 15.0, 2: 10.0}
 
 
+def test_late_sales_of_a_stream(spark, lago, run_ts, tmp_path):
+    aterrizar(lago.eventos, "1.json", [pedido(1, 10, dia=13), pedido(2, 10, dia=1)], "2025-04-13 10:15:00")
+    eventos = microbatch.leer_eventos(spark, VENTAS_ECOMMERCE, str(lago.eventos))
+    ventas = stateful.conformar_flujo(eventos, VENTAS_ECOMMERCE, run_ts, conservar=("_llegada",))
+    partes = {}
+    for nombre, parte in zip(("a_tiempo", "tarde"), stateful.separar_tardias(ventas, "2 days"), strict=True):
+        stateful.escribir_anexo(parte, str(tmp_path / nombre), str(tmp_path / f"c_{nombre}")).awaitTermination()
+        partes[nombre] = [f["venta_id"] for f in spark.read.parquet(str(tmp_path / nombre)).collect()]
+    assert partes == {"a_tiempo": ["o1"], "tarde": ["o2"]}
+
+
 def test_late_split_keeps_every_row(spark):
     t = datetime(2025, 4, 13, 12)
     filas = [(1, t, t), (2, t.replace(day=1), t), (3, None, t)]
