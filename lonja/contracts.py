@@ -24,7 +24,34 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# --- fixed values: canonical contracts, feed column names, labels, zones ---------------------------
+
+@dataclass(frozen=True)
+class Fuente:
+    """One feed: how `bronze/<tabla>` turns into the Silver table `destino`."""
+
+    tabla: str
+    destino: str
+    bronze: StructType
+    contrato: StructType
+    columnas: Mapping[str, str]  # canonical column -> source column
+    requeridas: tuple[str, ...]  # canonical columns that must not be blank
+    llave: tuple[str, ...]  # one row survives per key
+    orden: tuple[str, ...]  # newest first, then tie-breaks; all other columns follow
+    constantes: Mapping[str, str | None] = field(default_factory=dict)
+    zonas: Mapping[str, str | Column] = field(default_factory=dict)  # local timestamps; UTC if absent
+    sku_sin_espacios: bool = False  # also remove blanks inside skus
+    centavos: tuple[str, ...] = ()  # money reported in minor units
+    pii: tuple[str, ...] = ()  # hashed before anything is written
+    monto: str | None = None  # must be positive; negative means a return
+    cantidad: str | None = None  # must be positive
+    stock: tuple[str, str] | None = None  # source columns (on hand, reserved)
+
+    @property
+    def etiqueta(self) -> str:
+        return f"bronze/{self.tabla}"
+
+
+# --- fixed values: canonical contracts, feed columns, rename maps, labels, zones --------------------
 
 VENTAS = StructType([
     StructField("venta_id", StringType(), False),
@@ -108,35 +135,6 @@ ZONA_MEXICO = "America/Mexico_City"
 CORRUPTO = "_corrupt_record"
 ORDEN_VENTAS = ("vendido_en", "sku", "monto_total", "tienda_id", "precio_unitario", "cantidad", "cliente_id")
 
-# --- end of fixed values ---------------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Fuente:
-    """One feed: how `bronze/<tabla>` turns into the Silver table `destino`."""
-
-    tabla: str
-    destino: str
-    bronze: StructType
-    contrato: StructType
-    columnas: Mapping[str, str]  # canonical column -> source column
-    requeridas: tuple[str, ...]  # canonical columns that must not be blank
-    llave: tuple[str, ...]  # one row survives per key
-    orden: tuple[str, ...]  # newest first, then tie-breaks; all other columns follow
-    constantes: Mapping[str, str | None] = field(default_factory=dict)
-    zonas: Mapping[str, str | Column] = field(default_factory=dict)  # local timestamps; UTC if absent
-    sku_sin_espacios: bool = False  # also remove blanks inside skus
-    centavos: tuple[str, ...] = ()  # money reported in minor units
-    pii: tuple[str, ...] = ()  # hashed before anything is written
-    monto: str | None = None  # must be positive; negative means a return
-    cantidad: str | None = None  # must be positive
-    stock: tuple[str, str] | None = None  # source columns (on hand, reserved)
-
-    @property
-    def etiqueta(self) -> str:
-        return f"bronze/{self.tabla}"
-
-
 VENTAS_TIENDAS = Fuente(
     tabla="ventas_tiendas",
     destino="ventas",
@@ -225,4 +223,6 @@ CONTEOS_FISICOS = Fuente(
     zonas={"contado_en": ZONA_MEXICO},
 )
 
+# --- end of fixed values ---------------------------------------------------------------------------
+
 FUENTES = {f.tabla: f for f in (VENTAS_TIENDAS, VENTAS_ECOMMERCE, INVENTARIO_ERP, CONTEOS_FISICOS)}

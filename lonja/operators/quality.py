@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lonja.contracts import Fuente
-from lonja.operators.conform import DEVOLUCION, RECHAZO, VALIDA, falta
+from lonja.operators.conform import DEVOLUCION, RECHAZO, VALIDA, falta, reglas
 
 
 def log_quality(
@@ -78,6 +78,23 @@ def calidad_fuente(clasificado: DataFrame, fuente: Fuente) -> DataFrame:
     return filas_calidad(medido.withColumn("tabla", F.lit(fuente.tabla)))
 
 
+def frecuencia_motivos(clasificado: DataFrame, fuente: Fuente) -> DataFrame:
+    """How often each rule of a feed is broken: `motivo`, `filas`, `proporcion` of all rows. One pass."""
+    nombres = reglas(fuente)
+    medido = clasificado.agg(
+        F.count(F.lit(1)).alias("total"), *[F.count_if(falta(fuente, r)).alias(r) for r in nombres]
+    )
+    filas = [
+        F.struct(
+            F.lit(r).alias("motivo"),
+            F.col(f"`{r}`").alias("filas"),
+            F.try_divide(F.col(f"`{r}`"), F.col("total")).alias("proporcion"),
+        )
+        for r in nombres
+    ]
+    return medido.select(F.inline(F.array(*filas)))
+
+
 def duplicados(df: DataFrame, llave: list[str]) -> DataFrame:
     """How many keys occur how many times: `copias`, `llaves`, `filas`."""
     por_llave = df.groupBy(*llave).agg(F.count(F.lit(1)).alias("copias"))

@@ -21,6 +21,7 @@ from lonja.contracts import (
     VENTAS_ECOMMERCE,
     VENTAS_TIENDAS,
 )
+from lonja.operators import quality
 from lonja.operators.conform import clasificar, mask_pii, rechazar_vacios, validar_no_vacios, validas
 from lonja.operators.quality import calidad_fuente, duplicados, log_quality
 from lonja.plans import gold, silver
@@ -188,6 +189,12 @@ def duplicados_fuente(spark, sf_dir):
     return duplicados(feeds.ventas_tiendas(spark, sf_dir), ["id_transaccion"])
 
 
+@consulta
+def frecuencia_motivos(spark, sf_dir):
+    """How often each rule is broken in the store feed."""
+    return quality.frecuencia_motivos(clasificar(feeds.ventas_tiendas(spark, sf_dir), VENTAS_TIENDAS), VENTAS_TIENDAS)
+
+
 # --- landing, writing, reading back ----------------------------------------------------------------
 
 

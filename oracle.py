@@ -163,6 +163,25 @@ def _calidad() -> str:
     return " UNION ALL ".join(partes)
 
 
+def _frecuencias() -> str:
+    condiciones = {
+        "registro_corrupto": "false",
+        "vacio:venta_id": "venta_id IS NULL OR trim(venta_id) = ''",
+        "vacio:sku": "sin_sku",
+        "vacio:tienda_id": "sin_tienda",
+        "monto_no_positivo": "monto_total <= 0",
+        "cantidad_no_positiva": "cantidad <= 0",
+    }
+    for c in ("cantidad", "precio_unitario", "monto_total", "vendido_en"):
+        condiciones[f"tipo:{c}"] = "false"  # every value of the mapped feed is readable
+        condiciones[f"nulo:{c}"] = f"{c} IS NULL"
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS motivo, count(*) FILTER ({c}) AS filas, "
+        f"count(*) FILTER ({c}) / CAST(count(*) AS DOUBLE) AS proporcion FROM pos_t"
+        for m, c in condiciones.items()
+    )
+
+
 CONSOLIDADAS = f"SELECT canal, fecha, {SUMA} FROM con_fecha GROUP BY canal, fecha"
 ECOMMERCE = f"SELECT {CANONICAS} FROM ventas WHERE canal = 'ecommerce'"
 
@@ -215,6 +234,7 @@ SELECT 'ventas' AS tabla, 'silver_clean' AS etapa, count(*) AS total,
     "duplicados_fuente": """
 SELECT copias, count(*) AS llaves, CAST(sum(copias) AS BIGINT) AS filas
 FROM (SELECT count(*) AS copias FROM pos GROUP BY id_transaccion) GROUP BY copias""",
+    "frecuencia_motivos": _frecuencias(),
     "bronze_por_fecha": """
 SELECT CAST(date_trunc('year', fecha_hora_venta) AS DATE) AS fecha, count(*) AS filas,
        CAST(sum(CAST(total AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total FROM pos GROUP BY 1""",
