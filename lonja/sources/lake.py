@@ -42,15 +42,14 @@ def escribir_silver(
         valores["hour"] = hora
     columna, clases = por_clase or (None, [None])
     particiones = ([columna] if columna else []) + list(valores)
-    salida = df.withColumns({c: F.lit(v) for c, v in valores.items()})
-    if compactar:
-        salida = salida.hint("rebalance", *([columna] if columna else []))
+    salida = df.hint("rebalance", *([columna] if columna else [])) if compactar else df
     # On top of the plan, hence in the writing stage, where a retried task is counted once.
     medida = Observation(f"filas_{tabla}")
     cuentas = [
         F.count_if(F.col(columna) == v).alias(v) if columna else F.count(F.lit(1)).alias("filas") for v in clases
     ]
-    salida = salida.observe(medida, *cuentas)
+    # The constants come last: Spark then sees that no sort by them is needed before the write.
+    salida = salida.observe(medida, *cuentas).withColumns({c: F.lit(v) for c, v in valores.items()})
     (
         salida.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
