@@ -14,6 +14,7 @@ from lonja.operators.quality import log_quality
 from lonja.plans.gold import procesar_gold, ventas_consolidadas
 from lonja.plans.silver import (
     procesar_silver,
+    reprocesar,
     transformar,
     transformar_inventario,
     transformar_ventas_ecommerce,
@@ -40,6 +41,7 @@ __all__ = [
     "procesar_gold",
     "procesar_silver",
     "rechazar_vacios",
+    "reprocesar",
     "transformar",
     "transformar_inventario",
     "transformar_ventas_ecommerce",

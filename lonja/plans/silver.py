@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date, datetime, timezone
 from functools import reduce
 
@@ -140,3 +140,10 @@ def procesar_silver(
     informe = informe.withColumn("_procesado_en", F.lit(run_ts).cast("timestamp"))
     filas["calidad"] = escribir_silver(informe, "calidad", silver, run_date, hora=hora)
     return filas
+
+
+def reprocesar(
+    spark: SparkSession, bronze: str, silver: str, fechas: Iterable[date | str], **opciones
+) -> dict[str, dict[str, int]]:
+    """Run past dates again from the untouched Bronze, oldest first; rows written per date and table."""
+    return {str(f): procesar_silver(spark, bronze, silver, f, **opciones) for f in sorted(fechas)}
