@@ -8,9 +8,10 @@ lost: `separar_tardias` routes them to their own table, and the micro-batch reco
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,15 +64,31 @@ def totales_en_flujo(ventas: DataFrame) -> DataFrame:
     return con_fecha(ventas).groupBy("canal", "fecha").agg(F.sum("monto_total").cast(MONTO).alias("ventas_totales"))
 
 
+@contextmanager
+def _sin_lotes_vacios(spark: SparkSession):
+    """No extra batch just to clean state up after the last data: the next run's first batch does it.
+
+    A query copies the session's settings when it starts, so they are put back right after.
+    """
+    clave = "spark.sql.streaming.noDataMicroBatches.enabled"
+    previo = spark.conf.get(clave)
+    spark.conf.set(clave, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(clave, previo)
+
+
 def escribir_anexo(flujo: DataFrame, ruta: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to Parquet exactly once, taking what is available."""
-    return (
-        flujo.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(ruta)
-    )
+    with _sin_lotes_vacios(flujo.sparkSession):
+        return (
+            flujo.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(ruta)
+        )
 
 
 def escribir_totales(totales: DataFrame, ruta: str, checkpoint: str) -> StreamingQuery:
@@ -80,13 +97,14 @@ def escribir_totales(totales: DataFrame, ruta: str, checkpoint: str) -> Streamin
     def lote(df: DataFrame, _: int) -> None:
         df.write.mode("overwrite").parquet(ruta)
 
-    return (
-        totales.writeStream.foreachBatch(lote)
-        .outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with _sin_lotes_vacios(totales.sparkSession):
+        return (
+            totales.writeStream.foreachBatch(lote)
+            .outputMode("complete")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def tardias_descartadas(consulta: StreamingQuery) -> int:
