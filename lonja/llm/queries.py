@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from lonja.llm.lempel_ziv import OP1_SQL, op1_lempel_ziv_dedup
 from lonja.llm.perspectives import OP2_SQL, op2_perspective_rotation
 from lonja.llm.prefix_bpe import op9_prefix_bpe
 from lonja.llm.ring import op5_bounded_ring
 from lonja.llm.token_counts import op10_token_counts
 
 QUERIES = {
+    "op1_lempel_ziv_dedup": op1_lempel_ziv_dedup,
     "op2_perspective_rotation": op2_perspective_rotation,
     "op5_bounded_ring": op5_bounded_ring,
     "op9_prefix_bpe": op9_prefix_bpe,
     "op10_token_counts": op10_token_counts,
 }
 
-SQL = {"op2_perspective_rotation": OP2_SQL}
+SQL = {
+    "op1_lempel_ziv_dedup": OP1_SQL,
+    "op2_perspective_rotation": OP2_SQL,
+}
