@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lonja.llm.common import partitions, ship, table, written
+from lonja.llm.common import grouped, ship, table, written
 from lonja.llm.components import components
 from lonja.llm.lempel_ziv import Runs, mix
 
@@ -192,39 +192,6 @@ def _blocks(rows: DataFrame, blocks: str, *group: str) -> DataFrame:
     return many.select(*group, *pair, *[c for c in rows.columns if c not in (*group, blocks)])
 
 
-def grouped(rows: DataFrame, keys: list[str], work: Callable, schema: str) -> DataFrame:
-    """Runs `work(pa.Table)` on every group of rows with equal `keys`, as a stream sorted by them.
-
-    Groups of one row are dropped. Neighbouring groups of a batch go to `work` one by one without a copy.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush():
-            if sum(b.num_rows for b in held) > 1:
-                yield from work(pa.Table.from_batches(held))
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = np.zeros(batch.num_rows, bool)
-            new[0] = not held or any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in keys)
-            for k in keys:
-                c = batch.column(k).to_numpy(zero_copy_only=False)
-                new[1:] |= c[1:] != c[:-1]
-            heads = np.append(np.flatnonzero(new), batch.num_rows)
-            if heads[0]:
-                held.append(batch.slice(0, heads[0]))
-            for lo, hi in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-                yield from flush()
-                held = [batch.slice(lo, hi - lo)]
-        yield from flush()
-
-    dealt = rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, schema)
-
-
 def _edges(node: np.ndarray, found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
     if found:
         i, root = np.array(found).T
@@ -257,7 +224,7 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
     blocks = F.ceil(F.col("count") / BUCKET_BLOCK)
     joined = entries.join(shared, "key").withColumn("blocks", F.when(blocks > 1, blocks + 1).otherwise(1).cast("int"))
     rows = _blocks(joined.drop("count"), "blocks", "key")
-    return grouped(rows, ["key", "block_a", "block_b"], work, "u long, v long").distinct()
+    return grouped(rows, ["key", "block_a", "block_b"], work, "u long, v long", least=2).distinct()
 
 
 def confirmed_edges(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -279,7 +246,7 @@ def confirmed_edges(members: DataFrame, docs: DataFrame, size: int, percent: int
     null_safe = docs["doc_id"].eqNullSafe(members["doc_id"]) & (docs["crc"] == members["crc"])
     texts = docs.join(members, null_safe).select("cluster", "node", "blocks", "text")
     rows = _blocks(texts.mapInArrow(sets, schema), "blocks", "cluster")
-    return grouped(rows, ["cluster", "block_a", "block_b"], work, "u long, v long")
+    return grouped(rows, ["cluster", "block_a", "block_b"], work, "u long, v long", least=2)
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:

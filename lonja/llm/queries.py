@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lonja.llm.bbit_minhash import near_duplicates_sql, op4_bbit_minhash
+from lonja.llm.bm25_packing import op3_bm25_packing
 from lonja.llm.lempel_ziv import OP1_SQL, op1_lempel_ziv_dedup
 from lonja.llm.perspectives import OP2_SQL, op2_perspective_rotation
 from lonja.llm.prefix_bpe import op9_prefix_bpe
@@ -12,6 +13,7 @@ from lonja.llm.token_counts import op10_token_counts
 QUERIES = {
     "op1_lempel_ziv_dedup": op1_lempel_ziv_dedup,
     "op2_perspective_rotation": op2_perspective_rotation,
+    "op3_bm25_packing": op3_bm25_packing,
     "op4_bbit_minhash": op4_bbit_minhash,
     "op5_bounded_ring": op5_bounded_ring,
     "op9_prefix_bpe": op9_prefix_bpe,
