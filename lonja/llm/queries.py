@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from lonja.llm.bbit_minhash import near_duplicates_sql, op4_bbit_minhash
 from lonja.llm.bm25_packing import op3_bm25_packing
+from lonja.llm.hnsw import op6_hnsw
 from lonja.llm.lempel_ziv import OP1_SQL, op1_lempel_ziv_dedup
+from lonja.llm.mtree import OP7_SQL, op7_mtree
 from lonja.llm.perspectives import OP2_SQL, op2_perspective_rotation
 from lonja.llm.prefix_bpe import op9_prefix_bpe
 from lonja.llm.ring import op5_bounded_ring
@@ -16,6 +18,8 @@ QUERIES = {
     "op3_bm25_packing": op3_bm25_packing,
     "op4_bbit_minhash": op4_bbit_minhash,
     "op5_bounded_ring": op5_bounded_ring,
+    "op6_hnsw": op6_hnsw,
+    "op7_mtree": op7_mtree,
     "op9_prefix_bpe": op9_prefix_bpe,
     "op10_token_counts": op10_token_counts,
 }
@@ -24,4 +28,5 @@ SQL = {
     "op1_lempel_ziv_dedup": OP1_SQL,
     "op2_perspective_rotation": OP2_SQL,
     "op4_bbit_minhash": near_duplicates_sql(2),
+    "op7_mtree": OP7_SQL,
 }
