@@ -33,6 +33,7 @@ DEVIATIONS = 5.5
 CHUNK_WORDS = 40_000
 BUCKET_BLOCK = 8192
 CLUSTER_BLOCK = 4_000_000
+NO_ID = -(1 << 63)
 
 _rng = np.random.default_rng(20_240_601)
 FACTORS = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -250,7 +251,7 @@ def confirmed_edges(members: DataFrame, docs: DataFrame, size: int, percent: int
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """One row per row of `docs` (doc_id, text): doc_id, text_crc32, n_shingles, component_id, kept.
 
     Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id is the
     smallest doc_id reachable over links, `kept` whether it is the row's own. Fewer words than `shingle` make
@@ -281,15 +282,29 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     named = roots.join(lowest, "root").select("node", "component_id")
     by_digest = nodes.select("digest", "node", F.col("doc_id").alias("first_id")).join(named, "node", "left")
     by_digest = by_digest.select("digest", F.coalesce("component_id", "first_id").alias("component_id"))
-    out = sketches.select("doc_id", "n", "digest").join(by_digest, "digest", "left")
+    out = sketches.select("doc_id", "crc", "n", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    n = F.col("n").alias("n_shingles")
+    out = out.select("doc_id", F.col("crc").alias("text_crc32"), n, component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, with all their columns, that stand for their group: the smallest doc_id of each.
+
+    Rows equal in doc_id and text are one document, of which one row stays. A document with an empty set is a
+    group of its own.
+    """
+    found = near_duplicates(docs, shingle=shingle, percent=percent).where("kept")
+    keep = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_crc32").alias("crc")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"))
+    rows = rows.withColumn("crc", F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")))
+    return rows.join(keep, ["id", "crc"]).dropDuplicates(["id", "crc"]).select("row.*")
+
+
 def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by 2-word shingles at 0.8."""
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2).drop("text_crc32")
 
 
 def near_duplicates_sql(shingle: int, documents: str = "documents") -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import written
+from lonja.llm.common import discard, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -43,7 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(ordered.distinct(), "edges")
     before, state = None, mark(now)
     while state != before and state[0]:
-        now = written(_stars(_stars(now, large=True), large=False), "edges")
+        last, now = now, written(_stars(_stars(now, large=True), large=False), "edges")
+        discard(last)
         before, state = state, mark(now)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -19,7 +19,7 @@ at a time, and equal pieces of a batch are combined before the shuffle, so frequ
 
 from __future__ import annotations
 
-import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -249,12 +249,16 @@ def match_blocks(index: DataFrame) -> DataFrame:
     return blocks.sortWithinPartitions("kind", "anchor", "piece", "doc", "at").mapInArrow(run, FOUND_SCHEMA)
 
 
-def prepared(docs: DataFrame) -> DataFrame:
-    """(doc, crc, text): a null doc_id comes before all others, a null text has no words."""
+def prepared_columns() -> list:
+    """doc, crc and text: a null doc_id comes before all others, a null text has no words."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc")
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return docs.select(doc, crc.bitwiseAND(0xFFFFFF).alias("crc"), text)
+    return [doc, crc.bitwiseAND(0xFFFFFF).alias("crc"), text]
+
+
+def prepared(docs: DataFrame) -> DataFrame:
+    return docs.select(*prepared_columns())
 
 
 def _of_rows(found: DataFrame) -> DataFrame:
@@ -288,50 +292,82 @@ def greedy_factors(hits: list[tuple[int, int, int]], window: int) -> list[tuple[
     return [tuple(x) for x in out]
 
 
+def _parsed(rows: DataFrame, window: int, extra: str = "") -> DataFrame:
+    """Parses rows (doc, text, hits, and one `extra` column that is passed on)."""
+    factor = pa.struct([(n, pa.int64()) for n in ("start", "words", "src_doc", "src_start")])
+    schema = (
+        "doc long, factors array<struct<start:long,words:long,src_doc:long,src_start:long>>, "
+        "kept_words string, kept_text string, n_words long, n_removed long"
+    )
+    names = ["doc", "factors", "kept_words", "kept_text", "n_words", "n_removed"]
+
+    def one(text: str, hits: list[dict] | None) -> tuple:
+        factors = greedy_factors([tuple(h.values()) for h in hits or []], window)
+        words = split_words(text)
+        if not factors:
+            return [], " ".join(w.decode() for w in words), text, len(words), 0
+        keep = np.ones(len(words), bool)
+        for start, n, _, _ in factors:
+            keep[start : start + n] = False
+        kept = keep.tolist()
+        left = b" ".join([w for w, k in zip(words, kept, strict=True) if k]).decode()
+        spaced = re.findall(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", text.encode())
+        cut = b"".join([w for w, k in zip(spaced, kept, strict=True) if k]).decode()
+        factors = [dict(zip(("start", "words", "src_doc", "src_start"), f, strict=True)) for f in factors]
+        return factors, left, cut, len(words), len(words) - sum(kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            texts, hits = batch.column("text").to_pylist(), batch.column("hits").to_pylist()
+            cols = map(list, zip(*map(one, texts, hits), strict=True))
+            kinds = [pa.list_(factor), pa.string(), pa.string(), pa.int64(), pa.int64()]
+            arrays = [batch.column("doc"), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]]
+            more = [batch.column(extra)] if extra else []
+            yield pa.RecordBatch.from_arrays(arrays + more, names + [extra] * len(more))
+
+    if extra:
+        schema += f", {extra} {rows.schema[extra].dataType.simpleString()}"
+    return rows.mapInArrow(run, schema)
+
+
+def _with_hits(rows: DataFrame, base: DataFrame, window: int, anchor: int) -> DataFrame:
+    """`rows` with the copies found for their doc and crc among the documents `base`."""
+    found = copies(base, window=window, anchor=anchor)
+    per_row = found.groupBy("doc", "crc").agg(F.collect_list(F.struct("at", "src_doc", "src_start")).alias("hits"))
+    return rows.join(per_row, ["doc", "crc"], "left").drop("crc")
+
+
 def parse(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """`docs` (doc_id, text) to one row per row: doc_id, text, factors, kept_words, n_words, n_removed.
+    """`docs` (doc_id, text) to one row per row: doc_id, factors, kept_words, kept_text, n_words, n_removed.
 
     `factors`: array of (start, words, src_doc, src_start) in words; `kept_words`: the words outside of all
-    factors, joined by one space. Rows with equal doc_id are ranked equally: neither is earlier. Documents
-    under `window` words, empty and null texts have no factor; all rows of an empty table give none.
+    factors, joined by one space; `kept_text`: the text without the other words and the blanks before them.
+    Rows with equal doc_id are ranked equally: neither is earlier. Documents under `window` words, empty and
+    null texts have no factor; an empty table gives no rows. Other columns are ignored.
     """
     base = prepared(docs)
-    found = copies(base, window=window, anchor=anchor)
-    per_row = found.groupBy("doc", "crc").agg(F.collect_list(F.struct("at", "src_doc", "src_start")).alias("hits"))
-    rows = base.join(per_row, ["doc", "crc"], "left")
-    factor = pa.struct([(n, pa.int64()) for n in ("start", "words", "src_doc", "src_start")])
+    parsed = _parsed(_with_hits(base, base, window, anchor), window)
+    return parsed.withColumn("doc", F.nullif("doc", F.lit(FIRST_ID))).withColumnRenamed("doc", "doc_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, hits in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist(), strict=True):
-                words = split_words(text)
-                factors = greedy_factors([tuple(h.values()) for h in hits or []], window)
-                keep = np.ones(len(words), bool)
-                for start, n, _, _ in factors:
-                    keep[start : start + n] = False
-                kept = b" ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k]).decode()
-                factors = [dict(zip(("start", "words", "src_doc", "src_start"), f, strict=True)) for f in factors]
-                out.append((text, factors, kept, len(words), len(words) - int(keep.sum())))
-            text, factors, kept, n, removed = map(list, zip(*out, strict=True)) if out else ([],) * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"),
-                    pa.array(text, pa.string()),
-                    pa.array(factors, pa.list_(factor)),
-                    pa.array(kept, pa.string()),
-                    pa.array(n, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                ],
-                ["doc_id", "text", "factors", "kept_words", "n_words", "n_removed"],
-            )
 
-    schema = (
-        "doc_id long, text string, factors array<struct<start:long,words:long,src_doc:long,src_start:long>>, "
-        "kept_words string, n_words long, n_removed long"
-    )
-    parsed = rows.select("doc", "text", "hits").mapInArrow(run, schema)
-    return parsed.withColumn("doc_id", F.nullif("doc_id", F.lit(FIRST_ID)))
+def cut_copies(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """`docs` with all rows and columns, texts without their factors and `n_chars`, if there, counted again.
+
+    A text that has no factor stays as it is, null included; one that is all copies becomes empty.
+    """
+    base = prepared(docs)
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "doc_id", "text")
+    keyed = rows.select("row", F.col("text").isNull().alias("no_text"), *prepared_columns())
+    keyed = keyed.withColumn("row", F.struct("row", "no_text")).drop("no_text")
+    parsed = _parsed(_with_hits(keyed, base, window, anchor), window, "row")
+    text = F.when(F.col("row.no_text") & (F.col("n_words") == 0), F.lit(None)).otherwise(F.col("kept_text"))
+    columns = [text.alias("text") if c == "text" else F.col(f"row.row.`{c}`") for c in docs.columns]
+    if "n_chars" in docs.columns:
+        n = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("row.row.n_chars"))
+        columns[docs.columns.index("n_chars")] = n.cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return parsed.select(*columns)
 
 
 def op1_lempel_ziv_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lonja.llm.bbit_minhash import near_duplicates_sql, op4_bbit_minhash
 from lonja.llm.bm25_packing import op3_bm25_packing
+from lonja.llm.cotraining import op8_cotraining
 from lonja.llm.hnsw import op6_hnsw
 from lonja.llm.lempel_ziv import OP1_SQL, op1_lempel_ziv_dedup
 from lonja.llm.mtree import OP7_SQL, op7_mtree
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_bounded_ring": op5_bounded_ring,
     "op6_hnsw": op6_hnsw,
     "op7_mtree": op7_mtree,
+    "op8_cotraining": op8_cotraining,
     "op9_prefix_bpe": op9_prefix_bpe,
     "op10_token_counts": op10_token_counts,
 }
