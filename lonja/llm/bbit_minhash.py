@@ -216,6 +216,7 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
             )
 
     def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        group = group.sort_by("node")  # so that the smallest node is the root
         node = group.column("node").to_numpy()
         lanes = np.frombuffer(b"".join(group.column("lanes").to_pylist()), np.uint64).reshape(len(node), -1)
         yield from _edges(node, reach(len(node), lambda i, rest: estimate(lanes[i], lanes[rest]) >= least))
@@ -229,7 +230,10 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def confirmed_edges(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links on full sets within clusters; `members` (node, doc_id, crc, cluster, blocks)."""
+    """Members linked on full sets within clusters, as (u, v, blocks) with v standing for the reached ones.
+
+    `members`: (node, doc_id, crc, cluster, blocks). Where blocks is 1 the cluster was searched as a whole.
+    """
     schema = "cluster long, node long, blocks int, shingles binary"
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,13 +245,17 @@ def confirmed_edges(members: DataFrame, docs: DataFrame, size: int, percent: int
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(found, pa.binary())], [c.split()[0] for c in schema.split(", ")])
 
     def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        group = group.sort_by("node")
         found = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
-        yield from _edges(group.column("node").to_numpy(), linked_sets(found, percent))
+        for edges in _edges(group.column("node").to_numpy(), linked_sets(found, percent)):
+            yield edges.append_column("parts", group.column("parts").slice(0, 1).take([0] * len(edges)).combine_chunks())
 
     null_safe = docs["doc_id"].eqNullSafe(members["doc_id"]) & (docs["crc"] == members["crc"])
-    texts = docs.join(members, null_safe).select("cluster", "node", "blocks", "text")
-    rows = _blocks(texts.mapInArrow(sets, schema), "blocks", "cluster")
-    return grouped(rows, ["cluster", "block_a", "block_b"], work, "u long, v long", least=2)
+    # by shuffle at every size: whether the members are few enough to broadcast depends on the corpus
+    texts = docs.join(members.hint("merge"), null_safe).select("cluster", "node", "blocks", "text")
+    full = texts.mapInArrow(sets, schema).withColumn("parts", F.col("blocks"))
+    rows = _blocks(full, "blocks", "cluster")
+    return grouped(rows, ["cluster", "block_a", "block_b"], work, "u long, v long, parts int", least=2)
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -276,7 +284,11 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     blocks = F.when(F.col("blocks") > 1, F.col("blocks") + 1).otherwise(1).cast("int")
     members = members.join(volume.select("root", blocks.alias("blocks")), "root")
     members = written(members.select("node", "doc_id", "crc", F.col("root").alias("cluster"), "blocks"), "minhash-members")
-    linked = components(confirmed_edges(members, base, shingle, percent))
+    links = written(confirmed_edges(members, base, shingle, percent), "minhash-links")
+    whole = links.where("parts = 1")
+    linked = whole.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    linked = linked.unionByName(whole.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    linked = linked.unionByName(components(links.where("parts > 1").select("u", "v")))
     roots = nodes.select("node", "doc_id").join(linked, "node")
     lowest = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = roots.join(lowest, "root").select("node", "component_id")

@@ -28,23 +28,24 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: every node has one smaller neighbour or none, and that one has none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return roles.where("up > 1 OR (up = 1 AND least = 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node with an edge, root being the smallest node it is connected with.
 
     `edges` has long columns u and v in any direction; loops and repeated edges are allowed. Each round is
-    written to the shared folder. The rounds end when one changes nothing, which a count and a sum tell.
+    written to the shared folder, and the rounds end when the edges are stars.
     """
-
-    def mark(df: DataFrame) -> tuple:
-        h = F.xxhash64("u", "v").cast("decimal(38,0)")
-        return tuple(df.agg(F.count("*"), F.sum(h)).first())
-
     ordered = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now = written(ordered.distinct(), "edges")
-    before, state = None, mark(now)
-    while state != before and state[0]:
+    while not _settled(now):
         last, now = now, written(_stars(_stars(now, large=True), large=False), "edges")
         discard(last)
-        before, state = state, mark(now)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
