@@ -231,7 +231,7 @@ def cotrain(labelled: list[tuple], y: np.ndarray, pool: list[tuple]) -> Model |
     """`labelled` and `pool`: (word features, (values, layout)) of documents; y: 1 for bad. None if y is all one."""
     if len(y) < 8 or not 0 < y.mean() < 1:
         return None
-    held = np.arange(len(y)) % 4 == 3  # for calibration
+    held = np.random.default_rng(len(y)).permutation(len(y)) % 4 == 3  # for calibration
     if not 0 < y[held].mean() < 1 or not 0 < y[~held].mean() < 1:
         held[:] = False
     learn = [(*labelled[i], y[i]) for i in np.flatnonzero(~held)]

@@ -51,11 +51,10 @@ def distinct_vectors(ids: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def smallest_ids(entry: int, ids: np.ndarray, ends: np.ndarray, k: int, but: int) -> list[int]:
     """The k smallest ids of an entry other than the query's."""
-    lo = ends[entry - 1] if entry else 0
-    mine = ids[lo : min(lo + k + 1, ends[entry])]
-    if len(mine) and mine[-1] == but:  # repeated ids: look further
-        mine = ids[lo : ends[entry]]
-    return mine[mine != but][:k].tolist()
+    mine = ids[ends[entry - 1] if entry else 0 : ends[entry]]
+    lo, hi = np.searchsorted(mine, but, "left"), np.searchsorted(mine, but, "right")
+    head = mine[: min(k, lo)]
+    return head.tolist() + mine[hi : hi + k - len(head)].tolist()
 
 
 def build_index(rows: DataFrame, build: Callable, fields: str, shards: int) -> DataFrame:
