@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil
@@ -28,7 +29,11 @@ WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, ROW_COST = 2_000_000, 64
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
-CACHED_WORDS, LONG_WORD = 250_000, 64
+CACHED_WORDS, CACHED_PARTS, LONG_WORD = 1_200_000, 900_000, 64
+# fixed values: ASCII punctuation but the apostrophe; the first letter outside of Latin letters that keep their
+# form under NFC and lower-casing; the one among them that doesn't
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+BEYOND_LATIN, DOTTED = "\u0250", "\u0130"
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -36,10 +41,12 @@ PIECES = (
 
 
 class WordEncoder:
-    """Ids of a text from the ids of its words, for tokenizers that never join across white space.
+    """Ids of a text from the ids of its words, for tokenizers that lower case and never join across white space.
 
-    Words are cut at ASCII white space, which such a tokenizer drops; each distinct word is encoded by the
-    library. Two generations of words are remembered.
+    Words are cut at ASCII white space, which such a tokenizer drops, and A-Z is lower-cased beforehand, so that
+    fewer are different. Each distinct word is encoded by the library and remembered, up to a bound. A word of
+    Latin letters with ASCII punctuation behind it is encoded in these two parts, between which the tokenizer
+    cuts as well; one with an apostrophe is not, as that may begin an ending like 's.
     """
 
     def __init__(self, path: str):
@@ -50,23 +57,46 @@ class WordEncoder:
         self.model.no_truncation()
         self.model.no_padding()
         self.kind = "<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4"
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        todo = [w for w in words if w not in self.old]
-        found = {w: self.old[w] for w in words if w in self.old}
-        coded = self.model.encode_batch_fast([w.decode() for w in todo], add_special_tokens=False)
-        found |= {w: np.array(c.ids, self.kind).tobytes() for w, c in zip(todo, coded, strict=True)}
-        if len(self.new) > CACHED_WORDS:
-            self.new, self.old = {}, self.new
-        self.new |= {w: ids for w, ids in found.items() if len(w) <= LONG_WORD}
-        return found
+        self.code = {"<u2": "H", "<u4": "I"}[self.kind]
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Adds the ids of words that aren't known."""
+        cuts = []
+        for word in map(bytes.decode, words):
+            core = word.rstrip(PUNCTUATION)
+            whole = core == word or not core.isalpha() or max(core) >= BEYOND_LATIN or DOTTED in core
+            cuts.append((word, "") if whole else (core, word[len(core) :]))
+        if len(self.parts) > CACHED_PARTS:
+            self.parts.clear()
+        parts, code = self.parts, self.code
+        new = [p for p in {p for cut in cuts for p in cut} if p not in parts]
+        for part, coded in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            parts[part] = array(code, coded.ids).tobytes()
+        for word, (a, b) in zip(words, cuts, strict=True):
+            self.words[word] = parts[a] + parts[b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split, known = [t.encode().split() for t in texts], self.new
-        fresh = self._learn({w for words in split for w in words if w not in known})
-        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
+        split = []
+        for text in texts:
+            data = text.encode()
+            # special tokens are in lower case, and must be so in the text
+            split.append((data if b"<|" in data else data.lower()).split())
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        known = self.words
+        found = [list(map(known.get, words)) for words in split]
+        new = list({w for words, ids in zip(split, found, strict=True) for w, i in zip(words, ids, strict=True) if i is None})
+        if new:
+            self._learn(new)
+            for words, ids in zip(split, found, strict=True):
+                if None in ids:
+                    ids[:] = [known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+        for word in new:
+            if len(word) > LONG_WORD:
+                del known[word]
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=2)
