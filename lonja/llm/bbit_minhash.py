@@ -229,33 +229,60 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
     return grouped(rows, ["key", "block_a", "block_b"], work, "u long, v long", least=2).distinct()
 
 
-def confirmed_edges(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Members linked on full sets within clusters, as (u, v, blocks) with v standing for the reached ones.
+def confirmed_groups(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Members linked on full sets within clusters: (u, v, digest, low, parts), v standing for the reached ones.
 
-    `members`: (node, doc_id, crc, cluster, blocks). Where blocks is 1 the cluster was searched as a whole.
+    `members`: (node, digest, doc_id, crc, cluster, blocks). `low` is the smallest doc_id that the search
+    reached. Where `parts` is 1 the cluster was searched as a whole, so that is the component's.
     """
-    schema = "cluster long, node long, blocks int, shingles binary"
+    schema = "cluster long, node long, doc_id long, digest binary, blocks int, shingles binary"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 here = batch.slice(lo, 256)
                 found = [s.tobytes() for s in shingle_sets(here.column("text").to_pylist(), size)]
-                cols = [here.column(c) for c in ("cluster", "node", "blocks")]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(found, pa.binary())], [c.split()[0] for c in schema.split(", ")])
+                yield pa.RecordBatch.from_arrays([*[here.column(c) for c in names[:-1]], pa.array(found, pa.binary())], names)
 
     def work(group: pa.Table) -> Iterator[pa.RecordBatch]:
         group = group.sort_by("node")
-        found = [np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()]
-        for edges in _edges(group.column("node").to_numpy(), linked_sets(found, percent)):
-            yield edges.append_column("parts", group.column("parts").slice(0, 1).take([0] * len(edges)).combine_chunks())
+        found = linked_sets([np.frombuffer(s, np.uint64) for s in group.column("shingles").to_pylist()], percent)
+        if not found:
+            return
+        node, digest, ids = (group.column(c).to_pylist() for c in ("node", "digest", "doc_id"))
+        root = dict(found)
+        root |= {r: r for r in root.values()}
+        low: dict[int, int] = {}
+        for i, r in root.items():
+            if ids[i] is not None:
+                low[r] = min(ids[i], low.get(r, ids[i]))
+        rows = [(node[i], node[r], digest[i], low.get(r), group.column("parts")[0].as_py()) for i, r in root.items()]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32()]
+        arrays = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, ["u", "v", "digest", "low", "parts"])
 
     null_safe = docs["doc_id"].eqNullSafe(members["doc_id"]) & (docs["crc"] == members["crc"])
     # by shuffle at every size: whether the members are few enough to broadcast depends on the corpus
-    texts = docs.join(members.hint("merge"), null_safe).select("cluster", "node", "blocks", "text")
+    texts = docs.join(members.hint("merge"), null_safe).select(
+        "cluster", "node", members["doc_id"], "digest", "blocks", "text"
+    )
     full = texts.mapInArrow(sets, schema).withColumn("parts", F.col("blocks"))
     rows = _blocks(full, "blocks", "cluster")
-    return grouped(rows, ["cluster", "block_a", "block_b"], work, "u long, v long, parts int", least=2)
+    schema = "u long, v long, digest binary, low long, parts int"
+    return grouped(rows, ["cluster", "block_a", "block_b"], work, schema, least=2)
+
+
+def _lowest_ids(links: DataFrame) -> DataFrame:
+    """(digest, component_id) of linked nodes. Clusters that were searched in parts are put together first."""
+    whole = links.where("parts = 1").select("digest", F.col("low").alias("component_id"))
+    parts = links.where("parts > 1")
+    if parts.isEmpty():
+        return whole
+    linked = components(parts.select("u", "v"))
+    named = parts.select("u", "digest", "low").join(linked, F.col("u") == F.col("node"))
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    return whole.unionByName(named.join(lowest, "root").select("digest", "component_id").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -279,20 +306,12 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     )
     nodes = written(nodes, "minhash-nodes")
     clusters = components(candidate_edges(nodes, percent / 100))
-    members = nodes.select("node", "doc_id", "crc", "n").join(clusters, "node")
+    members = nodes.select("node", "digest", "doc_id", "crc", "n").join(clusters, "node")
     volume = members.groupBy("root").agg(F.ceil(F.sum("n") / CLUSTER_BLOCK).alias("blocks"))
     blocks = F.when(F.col("blocks") > 1, F.col("blocks") + 1).otherwise(1).cast("int")
-    members = members.join(volume.select("root", blocks.alias("blocks")), "root")
-    members = written(members.select("node", "doc_id", "crc", F.col("root").alias("cluster"), "blocks"), "minhash-members")
-    links = written(confirmed_edges(members, base, shingle, percent), "minhash-links")
-    whole = links.where("parts = 1")
-    linked = whole.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    linked = linked.unionByName(whole.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-    linked = linked.unionByName(components(links.where("parts > 1").select("u", "v")))
-    roots = nodes.select("node", "doc_id").join(linked, "node")
-    lowest = roots.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = roots.join(lowest, "root").select("node", "component_id")
-    by_digest = nodes.select("digest", "node", F.col("doc_id").alias("first_id")).join(named, "node", "left")
+    members = members.join(volume.select("root", blocks.alias("blocks")), "root").withColumnRenamed("root", "cluster")
+    links = written(confirmed_groups(members, base, shingle, percent), "minhash-links")
+    by_digest = nodes.select("digest", F.col("doc_id").alias("first_id")).join(_lowest_ids(links), "digest", "left")
     by_digest = by_digest.select("digest", F.coalesce("component_id", "first_id").alias("component_id"))
     out = sketches.select("doc_id", "crc", "n", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

@@ -12,20 +12,19 @@ from pyspark.sql import functions as F
 from lonja.llm.common import discard, written
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """Edges (u > v). Large star: neighbours above u go to u's smallest; small star: those below and u itself."""
-    pairs = edges
-    if large:
-        pairs = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Of edges u > v: every node's larger neighbours are joined to the smallest of the node and its neighbours."""
+    pairs = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    joined = pairs.join(lowest, "u")
-    if large:
-        m = F.least("u", "m")
-        moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), m.alias("v"))
-    else:
-        moved = joined.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        moved = moved.unionByName(lowest.select("u", F.col("m").alias("v")))
-    return moved.distinct()
+    above = pairs.where("v > u").join(lowest, "u")
+    return above.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Of edges u > v: every node and its smaller neighbours are joined to the smallest of them."""
+    joined = edges.join(edges.groupBy("u").agg(F.min("v").alias("m")), "u")
+    u = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return joined.select(u.alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -45,7 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
     ordered = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now = written(ordered.distinct(), "edges")
     while not _settled(now):
-        last, now = now, written(_stars(_stars(now, large=True), large=False), "edges")
+        last, now = now, written(_small_star(_large_star(now)), "edges")
         discard(last)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
