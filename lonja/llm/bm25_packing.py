@@ -29,7 +29,7 @@ WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, ROW_COST = 2_000_000, 64
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
-CACHED_WORDS, CACHED_PARTS, LONG_WORD = 1_200_000, 900_000, 64
+CACHED_WORDS, CACHED_PARTS, LONG_WORD = 250_000, 200_000, 64
 # fixed values: ASCII punctuation but the apostrophe; the first letter outside of Latin letters that keep their
 # form under NFC and lower-casing; the one among them that doesn't
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"

@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from lonja.llm.common import ship, table
 
-SAMPLE, POOL, TEXT_BYTES = 6000, 4000, 1 << 16
+SAMPLE, POOL, TEXT_BYTES = 5000, 3000, 1 << 16
 WORD_FEATURES, LEAST_Z, LEAST_DOCS = 1500, 4.0, 3
 STARTS = (4, 5, 6, 7)
 ROUNDS, PER_ROUND = 3, 0.05
 SURE_BAD, SURE_GOOD = 0.95, 0.04
 REJECT = 0.5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 VIEWS = ("lang", "source", "n_chars")
 
 # classes of bytes: other symbols, lower, upper, digit, blank, line end, usual punctuation, beyond ASCII
@@ -288,8 +288,9 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, pool: int
     reader, mine = Reader(), {r["doc_id"] for r in rows}
 
     def views(r: dict) -> tuple:
-        words, different = reader.words(r["text"])
-        return reader.features(different), (r, layout(r["text"], words, len(different)))
+        text = r.pop("text")
+        words, different = reader.words(text)
+        return reader.features(different), (r, layout(text, words, len(different)))
 
     labelled = [views(r) for r in rows]
     return cotrain(labelled, np.array([r["bad"] for r in rows]), [views(r) for r in more if r["doc_id"] not in mine])
