@@ -160,22 +160,22 @@ def validas(df: DataFrame, fuente: Fuente, *, conservar: Sequence[str] = ()) ->
     return tipado.where(es_valida(tipado, fuente)).drop("_faltas", "_netas", "_corrupto")
 
 
-def devueltas(df: DataFrame, fuente: Fuente) -> DataFrame:
+def devueltas(df: DataFrame, fuente: Fuente, *, conservar: Sequence[str] = ()) -> DataFrame:
     """Returns of a raw feed, typed and classified."""
-    tipado = tipar(df, fuente)
+    tipado = tipar(df, fuente, conservar=conservar)
     return tipado.where(es_devolucion(tipado, fuente)).withColumn("_clase", F.lit(DEVOLUCION))
 
 
-def rechazadas(df: DataFrame, fuente: Fuente) -> DataFrame:
+def rechazadas(df: DataFrame, fuente: Fuente, *, conservar: Sequence[str] = ()) -> DataFrame:
     """Rejects of a raw feed, typed and classified."""
-    tipado = tipar(df, fuente)
+    tipado = tipar(df, fuente, conservar=conservar)
     mala = ~es_valida(tipado, fuente) & ~es_devolucion(tipado, fuente)
     return tipado.where(mala).withColumn("_clase", F.lit(RECHAZO))
 
 
-def clasificar(df: DataFrame, fuente: Fuente) -> DataFrame:
+def clasificar(df: DataFrame, fuente: Fuente, *, conservar: Sequence[str] = ()) -> DataFrame:
     """All rows of a raw feed, typed, each with its class and broken rules."""
-    tipado = tipar(df, fuente)
+    tipado = tipar(df, fuente, conservar=conservar)
     return tipado.withColumn("_clase", clase(tipado, fuente))
 
 

@@ -44,18 +44,21 @@ def metricas_crudas(fuente: Fuente) -> dict[str, Column]:
 
 
 def filas_calidad(metricas: DataFrame) -> DataFrame:
-    """Raw and clean metric rows per row of `tabla`, `metricas_crudas` and `unicas`.
+    """Raw and clean metric rows per row of `tabla`, `metricas_crudas`, `unicas` and `devueltas`.
 
-    Clean rows passed the checks for a present sku and a positive amount, so their NULL counts are 0
-    by construction.
+    `devueltas` counts returns once per key; their repeats are duplicates like those of sales, so that
+    total = clean + rejects + returns + duplicates. Clean rows passed the checks for a present sku and a
+    positive amount, so their NULL counts are 0 by construction. Other columns are kept.
     """
+    otras = [c for c in metricas.columns if c in ("fecha",)]
     cero = F.lit(0).cast("long")
     comunes = ["total", "nulos_sku", "nulos_monto", "rechazadas", "devoluciones", "duplicadas"]
     stock = ["stock_desconocido", "stock_negativo"]
     cruda = F.struct(
         F.lit("bronze_raw").alias("etapa"),
-        *[F.col(c) for c in comunes[:-1]],
-        (F.col("validas") - F.col("unicas")).alias("duplicadas"),
+        *[F.col(c) for c in comunes[:-2]],
+        F.col("devueltas").alias("devoluciones"),
+        (F.col("validas") - F.col("unicas") + F.col("devoluciones") - F.col("devueltas")).alias("duplicadas"),
         *stock,
     )
     limpia = F.struct(
@@ -63,18 +66,21 @@ def filas_calidad(metricas: DataFrame) -> DataFrame:
         F.col("unicas").alias("total"),
         *[cero.alias(c) for c in [*comunes[1:], *stock]],
     )
-    return metricas.select("tabla", F.inline(F.array(cruda, limpia)))
+    return metricas.select("tabla", *otras, F.inline(F.array(cruda, limpia)))
 
 
-def calidad_fuente(clasificado: DataFrame, fuente: Fuente) -> DataFrame:
-    """All metrics of one feed in one pass.
+def calidad_fuente(clasificado: DataFrame, fuente: Fuente, *, por: tuple[str, ...] = ()) -> DataFrame:
+    """All metrics of one feed in one pass, for each value of `por` if given.
 
-    Surviving rows are counted as distinct keys among valid rows, which Spark aggregates partially
-    before each exchange: no window, no second scan, and a hot key is one row per task.
+    Surviving rows are counted as distinct keys among valid rows and among returns, which Spark aggregates
+    partially before each exchange: no window, no second scan, and a hot key is one row per task.
     """
-    llave = F.when(F.col("_clase") == VALIDA, F.struct(*fuente.llave))
+    unicas = {
+        nombre: F.count_distinct(F.when(F.col("_clase") == clase, F.struct(*fuente.llave))).alias(nombre)
+        for nombre, clase in (("unicas", VALIDA), ("devueltas", DEVOLUCION))
+    }
     metricas = {n: c.alias(n) for n, c in metricas_crudas(fuente).items()}
-    medido = clasificado.agg(*metricas.values(), F.count_distinct(llave).alias("unicas"))
+    medido = clasificado.groupBy(*por).agg(*metricas.values(), *unicas.values())
     return filas_calidad(medido.withColumn("tabla", F.lit(fuente.tabla)))
 
 

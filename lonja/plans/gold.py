@@ -6,6 +6,7 @@ reconciliation rules are definitions of this package.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 from functools import reduce
 from operator import and_
@@ -13,11 +14,23 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lonja.contracts import ORDEN_VENTAS
 from lonja.functions import fecha_negocio
 from lonja.operators.dedup import deduplicar
-from lonja.sources.lake import escribir_silver, leer_silver
+from lonja.sources.lake import (
+    DIA,
+    borrar,
+    escribir_particiones,
+    escribir_silver,
+    leer_dias,
+    leer_silver,
+    rutas_existentes,
+)
+from lonja.workspace import espacio
 
 MONTO = "decimal(18,2)"
+CLAVE = ("canal", "venta_id")
+DESCONOCIDO = "desconocido"
 
 
 def con_fecha(ventas: DataFrame, zona: str | None = None) -> DataFrame:
@@ -58,8 +71,11 @@ def ventas_por_tienda_sku_dia(ventas: DataFrame, *, zona: str | None = None) ->
 
 
 def ventas_vigentes(ventas: DataFrame) -> DataFrame:
-    """Across run dates, the last processed version of every sale (Silver is unique per run date)."""
-    return deduplicar(ventas, ("canal", "venta_id"), ("_procesado_en", "vendido_en"))
+    """Across run dates, the version of every sale that counts: the same rule as inside a run date.
+
+    Of equal versions the last processed is kept.
+    """
+    return deduplicar(ventas, CLAVE, (*ORDEN_VENTAS, "_procesado_en"))
 
 
 # --- star schema -----------------------------------------------------------------------------------
@@ -72,9 +88,16 @@ def dim_tienda(*tablas: DataFrame) -> DataFrame:
     return con_id.groupBy("tienda_id").agg(F.max("tienda_nombre").alias("tienda_nombre"))
 
 
-def dim_producto(ventas: DataFrame) -> DataFrame:
-    return con_fecha(ventas).groupBy("sku").agg(
-        F.min("fecha").alias("primera_venta"), F.max("fecha").alias("ultima_venta")
+def dim_producto(ventas: DataFrame, inventario: DataFrame | None = None) -> DataFrame:
+    """Products seen in sales and, if given, in stock: first and last sale, and how many stores stock it."""
+    vistas = con_fecha(ventas).select("sku", "fecha", F.lit(None).cast("string").alias("tienda_id"))
+    if inventario is None:
+        return vistas.groupBy("sku").agg(F.min("fecha").alias("primera_venta"), F.max("fecha").alias("ultima_venta"))
+    stock = inventario.select("sku", F.lit(None).cast("date").alias("fecha"), "tienda_id")
+    return vistas.unionByName(stock).groupBy("sku").agg(
+        F.min("fecha").alias("primera_venta"),
+        F.max("fecha").alias("ultima_venta"),
+        F.count_distinct("tienda_id").alias("tiendas_con_stock"),
     )
 
 
@@ -101,20 +124,25 @@ def hechos_ventas(ventas: DataFrame, *, zona: str | None = None) -> DataFrame:
     )
 
 
-def consulta_estrella(hechos: DataFrame, tiendas: DataFrame, fechas: DataFrame) -> DataFrame:
-    """Sales by channel, store name and month.
+def consulta_estrella(
+    hechos: DataFrame, tiendas: DataFrame, productos: DataFrame, fechas: DataFrame
+) -> DataFrame:
+    """Sales by channel, store name, number of stores that stock the product, and month.
 
     The fact is reduced to its foreign keys first (partial aggregation, so neither a hot store nor the
-    store-less online rows pile up), and only that summary is joined. Broadcasting is left to Spark's
-    size threshold.
+    store-less online rows pile up), and only that summary is joined. Keys that a dimension lacks belong to
+    its unknown member: no sale is lost. Broadcasting is left to Spark's size threshold.
     """
-    resumen = hechos.groupBy("canal", "tienda_id", "fecha").agg(
+    resumen = hechos.groupBy("canal", "tienda_id", "sku", "fecha").agg(
         F.sum("monto_total").alias("monto"), F.sum("cantidad").alias("unidades")
     )
+    nombre = F.coalesce("tienda_nombre", F.lit(DESCONOCIDO)).alias("tienda_nombre")
+    surtido = F.coalesce("tiendas_con_stock", F.lit(0)).alias("tiendas_con_stock")
     return (
-        resumen.join(fechas, "fecha")
+        resumen.join(fechas.select("fecha", "anio", "mes"), "fecha", "left")
         .join(tiendas, "tienda_id", "left")
-        .groupBy("canal", "tienda_nombre", "anio", "mes")
+        .join(productos.select("sku", "tiendas_con_stock"), "sku", "left")
+        .groupBy("canal", nombre, surtido, "anio", "mes")
         .agg(F.sum("monto").cast(MONTO).alias("ventas_totales"), F.sum("unidades").alias("unidades"))
     )
 
@@ -179,18 +207,88 @@ def conciliar_inventario(inventario: DataFrame, conteos: DataFrame) -> DataFrame
 # --- the Gold job ----------------------------------------------------------------------------------
 
 
-def procesar_gold(spark: SparkSession, silver: str, gold: str, run_date: date | str) -> int:
-    """Refresh the consolidated sales of one run date; returns the rows written.
-
-    Gold is partitioned by run date like Silver and holds sums per channel and sale date, so a rerun
-    replaces one partition and reads one Silver partition, however long the history is. Readers add
-    the partial sums up (`leer_consolidadas`).
+def _con_corrida(ventas: DataFrame) -> DataFrame:
+    """Silver rows with their sale date and the run date they were written for."""
+    return con_fecha(ventas).withColumn("_corrida", F.make_date(*map(F.col, DIA))).drop(*DIA, "hour")
+
+
+def procesar_gold(
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    run_dates: date | str | Iterable[date | str],
+    *,
+    desde: date | str | None = None,
+    detalle: bool = False,
+) -> int:
+    """Refresh Gold for what the given run dates brought; returns the rows of consolidated sales written.
+
+    `ventas_vigentes` holds every sale once, whatever run dates and hours delivered it, under its sale date. For
+    the sales of these run dates, and those they brought before a rerun, the version that counts is chosen anew
+    from Silver. Only the sale dates these versions are on, or were on, are rewritten, and the aggregates of
+    just those dates with them. The search for other versions reads the keys of Silver's history, or of the run
+    dates from `desde` on, if none is redelivered from longer ago. `detalle` also writes the totals by store
+    and sku.
     """
-    ventas = leer_silver(spark, "ventas", silver, run_date)
-    return escribir_silver(ventas_consolidadas(ventas), "ventas_consolidadas", gold, run_date)
+    dias = [run_dates] if isinstance(run_dates, (date, str)) else list(run_dates)
+    dias = [date.fromisoformat(d) if isinstance(d, str) else d for d in dias]
+    if not dias:
+        return 0
+    corrida = leer_dias(spark, "ventas", silver, dias)
+    historia = leer_silver(spark, "ventas", silver)
+    if desde is not None:
+        historia = historia.where(F.make_date(*map(F.col, DIA)) >= F.lit(str(desde)).cast("date"))
+    ruta = f"{gold.rstrip('/')}/ventas_vigentes"
+    previas = spark.read.parquet(ruta) if rutas_existentes(spark, f"{ruta}/fecha=*") else None
+    tocadas = corrida.select(*CLAVE)
+    if previas is not None:
+        tocadas = tocadas.unionByName(previas.where(F.col("_corrida").isin(dias)).select(*CLAVE))
+    trabajo = espacio(spark, "gold")
+    tocadas.distinct().write.parquet(f"{trabajo}/tocadas")
+    tocadas = spark.read.parquet(f"{trabajo}/tocadas")
+    versiones = _con_corrida(historia.join(tocadas, [*CLAVE], "left_semi"))
+    deduplicar(versiones, CLAVE, (*ORDEN_VENTAS, "_corrida")).write.parquet(f"{trabajo}/nuevas")
+    nuevas = spark.read.parquet(f"{trabajo}/nuevas")
+    cambian = nuevas.select("fecha")
+    if previas is not None:
+        cambian = cambian.unionByName(previas.join(tocadas, [*CLAVE], "left_semi").select("fecha"))
+    fechas = sorted(f for (f,) in cambian.distinct().collect())
+    if not fechas:
+        return 0
+    resultado = nuevas
+    if previas is not None:
+        siguen = previas.where(F.col("fecha").isin(fechas)).join(tocadas, [*CLAVE], "left_anti")
+        resultado = siguen.unionByName(nuevas)
+    esperadas = [{"fecha": f} for f in fechas]
+    escribir_particiones(resultado, "ventas_vigentes", gold, ["fecha"], esperadas)
+    borrar(spark, trabajo)
+    vigentes = spark.read.option("basePath", ruta).parquet(*[f"{ruta}/fecha={f}" for f in fechas])
+    consolidadas = _totales(vigentes, "canal", "fecha").select("canal", "fecha", "ventas_totales")
+    if detalle:
+        por_sku = _totales(vigentes, "canal", "tienda_id", "sku", "fecha")
+        escribir_particiones(por_sku, "ventas_por_tienda_sku_dia", gold, ["fecha"], esperadas)
+    return escribir_particiones(consolidadas, "ventas_consolidadas", gold, ["fecha"], esperadas)
+
+
+def procesar_dimensiones(spark: SparkSession, silver: str, gold: str, run_date: date | str) -> None:
+    """The star's dimensions as of a run date: stores and products from Gold's sales and that date's stock."""
+    ventas = leer_gold(spark, "ventas_vigentes", gold)
+    stock = leer_silver(spark, "inventario", silver, run_date)
+    for nombre, dim in (
+        ("dim_tienda", dim_tienda(ventas, stock)),
+        ("dim_producto", dim_producto(ventas, stock)),
+        ("dim_fecha", dim_fecha(ventas)),
+    ):
+        escribir_silver(dim, nombre, gold, run_date)
+
+
+def leer_gold(spark: SparkSession, tabla: str, gold: str, fechas: Iterable[date | str] | None = None) -> DataFrame:
+    """A Gold table by sale date, whole or for some dates, whose folders alone are listed."""
+    ruta = f"{gold.rstrip('/')}/{tabla}"
+    carpetas = [ruta] if fechas is None else [f"{ruta}/fecha={f}" for f in fechas]
+    return spark.read.option("basePath", ruta).parquet(*carpetas)
 
 
 def leer_consolidadas(spark: SparkSession, gold: str) -> DataFrame:
-    """Sales total by channel and date over all run dates."""
-    parciales = leer_silver(spark, "ventas_consolidadas", gold)
-    return parciales.groupBy("canal", "fecha").agg(F.sum("ventas_totales").cast(MONTO).alias("ventas_totales"))
+    """Sales total by channel and date; a filter on `fecha` reads that date's folder."""
+    return leer_gold(spark, "ventas_consolidadas", gold).select("canal", "fecha", "ventas_totales")

@@ -368,16 +368,15 @@ def _primeras(spark, sf_dir):
 def stream_ventas_ecommerce(spark, sf_dir):
     """Micro-batches into Bronze, the run date rebuilt in Silver."""
     crudas, limpias, marcas = (espacio(spark, n) for n in ("bronze", "silver", "checkpoint"))
-    microbatch.iniciar_microlotes(
+    microbatch.ejecutar_microlotes(
         _eventos_repetidos(spark, sf_dir),
-        (VENTAS_ECOMMERCE,),
         VENTAS_ECOMMERCE,
         bronze=crudas,
         silver=limpias,
         checkpoint=marcas,
         fecha=F.lit(RUN_DATE),
         run_ts=RUN_TS,
-    ).awaitTermination()
+    )
     return lake.leer_silver(spark, "ventas", limpias, RUN_DATE).drop("year", "month", "day")
 
 
@@ -395,7 +394,7 @@ def stream_ventas_totales(spark, sf_dir):
     salida, marcas = espacio(spark, "gold"), espacio(spark, "checkpoint")
     totales = stateful.totales_en_flujo(_primeras(spark, sf_dir))
     stateful.escribir_totales(totales, salida, marcas).awaitTermination()
-    return spark.read.parquet(salida)
+    return stateful.leer_totales(spark, salida)
 
 
 @consulta
@@ -411,6 +410,221 @@ def stream_ventas_tardias(spark, sf_dir):
     return spark.read.parquet(salida)
 
 
+# --- deliveries that repeat, come late or come in parts ---------------------------------------------
+
+
+def _aterrizar_json(df: DataFrame, carpeta: str) -> None:
+    """Event files as a receiver would leave them, times as text."""
+    df = df.withColumn("created_at", F.col("created_at").cast("string"))
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.text(carpeta)
+
+
+def _flujo_json(spark, df, nombre):
+    """The stream of event files that `leer_eventos` gives."""
+    carpeta = espacio(spark, nombre)
+    _aterrizar_json(df, carpeta)
+    return microbatch.leer_eventos(spark, VENTAS_ECOMMERCE, carpeta)
+
+
+def _numero(columna: str = "order_id"):
+    return F.col(columna).cast("long")
+
+
+@consulta
+def gold_entregas_repetidas(spark, sf_dir):
+    """Sales of one run date; a third delivered again the next day, half of these newer, a day later and of
+    twice the amount; a fifth once more by a stream on the day after. Gold counts each once."""
+    crudas, limpias, oro, marcas = (espacio(spark, n) for n in ("bronze", "silver", "gold", "checkpoint"))
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    otra_vez = ventas.where(_numero() % 3 == 0)
+    cambia = _numero() % 6 == 0
+    otra_vez = otra_vez.withColumns(
+        {
+            "created_at": F.when(cambia, F.col("created_at") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("created_at")),
+            "total_amount": F.when(cambia, F.col("total_amount") * 2).otherwise(F.col("total_amount")),
+        }
+    )
+    for dias, entrega in enumerate((ventas, otra_vez)):
+        fecha = RUN_DATE + timedelta(days=dias)
+        _aterrizar(entrega, crudas, VENTAS_ECOMMERCE, fecha)
+        silver.procesar_silver(spark, crudas, limpias, fecha, run_ts=RUN_TS, fuentes=(VENTAS_ECOMMERCE,))
+        gold.procesar_gold(spark, limpias, oro, fecha)
+    microbatch.ejecutar_microlotes(
+        _flujo_json(spark, ventas.where(_numero() % 5 == 0), "eventos"),
+        VENTAS_ECOMMERCE,
+        bronze=crudas,
+        silver=limpias,
+        gold=oro,
+        checkpoint=marcas,
+        fecha=F.lit(RUN_DATE + timedelta(days=2)),
+        run_ts=RUN_TS,
+    )
+    return gold.leer_consolidadas(spark, oro)
+
+
+@consulta
+def bronze_origenes(spark, sf_dir):
+    """Two streams with their own checkpoints and a plain drop of typed files on one run date, all there."""
+    crudas = espacio(spark, "bronze")
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    _aterrizar(ventas.where(_numero() % 3 == 0), crudas, VENTAS_ECOMMERCE)
+    for resto in (1, 2):
+        microbatch.iniciar_microlotes(
+            _flujo_json(spark, ventas.where(_numero() % 3 == resto), "eventos"),
+            VENTAS_ECOMMERCE,
+            bronze=crudas,
+            checkpoint=espacio(spark, "checkpoint"),
+            fecha=F.when(_numero() % 2 == 0, F.lit(RUN_DATE)).otherwise(F.lit(RUN_DATE)),
+        ).awaitTermination()
+    return silver.transformar_ventas_ecommerce(bronze.leer_bronze(spark, VENTAS_ECOMMERCE, crudas, RUN_DATE), RUN_TS)
+
+
+@consulta
+def silver_parcial(spark, sf_dir):
+    """The whole job, then one feed alone again: the other feeds' rows and metrics are still there."""
+    crudas, limpias = _lago(spark, sf_dir)
+    silver.procesar_silver(spark, crudas, limpias, RUN_DATE, run_ts=RUN_TS, fuentes=(VENTAS_ECOMMERCE,))
+    ventas = lake.leer_silver(spark, "ventas", limpias, RUN_DATE).groupBy("_fuente").count()
+    medidas = lake.leer_silver(spark, "calidad", limpias, RUN_DATE).groupBy("tabla").count()
+    return ventas.select(F.col("_fuente").alias("parte"), F.col("count").alias("filas")).unionByName(
+        medidas.select(F.concat(F.lit("calidad/"), "tabla").alias("parte"), F.col("count").alias("filas"))
+    )
+
+
+@consulta
+def silver_por_hora(spark, sf_dir):
+    """Two arrival hours of one run date, the first of them run twice."""
+    crudas, limpias = espacio(spark, "bronze"), espacio(spark, "silver")
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    for hora in (10, 11):
+        parte = ventas.where(_numero() % 2 == hora - 10)
+        parte.write.parquet(bronze.ruta_bronze(crudas, VENTAS_ECOMMERCE.tabla, RUN_DATE, hora=hora))
+    for hora in (10, 11, 10):
+        silver.procesar_silver(
+            spark, crudas, limpias, RUN_DATE, run_ts=RUN_TS, fuentes=(VENTAS_ECOMMERCE,), hora=hora
+        )
+    dia = lake.leer_silver(spark, "ventas", limpias, RUN_DATE)
+    return dia.groupBy("hour").agg(
+        F.count(F.lit(1)).alias("n_ventas"), F.sum("monto_total").cast(gold.MONTO).alias("ventas_totales")
+    )
+
+
+@consulta
+def reproceso_de_fechas(spark, sf_dir):
+    """Three past run dates rebuilt in one job; tables and metrics per date."""
+    crudas, limpias = espacio(spark, "bronze"), espacio(spark, "silver")
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    fechas = [RUN_DATE - timedelta(days=d) for d in range(3)]
+    for resto, fecha in enumerate(fechas):
+        # every date also has the sales of the one before, which are other run dates' business
+        _aterrizar(ventas.where((_numero() % 3).isin(resto, (resto + 1) % 3)), crudas, VENTAS_ECOMMERCE, fecha)
+    silver.reprocesar(spark, crudas, limpias, fechas, run_ts=RUN_TS, fuentes=(VENTAS_ECOMMERCE,))
+    limpia = lake.leer_silver(spark, "calidad", limpias).where("etapa = 'silver_clean'")
+    totales = lake.leer_silver(spark, "ventas", limpias, fechas[-1], fechas[0]).groupBy("day").agg(
+        F.count(F.lit(1)).alias("n_ventas"), F.sum("monto_total").cast(gold.MONTO).alias("ventas_totales")
+    )
+    return totales.join(limpia.select("day", F.col("total").alias("medidas")), "day")
+
+
+@consulta
+def extraccion_con_solape(spark, sf_dir):
+    """A first load that a seventh of the rows was committed too late for, then a window that looks back."""
+    crudas = espacio(spark, "bronze")
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    medio, fin = datetime(2024, 1, 20), datetime(2024, 3, 1)
+    a_tiempo = ventas.where(_numero() % 7 != 0)
+    marca = incremental.ingerir(a_tiempo, VENTAS_ECOMMERCE, crudas, RUN_DATE, "created_at", None, medio)
+    incremental.ingerir(
+        ventas, VENTAS_ECOMMERCE, crudas, RUN_DATE, "created_at", marca, fin, solape=timedelta(days=30)
+    )
+    return silver.transformar_ventas_ecommerce(bronze.leer_bronze(spark, VENTAS_ECOMMERCE, crudas, RUN_DATE), RUN_TS)
+
+
+@consulta
+def devoluciones_repetidas(spark, sf_dir):
+    """The store feed delivered twice on one run date: returns once, and the accounts close."""
+    crudas, limpias = espacio(spark, "bronze"), espacio(spark, "silver")
+    ventas = feeds.ventas_tiendas(spark, sf_dir)
+    for origen in ("a", "b"):
+        ventas.write.parquet(bronze.ruta_bronze(crudas, VENTAS_TIENDAS.tabla, RUN_DATE, origen=origen))
+    silver.procesar_silver(spark, crudas, limpias, RUN_DATE, run_ts=RUN_TS, fuentes=(VENTAS_TIENDAS,))
+    vueltas = lake.leer_silver(spark, "ventas_apartadas", limpias, RUN_DATE).where("clase = 'devolucion'")
+    medida = lake.leer_silver(spark, "calidad", limpias, RUN_DATE)
+    cruda = medida.where("etapa = 'bronze_raw'").select(
+        (F.col("total") - F.col("rechazadas") - F.col("devoluciones") - F.col("duplicadas")).alias("limpias")
+    )
+    return vueltas.agg(F.count(F.lit(1)).alias("devueltas"), F.count_distinct("venta_id").alias("llaves")).join(
+        cruda, how="full"
+    )
+
+
+@consulta
+def stream_sin_perdidas(spark, sf_dir):
+    """Four event files, the newest sales first, with a horizon of ten days: every sale is on time or late."""
+    carpeta, salida, marcas = (espacio(spark, n) for n in ("eventos", "silver", "checkpoint"))
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    dia = F.dayofmonth("created_at")
+    for desde, hasta in ((24, 31), (16, 23), (8, 15), (1, 7)):
+        parte = ventas.where(dia.between(desde, hasta)).withColumn("created_at", F.col("created_at").cast("string"))
+        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).coalesce(1).write.mode("append").text(carpeta)
+    flujo = microbatch.leer_eventos(spark, VENTAS_ECOMMERCE, carpeta, archivos_por_lote=1)
+    limpias = stateful.conformar_flujo(flujo, VENTAS_ECOMMERCE, RUN_TS)
+    stateful.escribir_primeras(limpias, salida, marcas, "10 days").awaitTermination()
+    return silver.unificar(
+        *[
+            spark.read.parquet(f"{salida}/{parte}").select("venta_id", "vendido_en", F.lit(parte).alias("parte"))
+            for parte in ("a_tiempo", "tardias")
+        ]
+    )
+
+
+@consulta
+def gold_catalogo_del_dia(spark, sf_dir):
+    """The one-day report as SQL over the published Gold table, by its partition."""
+    _, limpias = _lago(spark, sf_dir)
+    oro = espacio(spark, "gold")
+    gold.procesar_gold(spark, limpias, oro, RUN_DATE)
+    nombre = f"oro_{oro.rpartition('-')[2]}.ventas_consolidadas"
+    lake.publicar_tabla(spark, nombre, oro, "ventas_consolidadas")
+    return spark.sql(f"SELECT canal, fecha, ventas_totales FROM {nombre} WHERE fecha = :dia", args={"dia": DIA})
+
+
+@consulta
+def gold_ventas_de_hoy(spark, sf_dir):
+    """The report of the current date, over sales moved so that the fixed day is today."""
+    hoy = silver_ventas(spark, sf_dir).withColumn(
+        "vendido_en", F.col("vendido_en") + F.make_dt_interval(F.date_diff(F.current_date(), F.lit(DIA)))
+    )
+    return gold.ventas_del_dia(hoy).drop("fecha")
+
+
+@consulta
+def personas_enmascaradas(spark, sf_dir):
+    """Names, addresses and card numbers by digest; a card is made up from the customer's key."""
+    personas = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        "c_custkey",
+        F.col("c_name").alias("nombre"),
+        F.concat(F.lit(" Calle "), F.col("c_nationkey").cast("string"), F.lit(" No. 5 ")).alias("direccion"),
+        F.concat(F.lit("4000 0000 0000 "), F.lpad(F.col("c_custkey").cast("string"), 4, "0")).alias("tarjeta"),
+    )
+    return mask_pii(personas, "nombre", "direccion", "tarjeta")
+
+
+@consulta
+def rechazos_inventario_erp(spark, sf_dir):
+    """The stock feed with its own defects: blank stores and skus, missing ids and times."""
+    n = F.col("inv_id").substr(F.lit(1), F.instr("inv_id", "-") - 1).cast("long")
+    crudo = feeds.inventario(spark, sf_dir).withColumns(
+        {
+            "store_code": F.when(n % 11 == 0, F.lit("  ")).otherwise(F.col("store_code")),
+            "product_code": F.when(n % 13 == 0, F.lit(None)).otherwise(F.col("product_code")),
+            "last_updated": F.when(n % 17 == 0, F.lit(None)).otherwise(F.col("last_updated")),
+            "inv_id": F.when(n % 19 == 0, F.lit("")).otherwise(F.col("inv_id")),
+        }
+    )
+    return _motivos_texto(silver.rechazos(crudo, INVENTARIO_ERP, RUN_TS)).groupBy("motivos").count()
+
+
 # --- Gold ------------------------------------------------------------------------------------------
 
 
@@ -473,12 +687,17 @@ def gold_dim_fecha(spark, sf_dir):
 
 @consulta
 def gold_estrella_ventas(spark, sf_dir):
-    """Silver is written once; fact and dimensions are read from it instead of being rebuilt each."""
+    """Fact and dates from the sales, stores and products from the stock of T1 to T5 alone, as the star's job
+    writes them; sales that those dimensions lack go to the unknown members.
+
+    Silver is written once; fact and dimensions are read from it instead of being rebuilt each.
+    """
     raiz = espacio(spark, "silver")
     silver_ventas(spark, sf_dir).write.parquet(f"{raiz}/ventas")
-    ventas = spark.read.parquet(f"{raiz}/ventas")
-    hechos = gold.hechos_ventas(ventas)
-    return gold.consulta_estrella(hechos, gold.dim_tienda(ventas), gold.dim_fecha(ventas))
+    silver_inventario(spark, sf_dir).where("tienda_id <= 'T5'").write.parquet(f"{raiz}/inventario")
+    ventas, stock = (spark.read.parquet(f"{raiz}/{t}") for t in ("ventas", "inventario"))
+    hechos, productos = gold.hechos_ventas(ventas), gold.dim_producto(ventas, stock)
+    return gold.consulta_estrella(hechos, gold.dim_tienda(stock), productos, gold.dim_fecha(ventas))
 
 
 @consulta

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import date, datetime, timezone
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from lonja.contracts import (
 from lonja.operators.conform import (
     DEVOLUCION,
     RECHAZO,
-    VALIDA,
     clasificar,
     completar,
     devueltas,
@@ -26,9 +26,9 @@ from lonja.operators.conform import (
     validas,
 )
 from lonja.operators.dedup import deduplicar
-from lonja.operators.quality import filas_calidad, metricas_crudas
+from lonja.operators.quality import calidad_fuente, filas_calidad, metricas_crudas
 from lonja.sources.bronze import leer_bronze
-from lonja.sources.lake import escribir_silver
+from lonja.sources.lake import DIA, escribir_particiones, escribir_silver, leer_dias
 
 
 def exigir_utc(spark: SparkSession) -> None:
@@ -39,14 +39,21 @@ def exigir_utc(spark: SparkSession) -> None:
 
 
 def transformar(
-    df: DataFrame, fuente: Fuente, run_ts: datetime, *, llave: tuple[str, ...] | None = None, sal: str | None = None
+    df: DataFrame,
+    fuente: Fuente,
+    run_ts: datetime,
+    *,
+    llave: tuple[str, ...] | None = None,
+    sal: str | None = None,
+    por: tuple[str, ...] = (),
 ) -> DataFrame:
     """Raw feed -> its Silver contract: type, keep valid rows, keep the latest per key, complete.
 
     Hashes and constants are added after the deduplication, so they do not travel through its shuffle.
+    `por` names columns that are kept and within whose values rows are unique (the run date, say).
     """
-    unicas = deduplicar(validas(df, fuente), llave or fuente.llave, fuente.orden)
-    return completar(unicas, fuente, run_ts, sal=sal)
+    unicas = deduplicar(validas(df, fuente, conservar=por), (*por, *(llave or fuente.llave)), fuente.orden)
+    return completar(unicas, fuente, run_ts, sal=sal, conservar=por)
 
 
 def transformar_ventas_tiendas(df: DataFrame, run_ts: datetime) -> DataFrame:
@@ -67,9 +74,14 @@ def unificar(*ventas: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, ventas)
 
 
+def _devueltas(df: DataFrame, fuente: Fuente, *, por: tuple[str, ...] = ()) -> DataFrame:
+    """Sound rows with a negative amount, the latest per key."""
+    return deduplicar(devueltas(df, fuente, conservar=por), (*por, *fuente.llave), fuente.orden)
+
+
 def devoluciones(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
-    """Sound rows with a negative amount, which `transformar` leaves out."""
-    return completar(devueltas(df, fuente), fuente, run_ts).drop("_clase", "_motivos")
+    """Returns, once per key like sales; `transformar` leaves them out."""
+    return completar(_devueltas(df, fuente), fuente, run_ts).drop("_clase", "_motivos")
 
 
 def rechazos(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
@@ -77,6 +89,18 @@ def rechazos(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
     return completar(rechazadas(df, fuente), fuente, run_ts).drop("_clase")
 
 
+TODAS = (VENTAS_TIENDAS, VENTAS_ECOMMERCE, INVENTARIO_ERP)
+
+
+def _clases(fuentes: Iterable[Fuente]) -> tuple[str, ...]:
+    return (DEVOLUCION, RECHAZO) if any(f.monto for f in fuentes) else (RECHAZO,)
+
+
+def _de(df: DataFrame, fuente: Fuente) -> DataFrame:
+    """Says whose part of the table the rows are."""
+    return df.withColumn("feed", F.lit(fuente.tabla))
+
+
 def procesar_silver(
     spark: SparkSession,
     bronze: str,
@@ -84,7 +108,7 @@ def procesar_silver(
     run_date: date | str,
     *,
     run_ts: datetime | None = None,
-    fuentes: tuple[Fuente, ...] = (VENTAS_TIENDAS, VENTAS_ECOMMERCE, INVENTARIO_ERP),
+    fuentes: tuple[Fuente, ...] = TODAS,
     formatos: Mapping[str, str] | None = None,
     permitir_vacio: bool = False,
     hora: int | None = None,
@@ -93,57 +117,124 @@ def procesar_silver(
     """Run one date end to end and return the rows written per table. Repeating it changes nothing.
 
     Per Silver table there are two writes: the clean rows, and `<table>_apartadas` with the returns and
-    rejects under `clase=`. The raw metrics are observed while the latter is written, in a stage
-    without a shuffle, so they cost no extra scan and are exact when tasks are retried. They end up in
-    the table `calidad`. All frames are planned before the first write, so a missing source or column
-    stops the run before anything changes.
+    rejects under `clase=`. Both are partitioned by `feed`, so a run of some feeds leaves the others'
+    rows alone. With `hora` the run takes what arrived in that hour (`hora=` in Bronze) into the
+    partition `hour=`. The raw metrics are observed while the rejects are written, in a stage without a
+    shuffle, so they cost no extra scan and are exact when tasks are retried. They end up in the table
+    `calidad`. All frames are planned before the first write, so a missing source or column stops the
+    run before anything changes.
     """
     exigir_utc(spark)
     run_ts = run_ts or datetime.now(timezone.utc)
     formatos = formatos or {}
     crudas = {
         f.tabla: leer_bronze(
-            spark, f, bronze, run_date, formato=formatos.get(f.tabla, "parquet"), permitir_vacio=permitir_vacio
+            spark,
+            f,
+            bronze,
+            run_date,
+            formato=formatos.get(f.tabla, "parquet"),
+            permitir_vacio=permitir_vacio,
+            hora=hora,
         )
         for f in fuentes
     }
     planes: dict[str, tuple[DataFrame, DataFrame]] = {}
-    medidas: dict[str, Observation] = {}
-    limpias: dict[str, Observation] = {}
+    medidas: dict[str, list[Observation]] = {}
     for destino in dict.fromkeys(f.destino for f in fuentes):
-        propias = [f for f in fuentes if f.destino == destino]
         buenas, malas = [], []
-        for f in propias:
-            medidas[f.tabla], limpias[f.tabla] = Observation(f"crudo_{f.tabla}"), Observation(f"limpio_{f.tabla}")
-            buenas.append(
-                transformar(crudas[f.tabla], f, run_ts, sal=sal).observe(
-                    limpias[f.tabla], F.count(F.lit(1)).alias("unicas")
-                )
-            )
-            todas = clasificar(crudas[f.tabla], f).observe(
-                medidas[f.tabla], *[c.alias(n) for n, c in metricas_crudas(f).items()]
-            )
-            fuera = todas.where(F.col("_clase") != VALIDA)
-            malas.append(completar(fuera, f, run_ts, sal=sal))
+        for f in (f for f in fuentes if f.destino == destino):
+            crudo, limpio, devuelto = (Observation(f"{n}_{f.tabla}") for n in ("crudo", "limpio", "devuelto"))
+            medidas[f.tabla] = [crudo, limpio, devuelto] if f.monto else [crudo, limpio]
+            unicas = transformar(crudas[f.tabla], f, run_ts, sal=sal)
+            buenas.append(_de(unicas.observe(limpio, F.count(F.lit(1)).alias("unicas")), f))
+            todas = clasificar(crudas[f.tabla], f).observe(crudo, *[c.alias(n) for n, c in metricas_crudas(f).items()])
+            malas.append(_de(completar(todas.where(F.col("_clase") == RECHAZO), f, run_ts, sal=sal), f))
+            if f.monto:
+                vueltas = _devueltas(crudas[f.tabla], f).observe(devuelto, F.count(F.lit(1)).alias("devueltas"))
+                malas.append(_de(completar(vueltas, f, run_ts, sal=sal), f))
         apartada = unificar(*malas).withColumnsRenamed({"_clase": "clase", "_motivos": "motivos"})
         planes[destino] = (unificar(*buenas), apartada)
     filas = {}
     for destino, (buena, mala) in planes.items():
-        con_monto = any(f.monto for f in fuentes if f.destino == destino)
-        clases = (DEVOLUCION, RECHAZO) if con_monto else (RECHAZO,)
-        filas[destino] = escribir_silver(buena, destino, silver, run_date, hora=hora)
+        propias = [f for f in fuentes if f.destino == destino]
+        feeds = [f.tabla for f in propias]
+        filas[destino] = escribir_silver(buena, destino, silver, run_date, hora=hora, por={"feed": feeds})
         filas[f"{destino}_apartadas"] = escribir_silver(
-            mala, f"{destino}_apartadas", silver, run_date, hora=hora, por_clase=("clase", clases)
+            mala, f"{destino}_apartadas", silver, run_date, hora=hora, por={"clase": _clases(propias), "feed": feeds}
         )
-    observado = [{"tabla": f.tabla, **medidas[f.tabla].get, **limpias[f.tabla].get} for f in fuentes]
+    sin_devueltas = {"devueltas": 0}
+    observado = [
+        {"tabla": t, **sin_devueltas, **{k: v for o in medidas[t] for k, v in o.get.items()}} for t in crudas
+    ]
     informe = filas_calidad(spark.createDataFrame(observado).coalesce(1))
-    informe = informe.withColumn("_procesado_en", F.lit(run_ts).cast("timestamp"))
-    filas["calidad"] = escribir_silver(informe, "calidad", silver, run_date, hora=hora)
+    informe = informe.withColumns({"_procesado_en": F.lit(run_ts).cast("timestamp"), "feed": F.col("tabla")})
+    filas["calidad"] = escribir_silver(informe, "calidad", silver, run_date, hora=hora, por={"feed": list(crudas)})
     return filas
 
 
 def reprocesar(
-    spark: SparkSession, bronze: str, silver: str, fechas: Iterable[date | str], **opciones
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    fechas: Iterable[date | str],
+    *,
+    run_ts: datetime | None = None,
+    fuentes: tuple[Fuente, ...] = TODAS,
+    formatos: Mapping[str, str] | None = None,
+    permitir_vacio: bool = False,
+    sal: str | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Run past dates again from the untouched Bronze, oldest first; rows written per date and table."""
-    return {str(f): procesar_silver(spark, bronze, silver, f, **opciones) for f in sorted(fechas)}
+    """Run past dates again from the untouched Bronze, all in one job; rows written per date and table.
+
+    Each table is one write over all dates, with about one file per date and part: rows are unique per run
+    date and key, and the metrics are grouped by run date. The result is that of `procesar_silver` date by date.
+    """
+    exigir_utc(spark)
+    run_ts, formatos = run_ts or datetime.now(timezone.utc), formatos or {}
+    dias = sorted({date.fromisoformat(f) if isinstance(f, str) else f for f in fechas})
+    if not dias:
+        return {}
+    por = ("fecha",)
+    crudas = {
+        f.tabla: leer_bronze(
+            spark, f, bronze, dias, formato=formatos.get(f.tabla, "parquet"), permitir_vacio=permitir_vacio
+        )
+        for f in fuentes
+    }
+    tablas: dict[str, tuple[list[DataFrame], dict[str, list[str]]]] = {}
+    for f in fuentes:
+        cruda = crudas[f.tabla]
+        todas = clasificar(cruda, f, conservar=por)
+        malas = [completar(todas.where(F.col("_clase") == RECHAZO), f, run_ts, sal=sal, conservar=por)]
+        if f.monto:
+            malas.append(completar(_devueltas(cruda, f, por=por), f, run_ts, sal=sal, conservar=por))
+        malas = [m.withColumnsRenamed({"_clase": "clase", "_motivos": "motivos"}) for m in malas]
+        informe = calidad_fuente(todas, f, por=por).withColumn("_procesado_en", F.lit(run_ts).cast("timestamp"))
+        clases = {"clase": list(_clases([f]))}
+        buena = transformar(cruda, f, run_ts, sal=sal, por=por)
+        for tabla, partes, antes in (
+            (f.destino, [buena], {}),
+            (f"{f.destino}_apartadas", malas, clases),
+            ("calidad", [informe], {}),
+        ):
+            grupo, niveles = tablas.setdefault(tabla, ([], {**antes, "feed": []}))
+            grupo += [_de(p, f) for p in partes]
+            niveles["feed"].append(f.tabla)
+            if antes and len(antes["clase"]) > len(niveles["clase"]):
+                niveles["clase"] = antes["clase"]
+    filas: dict[str, dict[str, int]] = {str(d): {} for d in dias}
+    for tabla, (partes, niveles) in tablas.items():
+        columnas = [*niveles, *DIA]
+        esperadas = [
+            {**dict(zip(niveles, v, strict=True)), "year": d.year, "month": d.month, "day": d.day}
+            for d in dias
+            for v in product(*niveles.values())
+        ]
+        fecha = {"year": F.year("fecha"), "month": F.month("fecha"), "day": F.dayofmonth("fecha")}
+        escribir_particiones(unificar(*partes).withColumns(fecha).drop("fecha"), tabla, silver, columnas, esperadas)
+        escritas = leer_dias(spark, tabla, silver, dias).groupBy(*DIA).count().collect()
+        cuentas = {date(y, m, d): n for y, m, d, n in escritas}
+        for d in dias:
+            filas[str(d)][tabla] = cuentas.get(d, 0)
+    return filas

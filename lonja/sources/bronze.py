@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from lonja.contracts import CORRUPTO, Fuente
+from lonja.sources.lake import rutas_existentes
 
 FORMATOS = ("parquet", "json", "csv")
 
@@ -20,8 +22,22 @@ def esquema_texto(fuente: Fuente) -> StructType:
     return StructType([*campos, StructField(CORRUPTO, StringType())])
 
 
-def ruta_bronze(raiz: str, tabla: str, fecha: date | str) -> str:
-    return f"{raiz.rstrip('/')}/{tabla}/fecha={fecha}"
+def ruta_bronze(
+    raiz: str,
+    tabla: str,
+    fecha: date | str,
+    *,
+    hora: int | None = None,
+    origen: str | None = None,
+    lote: str | int | None = None,
+) -> str:
+    """`<root>/<table>/fecha=<date>[/hora=<hour>][/origen=<writer>][/lote=<batch>]`.
+
+    Every writer that lands more than once has an `origen` of its own, so no writer can replace what
+    another one landed; a plain drop of files lies in the date's (or hour's) folder itself.
+    """
+    partes = {"fecha": fecha, "hora": hora, "origen": origen, "lote": lote}
+    return "/".join([raiz.rstrip("/"), tabla, *[f"{k}={v}" for k, v in partes.items() if v is not None]])
 
 
 def _vacio(spark: SparkSession, fuente: Fuente, formato: str) -> DataFrame:
@@ -29,16 +45,50 @@ def _vacio(spark: SparkSession, fuente: Fuente, formato: str) -> DataFrame:
     return spark.createDataFrame([], StructType([*base, StructField("fecha", DateType())]))
 
 
-def _abrir(spark: SparkSession, fuente: Fuente, raiz: str, rutas: list[str], formato: str) -> DataFrame:
-    lector = spark.read.option("basePath", f"{raiz.rstrip('/')}/{fuente.tabla}")
+def _por_origen(spark: SparkSession, carpetas: list[str]) -> dict[str, list[str]]:
+    """What lies in date or hour folders, by writer: the plain files (under "") and each `origen=`."""
+    grupos: dict[str, list[str]] = {}
+    for carpeta in carpetas:
+        hijos = rutas_existentes(spark, f"{carpeta}/*=*")
+        nombres = {h: h.rpartition("/")[2] for h in hijos}
+        for hora in (h for h in hijos if nombres[h].startswith("hora=")):
+            for origen, rutas in _por_origen(spark, [hora]).items():
+                grupos.setdefault(origen, []).extend(rutas)
+        for h in hijos:
+            if not nombres[h].startswith("hora="):
+                # batches that lie directly in the date's folder are a writer of their own
+                grupos.setdefault(nombres[h] if nombres[h].startswith("origen=") else "lote", []).append(h)
+        planos = [r for r in rutas_existentes(spark, f"{carpeta}/*") if r not in nombres]
+        planos = [r for r in planos if r.rpartition("/")[2][0] not in "_."]
+        if planos or not hijos:
+            grupos.setdefault("", []).extend(planos if hijos else [carpeta])
+    return grupos
+
+
+def _abrir(spark: SparkSession, fuente: Fuente, rutas: list[str], formato: str) -> DataFrame:
+    """One writer's files, with the schema it wrote; the run date comes from the path."""
+    lector = spark.read.option("recursiveFileLookup", True)
     if formato == "parquet":
-        return lector.parquet(*rutas)
-    lector = lector.schema(esquema_texto(fuente)).option("columnNameOfCorruptRecord", CORRUPTO)
-    if formato == "json":
-        return lector.option("mode", "PERMISSIVE").json(rutas)
-    # Headers are checked against the schema, and lines are judged whole whatever columns a query uses.
-    lector = lector.options(header=True, enforceSchema=False, columnPruning=False)
-    return lector.option("mode", "PERMISSIVE").csv(rutas)
+        leido = lector.parquet(*rutas)
+    else:
+        lector = lector.schema(esquema_texto(fuente)).option("columnNameOfCorruptRecord", CORRUPTO)
+        lector = lector.option("mode", "PERMISSIVE")
+        # Headers are checked against the schema, and lines are judged whole whatever columns a query uses.
+        csv = lector.options(header=True, enforceSchema=False, columnPruning=False)
+        leido = lector.json(rutas) if formato == "json" else csv.csv(rutas)
+    fecha = F.regexp_extract("_metadata.file_path", r"/fecha=([0-9-]+)/", 1).cast("date")
+    return leido.withColumn("fecha", fecha)
+
+
+def _unir(partes: list[DataFrame]) -> DataFrame:
+    """Rows of writers with own schemas: a column whose types differ becomes text, which `tipar` reads."""
+    tipos: dict[str, set[str]] = {}
+    for p in partes:
+        for nombre, tipo in p.dtypes:
+            tipos.setdefault(nombre, set()).add(tipo)
+    mezclados = [n for n, t in tipos.items() if len(t) > 1]
+    comunes = [p.withColumns({n: F.col(n).cast("string") for n in mezclados if n in p.columns}) for p in partes]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), comunes)
 
 
 def leer_bronze(
@@ -49,8 +99,9 @@ def leer_bronze(
     *,
     formato: str = "parquet",
     permitir_vacio: bool = False,
+    hora: int | None = None,
 ) -> DataFrame:
-    """Scan the given run dates of one feed; `fecha` stays a column.
+    """Scan the given run dates of one feed, or one arrival hour of them; `fecha` stays a column.
 
     Only the named folders are listed, so planning does not grow with the table's history. A missing
     folder is an error unless `permitir_vacio`, which skips it (no folder at all: an empty frame).
@@ -58,26 +109,11 @@ def leer_bronze(
     if formato not in FORMATOS:
         raise ValueError(f"formato {formato!r}: one of {FORMATOS}")
     fechas = [fechas] if isinstance(fechas, (date, str)) else list(fechas)
-    rutas = [ruta_bronze(raiz, fuente.tabla, f) for f in fechas]
-    try:
-        return _abrir(spark, fuente, raiz, rutas, formato)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND" or not permitir_vacio:
-            raise
-        if len(fechas) == 1:
-            return _vacio(spark, fuente, formato)
-    presentes = [r for r in rutas if _existe(spark, r)]
+    rutas = [ruta_bronze(raiz, fuente.tabla, f, hora=hora) for f in fechas]
+    presentes = [r for r in rutas if rutas_existentes(spark, r)]
+    if len(presentes) < len(rutas) and not permitir_vacio:
+        return spark.read.parquet(*[r for r in rutas if r not in presentes])  # says which is missing
     if not presentes:
         return _vacio(spark, fuente, formato)
-    return _abrir(spark, fuente, raiz, presentes, formato)
-
-
-def _existe(spark: SparkSession, ruta: str) -> bool:
-    """Whether a folder exists, asked through Spark's own reader (no file is opened)."""
-    try:
-        spark.read.format("binaryFile").load(ruta)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    grupos = _por_origen(spark, presentes)
+    return _unir([_abrir(spark, fuente, grupos[o], formato) for o in sorted(grupos)])

@@ -39,44 +39,61 @@ def nueva_marca(df: DataFrame, columna: str, marca: datetime | None = None) -> D
 
 
 def ingerir(
-    df: DataFrame, fuente: Fuente, bronze: str, run_date: date | str, columna: str, marca: datetime, hasta: datetime
-) -> datetime:
-    """Land the window (marca, hasta] of a source table in Bronze and return the next mark.
-
-    The window has its own `lote=` folder, so repeating an extract replaces it. The mark is observed
-    while the rows are written; without new rows the old one is returned.
+    df: DataFrame,
+    fuente: Fuente,
+    bronze: str,
+    run_date: date | str,
+    columna: str,
+    marca: datetime | None,
+    hasta: datetime,
+    *,
+    solape: timedelta = timedelta(0),
+    origen: str = "extracto",
+) -> datetime | None:
+    """Land the window (marca - solape, hasta] of a source table in Bronze and return the next mark.
+
+    Without a mark this is the first load: everything up to `hasta`. `solape` re-reads a little of the past,
+    so that rows committed late below the mark are not lost; the repeats are removed by the deduplication
+    of Silver and Gold. The window has its own `lote=` folder under its origin, so repeating an extract
+    replaces it and nothing else. The mark is observed while the rows are written and never goes back.
     """
     vista = Observation("marca")
-    nuevas = extraer_incremental(df, columna, marca, hasta=hasta)
-    lote = marca.strftime("%Y%m%dT%H%M%S%f")
+    nuevas = extraer_incremental(df, columna, marca, hasta=hasta, solape=solape)
+    lote = marca.strftime("%Y%m%dT%H%M%S%f") if marca else "inicio"
     (
         nuevas.observe(vista, F.max(F.col(columna).cast("timestamp_ntz").cast("string")).alias("marca"))
         .write.mode("overwrite")
-        .parquet(f"{ruta_bronze(bronze, fuente.tabla, run_date)}/lote={lote}")
+        .parquet(ruta_bronze(bronze, fuente.tabla, run_date, origen=origen, lote=lote))
     )
     ultima = vista.get["marca"]
-    return max(marca, datetime.fromisoformat(ultima)) if ultima else marca
+    return max(filter(None, [marca, datetime.fromisoformat(ultima) if ultima else None]), default=None)
 
 
 def opciones_jdbc(
     url: str,
     tabla: str,
     columna: str,
-    marca: datetime,
+    marca: datetime | None,
     hasta: datetime,
     *,
+    inicio: datetime = datetime(2000, 1, 1),
     particiones: int = 8,
     filas_por_viaje: int = 10_000,
     **propiedades: str,
 ) -> dict[str, str]:
-    """Reader options that split the window (marca, hasta] evenly over parallel connections."""
-    if particiones < 1 or hasta <= marca:
+    """Reader options that split the window (marca, hasta] evenly over parallel connections.
+
+    The bounds only decide how the rows are split, none is left out by them. A first load has no mark and is
+    split from `inicio` on.
+    """
+    desde = marca or inicio
+    if particiones < 1 or hasta <= desde:
         raise ValueError("needs at least one partition and a window that ends after the mark")
     return {
         "url": url,
         "dbtable": tabla,
         "partitionColumn": columna,
-        "lowerBound": marca.strftime("%Y-%m-%d %H:%M:%S"),
+        "lowerBound": desde.strftime("%Y-%m-%d %H:%M:%S"),
         "upperBound": (hasta + timedelta(seconds=1)).strftime("%Y-%m-%d %H:%M:%S"),
         "numPartitions": str(particiones),
         "fetchsize": str(filas_por_viaje),
@@ -86,8 +103,16 @@ def opciones_jdbc(
 
 
 def leer_jdbc_incremental(
-    spark: SparkSession, url: str, tabla: str, columna: str, marca: datetime, hasta: datetime, **opciones
+    spark: SparkSession,
+    url: str,
+    tabla: str,
+    columna: str,
+    marca: datetime | None,
+    hasta: datetime,
+    *,
+    solape: timedelta = timedelta(0),
+    **opciones,
 ) -> DataFrame:
-    """The window (marca, hasta] of a database table, without scanning the rest of it."""
+    """The window (marca - solape, hasta] of a database table, without scanning the rest of it."""
     df = spark.read.format("jdbc").options(**opciones_jdbc(url, tabla, columna, marca, hasta, **opciones)).load()
-    return extraer_incremental(df, columna, marca, hasta=hasta)
+    return extraer_incremental(df, columna, marca, hasta=hasta, solape=solape)

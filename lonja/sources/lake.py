@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
+from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
+from functools import reduce
+from itertools import product
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,45 @@ def _ruta(raiz: str, tabla: str) -> str:
     return f"{raiz.rstrip('/')}/{tabla}"
 
 
+def rutas_existentes(spark: SparkSession, *patrones: str) -> list[str]:
+    """Paths that match the given globs, asked from the file system; only their parent folders are listed."""
+    camino = spark._jvm.org.apache.hadoop.fs.Path
+    halladas = []
+    for patron in patrones:
+        p = camino(patron)
+        vistas = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+        halladas += [e.getPath().toString() for e in vistas or []]
+    return halladas
+
+
+def borrar(spark: SparkSession, ruta: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(ruta)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _prefijo(spark: SparkSession, ruta: str) -> str | None:
+    """Glob of the partition levels before `year=`; None if nothing has been written."""
+    nivel = ""
+    while hijos := rutas_existentes(spark, f"{ruta}/{nivel}*=*"):
+        if any(h.rpartition("/")[2].startswith("year=") for h in hijos):
+            return nivel
+        nivel += "*/"
+    return None
+
+
+def _exigir_nivel(spark: SparkSession, ruta: str, hora: int | None) -> None:
+    """A table is partitioned by hour or it is not: a mixture could not be read any more."""
+    nivel = _prefijo(spark, ruta)
+    if nivel is None:
+        return
+    dia = rutas_existentes(spark, f"{ruta}/{nivel}year=*")[-1]
+    for parte in ("month", "day"):
+        dia = max(rutas_existentes(spark, f"{dia}/{parte}=*"))
+    por_hora = bool(rutas_existentes(spark, f"{dia}/hour=*"))
+    if por_hora != (hora is not None):
+        raise ValueError(f"{ruta} is partitioned {'by hour' if por_hora else 'by day'}; give `hora` accordingly")
+
+
 def escribir_silver(
     df: DataFrame,
     tabla: str,
@@ -26,45 +68,77 @@ def escribir_silver(
     run_date: date | str,
     *,
     hora: int | None = None,
-    por_clase: tuple[str, Sequence[str]] | None = None,
+    por: Mapping[str, Sequence[str]] | None = None,
     compactar: bool = False,
 ) -> int:
     """Replace the run date's partition (`year=/month=/day=[/hour=]`) and return the rows written.
 
     Other dates are untouched (dynamic overwrite), so a rerun is idempotent. Dynamic overwrite leaves
     a partition alone when the new run has no rows for it; such partitions are emptied explicitly.
-    `por_clase=(column, values)` adds one leading sub-table per value. `compactar` rebalances rows
-    into files of the advisory size first; AQE splits a hot partition, so no task holds a whole day.
+    `por` names leading partition columns and the values this run is responsible for; parts with other
+    values stay as they are. `compactar` rebalances rows into files of the advisory size first; AQE splits
+    a hot partition, so no task holds a whole day.
     """
+    spark, ruta = df.sparkSession, _ruta(raiz, tabla)
+    _exigir_nivel(spark, ruta, hora)
     dia = _fecha(run_date)
     valores = {"year": dia.year, "month": dia.month, "day": dia.day}
     if hora is not None:
         valores["hour"] = hora
-    columna, clases = por_clase or (None, [None])
-    particiones = ([columna] if columna else []) + list(valores)
-    salida = df.hint("rebalance", *([columna] if columna else [])) if compactar else df
+    por = por or {}
+    partes = [dict(zip(por, v, strict=True)) for v in product(*por.values())]
+    salida = df.hint("rebalance", *por) if compactar else df
     # On top of the plan, hence in the writing stage, where a retried task is counted once.
     medida = Observation(f"filas_{tabla}")
     cuentas = [
-        F.count_if(F.col(columna) == v).alias(v) if columna else F.count(F.lit(1)).alias("filas") for v in clases
+        F.count_if(reduce(and_, [F.col(c) == v for c, v in p.items()], F.lit(True))).alias(f"n{i}")
+        for i, p in enumerate(partes)
     ]
     # The constants come last: Spark then sees that no sort by them is needed before the write.
     salida = salida.observe(medida, *cuentas).withColumns({c: F.lit(v) for c, v in valores.items()})
     (
         salida.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*particiones)
-        .parquet(_ruta(raiz, tabla))
+        .partitionBy(*por, *valores)
+        .parquet(ruta)
     )
     filas = medida.get
-    sub = "/".join(f"{c}={v}" for c, v in valores.items())
-    for clase in clases:
-        if filas[clase or "filas"] == 0:
-            destino = "/".join(filter(None, [_ruta(raiz, tabla), f"{columna}={clase}" if columna else "", sub]))
-            df.drop(*particiones).limit(0).write.mode("overwrite").parquet(destino)
+    for i, parte in enumerate(partes):
+        if filas[f"n{i}"] == 0:
+            _vaciar(df.drop(*por), ruta, {**parte, **valores})
     return sum(filas.values())
 
 
+def _vaciar(df: DataFrame, ruta: str, particion: Mapping[str, object]) -> None:
+    """Leave a partition without rows but readable."""
+    sub = "/".join(f"{c}={v}" for c, v in particion.items())
+    df.limit(0).write.mode("overwrite").parquet(f"{ruta}/{sub}")
+
+
+def escribir_particiones(
+    df: DataFrame, tabla: str, raiz: str, columnas: Sequence[str], esperadas: Sequence[Mapping[str, object]]
+) -> int:
+    """Replace, in one write, the partitions by `columnas` that `df` has; those `esperadas` without rows are emptied.
+
+    Rows are rebalanced by partition, so files do not multiply by the number of tasks. Returns the rows written.
+    """
+    ruta, vistas = _ruta(raiz, tabla), Observation(f"particiones_{tabla}")
+    partes = F.collect_set(F.concat_ws("/", *columnas)).alias("vistas")
+    (
+        df.hint("rebalance", *columnas)
+        .observe(vistas, partes, F.count(F.lit(1)).alias("filas"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columnas)
+        .parquet(ruta)
+    )
+    con_filas = set(vistas.get["vistas"])
+    for particion in esperadas:
+        if "/".join(str(particion[c]) for c in columnas) not in con_filas:
+            _vaciar(df.drop(*columnas), ruta, {c: particion[c] for c in columnas})
+    return vistas.get["filas"]
+
+
 def en_fechas(desde: date | str, hasta: date | str | None = None) -> Column:
     """Predicate on the written partition columns, so it prunes folders."""
     d = _fecha(desde)
@@ -80,9 +154,32 @@ def leer_silver(
     desde: date | str | None = None,
     hasta: date | str | None = None,
 ) -> DataFrame:
-    """A Silver (or Gold) table, whole or for a run date / a closed range of run dates."""
-    df = spark.read.parquet(_ruta(raiz, tabla))
-    return df if desde is None else df.where(en_fechas(desde, hasta))
+    """A Silver table, whole or for a run date / a closed range of run dates.
+
+    For dates only their own folders are listed, however long the history is. The partition column `feed`,
+    which tells whose part of the table a run replaces, is left out; `_fuente` says the same.
+    """
+    ruta = _ruta(raiz, tabla)
+    lector = spark.read.option("basePath", ruta)
+    if desde is None:
+        return lector.parquet(ruta).drop("feed")
+    dias = (_fecha(hasta) - _fecha(desde)).days if hasta is not None else 0
+    pedidos = [_fecha(desde) + timedelta(days=i) for i in range(dias + 1)]
+    return leer_dias(spark, tabla, raiz, pedidos).where(en_fechas(desde, hasta))
+
+
+def leer_dias(spark: SparkSession, tabla: str, raiz: str, dias: Sequence[date]) -> DataFrame:
+    """The named run dates of a Silver table; only their folders are listed."""
+    ruta = _ruta(raiz, tabla)
+    lector = spark.read.option("basePath", ruta)
+    nivel = _prefijo(spark, ruta)
+    if nivel is None:
+        return lector.parquet(ruta)  # says that there is no such table
+    carpetas = rutas_existentes(spark, *[f"{ruta}/{nivel}year={d.year}/month={d.month}/day={d.day}" for d in dias])
+    if not carpetas:
+        una = rutas_existentes(spark, f"{ruta}/{nivel}year=*/month=*/day=*")[:1]
+        return lector.parquet(*una).where(F.lit(False)).drop("feed")
+    return lector.parquet(*carpetas).drop("feed")
 
 
 def escribir_por_fecha(df: DataFrame, tabla: str, raiz: str, columna: str) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from pyspark.sql.types import StructType
 
 from lonja.contracts import CORRUPTO, Fuente
 from lonja.plans.gold import procesar_gold
-from lonja.plans.silver import exigir_utc, procesar_silver
+from lonja.plans.silver import exigir_utc, reprocesar
 from lonja.sources.bronze import esquema_texto
+from lonja.sources.lake import borrar, rutas_existentes
 
 
 def leer_eventos(
@@ -40,57 +42,60 @@ def leer_eventos(
     return lector.load(carpeta).select("*", F.col("_metadata.file_modification_time").alias("_llegada"))
 
 
+def _identidad(spark: SparkSession, checkpoint: str, nombre: str) -> str:
+    """The stream's origin in Bronze: a name made up with the checkpoint and kept in it.
+
+    A second receiver has another checkpoint, and a lost checkpoint is replaced by one with another name, so
+    no stream can write where another one has.
+    """
+    carpeta = f"{checkpoint.rstrip('/')}/lonja"
+    halladas = rutas_existentes(spark, f"{carpeta}/origen=*")
+    if not halladas:
+        camino = spark._jvm.org.apache.hadoop.fs.Path(f"{carpeta}/origen={nombre}-{uuid4().hex[:12]}")
+        camino.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(camino)
+        halladas = rutas_existentes(spark, f"{carpeta}/origen=*")
+    return min(halladas).rpartition("=")[2]
+
+
 def iniciar_microlotes(
     flujo: DataFrame,
-    fuentes: tuple[Fuente, ...],
     fuente: Fuente,
     *,
     bronze: str,
-    silver: str,
     checkpoint: str,
-    gold: str | None = None,
+    nombre: str = "eventos",
     fecha: Column | None = None,
-    run_ts: datetime | None = None,
 ) -> StreamingQuery:
-    """Land every micro-batch in Bronze, then rebuild Silver (and Gold) for the run dates it touched.
+    """Land every micro-batch in Bronze, under `fecha=/origen=/lote=`.
 
     Each event belongs to the run date `fecha`, by default the date its file arrived: a property of
-    the data, so a batch replayed after a failure, even past midnight, lands in the same place. A
-    replay overwrites its own `lote=` folder, and Silver is a function of the date's whole Bronze, so
-    redelivered and restarted batches change nothing and a late event is just a row of its run date.
-    No state is kept between batches. The trigger takes what is available and ends; any scheduler can
-    launch it every 15 minutes. `fuentes` are the feeds of the Silver tables to rebuild; those without
-    data for the date count as empty.
+    the data, so a batch replayed after a failure, even past midnight, lands in the same place. An event
+    without that date takes its arrival date; without either the batch fails instead of losing it. A replay
+    overwrites its own `lote=` folder only. The dates a batch brought are noted next to the checkpoint
+    until `reconstruir` has worked on them. The trigger takes what is available and ends.
     """
     spark = flujo.sparkSession
     exigir_utc(spark)
-    fecha = F.to_date("_llegada") if fecha is None else fecha
+    origen = _identidad(spark, checkpoint, nombre)
+    llegada = F.to_date("_llegada") if "_llegada" in flujo.columns else F.lit(None).cast("date")
+    sin_fecha = F.raise_error(F.lit(f"{fuente.tabla}: an event has neither a run date nor an arrival date"))
+    dia = F.coalesce(*([fecha.cast("date")] if fecha is not None else []), llegada, sin_fecha.cast("date"))
     columnas = [c for c in flujo.columns if c != "_llegada"]
-    con_fecha = flujo.select(*columnas, fecha.alias("fecha"))
+    con_fecha = flujo.select(*columnas, dia.alias("fecha"))
 
     def lote(df: DataFrame, numero: int) -> None:
         sesion = df.sparkSession
         vistas = Observation("fechas_del_lote")  # the run dates come out of the write itself
         (
-            df.withColumn("lote", F.lit(numero))
+            df.withColumns({"origen": F.lit(origen), "lote": F.lit(numero)})
             .observe(vistas, F.collect_set("fecha").alias("fechas"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("fecha", "lote")
+            .partitionBy("fecha", "origen", "lote")
             .parquet(f"{bronze.rstrip('/')}/{fuente.tabla}")
         )
-        for dia in sorted(vistas.get["fechas"]):
-            procesar_silver(
-                sesion,
-                bronze,
-                silver,
-                dia,
-                run_ts=run_ts or datetime.now(timezone.utc),
-                fuentes=fuentes,
-                permitir_vacio=True,
-            )
-            if gold:
-                procesar_gold(sesion, silver, gold, dia)
+        dias = sesion.createDataFrame([(d,) for d in vistas.get["fechas"]], "fecha date")
+        dias.coalesce(1).write.mode("overwrite").parquet(f"{checkpoint.rstrip('/')}/lonja/lote={numero}")
 
     return (
         con_fecha.writeStream.foreachBatch(lote)
@@ -98,3 +103,56 @@ def iniciar_microlotes(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def reconstruir(
+    spark: SparkSession,
+    fuente: Fuente,
+    *,
+    bronze: str,
+    silver: str,
+    checkpoint: str,
+    gold: str | None = None,
+    run_ts: datetime | None = None,
+) -> list[date]:
+    """Rebuild, in one job, the run dates that landed batches touched and that were not rebuilt yet.
+
+    Silver is a function of the dates' whole Bronze, so redelivered and restarted batches change nothing and
+    a late event is just a row of its run date. Only the feed's own part of the tables is replaced. A failure
+    leaves the notes in place, and the next call does the work again.
+    """
+    notas = rutas_existentes(spark, f"{checkpoint.rstrip('/')}/lonja/lote=*")
+    if not notas:
+        return []
+    dias = sorted(f for (f,) in spark.read.schema("fecha date").parquet(*notas).distinct().collect())
+    if dias:
+        reprocesar(spark, bronze, silver, dias, run_ts=run_ts, fuentes=(fuente,))
+        if gold and fuente.destino == "ventas":
+            procesar_gold(spark, silver, gold, dias)
+    for nota in notas:
+        borrar(spark, nota)
+    return dias
+
+
+def ejecutar_microlotes(
+    flujo: DataFrame,
+    fuente: Fuente,
+    *,
+    bronze: str,
+    silver: str,
+    checkpoint: str,
+    gold: str | None = None,
+    nombre: str = "eventos",
+    fecha: Column | None = None,
+    run_ts: datetime | None = None,
+) -> StreamingQuery:
+    """Land what is available, in as many micro-batches as it takes, then rebuild the touched dates once.
+
+    Any scheduler can launch this every 15 minutes; no state is kept but the notes of unfinished work.
+    """
+    consulta = iniciar_microlotes(flujo, fuente, bronze=bronze, checkpoint=checkpoint, nombre=nombre, fecha=fecha)
+    consulta.awaitTermination()
+    reconstruir(
+        flujo.sparkSession, fuente, bronze=bronze, silver=silver, checkpoint=checkpoint, gold=gold, run_ts=run_ts
+    )
+    return consulta

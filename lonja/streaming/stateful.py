@@ -1,14 +1,13 @@
 """Stateful forms: first-delivery deduplication within a horizon, running totals, late rows.
 
-State is bounded by the horizon, so an event older than it can be counted as late. Those rows are not
-lost: `separar_tardias` routes them to their own table, and the micro-batch recomputation
-(`lonja.streaming.microbatch`) has no horizon at all.
+State is bounded by the horizon, and Spark's own operators drop events that are older. `escribir_primeras`
+keeps them in a table of their own, `separar_tardias` tells rows apart that arrived late, and the micro-batch
+recomputation (`lonja.streaming.microbatch`) has no horizon at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lonja.contracts import Fuente
 from lonja.operators.conform import completar, validas
 from lonja.plans.gold import MONTO, con_fecha
+from lonja.sources.lake import borrar, rutas_existentes
 
 
 def conformar_flujo(
@@ -64,51 +64,90 @@ def totales_en_flujo(ventas: DataFrame) -> DataFrame:
     return con_fecha(ventas).groupBy("canal", "fecha").agg(F.sum("monto_total").cast(MONTO).alias("ventas_totales"))
 
 
-@contextmanager
-def _sin_lotes_vacios(spark: SparkSession):
-    """No extra batch just to clean state up after the last data: the next run's first batch does it.
+def escribir_anexo(flujo: DataFrame, ruta: str, checkpoint: str) -> StreamingQuery:
+    """Append a stream to Parquet exactly once, taking what is available."""
+    return (
+        flujo.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(ruta)
+    )
 
-    A query copies the session's settings when it starts, so they are put back right after.
+
+def escribir_totales(totales: DataFrame, ruta: str, checkpoint: str) -> StreamingQuery:
+    """Write the small totals table after every micro-batch (complete mode), each time into a folder of its own.
+
+    `leer_totales` reads the newest complete one, so there is always a table to read; the one before is kept
+    for readers that have begun, older ones are deleted.
     """
-    clave = "spark.sql.streaming.noDataMicroBatches.enabled"
-    previo = spark.conf.get(clave)
-    spark.conf.set(clave, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(clave, previo)
 
+    def lote(df: DataFrame, numero: int) -> None:
+        spark = df.sparkSession
+        df.write.mode("overwrite").parquet(f"{ruta}/lote={numero}")
+        for carpeta in _lotes_escritos(spark, ruta)[:-2]:
+            borrar(spark, carpeta)
+
+    return (
+        totales.writeStream.foreachBatch(lote)
+        .outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
-def escribir_anexo(flujo: DataFrame, ruta: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to Parquet exactly once, taking what is available."""
-    with _sin_lotes_vacios(flujo.sparkSession):
-        return (
-            flujo.writeStream.format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(ruta)
-        )
 
+def _lotes_escritos(spark: SparkSession, ruta: str) -> list[str]:
+    """Folders of completely written batches, oldest first."""
+    hechos = [h.rpartition("/")[0] for h in rutas_existentes(spark, f"{ruta}/lote=*/_SUCCESS")]
+    return sorted(hechos, key=lambda h: int(h.rpartition("=")[2]))
 
-def escribir_totales(totales: DataFrame, ruta: str, checkpoint: str) -> StreamingQuery:
-    """Replace the small totals table after every micro-batch (complete mode)."""
 
-    def lote(df: DataFrame, _: int) -> None:
-        df.write.mode("overwrite").parquet(ruta)
+def leer_totales(spark: SparkSession, ruta: str) -> DataFrame:
+    """The totals as of the last finished micro-batch."""
+    return spark.read.parquet(_lotes_escritos(spark, ruta)[-1])
+
 
-    with _sin_lotes_vacios(totales.sparkSession):
-        return (
-            totales.writeStream.foreachBatch(lote)
-            .outputMode("complete")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+def escribir_primeras(
+    ventas: DataFrame,
+    ruta: str,
+    checkpoint: str,
+    horizonte: str,
+    *,
+    llave: str = "venta_id",
+    tiempo: str = "vendido_en",
+) -> StreamingQuery:
+    """Each sale once, first delivery, and no row lost: `<ruta>/a_tiempo` and `<ruta>/tardias`, by `lote=`.
 
+    The watermark is the newest time of the batches before, less `horizonte`. Rows older than it, which a
+    stateful operator would drop, go to `tardias`. The others are reduced to one row per key and compared with
+    the sales already in `a_tiempo` that are not older than the watermark, so the work per batch is bounded by
+    the horizon. A replayed batch finds the same earlier batches and replaces its own folders.
+    """
 
-def tardias_descartadas(consulta: StreamingQuery) -> int:
-    """Rows dropped as older than the watermark, over the progress reports Spark still holds."""
-    return sum(
-        op["numRowsDroppedByWatermark"] for progreso in consulta.recentProgress for op in progreso["stateOperators"]
+    def anteriores(spark: SparkSession, parte: str, numero: int) -> list[str]:
+        previos = rutas_existentes(spark, f"{ruta}/{parte}/lote=*/_SUCCESS")
+        carpetas = [h.rpartition("/")[0] for h in previos]
+        return [c for c in carpetas if int(c.rpartition("=")[2]) < numero]
+
+    def lote(df: DataFrame, numero: int) -> None:
+        spark = df.sparkSession
+        vistas = anteriores(spark, "a_tiempo", numero)
+        unicas, tarde = df.dropDuplicates([llave]), df.where(F.lit(False))
+        if vistas:
+            previas = spark.read.schema(df.schema).parquet(*vistas).select(llave, tiempo)
+            limite = previas.agg((F.max(tiempo) - F.expr(f"INTERVAL {horizonte}")).alias("limite")).first()["limite"]
+            if limite is not None:
+                fuera = F.coalesce(F.col(tiempo) < F.lit(limite), F.lit(False))
+                unicas, tarde = df.where(~fuera).dropDuplicates([llave]), df.where(fuera)
+                previas = previas.where(F.coalesce(F.col(tiempo) >= F.lit(limite), F.lit(True)))
+            unicas = unicas.join(previas.select(llave), llave, "left_anti").select(*df.columns)
+        tarde.write.mode("overwrite").parquet(f"{ruta}/tardias/lote={numero}")
+        unicas.write.mode("overwrite").parquet(f"{ruta}/a_tiempo/lote={numero}")
+
+    return (
+        ventas.writeStream.foreachBatch(lote)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )

@@ -98,6 +98,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY canal, venta_id
         ORDER BY vendido_en DESC NULLS LAST, sku DESC NULLS LAST, monto_total DESC NULLS LAST,
                  tienda_id DESC NULLS LAST, precio_unitario DESC NULLS LAST, cantidad DESC NULLS LAST) AS rn
       FROM todas WHERE clase = 'valida') WHERE rn = 1""",
+    "vueltas": """
+SELECT * EXCLUDE rn
+FROM (SELECT *, row_number() OVER (PARTITION BY canal, venta_id
+        ORDER BY vendido_en DESC NULLS LAST, sku DESC NULLS LAST, monto_total DESC NULLS LAST,
+                 tienda_id DESC NULLS LAST, precio_unitario DESC NULLS LAST, cantidad DESC NULLS LAST) AS rn
+      FROM todas WHERE clase = 'devolucion') WHERE rn = 1""",
     "inventario": """
 SELECT * EXCLUDE rn
 FROM (SELECT *, row_number() OVER (PARTITION BY tienda_id, sku
@@ -133,6 +139,7 @@ def _calidad() -> str:
     partes = []
     for tabla, canal in (("ventas_tiendas", "tienda_fisica"), ("ventas_ecommerce", "ecommerce")):
         llaves = f"(SELECT count(*) FROM ventas WHERE canal = '{canal}')"
+        vueltas = f"(SELECT count(*) FROM vueltas WHERE canal = '{canal}')"
         partes.append(
             _metrica(
                 tabla,
@@ -141,8 +148,8 @@ def _calidad() -> str:
                 nulos_sku="count(*) FILTER (sku IS NULL)",
                 nulos_monto="count(*) FILTER (monto_total IS NULL)",
                 rechazadas="count(*) FILTER (clase = 'rechazo')",
-                devoluciones="count(*) FILTER (clase = 'devolucion')",
-                duplicadas=f"count(*) FILTER (clase = 'valida') - {llaves}",
+                devoluciones=vueltas,
+                duplicadas=f"count(*) FILTER (clase <> 'rechazo') - {llaves} - {vueltas}",
             )
             + f" FROM todas WHERE canal = '{canal}'"
         )
@@ -211,7 +218,49 @@ SELECT id_transaccion AS inventario_id, codigo_tienda AS tienda_id, nombre_tiend
          CASE WHEN {CLAVES_POS['codigo_producto']} THEN 'vacio:sku' END,
          CASE WHEN {CLAVES_POS['codigo_tienda']} THEN 'vacio:tienda_id' END) AS motivos
 FROM pos""",
-    "devoluciones": f"SELECT {CANONICAS} FROM todas WHERE clase = 'devolucion'",
+    "devoluciones": f"SELECT {CANONICAS} FROM vueltas",
+    "devoluciones_repetidas": """
+SELECT (SELECT count(*) FROM vueltas WHERE canal = 'tienda_fisica') AS devueltas,
+       (SELECT count(DISTINCT venta_id) FROM todas WHERE clase = 'devolucion' AND canal = 'tienda_fisica') AS llaves,
+       (SELECT count(*) FROM ventas WHERE canal = 'tienda_fisica') AS limpias""",
+    "gold_entregas_repetidas": f"""
+SELECT canal, CAST(vendido_en AS DATE) AS fecha, {SUMA}
+FROM (SELECT canal,
+             CASE WHEN CAST(venta_id AS BIGINT) % 6 = 0 THEN vendido_en + INTERVAL 1 DAY ELSE vendido_en END AS vendido_en,
+             CASE WHEN CAST(venta_id AS BIGINT) % 6 = 0 THEN monto_total * 2 ELSE monto_total END AS monto_total
+      FROM ventas WHERE canal = 'ecommerce') GROUP BY 1, 2""",
+    "bronze_origenes": ECOMMERCE,
+    "extraccion_con_solape": ECOMMERCE,
+    "silver_parcial": """
+SELECT _fuente AS parte, count(*) AS filas FROM ventas GROUP BY _fuente
+UNION ALL SELECT unnest(['calidad/ventas_tiendas', 'calidad/ventas_ecommerce', 'calidad/inventario']), 2""",
+    "silver_por_hora": f"""
+SELECT CAST(10 + CAST(venta_id AS BIGINT) % 2 AS INTEGER) AS hour, count(*) AS n_ventas, {SUMA}
+FROM ventas WHERE canal = 'ecommerce' GROUP BY 1""",
+    "reproceso_de_fechas": f"""
+SELECT CAST(13 - d AS INTEGER) AS day, count(*) AS n_ventas, {SUMA}, count(*) AS medidas
+FROM ventas CROSS JOIN range(3) AS r(d)
+WHERE canal = 'ecommerce' AND CAST(venta_id AS BIGINT) % 3 IN (d, (d + 1) % 3) GROUP BY d""",
+    "stream_sin_perdidas": """
+SELECT venta_id, vendido_en,
+       CASE WHEN day(vendido_en) < 24 AND vendido_en < (SELECT max(vendido_en) FROM ventas WHERE canal = 'ecommerce')
+                 - INTERVAL 10 DAY THEN 'tardias' ELSE 'a_tiempo' END AS parte
+FROM ventas WHERE canal = 'ecommerce'""",
+    "gold_catalogo_del_dia": f"{CONSOLIDADAS} HAVING fecha = DATE '2024-01-15'",
+    "gold_ventas_de_hoy": f"SELECT canal, {SUMA} FROM con_fecha WHERE fecha = DATE '2024-01-15' GROUP BY canal",
+    "personas_enmascaradas": """
+SELECT c_custkey, sha256(c_name) AS nombre, sha256(' Calle ' || CAST(c_nationkey AS VARCHAR) || ' No. 5 ') AS direccion,
+       sha256('4000 0000 0000 ' || substr(lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(4, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0'), 1, 4)) AS tarjeta
+FROM customer""",
+    "rechazos_inventario_erp": """
+SELECT motivos, count(*) AS count FROM (
+  SELECT concat_ws(',', CASE WHEN n % 17 = 0 THEN 'nulo:ultima_actualizacion' END,
+                        CASE WHEN falta THEN 'nulo:stock_reservado' END,
+                        CASE WHEN n % 19 = 0 THEN 'vacio:inventario_id' END,
+                        CASE WHEN n % 13 = 0 THEN 'vacio:sku' END,
+                        CASE WHEN n % 11 = 0 THEN 'vacio:tienda_id' END) AS motivos
+  FROM (SELECT CAST(split_part(inv_id, '-', 1) AS BIGINT) AS n, qty_reserved IS NULL AS falta FROM inv))
+WHERE motivos <> '' GROUP BY motivos""",
     "registros_validos": "SELECT * FROM pos WHERE NOT ({}) AND NOT ({})".format(*CLAVES_POS.values()),
     "registros_vacios": """
 SELECT *, concat_ws(',', CASE WHEN {0} THEN 'vacio:codigo_producto' END,
@@ -250,7 +299,8 @@ WHERE canal = 'ecommerce' AND fecha = DATE '2024-01-15'""",
     "trabajo_silver": """
 SELECT 'ventas' AS tabla, _fuente, 'valida' AS clase, count(*) AS filas FROM ventas GROUP BY _fuente
 UNION ALL SELECT 'inventario', _fuente, 'valida', count(*) FROM inventario GROUP BY _fuente
-UNION ALL SELECT 'ventas_apartadas', _fuente, clase, count(*) FROM todas WHERE clase <> 'valida' GROUP BY _fuente, clase""",
+UNION ALL SELECT 'ventas_apartadas', _fuente, clase, count(*) FROM todas WHERE clase = 'rechazo' GROUP BY _fuente, clase
+UNION ALL SELECT 'ventas_apartadas', _fuente, clase, count(*) FROM vueltas GROUP BY _fuente, clase""",
     "trabajo_gold": CONSOLIDADAS,
     "extraccion_incremental": "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'",
     "marca_siguiente": "SELECT greatest(max(o_orderdate), TIMESTAMP '1998-01-01 00:00:00') AS marca FROM orders",
@@ -280,8 +330,16 @@ SELECT sku, min(fecha) AS primera_venta, max(fecha) AS ultima_venta FROM con_fec
 SELECT DISTINCT fecha, CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS INTEGER) AS mes,
        CAST(quarter(fecha) AS INTEGER) AS trimestre, CAST(isodow(fecha) - 1 AS INTEGER) AS dia_semana FROM con_fecha""",
     "gold_estrella_ventas": f"""
-SELECT canal, tienda_nombre, CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS INTEGER) AS mes,
-       {SUMA}, CAST(sum(cantidad) AS BIGINT) AS unidades FROM con_fecha GROUP BY 1, 2, 3, 4""",
+SELECT v.canal, coalesce(t.tienda_nombre, 'desconocido') AS tienda_nombre,
+       coalesce(p.tiendas_con_stock, 0) AS tiendas_con_stock,
+       CAST(year(v.fecha) AS INTEGER) AS anio, CAST(month(v.fecha) AS INTEGER) AS mes,
+       {SUMA}, CAST(sum(cantidad) AS BIGINT) AS unidades
+FROM con_fecha v
+LEFT JOIN (SELECT tienda_id, max(tienda_nombre) AS tienda_nombre FROM inventario
+           WHERE tienda_id <= 'T5' GROUP BY tienda_id) t ON v.tienda_id = t.tienda_id
+LEFT JOIN (SELECT sku, count(DISTINCT tienda_id) AS tiendas_con_stock FROM inventario
+           WHERE tienda_id <= 'T5' GROUP BY sku) p ON v.sku = p.sku
+GROUP BY 1, 2, 3, 4, 5""",
     "gold_ventas_vs_inventario": f"""
 SELECT v.tienda_id, v.sku, ventas_totales, unidades, n_ventas, stock_disponible, stock_reservado
 FROM (SELECT tienda_id, sku, {TOTALES} FROM ventas GROUP BY tienda_id, sku) v
