@@ -220,6 +220,7 @@ def procesar_gold(
     *,
     desde: date | str | None = None,
     detalle: bool = False,
+    grano: str = "fecha",
 ) -> int:
     """Refresh Gold for what the given run dates brought; returns the rows of consolidated sales written.
 
@@ -238,8 +239,12 @@ def procesar_gold(
     historia = leer_silver(spark, "ventas", silver)
     if desde is not None:
         historia = historia.where(F.make_date(*map(F.col, DIA)) >= F.lit(str(desde)).cast("date"))
+    patron = {"fecha": "yyyy-MM-dd", "mes": "yyyy-MM"}[grano]
+    periodo = F.date_format("fecha", patron).alias("periodo")
     ruta = f"{gold.rstrip('/')}/ventas_vigentes"
-    previas = spark.read.parquet(ruta) if rutas_existentes(spark, f"{ruta}/fecha=*") else None
+    previas = None
+    if rutas_existentes(spark, f"{ruta}/periodo=*"):
+        previas = spark.read.parquet(ruta).withColumn("periodo", F.col("periodo").cast("string"))
     tocadas = corrida.select(*CLAVE)
     if previas is not None:
         tocadas = tocadas.unionByName(previas.where(F.col("_corrida").isin(dias)).select(*CLAVE))
@@ -249,25 +254,25 @@ def procesar_gold(
     versiones = _con_corrida(historia.join(tocadas, [*CLAVE], "left_semi"))
     deduplicar(versiones, CLAVE, (*ORDEN_VENTAS, "_corrida")).write.parquet(f"{trabajo}/nuevas")
     nuevas = spark.read.parquet(f"{trabajo}/nuevas")
-    cambian = nuevas.select("fecha")
+    cambian = nuevas.select(periodo)
     if previas is not None:
-        cambian = cambian.unionByName(previas.join(tocadas, [*CLAVE], "left_semi").select("fecha"))
-    fechas = sorted(f for (f,) in cambian.distinct().collect())
-    if not fechas:
+        cambian = cambian.unionByName(previas.join(tocadas, [*CLAVE], "left_semi").select("periodo"))
+    periodos = sorted(p for (p,) in cambian.distinct().collect())
+    if not periodos:
         return 0
-    resultado = nuevas
+    resultado = nuevas.withColumn("periodo", periodo)
     if previas is not None:
-        siguen = previas.where(F.col("fecha").isin(fechas)).join(tocadas, [*CLAVE], "left_anti")
-        resultado = siguen.unionByName(nuevas)
-    esperadas = [{"fecha": f} for f in fechas]
-    escribir_particiones(resultado, "ventas_vigentes", gold, ["fecha"], esperadas)
+        siguen = previas.where(F.col("periodo").isin(periodos)).join(tocadas, [*CLAVE], "left_anti")
+        resultado = siguen.unionByName(resultado)
+    esperadas = [{"periodo": p} for p in periodos]
+    escribir_particiones(resultado, "ventas_vigentes", gold, ["periodo"], esperadas)
     borrar(spark, trabajo)
-    vigentes = spark.read.option("basePath", ruta).parquet(*[f"{ruta}/fecha={f}" for f in fechas])
-    consolidadas = _totales(vigentes, "canal", "fecha").select("canal", "fecha", "ventas_totales")
+    vigentes = leer_gold(spark, "ventas_vigentes", gold, periodos)
+    consolidadas = _totales(vigentes, "canal", "fecha").select("canal", "fecha", "ventas_totales", periodo)
     if detalle:
-        por_sku = _totales(vigentes, "canal", "tienda_id", "sku", "fecha")
-        escribir_particiones(por_sku, "ventas_por_tienda_sku_dia", gold, ["fecha"], esperadas)
-    return escribir_particiones(consolidadas, "ventas_consolidadas", gold, ["fecha"], esperadas)
+        por_sku = _totales(vigentes, "canal", "tienda_id", "sku", "fecha").withColumn("periodo", periodo)
+        escribir_particiones(por_sku, "ventas_por_tienda_sku_dia", gold, ["periodo"], esperadas)
+    return escribir_particiones(consolidadas, "ventas_consolidadas", gold, ["periodo"], esperadas)
 
 
 def procesar_dimensiones(spark: SparkSession, silver: str, gold: str, run_date: date | str) -> None:
@@ -282,13 +287,18 @@ def procesar_dimensiones(spark: SparkSession, silver: str, gold: str, run_date:
         escribir_silver(dim, nombre, gold, run_date)
 
 
-def leer_gold(spark: SparkSession, tabla: str, gold: str, fechas: Iterable[date | str] | None = None) -> DataFrame:
-    """A Gold table by sale date, whole or for some dates, whose folders alone are listed."""
+def leer_gold(spark: SparkSession, tabla: str, gold: str, periodos: Iterable[str] | None = None) -> DataFrame:
+    """A Gold table, whole or for some periods, whose folders alone are listed. `fecha` is an ordinary column."""
     ruta = f"{gold.rstrip('/')}/{tabla}"
-    carpetas = [ruta] if fechas is None else [f"{ruta}/fecha={f}" for f in fechas]
-    return spark.read.option("basePath", ruta).parquet(*carpetas)
-
-
-def leer_consolidadas(spark: SparkSession, gold: str) -> DataFrame:
-    """Sales total by channel and date; a filter on `fecha` reads that date's folder."""
-    return leer_gold(spark, "ventas_consolidadas", gold).select("canal", "fecha", "ventas_totales")
+    carpetas = [ruta] if periodos is None else [f"{ruta}/periodo={p}" for p in periodos]
+    return spark.read.option("basePath", ruta).parquet(*carpetas).drop("periodo")
+
+
+def leer_consolidadas(spark: SparkSession, gold: str, dia: date | str | None = None) -> DataFrame:
+    """Sales total by channel and date, of all dates or of one, for which only its period is read."""
+    if dia is None:
+        return leer_gold(spark, "ventas_consolidadas", gold)
+    ruta = f"{gold.rstrip('/')}/ventas_consolidadas"
+    hay = [p for p in (str(dia), str(dia)[:7]) if rutas_existentes(spark, f"{ruta}/periodo={p}")]
+    leidas = leer_gold(spark, "ventas_consolidadas", gold, hay or None)
+    return leidas.where(F.col("fecha") == F.lit(str(dia)).cast("date"))

@@ -321,7 +321,7 @@ def trabajo_gold(spark, sf_dir):
     """Consolidated sales through the written Silver and Gold tables."""
     _, limpias = _lago(spark, sf_dir)
     oro = espacio(spark, "gold")
-    gold.procesar_gold(spark, limpias, oro, RUN_DATE)
+    gold.procesar_gold(spark, limpias, oro, RUN_DATE, grano="mes")
     return gold.leer_consolidadas(spark, oro)
 
 
@@ -583,10 +583,13 @@ def gold_catalogo_del_dia(spark, sf_dir):
     """The one-day report as SQL over the published Gold table, by its partition."""
     _, limpias = _lago(spark, sf_dir)
     oro = espacio(spark, "gold")
-    gold.procesar_gold(spark, limpias, oro, RUN_DATE)
+    gold.procesar_gold(spark, limpias, oro, RUN_DATE, grano="mes")
     nombre = f"oro_{oro.rpartition('-')[2]}.ventas_consolidadas"
     lake.publicar_tabla(spark, nombre, oro, "ventas_consolidadas")
-    return spark.sql(f"SELECT canal, fecha, ventas_totales FROM {nombre} WHERE fecha = :dia", args={"dia": DIA})
+    return spark.sql(
+        f"SELECT canal, fecha, ventas_totales FROM {nombre} WHERE periodo = date_format(:dia, 'yyyy-MM') AND fecha = :dia",
+        args={"dia": DIA},
+    )
 
 
 @consulta

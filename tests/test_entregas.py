@@ -90,11 +90,18 @@ def test_gold_of_one_date_reads_one_folder(spark, rutas):
     b, s, g = rutas
     llegan(spark, b, [pedido(i, 10, dia=i) for i in range(1, 10)])
     correr(spark, b, s, g)
-    uno = gold.leer_consolidadas(spark, g).where("fecha = DATE '2025-04-03'")
-    plan = uno._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(fecha" in plan and uno.count() == 1
+    uno = gold.leer_consolidadas(spark, g, "2025-04-03")
+    assert uno.count() == 1 and len(uno.inputFiles()) == 1
+    assert gold.leer_consolidadas(spark, g, "2025-05-03").count() == 0
     assert gold.procesar_gold(spark, s, g, DIA, detalle=True) == 9
     assert gold.leer_gold(spark, "ventas_por_tienda_sku_dia", g, ["2025-04-03"]).count() == 1
+    mensual = g + "_mes"
+    assert gold.procesar_gold(spark, s, mensual, DIA, grano="mes") == 9
+    llegan(spark, b, [pedido(1, 11, 2000, dia=4)], DIA + timedelta(days=1))
+    silver.procesar_silver(spark, b, s, DIA + timedelta(days=1), fuentes=SOLO)
+    gold.procesar_gold(spark, s, mensual, DIA + timedelta(days=1), grano="mes")
+    assert gold.leer_consolidadas(spark, mensual, "2025-04-01").count() == 0
+    assert float(gold.leer_consolidadas(spark, mensual, "2025-04-04").first()["ventas_totales"]) == 30
 
 
 def test_a_pruned_read_lists_one_folder(spark, rutas):
