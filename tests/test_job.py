@@ -129,8 +129,8 @@ def test_backfill_writes_one_file_per_date(spark, lago, tmp_path):
 def test_gold_job_and_catalog(spark, lago, tmp_path):
     _, s, _ = lago
     oro = str(tmp_path / "gold")
-    n = gold.procesar_gold(spark, s, oro, DIA)
-    assert n == gold.procesar_gold(spark, s, oro, DIA) == gold.leer_consolidadas(spark, oro).count()
+    n = gold.procesar_gold(spark, s, oro, DIA, grano="mes")
+    assert n == gold.procesar_gold(spark, s, oro, DIA, grano="mes") == gold.leer_consolidadas(spark, oro).count()
     lake.publicar_tabla(spark, "oro.ventas_consolidadas", oro, "ventas_consolidadas")
     total = spark.sql("SELECT sum(ventas_totales) AS t FROM oro.ventas_consolidadas").first()["t"]
     esperado = lake.leer_silver(spark, "ventas", s, DIA).agg(F.sum("monto_total").alias("t")).first()["t"]
