@@ -139,8 +139,8 @@ def linked_sets(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, crc, n, digest, bands, lanes) of prepared documents; an empty set has null sketches."""
-    schema = "doc_id long, crc long, n long, digest binary, bands binary, lanes binary"
+    """(doc_id, crc, key, n, digest, bands, lanes) of prepared documents; an empty set has null sketches."""
+    schema = "doc_id long, crc long, key long, n long, digest binary, bands binary, lanes binary"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def part(batch: pa.RecordBatch, lo: int, hi: int) -> pa.RecordBatch:
@@ -157,7 +157,7 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
         each = iter(found)
         rows = [next(each) if len(s) else (None, None, None) for s in sets]
         digest, bands, lanes = map(list, zip(*rows, strict=True))
-        cols = [here.column("doc_id"), here.column("crc"), pa.array([len(s) for s in sets], pa.int64())]
+        cols = [*map(here.column, names[:3]), pa.array([len(s) for s in sets], pa.int64())]
         cols += [pa.array(c, pa.binary()) for c in (digest, bands, lanes)]
         return pa.RecordBatch.from_arrays(cols, names)
 
@@ -173,13 +173,14 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
                 yield part(batch, lo, batch.num_rows)
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", "crc", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "crc", "key", "text").mapInArrow(run, schema)
 
 
 def with_crc(docs: DataFrame) -> DataFrame:
-    """(doc_id, crc, text), null texts empty; the CRC tells rows with equal doc_id apart."""
+    """(doc_id, crc, key, text), null texts empty; the key, a 64-bit digest, tells rows with equal doc_id apart."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
+    crc = F.crc32(text.cast("binary")).alias("crc")
+    return docs.select(F.col("doc_id").cast("long"), crc, F.xxhash64(text).alias("key"), text.alias("text"))
 
 
 def _blocks(rows: DataFrame, blocks: str, *group: str) -> DataFrame:
@@ -232,7 +233,7 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
 def confirmed_groups(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Members linked on full sets within clusters: (u, v, digest, low, parts), v standing for the reached ones.
 
-    `members`: (node, digest, doc_id, crc, cluster, blocks). `low` is the smallest doc_id that the search
+    `members`: (node, digest, doc_id, key, cluster, blocks). `low` is the smallest doc_id that the search
     reached. Where `parts` is 1 the cluster was searched as a whole, so that is the component's.
     """
     schema = "cluster long, node long, doc_id long, digest binary, blocks int, shingles binary"
@@ -262,7 +263,7 @@ def confirmed_groups(members: DataFrame, docs: DataFrame, size: int, percent: in
         arrays = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, ["u", "v", "digest", "low", "parts"])
 
-    null_safe = docs["doc_id"].eqNullSafe(members["doc_id"]) & (docs["crc"] == members["crc"])
+    null_safe = docs["doc_id"].eqNullSafe(members["doc_id"]) & (docs["key"] == members["key"])
     # by shuffle at every size: whether the members are few enough to broadcast depends on the corpus
     texts = docs.join(members.hint("merge"), null_safe).select(
         "cluster", "node", members["doc_id"], "digest", "blocks", "text"
@@ -274,44 +275,49 @@ def confirmed_groups(members: DataFrame, docs: DataFrame, size: int, percent: in
 
 
 def _lowest_ids(links: DataFrame) -> DataFrame:
-    """(digest, component_id) of linked nodes. Clusters that were searched in parts are put together first."""
-    whole = links.where("parts = 1").select("digest", F.col("low").alias("component_id"))
+    """(digest, component_id, root) of linked nodes. Clusters searched in parts are put together first."""
+    whole = links.where("parts = 1").select("digest", F.col("low").alias("component_id"), F.col("v").alias("root"))
     parts = links.where("parts > 1")
     if parts.isEmpty():
         return whole
     linked = components(parts.select("u", "v"))
     named = parts.select("u", "digest", "low").join(linked, F.col("u") == F.col("node"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return whole.unionByName(named.join(lowest, "root").select("digest", "component_id").distinct())
+    return whole.unionByName(named.join(lowest, "root").select("digest", "component_id", "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): doc_id, text_crc32, n_shingles, component_id, kept.
-
-    Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id is the
-    smallest doc_id reachable over links, `kept` whether it is the row's own. Fewer words than `shingle` make
-    one shingle of all; no words or a null text make an empty set, which is linked with nothing. A null doc_id
-    counts as larger than all others. Rows with equal doc_id and text have equal results. An empty table gives
-    no rows; other columns are ignored.
-    """
-    spark = docs.sparkSession
+def linked(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, one node per distinct set with its smallest row, and what `_lowest_ids` gives."""
     base = with_crc(docs)
     sketches = written(sketch(base, shingle), "minhash-sketch")
     distinct = sketches.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "crc")).alias("best"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best"),
         *[F.first(c).alias(c) for c in ("n", "bands", "lanes")],
     )
     nodes = distinct.select(
-        F.monotonically_increasing_id().alias("node"), "digest", "best.doc_id", "best.crc", "n", "bands", "lanes"
+        F.monotonically_increasing_id().alias("node"), "digest", "best.doc_id", "best.key", "n", "bands", "lanes"
     )
     nodes = written(nodes, "minhash-nodes")
     clusters = components(candidate_edges(nodes, percent / 100))
-    members = nodes.select("node", "digest", "doc_id", "crc", "n").join(clusters, "node")
+    members = nodes.select("node", "digest", "doc_id", "key", "n").join(clusters, "node")
     volume = members.groupBy("root").agg(F.ceil(F.sum("n") / CLUSTER_BLOCK).alias("blocks"))
     blocks = F.when(F.col("blocks") > 1, F.col("blocks") + 1).otherwise(1).cast("int")
     members = members.join(volume.select("root", blocks.alias("blocks")), "root").withColumnRenamed("root", "cluster")
     links = written(confirmed_groups(members, base, shingle, percent), "minhash-links")
-    by_digest = nodes.select("digest", F.col("doc_id").alias("first_id")).join(_lowest_ids(links), "digest", "left")
+    return sketches, nodes, _lowest_ids(links)
+
+
+def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row per row of `docs` (doc_id, text): doc_id, text_crc32, n_shingles, component_id, kept.
+
+    Documents are linked if 100 * intersection >= percent * union of their shingle sets; component_id is the
+    smallest doc_id reachable over links, `kept` whether it is the row's own. Fewer words than `shingle` make
+    one shingle of all; no words or a null text make an empty set, which is linked with nothing. A null doc_id
+    counts as larger than all others. Rows with equal doc_id and text have equal results. An empty table gives
+    no rows; other columns are ignored.
+    """
+    sketches, nodes, lowest = linked(docs, shingle, percent)
+    by_digest = nodes.select("digest", F.col("doc_id").alias("first_id")).join(lowest, "digest", "left")
     by_digest = by_digest.select("digest", F.coalesce("component_id", "first_id").alias("component_id"))
     out = sketches.select("doc_id", "crc", "n", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -321,16 +327,21 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, with all their columns, that stand for their group: the smallest doc_id of each.
+    """The rows of `docs`, with all their columns, that stand for their group: one with the smallest doc_id of each.
 
-    Rows equal in doc_id and text are one document, of which one row stays. A document with an empty set is a
-    group of its own.
+    A null doc_id counts as larger than all others; of several texts with that doc_id the one with the smallest
+    digest stays. Rows equal in doc_id and text are one document, of which one row stays. A document with an
+    empty set is a group of its own.
     """
-    found = near_duplicates(docs, shingle=shingle, percent=percent).where("kept")
-    keep = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_crc32").alias("crc")).distinct()
+    sketches, nodes, lowest = linked(docs, shingle, percent)
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best")
+    groups = nodes.join(lowest.select("digest", "root"), "digest", "left")
+    best = groups.groupBy(F.coalesce("root", "node").alias("root")).agg(row).select("best.doc_id", "best.key")
+    best = best.unionByName(sketches.where(F.col("digest").isNull()).select("doc_id", "key"))
+    keep = best.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "key").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"))
-    rows = rows.withColumn("crc", F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")))
-    return rows.join(keep, ["id", "crc"]).dropDuplicates(["id", "crc"]).select("row.*")
+    rows = rows.withColumn("key", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    return rows.join(keep, ["id", "key"]).dropDuplicates(["id", "key"]).select("row.*")
 
 
 def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

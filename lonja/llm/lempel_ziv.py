@@ -13,7 +13,7 @@ the same document further left). The parse has three steps:
 3. Factor boundaries. Where an anchor occurs with different surroundings, a factor ends inside a piece; one
    piece of each kind has its windows looked up one by one in the same way.
 
-The result is exact up to 64-bit hashes of word runs. A block is read as a sorted stream that holds one piece
+The result is exact up to 64-bit hashes of word runs and of the texts of rows with equal doc_id. A block is read as a sorted stream that holds one piece
 at a time, and equal pieces of a batch are combined before the shuffle, so frequent passages cost little.
 """
 
@@ -37,8 +37,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 FIRST_ID = -(1 << 63)
 COPY, EDGE = 1, 2
 
-INDEX_SCHEMA = "route long, kind int, anchor long, piece long, doc long, at long, src_doc long, src_start int"
-FOUND_SCHEMA = "kind int, doc long, at long, src_doc long, src_start int"
+INDEX_SCHEMA = "route long, kind int, anchor long, piece long, doc long, key long, at long, src_doc long, src_start int"
+FOUND_SCHEMA = "kind int, doc long, key long, at long, src_doc long, src_start int"
 NAMES = {x: [c.split()[0] for c in x.split(", ")] for x in (INDEX_SCHEMA, FOUND_SCHEMA)}
 
 
@@ -90,9 +90,9 @@ def leftmost_min(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def pack(start: np.ndarray, crc: np.ndarray | int, count: np.ndarray | int) -> np.ndarray:
-    """Start, 24 bits that tell rows with equal doc_id apart, and number of windows; sorts by start."""
-    return (start.astype(np.int64) << 32) | (np.asarray(crc, np.int64) & 0xFFFFFF) << 8 | count
+def pack(start: np.ndarray, count: np.ndarray | int) -> np.ndarray:
+    """Start and number of windows; sorts by start."""
+    return (start.astype(np.int64) << 32) | count
 
 
 def start_of(at: np.ndarray) -> np.ndarray:
@@ -120,18 +120,19 @@ def pieces(words: list[bytes], ends: np.ndarray, window: int, anchor: int):
 
 
 def _index_batch(rows: list[np.ndarray]) -> pa.RecordBatch:
-    """Index rows of (anchor, piece, doc, at); a piece equal to an earlier one of the batch is a found copy."""
-    anchor, piece, doc, at = (np.concatenate(x) for x in zip(*rows, strict=True))
-    order = np.lexsort((at, doc, piece, anchor))
-    anchor, piece, doc, at = anchor[order], piece[order], doc[order], at[order]
+    """Index rows of (anchor, piece, doc, key, at); a piece equal to an earlier one of the batch is a found copy."""
+    anchor, piece, doc, key, at = (np.concatenate(x) for x in zip(*rows, strict=True))
+    order = np.lexsort((key, at, doc, piece, anchor))
+    anchor, piece, doc, key, at = anchor[order], piece[order], doc[order], key[order], at[order]
     new = np.ones(len(at), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (piece[1:] != piece[:-1])
     first = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
     copy = (doc > doc[first]) | (start_of(at) > start_of(at[first]))
-    route = np.where(copy, mix(doc.view(np.uint64) ^ at.view(np.uint64)).view(np.int64), anchor)
-    cols = [route, copy.astype(np.int32), anchor, piece, doc, at, doc[first], start_of(at[first]).astype(np.int32)]
+    spread = mix(doc.view(np.uint64) ^ key.view(np.uint64) ^ at.view(np.uint64))
+    route = np.where(copy, spread.view(np.int64), anchor)
+    cols = [route, copy.astype(np.int32), anchor, piece, doc, key, at, doc[first], start_of(at[first]).astype(np.int32)]
     mask = ~copy
-    arrays = [pa.array(c) for c in cols[:6]] + [pa.array(c, mask=mask) for c in cols[6:]]
+    arrays = [pa.array(c) for c in cols[:7]] + [pa.array(c, mask=mask) for c in cols[7:]]
     return pa.RecordBatch.from_arrays(arrays, NAMES[INDEX_SCHEMA])
 
 
@@ -155,19 +156,19 @@ def _chunks(batch: pa.RecordBatch, *more: str):
 
 
 def index_pieces(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """All pieces of prepared documents (doc, crc, text)."""
+    """All pieces of prepared documents (doc, key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for words, ends, rows in _chunks(batch, "doc", "crc"):
+            for words, ends, rows in _chunks(batch, "doc", "key"):
                 start, count, a, g = pieces(words, ends, window, anchor)
                 if len(start):
                     of = np.searchsorted(ends, start, side="right")
-                    doc, crc = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+                    doc, key = (np.array(x, np.int64) for x in zip(*rows, strict=True))
                     begins = np.append(0, ends[:-1])
-                    at = pack(start - begins[of], crc[of], count)
-                    found.append((a.view(np.int64), g.view(np.int64), doc[of], at))
+                    at = pack(start - begins[of], count)
+                    found.append((a.view(np.int64), g.view(np.int64), doc[of], key[of], at))
             if found:
                 yield _index_batch(found)
 
@@ -175,19 +176,19 @@ def index_pieces(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def index_windows(edges: DataFrame, window: int) -> DataFrame:
-    """Every window of the pieces in `edges` (doc, crc, text, ats) as index rows of its own."""
+    """Every window of the pieces in `edges` (doc, key, text, ats) as index rows of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for words, ends, rows in _chunks(batch, "doc", "crc", "ats"):
+            for words, ends, rows in _chunks(batch, "doc", "key", "ats"):
                 hashes, begin = Runs(words), 0
-                for end, (doc, crc, ats) in zip(ends, rows, strict=True):
+                for end, (doc, key, ats) in zip(ends, rows, strict=True):
                     ats = np.array(ats, np.int64)
                     count = ats & 0xFF
                     start = np.repeat(start_of(ats) - np.cumsum(count) + count, count) + np.arange(count.sum())
                     w = hashes(start + begin, window).view(np.int64)
-                    found.append((w, w, np.full(len(w), doc, np.int64), pack(start, crc, 1)))
+                    found.append((w, w, *(np.full(len(w), x, np.int64) for x in (doc, key)), pack(start, 1)))
                     begin = end
             if found:
                 yield _index_batch(found)
@@ -203,21 +204,21 @@ def match_blocks(index: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # (anchor, piece, doc, at, known as an edge)
+        held = None  # (anchor, piece, doc, key, at, known as an edge)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            kind, a, g, doc, at = _columns(batch, "kind", "anchor", "piece", "doc", "at")
+            kind, a, g, doc, key, at = _columns(batch, "kind", "anchor", "piece", "doc", "key", "at")
             ready = batch.filter(pa.array(kind == COPY)).select(NAMES[FOUND_SCHEMA])
             if ready.num_rows:
                 yield ready
             rest = kind != COPY
-            a, g, doc, at = a[rest], g[rest], doc[rest], at[rest]
+            a, g, doc, key, at = a[rest], g[rest], doc[rest], key[rest], at[rest]
             if not len(a):
                 continue
             edge = np.zeros(len(a) + bool(held), bool)
             if held:
-                a, g, doc, at = (np.append(h, x) for h, x in zip(held, (a, g, doc, at), strict=False))
+                a, g, doc, key, at = (np.append(h, x) for h, x in zip(held, (a, g, doc, key, at), strict=False))
             new = np.ones(len(a), bool)
             new[1:] = (a[1:] != a[:-1]) | (g[1:] != g[:-1])
             first = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
@@ -226,10 +227,10 @@ def match_blocks(index: DataFrame) -> DataFrame:
             same = a[heads[1:]] == a[heads[:-1]]
             edge[heads[1:][same]] = edge[heads[:-1][same]] = True
             last = heads[-1]
-            known = bool(edge[last] or (held and last == 0 and held[4]))
-            if held and held[4]:
+            known = bool(edge[last] or (held and last == 0 and held[5]))
+            if held and held[5]:
                 edge[0] = False  # already given
-            held = (a[last], g[last], doc[last], at[last], known)
+            held = (a[last], g[last], doc[last], key[last], at[last], known)
             for what, mask in ((COPY, copy), (EDGE, edge)):
                 if mask.any():
                     src = first[mask]
@@ -238,6 +239,7 @@ def match_blocks(index: DataFrame) -> DataFrame:
                         [
                             pa.array(np.full(len(src), what, np.int32)),
                             pa.array(doc[mask]),
+                            pa.array(key[mask]),
                             pa.array(at[mask]),
                             pa.array(doc[src], mask=none),
                             pa.array(start_of(at[src]).astype(np.int32), mask=none),
@@ -246,35 +248,34 @@ def match_blocks(index: DataFrame) -> DataFrame:
                     )
 
     blocks = index.repartition(partitions(index.sparkSession), "route")
-    return blocks.sortWithinPartitions("kind", "anchor", "piece", "doc", "at").mapInArrow(run, FOUND_SCHEMA)
+    return blocks.sortWithinPartitions("kind", "anchor", "piece", "doc", "at", "key").mapInArrow(run, FOUND_SCHEMA)
 
 
 def prepared_columns() -> list:
-    """doc, crc and text: a null doc_id comes before all others, a null text has no words."""
+    """doc, key and text: a null doc_id comes before all others, a null text has no words.
+
+    `key` is a 64-bit digest of the text, which tells rows with equal doc_id apart.
+    """
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc")
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return [doc, crc.bitwiseAND(0xFFFFFF).alias("crc"), text]
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return [doc, key.alias("key"), text]
 
 
 def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(*prepared_columns())
 
 
-def _of_rows(found: DataFrame) -> DataFrame:
-    return found.withColumn("crc", F.shiftright("at", 8).bitwiseAND(0xFFFFFF))
-
-
 def copies(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Found copies (doc, crc, at, src_doc, src_start) of prepared documents, as a written table."""
+    """Found copies (doc, key, at, src_doc, src_start) of prepared documents, as a written table."""
     ship(docs.sparkSession)
     found = written(match_blocks(index_pieces(docs, window, anchor)), "lz-pieces")
-    edges = _of_rows(found.where(F.col("kind") == EDGE)).groupBy("doc", "crc").agg(F.collect_list("at").alias("ats"))
-    edges = docs.join(edges, ["doc", "crc"])
+    edges = found.where(F.col("kind") == EDGE).groupBy("doc", "key").agg(F.collect_list("at").alias("ats"))
+    edges = docs.join(edges, ["doc", "key"])
     single = match_blocks(index_windows(edges, window)).where(F.col("kind") == COPY)
     single = written(single, "lz-windows")
     both = found.where(F.col("kind") == COPY).unionByName(single)
-    return _of_rows(both).select("doc", "crc", "at", "src_doc", "src_start")
+    return both.select("doc", "key", "at", "src_doc", "src_start")
 
 
 def greedy_factors(hits: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
@@ -333,10 +334,10 @@ def _parsed(rows: DataFrame, window: int, extra: str = "") -> DataFrame:
 
 
 def _with_hits(rows: DataFrame, base: DataFrame, window: int, anchor: int) -> DataFrame:
-    """`rows` with the copies found for their doc and crc among the documents `base`."""
+    """`rows` with the copies found for their doc and key among the documents `base`."""
     found = copies(base, window=window, anchor=anchor)
-    per_row = found.groupBy("doc", "crc").agg(F.collect_list(F.struct("at", "src_doc", "src_start")).alias("hits"))
-    return rows.join(per_row, ["doc", "crc"], "left").drop("crc")
+    per_row = found.groupBy("doc", "key").agg(F.collect_list(F.struct("at", "src_doc", "src_start")).alias("hits"))
+    return rows.join(per_row, ["doc", "key"], "left").drop("key")
 
 
 def parse(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:

@@ -62,6 +62,47 @@ def test_lempel_ziv_matches_brute_force(spark, sf_edge):
     assert sum(k[2] for k in expected) > 6000
 
 
+def equal_crcs(one, other, mask):
+    """Texts of two families with equal low bits of their CRCs."""
+    a, b = ([f"{t} {sha(str(i).encode())[:12]}" for i in range(40_000)] for t in (one, other))
+    seen = {zlib.crc32(t.encode()) & mask: t for t in a}
+    return next((seen[c], t) for t in b if (c := zlib.crc32(t.encode()) & mask) in seen)
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_rows_with_one_id_and_equal_crcs_keep_their_own_hits(spark, doc_id):
+    passage, clean = edge.prose(30, 2), edge.prose(40, 3)
+    twice, other = equal_crcs(f"{passage} {edge.prose(9, 4)} {passage}", clean, 0xFFFFFF)
+    short = edge.prose(25, 5)
+    edges, end = equal_crcs(f"{edge.prose(60, 6)} {passage} {edge.prose(60, 7)}", short, 0xFFFFFF)
+    texts = [twice, other, edges, end]
+    found = lempel_ziv.parse(edge.documents(spark, [(doc_id, t, None, None, 0, *(0, 0, "r", 0, 0, 0, "d", "b")) for t in texts]))
+    got = Counter((r.kept_words, r.n_removed) for r in found.collect())
+    first = {}
+    for t in texts:
+        words = WORDS.findall(t)
+        for i in range(len(words) - 19):
+            w = tuple(words[i : i + 20])
+            first[w] = min(first.get(w, i), i)
+    expected = Counter()
+    for t in texts:
+        words, gone = WORDS.findall(t), set()
+        for i in range(len(words) - 19):
+            if first[tuple(words[i : i + 20])] < i:
+                gone |= set(range(i, i + 20))
+        expected[" ".join(w for i, w in enumerate(words) if i not in gone), len(gone)] += 1
+    assert got == expected and expected[" ".join(WORDS.findall(other)), 0] == 1
+
+
+def test_one_of_each_of_null_and_repeated_ids(spark):
+    a, b = edge.prose(300, 8), edge.prose(300, 9)
+    rows = [(None, a), (None, a + " x"), (None, b), (7, b + " y"), (7, b + " z"), (None, None), (None, None)]
+    rest = (None, None, 0, 0, 0, "r", 0, 0, 0, "d", "b")
+    got = bbit_minhash.one_of_each(edge.documents(spark, [(*r, *rest) for r in rows])).collect()
+    kept = Counter("a" if r.text and r.text.startswith(a) else r.doc_id if r.text else "empty" for r in got)
+    assert kept == {"a": 1, 7: 1, "empty": 1}
+
+
 def test_factors_point_at_equal_earlier_text(docs):
     texts = {r[0]: WORDS.findall(r[1] or "") for r in edge.rows() if r[0] not in (1, 8)}
     found = lempel_ziv.parse(docs.where("doc_id NOT IN (1, 8) OR doc_id IS NULL")).collect()
