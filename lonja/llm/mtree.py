@@ -6,6 +6,10 @@ An entry has its object, the distance to the page's parent object, and, in inner
 a child page. Search takes pages by their smallest possible distance; inside a page the stored parent distances
 rule out entries by the triangle inequality before anything is computed. Bounds are used with a margin far
 below the step between two integer scores, so results are exact.
+
+That holds for vectors of a squared length below `LARGEST`. Longer ones are not in the tree: they, and all
+vectors for a longer query, are ruled out by bounds of their rounded products, and what is left is multiplied in
+Python integers.
 """
 
 from __future__ import annotations
@@ -20,10 +24,35 @@ from lonja.llm.common import table
 from lonja.llm.vector_shards import smallest_ids, top_k, vectors_of
 
 PAGE, MARGIN = 64, 1e-6
-LARGEST = 1 << 24
+LARGEST = float(1 << 46)  # squared length up to which distances are exact well within MARGIN
 FIELDS = "page_starts binary, objects binary, to_parent binary, radii binary, children binary"
 
 
+def squares(v: np.ndarray) -> np.ndarray:
+    """Squared lengths; infinite where they pass the range of doubles."""
+    with np.errstate(over="ignore"):
+        return (v * v).sum(axis=1)
+
+
+def exact_best(query: np.ndarray, v: np.ndarray, at: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(entry, inner product in Python integers) of the rows `at` of `v` that can be among the k + 1 largest.
+
+    One more than k, since an entry may stand for the query alone. A rounded product is off by less than its
+    bound; where it can't be told, the row is taken.
+    """
+    if not len(at):
+        return []
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = v[at] @ query
+        off = (np.abs(v[at]) @ np.abs(query)) * ((len(query) + 2) * 2.0**-52)
+        least, most = score - off, score + off
+    if len(at) > k + 1:
+        floor = np.partition(np.nan_to_num(least, nan=-np.inf), -(k + 1))[-(k + 1)]
+        at = at[~(most < floor)]
+    whole = [int(x) for x in query.tolist()]
+    return [(i, sum(int(a) * b for a, b in zip(v[i].tolist(), whole, strict=True))) for i in at.tolist()]
+
+
 def lifted(v: np.ndarray) -> np.ndarray:
     """Vectors with the component that makes all as long as the longest."""
     square = (v * v).sum(axis=1)
@@ -31,11 +60,14 @@ def lifted(v: np.ndarray) -> np.ndarray:
 
 
 def build_tree(v: np.ndarray, shard: int) -> dict[str, bytes]:
-    """Pages over the rows of `v`, page 0 being the root; pivots are drawn by the shard's number.
+    """Pages over the rows of `v` below LARGEST, page 0 being the root; pivots are drawn by the shard's number.
 
     A page's parent object is the pivot whose cell it holds; the root has none.
     """
-    rng, x = np.random.default_rng(shard), lifted(v)
+    rows = np.flatnonzero(squares(v) < LARGEST)
+    if not len(rows):
+        return dict.fromkeys(("page_starts", "objects", "to_parent", "radii", "children"), b"")
+    rng, x = np.random.default_rng(shard), lifted(v[rows])
     pages: list[list[tuple[int, float, float, int]]] = []
 
     def page(members: np.ndarray, parent: int) -> int:
@@ -64,7 +96,7 @@ def build_tree(v: np.ndarray, shard: int) -> dict[str, bytes]:
     objects, near, radii, children = zip(*[e for p in pages for e in p], strict=True)
     return {
         "page_starts": starts.astype(np.int64).tobytes(),
-        "objects": np.array(objects, np.int64).tobytes(),
+        "objects": rows[np.array(objects, np.int64)].tobytes(),
         "to_parent": np.array(near).tobytes(),
         "radii": np.array(radii).tobytes(),
         "children": np.array(children, np.int64).tobytes(),
@@ -76,14 +108,32 @@ def search_tree(row: dict, ids: np.ndarray, ends: np.ndarray, v: np.ndarray, k:
     starts = np.frombuffer(row["page_starts"], np.int64).tolist()
     objects, children = (np.frombuffer(row[c], np.int64) for c in ("objects", "children"))
     near, radii = (np.frombuffer(row[c]) for c in ("to_parent", "radii"))
-    longest = (v * v).sum(axis=1).max()
+    square = squares(v)
+    large, every = np.flatnonzero(square >= LARGEST), np.arange(len(v))
+    longest = square[square < LARGEST].max(initial=0.0)
     entries = v[objects]
 
     def find(query: np.ndarray, query_id: int) -> list[tuple[int, int]]:
-        whole = float((query * query).sum()) + longest
+        own = float(squares(query[None, :])[0])
+        whole = own + longest
         best: list[tuple[int, int]] = []  # (score, -id), the worst first
-        limit = np.inf
-        todo = [(0.0, 0, -1.0)]  # smallest distance possible, page, distance to its parent
+
+        def offer(entry: int, score: int) -> None:
+            for other in smallest_ids(entry, ids, ends, k, query_id):
+                found = (score, -other)
+                if len(best) < k:
+                    heappush(best, found)
+                elif found > best[0]:
+                    heapreplace(best, found)
+
+        def distance_of_worst() -> float:
+            return float(np.sqrt(max(whole - 2 * best[0][0], 0))) if len(best) == k else np.inf
+
+        for i, score in exact_best(query, v, every if own >= LARGEST else large, k):
+            offer(i, score)
+        limit = distance_of_worst()
+        in_tree = own < LARGEST and len(objects) > 0
+        todo = [(0.0, 0, -1.0)] if in_tree else []  # smallest distance possible, page, distance to its parent
         while todo:
             bound, number, to_query = heappop(todo)
             if bound > limit + MARGIN:
@@ -103,14 +153,8 @@ def search_tree(row: dict, ids: np.ndarray, ends: np.ndarray, v: np.ndarray, k:
                         heappush(todo, (b, child, d))
                 continue
             for i in np.flatnonzero(apart <= limit + MARGIN).tolist():
-                for other in smallest_ids(int(objects[at[i]]), ids, ends, k, query_id):
-                    entry = (int(score[i]), -other)
-                    if len(best) < k:
-                        heappush(best, entry)
-                    elif entry > best[0]:
-                        heapreplace(best, entry)
-            if len(best) == k:
-                limit = float(np.sqrt(max(whole - 2 * best[0][0], 0)))
+                offer(int(objects[at[i]]), int(score[i]))
+            limit = distance_of_worst()
         return [(-i, s) for s, i in sorted(best, reverse=True)]
 
     return find
@@ -121,12 +165,13 @@ def largest_products(
 ):
     """Each query's k largest inner products of floor(scale * x), exactly (see `top_k`).
 
-    Null vectors and those with null or non-finite components take no part, nor do those with a scaled
-    component of 2**24 or more, whose products could not be told apart exactly.
+    Null vectors and those with null or non-finite components take no part. A score among a shard's best that
+    is no 64-bit integer fails the query, as such products do in SQL.
     """
     rows = vectors_of(table, id_col, vector_col)
-    whole = F.transform("v", lambda x: F.floor(x * scale).cast("double"))
-    rows = rows.where(F.forall("v", lambda x: F.abs(x * scale) < LARGEST)).withColumn("v", whole)
+    # from 2**53 on doubles are whole numbers, and floor() would cut them to longs
+    floor = lambda x: F.when(F.abs(x * scale) < 2.0**53, F.floor(x * scale).cast("double")).otherwise(x * scale)
+    rows = rows.withColumn("v", F.transform("v", floor))
     return top_k(rows, is_query, build_tree, FIELDS, search_tree, score="long", k=k, **sizes)
 
 

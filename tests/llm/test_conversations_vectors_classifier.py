@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import edge
+import duckdb
 import numpy as np
 import pytest
 
@@ -95,6 +96,22 @@ def test_mtree_is_exact(spark):
     assert Counter(map(tuple, got)) == lists
 
 
+@pytest.mark.parametrize("outliers", [12, 300])
+def test_mtree_takes_large_components_as_sql_does(spark, tmp_path, outliers):
+    rng = np.random.default_rng(5)
+    v = np.floor(rng.normal(size=(300, 40)) * 300) / 256
+    for n, i in enumerate(rng.permutation(300)[:outliers].tolist()):
+        v[i, n % 3] = rng.choice([-1, 1, 1]) * rng.choice([65536.0, 7e4, 1e6 + n, 1e7 - n])  # 256 * 1e7 squared is above 2**62
+    v[50, 0], v[100, 1], v[7] = 65536.0, -1e7, v[50]
+    pairs = list(enumerate(v.astype("f4").tolist()))
+    path = edge.write_tables(spark, str(tmp_path), embeddings=vectors(spark, pairs))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/embeddings.parquet/*.parquet'")
+    expected = Counter(con.execute(mtree.OP7_SQL).fetchall())
+    got = mtree.largest_products(vectors(spark, pairs), "vec_id % 50 = 0", shard_rows=100, block_queries=3).collect()
+    assert Counter(map(tuple, got)) == expected and len(got) == 30
+
+
 def test_mtree_covers_and_bounds():
     x = np.floor(np.random.default_rng(3).normal(size=(500, 6)) * 100)
     tree = mtree.build_tree(x, 1)
