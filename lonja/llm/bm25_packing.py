@@ -2,7 +2,8 @@
 
 Every document's ids are cut into full windows, which are sequences of their own, and a tail shorter than a
 window. Tails are dealt by hash into shards of about `SHARD_TOKENS`, each with an inverted index of its own; the
-document frequencies behind the weights are counted over all documents. In a shard the first unused tail seeds
+document frequencies behind the weights are counted over the whole texts of all documents, term frequencies and
+lengths over tails, which are what is retrieved. In a shard the first unused tail seeds
 a window, its heaviest terms query the index, and the unused neighbours fill the window in the order of their
 scores. The one that no longer fits is cut, and its rest seeds the next window, so only the last window of a
 shard has padding. The terms of the index are token ids.
@@ -105,8 +106,11 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def tokenised(docs: DataFrame, path: str, *, window: int, end_id: int, with_ids: bool) -> DataFrame:
-    """One row per document: its token count, the CRCs of its full windows, its tail and, if asked for, their ids."""
-    schema = "doc_id long, doc_tokens long, head_crcs binary, head binary, tail binary"
+    """One row per document: its token count, the CRCs of its full windows, its tail and, if asked for, their ids.
+
+    `more`: the distinct ids of the full windows that the tail has not.
+    """
+    schema = "doc_id long, doc_tokens long, head_crcs binary, more binary, head binary, tail binary"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,9 +126,11 @@ def tokenised(docs: DataFrame, path: str, *, window: int, end_id: int, with_ids:
                     cut = len(ids) // size * size
                     crcs = [crc(ids[i : i + size], encoder.kind) for i in range(0, cut, size)]
                     head = ids[:cut] if with_ids else None
-                    rows.append((len(ids) // len(end), np.array(crcs, "<u4").tobytes(), head, ids[cut:]))
-                n, crcs, head, tail = map(list, zip(*rows, strict=True))
-                cols = [pa.array(n, pa.int64()), *[pa.array(c, pa.binary()) for c in (crcs, head, tail)]]
+                    full, tail = np.frombuffer(ids[:cut], encoder.kind), np.frombuffer(ids[cut:], encoder.kind)
+                    more = np.setdiff1d(full, tail).tobytes() if cut else b""
+                    rows.append((len(ids) // len(end), np.array(crcs, "<u4").tobytes(), more, head, ids[cut:]))
+                n, *found = map(list, zip(*rows, strict=True))
+                cols = [pa.array(n, pa.int64()), *[pa.array(c, pa.binary()) for c in found]]
                 yield pa.RecordBatch.from_arrays([here.column("doc_id"), *cols], names)
 
     ship(docs.sparkSession)
@@ -138,31 +144,32 @@ def crc(ids: bytes, kind: str) -> int:
 
 
 def frequencies(tokens: DataFrame, vocabulary: int, kind: str) -> tuple[np.ndarray, int, float]:
-    """In how many tails each id occurs, the number of tails, and their mean length.
+    """In how many whole documents each id occurs, the number of documents, and the mean length of their tails.
 
     Each task adds up a vector; the sums come to the driver, one row per id that occurs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows, length = np.zeros(vocabulary, np.int64), 0, 0
+        seen, rows, tails, length = np.zeros(vocabulary, np.int64), 0, 0, 0
         for batch in batches:
-            for tail in batch.column("tail").to_pylist():
+            for tail, more in zip(batch.column("tail").to_pylist(), batch.column("more").to_pylist(), strict=True):
                 ids = np.frombuffer(tail, kind)
                 seen[np.unique(ids)] += 1
+                seen[np.frombuffer(more, kind)] += 1  # distinct, and none of the tail's
                 rows += 1
+                tails += len(ids) > 0
                 length += len(ids)
         at = np.flatnonzero(seen)
-        term = np.append(at, [-1, -2])
-        yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(np.append(seen[at], [rows, length]))], ["term", "n"])
+        term, n = np.append(at, [-1, -2, -3]), np.append(seen[at], [rows, tails, length])
+        yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], ["term", "n"])
 
-    parts = tokens.where(F.length("tail") > 0).select("tail").mapInArrow(run, "term long, n long")
+    parts = tokens.select("tail", "more").mapInArrow(run, "term long, n long")
     found = dict(parts.groupBy("term").agg(F.sum("n")).collect())
     df = np.zeros(vocabulary, np.int64)
     for term, n in found.items():
         if term >= 0:
             df[term] = n
-    rows = found.get(-1, 0)
-    return df, rows, found.get(-2, 0) / max(1, rows)
+    return df, found.get(-1, 0), found.get(-3, 0) / max(1, found.get(-2, 0))
 
 
 class Index:
@@ -248,7 +255,7 @@ def pack(
     df, rows, mean = frequencies(tokens, vocabulary, kind)
     volume = tokens.agg(F.sum(F.length("tail") / np.dtype(kind).itemsize + ROW_COST)).first()[0]
     shards = max(1, ceil((volume or 0) / shard_tokens))
-    tokens = tokens.withColumn("shard", F.pmod("deal", F.lit(shards)).cast("int"))
+    tokens = tokens.drop("more").withColumn("shard", F.pmod("deal", F.lit(shards)).cast("int"))
     weights = spark.sparkContext.broadcast((df, rows, mean))
     schema = PIECES + (", ids binary" if with_ids else "")
 

@@ -220,6 +220,25 @@ def test_packing_places_every_id_once(docs, spark):
     assert sum(256 - n for n in at.values()) < 256  # one window has padding
 
 
+def test_document_frequencies_are_of_whole_documents(docs):
+    path, window = public_tokenizers.path("word_bpe_49k.json"), 64
+    encoder = bm25_packing.word_encoder(path)
+    texts = [r[1] or "" for r in edge.rows()]
+    ids = [np.append(np.frombuffer(t, encoder.kind), 1).astype(int) for t in encoder.encode(texts)]
+    whole = np.zeros(encoder.model.get_vocab_size(), np.int64)
+    for one in ids:
+        whole[np.unique(one)] += 1
+    tails = [len(one) % window for one in ids if len(one) % window]
+    tokens = bm25_packing.tokenised(docs, path, window=window, end_id=1, with_ids=False)
+    df, rows, mean = bm25_packing.frequencies(tokens, len(whole), encoder.kind)
+    assert (df == whole).all() and rows == len(ids) and mean == sum(tails) / len(tails)
+    # documents of full windows alone count as well
+    df, rows, mean = bm25_packing.frequencies(
+        bm25_packing.tokenised(docs, path, window=1, end_id=1, with_ids=False), len(whole), encoder.kind
+    )
+    assert (df == whole).all() and rows == len(ids) and mean == 0
+
+
 def test_packing_takes_neighbours_first():
     tails = [np.array(t) for t in ([1, 2, 3, 4], [9, 8, 7, 6], [1, 2, 3, 5], [9, 8, 7, 5])]
     df = np.bincount(np.concatenate(tails), minlength=10)
