@@ -9,7 +9,8 @@ the same document further left). The parse has three steps:
 2. Reference blocks. Pieces are dealt into blocks by anchor and sorted, so each block is an index of a share of
    the corpus, and every document is parsed against every block that has one of its anchors. A piece whose
    digest is found at an earlier place is a copy of it: all its windows are duplicate. Pieces that join up in
-   document and source form one greedy factor.
+   document and source form one factor. Hashed pieces replace a greedy parse word by word, which would need all
+   earlier text in one place: a long copy whose pieces first occur in different documents is several factors.
 3. Factor boundaries. Where an anchor occurs with different surroundings, a factor ends inside a piece; one
    piece of each kind has its windows looked up one by one in the same way.
 
