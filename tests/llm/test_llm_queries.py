@@ -10,7 +10,7 @@ from lonja.llm import queries
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.SQL) <= set(entry.oracle_sql()) and set(queries.SQL) <= set(queries.QUERIES)
 
