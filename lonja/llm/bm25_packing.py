@@ -11,11 +11,9 @@ shard has padding. The terms of the index are token ids.
 
 from __future__ import annotations
 
-import os
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import pairwise
 from math import ceil
 
 import numpy as np
@@ -25,86 +23,19 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from lonja.llm.common import grouped, ship, table, written
+from lonja.llm.word_ids import slices, word_ids
 
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, ROW_COST = 2_000_000, 64
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
-CACHED_WORDS, CACHED_PARTS, LONG_WORD = 250_000, 200_000, 64
-# fixed values: ASCII punctuation but the apostrophe; the first letter outside of Latin letters that keep their
-# form under NFC and lower-casing; the one among them that doesn't
-PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-BEYOND_LATIN, DOTTED = "\u0250", "\u0130"
+SLICE_BYTES = 6_000_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
 
-class WordEncoder:
-    """Ids of a text from the ids of its words, for tokenizers that lower case and never join across white space.
-
-    Words are cut at ASCII white space, which such a tokenizer drops, and A-Z is lower-cased beforehand, so that
-    fewer are different. Each distinct word is encoded by the library and remembered, up to a bound. A word of
-    Latin letters with ASCII punctuation behind it is encoded in these two parts, between which the tokenizer
-    cuts as well; one with an apostrophe is not, as that may begin an ending like 's.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.model = Tokenizer.from_file(path)
-        self.model.no_truncation()
-        self.model.no_padding()
-        self.kind = "<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4"
-        self.code = {"<u2": "H", "<u4": "I"}[self.kind]
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Adds the ids of words that aren't known."""
-        cuts = []
-        for word in map(bytes.decode, words):
-            core = word.rstrip(PUNCTUATION)
-            whole = core == word or not core.isalpha() or max(core) >= BEYOND_LATIN or DOTTED in core
-            cuts.append((word, "") if whole else (core, word[len(core) :]))
-        if len(self.parts) > CACHED_PARTS:
-            self.parts.clear()
-        parts, code = self.parts, self.code
-        new = [p for p in {p for cut in cuts for p in cut} if p not in parts]
-        for part, coded in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            parts[part] = array(code, coded.ids).tobytes()
-        for word, (a, b) in zip(words, cuts, strict=True):
-            self.words[word] = parts[a] + parts[b]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            data = text.encode()
-            # special tokens are in lower case, and must be so in the text
-            split.append((data if b"<|" in data else data.lower()).split())
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        known = self.words
-        found = [list(map(known.get, words)) for words in split]
-        new = list({w for words, ids in zip(split, found, strict=True) for w, i in zip(words, ids, strict=True) if i is None})
-        if new:
-            self._learn(new)
-            for words, ids in zip(split, found, strict=True):
-                if None in ids:
-                    ids[:] = [known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-        for word in new:
-            if len(word) > LONG_WORD:
-                del known[word]
-        return [b"".join(ids) for ids in found]
-
-
-@lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
 def tokenised(docs: DataFrame, path: str, *, window: int, end_id: int, with_ids: bool) -> DataFrame:
     """One row per document: its token count, the CRCs of its full windows, its tail and, if asked for, their ids.
 
@@ -114,24 +45,25 @@ def tokenised(docs: DataFrame, path: str, *, window: int, end_id: int, with_ids:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(path)
-        end = np.array([end_id], encoder.kind).tobytes()
-        size = len(end) * window
+        encoder = word_ids(path)
+        end = np.array([end_id], encoder.kind)
+        size = window * end.itemsize
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                here = batch.slice(lo, 128)
+            texts = batch.column("text")
+            for lo, count in slices(texts, SLICE_BYTES):
+                flat, at = encoder.encode(texts.slice(lo, count))
                 rows = []
-                for ids in encoder.encode(here.column("text").to_pylist()):
-                    ids += end
+                for a, b in pairwise(at.tolist()):
+                    ids = np.append(flat[a:b], end).tobytes()
                     cut = len(ids) // size * size
                     crcs = [crc(ids[i : i + size], encoder.kind) for i in range(0, cut, size)]
                     head = ids[:cut] if with_ids else None
                     full, tail = np.frombuffer(ids[:cut], encoder.kind), np.frombuffer(ids[cut:], encoder.kind)
                     more = np.setdiff1d(full, tail).tobytes() if cut else b""
-                    rows.append((len(ids) // len(end), np.array(crcs, "<u4").tobytes(), more, head, ids[cut:]))
+                    rows.append((b - a + 1, np.array(crcs, "<u4").tobytes(), more, head, ids[cut:]))
                 n, *found = map(list, zip(*rows, strict=True))
                 cols = [pa.array(n, pa.int64()), *[pa.array(c, pa.binary()) for c in found]]
-                yield pa.RecordBatch.from_arrays([here.column("doc_id"), *cols], names)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, count), *cols], names)
 
     ship(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
@@ -247,8 +179,8 @@ def pack(
     or repeated, every row is a document of its own. Other columns are ignored; no rows give no pieces.
     """
     spark = docs.sparkSession
-    encoder = word_encoder(path)
-    kind, vocabulary = encoder.kind, max(encoder.model.get_vocab_size(), end_id + 1)
+    encoder = word_ids(path)
+    kind, vocabulary = encoder.kind, max(encoder.vocabulary, end_id + 1)
     tokens = tokenised(docs, path, window=window, end_id=end_id, with_ids=with_ids)
     deal = F.xxhash64("doc_id", F.spark_partition_id(), F.monotonically_increasing_id())
     tokens = written(tokens.withColumn("deal", deal), "packing-tokens")

@@ -6,16 +6,17 @@ import hashlib
 import re
 import zlib
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import edge
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from lonja.llm import bbit_minhash, bm25_packing, lempel_ziv, prefix_bpe, ring, token_counts
+from lonja.llm import bbit_minhash, bm25_packing, lempel_ziv, prefix_bpe, ring, token_counts, word_ids
 from lonja.llm.components import components
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -222,10 +223,10 @@ def test_packing_places_every_id_once(docs, spark):
 
 def test_document_frequencies_are_of_whole_documents(docs):
     path, window = public_tokenizers.path("word_bpe_49k.json"), 64
-    encoder = bm25_packing.word_encoder(path)
-    texts = [r[1] or "" for r in edge.rows()]
-    ids = [np.append(np.frombuffer(t, encoder.kind), 1).astype(int) for t in encoder.encode(texts)]
-    whole = np.zeros(encoder.model.get_vocab_size(), np.int64)
+    encoder = word_ids.word_ids(path)
+    flat, at = encoder.encode(pa.array([r[1] or "" for r in edge.rows()]))
+    ids = [np.append(flat[a:b], 1).astype(int) for a, b in pairwise(at)]
+    whole = np.zeros(encoder.vocabulary, np.int64)
     for one in ids:
         whole[np.unique(one)] += 1
     tails = [len(one) % window for one in ids if len(one) % window]
@@ -248,12 +249,18 @@ def test_packing_takes_neighbours_first():
     ]
 
 
-def test_word_encoder_equals_whole_texts():
+@pytest.mark.parametrize("remembered", [0, 5, 150_000])
+def test_word_ids_equal_whole_texts(remembered):
     path = public_tokenizers.path("word_bpe_49k.json")
-    model, encoder = Tokenizer.from_file(path), bm25_packing.WordEncoder(path)
-    texts = [r[1] or "" for r in edge.rows()] + ["é ́a　b c d", "<|startoftext|>x <|endoftext|>", "Σ ΑΣ İ's"]
-    got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)]
-    assert got == [model.encode(t, add_special_tokens=False).ids for t in texts]
+    model, encoder = Tokenizer.from_file(path), word_ids.WordIds(path, remembered)
+    texts = [r[1] or "" for r in edge.rows()]
+    texts += ["é ́a　b c d", "<|startoftext|>x <|endoftext|>", "Σ ΑΣ İ's", "a,b it's! 'twas <|endoftext|>, x<|endoftext|>! <|"]
+    texts += ["ªb º. don't'll ĳ ŉ ſt ﬁ.", "\x0b\x0c\r\n\x1c\x85 word\x00 \u200b,", "AÄÖÜß... ǅ, Ǆ! ɏ? ɐ? K", "", " ", "!!! ... ''s"]
+    for some in (texts, texts[::-1], texts[:3], []):
+        ids, at = encoder.encode(pa.array(some, pa.string()))
+        got = [ids[a:b].tolist() for a, b in pairwise(at)]
+        assert got == [model.encode(t, add_special_tokens=False).ids for t in some]
+    assert list(word_ids.slices(pa.array(["a" * 9, "b", "", "c" * 20, "d"]), 10)) == [(0, 3), (3, 1), (4, 1)]
 
 
 def test_prefix_bpe_equals_the_library(spark, sf_edge, docs):
