@@ -10,26 +10,31 @@ from collections.abc import Iterable
 from datetime import date
 from functools import reduce
 from operator import and_
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lonja.contracts import ORDEN_VENTAS
 from lonja.functions import fecha_negocio
 from lonja.operators.dedup import deduplicar
+from lonja.sources import indice
+from lonja.sources.indice import CLAVE
 from lonja.sources.lake import (
     DIA,
+    NOTA,
+    anotar,
     borrar,
     escribir_particiones,
     escribir_silver,
     leer_dias,
+    leer_nota,
     leer_silver,
     rutas_existentes,
 )
-from lonja.workspace import espacio
-
 MONTO = "decimal(18,2)"
-CLAVE = ("canal", "venta_id")
+PATRON = {"fecha": "yyyy-MM-dd", "mes": "yyyy-MM"}
 DESCONOCIDO = "desconocido"
 
 
@@ -224,55 +229,161 @@ def procesar_gold(
 ) -> int:
     """Refresh Gold for what the given run dates brought; returns the rows of consolidated sales written.
 
-    `ventas_vigentes` holds every sale once, whatever run dates and hours delivered it, under its sale date. For
-    the sales of these run dates, and those they brought before a rerun, the version that counts is chosen anew
-    from Silver. Only the sale dates these versions are on, or were on, are rewritten, and the aggregates of
-    just those dates with them. The search for other versions reads the keys of Silver's history, or of the run
-    dates from `desde` on, if none is redelivered from longer ago. `detalle` also writes the totals by store
-    and sku.
+    `ventas_vigentes` holds every sale once, whatever run dates and hours delivered it, under its sale date. Only
+    the sale dates (or months) that sales of these run dates are on, or were on, are rewritten, with their
+    aggregates. `detalle` also writes the totals by store and sku. The work has two halves, `preparar_gold` and
+    `aplicar_gold`; what a stopped run had prepared is applied first, whichever run dates are given. One refresh of
+    a Gold folder runs at a time.
+    """
+    reanudar_gold(spark, gold)
+    trabajo = preparar_gold(spark, silver, gold, run_dates, desde=desde, detalle=detalle, grano=grano)
+    return aplicar_gold(spark, gold, trabajo) if trabajo else 0
+
+
+def _pendientes(gold: str) -> str:
+    return f"{gold.rstrip('/')}/_pendientes"
+
+
+def reanudar_gold(spark: SparkSession, gold: str) -> None:
+    """Finish refreshes that were prepared and not applied to the end; drop those that were not even prepared."""
+    for carpeta in sorted(rutas_existentes(spark, f"{_pendientes(gold)}/*")):
+        if rutas_existentes(spark, f"{carpeta}/{NOTA}"):
+            aplicar_gold(spark, gold, carpeta)
+        else:
+            borrar(spark, carpeta)
+
+
+def _orden(alias: str) -> Column:
+    return F.struct(*[F.col(f"{alias}.{c}") for c in (*ORDEN_VENTAS, "_corrida")])
+
+
+def preparar_gold(
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    run_dates: date | str | Iterable[date | str],
+    *,
+    desde: date | str | None = None,
+    detalle: bool = False,
+    grano: str = "fecha",
+) -> str | None:
+    """Work out a refresh and write it beside Gold, which stays as it is; the folder of the work, None if there is none.
+
+    The index of sale keys says which sale dates the touched sales were on. The version that counts is the best of
+    what the run dates deliver now and of Gold's own version, so history isn't read. Only where Gold's version came
+    from these run dates and they now bring a lesser one or none, other run dates' versions are read, from just
+    those the index names, not before `desde`. The note is written last: with it the work is complete.
     """
     dias = [run_dates] if isinstance(run_dates, (date, str)) else list(run_dates)
-    dias = [date.fromisoformat(d) if isinstance(d, str) else d for d in dias]
+    dias = sorted({date.fromisoformat(d) if isinstance(d, str) else d for d in dias})
     if not dias:
-        return 0
-    corrida = leer_dias(spark, "ventas", silver, dias)
-    historia = leer_silver(spark, "ventas", silver)
-    if desde is not None:
-        historia = historia.where(F.make_date(*map(F.col, DIA)) >= F.lit(str(desde)).cast("date"))
-    patron = {"fecha": "yyyy-MM-dd", "mes": "yyyy-MM"}[grano]
-    periodo = F.date_format("fecha", patron).alias("periodo")
+        return None
+    if rutas_existentes(spark, f"{gold.rstrip('/')}/ventas_vigentes/periodo=*") and not indice.tramos(spark, gold):
+        indexar_gold(spark, silver, gold)
+    trabajo = f"{_pendientes(gold)}/{uuid4().hex}"
+    periodo, propia = F.date_format("fecha", PATRON[grano]), F.col("_corrida").isin(dias)
+
+    def guardar(df: DataFrame, nombre: str, **vistas: Column) -> tuple[DataFrame, dict]:
+        """The frame as written, and what the writing stage saw."""
+        vista = Observation(nombre)
+        df.observe(vista, F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in vistas.items()]).write.parquet(
+            f"{trabajo}/{nombre}"
+        )
+        return spark.read.schema(df.schema).parquet(f"{trabajo}/{nombre}"), vista.get
+
+    corrida = _con_corrida(leer_dias(spark, "ventas", silver, dias))
+    entregadas = indice.con_cubo(deduplicar(corrida, CLAVE, (*ORDEN_VENTAS, "_corrida")))
+    entregadas, vistas = guardar(
+        entregadas, "entregadas", cubos=F.collect_set("cubo"), periodos=F.collect_set(periodo)
+    )
+    tocadas, cubos, estan = entregadas.select(*CLAVE, "cubo"), vistas["cubos"], vistas["periodos"]
+    antes = indice.buscar_corridas(spark, gold, dias)
+    if antes is not None:  # what they delivered before this rerun may be taken back
+        tocadas, vistas = guardar(
+            tocadas.unionByName(antes.select(*CLAVE, "cubo")).distinct(), "tocadas", cubos=F.collect_set("cubo")
+        )
+        cubos = vistas["cubos"]
+    elegidas, estaban = entregadas.drop("cubo"), []
+    conocidas = indice.buscar_llaves(spark, gold, tocadas, cubos)
+    if conocidas is not None:
+        conocidas, vistas = guardar(conocidas, "conocidas", periodos=F.collect_set(periodo))
+        ganadoras = _vigentes(spark, gold, vistas["periodos"], elegidas).join(tocadas, [*CLAVE], "left_semi")
+        ganadoras, vistas = guardar(
+            ganadoras, "ganadoras", periodos=F.collect_set("periodo"), propias=F.count_if(propia)
+        )
+        estaban, candidatas = vistas["periodos"], elegidas.unionByName(ganadoras.where(~propia).drop("periodo"))
+        if vistas["propias"]:
+            perdidas = ganadoras.where(propia).alias("g").join(entregadas.alias("e"), [*CLAVE], "left")
+            perdidas = perdidas.where(F.col("e._corrida").isNull() | (_orden("e") < _orden("g"))).select(*CLAVE)
+            otras = conocidas.where(~propia).join(perdidas, [*CLAVE], "left_semi").select("_corrida").distinct()
+            if desde is not None:
+                otras = otras.where(F.col("_corrida") >= F.lit(str(desde)).cast("date"))
+            otras = sorted(d for (d,) in otras.collect())
+            if otras:
+                viejas = _con_corrida(leer_dias(spark, "ventas", silver, otras))
+                candidatas = candidatas.unionByName(viejas.join(perdidas, [*CLAVE], "left_semi"))
+        if vistas["n"]:
+            elegidas = deduplicar(candidatas, CLAVE, (*ORDEN_VENTAS, "_corrida"))
+            elegidas, vistas = guardar(elegidas, "elegidas", periodos=F.collect_set(periodo))
+            estan = vistas["periodos"]
+    periodos = sorted({*estan, *estaban})
+    siguen = _vigentes(spark, gold, periodos, elegidas).join(tocadas, [*CLAVE], "left_anti")
+    resultado = siguen.unionByName(elegidas.withColumn("periodo", periodo))
+    resultado.hint("rebalance", "periodo").write.partitionBy("periodo").parquet(f"{trabajo}/ventas_vigentes")
+    partes = indice.preparar(spark, gold, indice.entradas(corrida), dias, f"{trabajo}/indice")
+    anotar(spark, trabajo, {"periodos": periodos, "partes": partes, "detalle": detalle, "grano": grano})
+    return trabajo
+
+
+def _vigentes(spark: SparkSession, gold: str, periodos: list[str], como: DataFrame) -> DataFrame:
+    """Gold's sales of some periods, with `periodo`; without any, no rows of the columns of `como`."""
     ruta = f"{gold.rstrip('/')}/ventas_vigentes"
-    previas = None
-    if rutas_existentes(spark, f"{ruta}/periodo=*"):
-        previas = spark.read.parquet(ruta).withColumn("periodo", F.col("periodo").cast("string"))
-    tocadas = corrida.select(*CLAVE)
-    if previas is not None:
-        tocadas = tocadas.unionByName(previas.where(F.col("_corrida").isin(dias)).select(*CLAVE))
-    trabajo = espacio(spark, "gold")
-    tocadas.distinct().write.parquet(f"{trabajo}/tocadas")
-    tocadas = spark.read.parquet(f"{trabajo}/tocadas")
-    versiones = _con_corrida(historia.join(tocadas, [*CLAVE], "left_semi"))
-    deduplicar(versiones, CLAVE, (*ORDEN_VENTAS, "_corrida")).write.parquet(f"{trabajo}/nuevas")
-    nuevas = spark.read.parquet(f"{trabajo}/nuevas")
-    cambian = nuevas.select(periodo)
-    if previas is not None:
-        cambian = cambian.unionByName(previas.join(tocadas, [*CLAVE], "left_semi").select("periodo"))
-    periodos = sorted(p for (p,) in cambian.distinct().collect())
-    if not periodos:
-        return 0
-    resultado = nuevas.withColumn("periodo", periodo)
-    if previas is not None:
-        siguen = previas.where(F.col("periodo").isin(periodos)).join(tocadas, [*CLAVE], "left_anti")
-        resultado = siguen.unionByName(resultado)
-    esperadas = [{"periodo": p} for p in periodos]
-    escribir_particiones(resultado, "ventas_vigentes", gold, ["periodo"], esperadas)
+    carpetas = rutas_existentes(spark, *[f"{ruta}/periodo={p}" for p in periodos])
+    esquema = StructType([f for f in como.schema if f.name != "periodo"]).add("periodo", "string")
+    if not carpetas:
+        return spark.createDataFrame([], esquema)
+    return spark.read.schema(esquema).option("basePath", ruta).parquet(*carpetas)
+
+
+def escribir_vigentes(spark: SparkSession, gold: str, trabajo: str) -> DataFrame:
+    """First write of prepared work: the sales that count, in the periods it touches. Returns them as prepared."""
+    nota = leer_nota(spark, trabajo)
+    ruta = f"{trabajo}/ventas_vigentes"
+    vigentes = spark.read.option("basePath", ruta).parquet(ruta)
+    vigentes = vigentes.withColumn("periodo", F.date_format("fecha", PATRON[nota["grano"]]))
+    escribir_particiones(vigentes, "ventas_vigentes", gold, ["periodo"], [{"periodo": p} for p in nota["periodos"]])
+    return vigentes
+
+
+def aplicar_gold(spark: SparkSession, gold: str, trabajo: str) -> int:
+    """Put prepared work into Gold; returns the rows of consolidated sales.
+
+    Every write replaces its partitions by content from the folder of the work, never by Gold's own, so whatever
+    a stop left behind is right after the next try. The folder goes last.
+    """
+    nota, filas = leer_nota(spark, trabajo), 0
+    esperadas = [{"periodo": p} for p in nota["periodos"]]
+    if esperadas:
+        vigentes = escribir_vigentes(spark, gold, trabajo)
+        periodo = F.date_format("fecha", PATRON[nota["grano"]]).alias("periodo")
+        if nota["detalle"]:
+            por_sku = _totales(vigentes, "canal", "tienda_id", "sku", "fecha").select("*", periodo)
+            escribir_particiones(por_sku, "ventas_por_tienda_sku_dia", gold, ["periodo"], esperadas)
+        consolidadas = _totales(vigentes, "canal", "fecha").select("canal", "fecha", "ventas_totales", periodo)
+        filas = escribir_particiones(consolidadas, "ventas_consolidadas", gold, ["periodo"], esperadas)
+    indice.reemplazar(spark, gold, nota["partes"], f"{trabajo}/indice")
     borrar(spark, trabajo)
-    vigentes = leer_gold(spark, "ventas_vigentes", gold, periodos)
-    consolidadas = _totales(vigentes, "canal", "fecha").select("canal", "fecha", "ventas_totales", periodo)
-    if detalle:
-        por_sku = _totales(vigentes, "canal", "tienda_id", "sku", "fecha").withColumn("periodo", periodo)
-        escribir_particiones(por_sku, "ventas_por_tienda_sku_dia", gold, ["periodo"], esperadas)
-    return escribir_particiones(consolidadas, "ventas_consolidadas", gold, ["periodo"], esperadas)
+    return filas
+
+
+def indexar_gold(spark: SparkSession, silver: str, gold: str) -> None:
+    """Build the index of sale keys anew from all of Silver, for a Gold folder that has none."""
+    ventas = _con_corrida(leer_silver(spark, "ventas", silver))
+    dias = sorted(d for (d,) in ventas.select("_corrida").distinct().collect())
+    trabajo = f"{_pendientes(gold)}/{uuid4().hex}"
+    partes = indice.preparar(spark, gold, indice.entradas(ventas), dias, f"{trabajo}/indice")
+    anotar(spark, trabajo, {"periodos": [], "partes": partes, "detalle": False, "grano": "fecha"})
+    aplicar_gold(spark, gold, trabajo)
 
 
 def procesar_dimensiones(spark: SparkSession, silver: str, gold: str, run_date: date | str) -> None:

@@ -462,6 +462,50 @@ def gold_entregas_repetidas(spark, sf_dir):
     return gold.leer_consolidadas(spark, oro)
 
 
+def _otra_version(ventas, dias: int, veces: int):
+    """The same sales, moved by some days and of another amount."""
+    return ventas.withColumns(
+        {"created_at": F.col("created_at") + F.expr(f"INTERVAL {dias} DAY"), "total_amount": F.col("total_amount") * veces}
+    )
+
+
+def _entregar(spark, crudas, limpias, entrega, dias: int) -> date:
+    fecha = RUN_DATE + timedelta(days=dias)
+    _aterrizar(entrega, crudas, VENTAS_ECOMMERCE, fecha)
+    silver.procesar_silver(spark, crudas, limpias, fecha, run_ts=RUN_TS, fuentes=(VENTAS_ECOMMERCE,))
+    return fecha
+
+
+@consulta
+def gold_refresco_tardio(spark, sf_dir):
+    """Three run dates, the middle one last: a third of the sales newer and of twice the amount, a quarter older,
+    which must not count; then the first again without a seventh, whose other versions come up. As if built anew."""
+    crudas, limpias, oro = (espacio(spark, n) for n in ("bronze", "silver", "gold"))
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    for entrega, dias in (
+        (ventas, 0),
+        (_otra_version(ventas.where(_numero() % 3 == 0), 1, 2), 2),
+        (_otra_version(ventas.where(_numero() % 4 == 0), -1, 5), 1),
+        (ventas.where(_numero() % 7 != 0), 0),
+    ):
+        gold.procesar_gold(spark, limpias, oro, _entregar(spark, crudas, limpias, entrega, dias), grano="mes")
+    return gold.leer_consolidadas(spark, oro)
+
+
+@consulta
+def gold_tras_un_corte(spark, sf_dir):
+    """A refresh that stopped after its first table; the next run date's refresh finishes it and does its own."""
+    crudas, limpias, oro = (espacio(spark, n) for n in ("bronze", "silver", "gold"))
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    gold.procesar_gold(spark, limpias, oro, _entregar(spark, crudas, limpias, ventas, 0), grano="mes")
+    segunda = _entregar(spark, crudas, limpias, _otra_version(ventas.where(_numero() % 3 == 0), 1, 2), 1)
+    tercera = _entregar(spark, crudas, limpias, _otra_version(ventas.where(_numero() % 5 == 0), 40, 3), 2)
+    trabajo = gold.preparar_gold(spark, limpias, oro, segunda, grano="mes")
+    gold.escribir_vigentes(spark, oro, trabajo)
+    gold.procesar_gold(spark, limpias, oro, tercera, grano="mes")
+    return gold.leer_consolidadas(spark, oro)
+
+
 @consulta
 def bronze_origenes(spark, sf_dir):
     """Two streams with their own checkpoints and a plain drop of typed files on one run date, all there."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
@@ -38,6 +39,29 @@ def borrar(spark: SparkSession, ruta: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+NOTA = "_nota.json"
+
+
+def anotar(spark: SparkSession, carpeta: str, nota: Mapping[str, object]) -> None:
+    """Leaves a small note in a folder, at once or not at all: it is renamed into its place."""
+    camino = spark._jvm.org.apache.hadoop.fs.Path
+    lista, a_medias = camino(f"{carpeta}/{NOTA}"), camino(f"{carpeta}/{NOTA}.tmp")
+    fs = lista.getFileSystem(spark._jsc.hadoopConfiguration())
+    salida = fs.create(a_medias, True)
+    salida.write(bytearray(json.dumps(nota).encode()))
+    salida.close()
+    fs.delete(lista, False)
+    fs.rename(a_medias, lista)
+
+
+def leer_nota(spark: SparkSession, carpeta: str) -> dict:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{carpeta}/{NOTA}")
+    entrada = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    texto = spark._jvm.org.apache.commons.io.IOUtils.toString(entrada, "UTF-8")
+    entrada.close()
+    return json.loads(texto)
+
+
 def _prefijo(spark: SparkSession, ruta: str) -> str | None:
     """Glob of the partition levels before `year=`; None if nothing has been written."""
     nivel = ""

@@ -229,6 +229,19 @@ FROM (SELECT canal,
              CASE WHEN CAST(venta_id AS BIGINT) % 6 = 0 THEN vendido_en + INTERVAL 1 DAY ELSE vendido_en END AS vendido_en,
              CASE WHEN CAST(venta_id AS BIGINT) % 6 = 0 THEN monto_total * 2 ELSE monto_total END AS monto_total
       FROM ventas WHERE canal = 'ecommerce') GROUP BY 1, 2""",
+    "gold_refresco_tardio": f"""
+SELECT canal, CAST(vendido_en + dias * INTERVAL 1 DAY AS DATE) AS fecha,
+       CAST(sum(monto_total * veces) AS DECIMAL(18,2)) AS ventas_totales
+FROM (SELECT *, CASE WHEN n % 3 = 0 THEN 1 WHEN n % 7 <> 0 THEN 0 ELSE -1 END AS dias,
+             CASE WHEN n % 3 = 0 THEN 2 WHEN n % 7 <> 0 THEN 1 ELSE 5 END AS veces
+      FROM (SELECT *, CAST(venta_id AS BIGINT) AS n FROM ventas WHERE canal = 'ecommerce'))
+WHERE n % 3 = 0 OR n % 7 <> 0 OR n % 4 = 0 GROUP BY 1, 2""",
+    "gold_tras_un_corte": f"""
+SELECT canal, CAST(vendido_en + dias * INTERVAL 1 DAY AS DATE) AS fecha,
+       CAST(sum(monto_total * veces) AS DECIMAL(18,2)) AS ventas_totales
+FROM (SELECT *, CASE WHEN n % 5 = 0 THEN 40 WHEN n % 3 = 0 THEN 1 ELSE 0 END AS dias,
+             CASE WHEN n % 5 = 0 THEN 3 WHEN n % 3 = 0 THEN 2 ELSE 1 END AS veces
+      FROM (SELECT *, CAST(venta_id AS BIGINT) AS n FROM ventas WHERE canal = 'ecommerce')) GROUP BY 1, 2""",
     "bronze_origenes": ECOMMERCE,
     "extraccion_con_solape": ECOMMERCE,
     "silver_parcial": """
