@@ -605,21 +605,59 @@ def devoluciones_repetidas(spark, sf_dir):
 @consulta
 def stream_sin_perdidas(spark, sf_dir):
     """Four event files, the newest sales first, with a horizon of ten days: every sale is on time or late."""
-    carpeta, salida, marcas = (espacio(spark, n) for n in ("eventos", "silver", "checkpoint"))
+    salida, marcas = espacio(spark, "silver"), espacio(spark, "checkpoint")
     ventas = feeds.ventas_ecommerce(spark, sf_dir)
     dia = F.dayofmonth("created_at")
-    for desde, hasta in ((24, 31), (16, 23), (8, 15), (1, 7)):
-        parte = ventas.where(dia.between(desde, hasta)).withColumn("created_at", F.col("created_at").cast("string"))
-        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).coalesce(1).write.mode("append").text(carpeta)
+    semanas = ((24, 31), (16, 23), (8, 15), (1, 7))
+    carpeta = _en_archivos(spark, *[ventas.where(dia.between(*semana)) for semana in semanas])
     flujo = microbatch.leer_eventos(spark, VENTAS_ECOMMERCE, carpeta, archivos_por_lote=1)
     limpias = stateful.conformar_flujo(flujo, VENTAS_ECOMMERCE, RUN_TS)
     stateful.escribir_primeras(limpias, salida, marcas, "10 days").awaitTermination()
-    return silver.unificar(
-        *[
-            spark.read.parquet(f"{salida}/{parte}").select("venta_id", "vendido_en", F.lit(parte).alias("parte"))
-            for parte in ("a_tiempo", "tardias")
-        ]
+    return stateful.leer_primeras(spark, salida).select("venta_id", "vendido_en", "parte")
+
+
+def _en_archivos(spark, *partes) -> str:
+    """Event files, one per frame, in the order in which a stream takes them."""
+    carpeta = espacio(spark, "eventos")
+    for parte in partes:
+        parte = parte.withColumn("created_at", F.col("created_at").cast("string"))
+        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).coalesce(1).write.mode("append").text(carpeta)
+    return carpeta
+
+
+@consulta
+def stream_entregas_repetidas(spark, sf_dir):
+    """Three files in the order of sale: the first half of the month, the whole month, the first half again. A
+    sale is on time once; its copies are repeated ones, or late ones behind the horizon of five days."""
+    salida, marcas = espacio(spark, "silver"), espacio(spark, "checkpoint")
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    mitad = ventas.where(F.dayofmonth("created_at") <= 15)
+    flujo = microbatch.leer_eventos(
+        spark, VENTAS_ECOMMERCE, _en_archivos(spark, mitad, ventas, mitad), archivos_por_lote=1
     )
+    limpias = stateful.conformar_flujo(flujo, VENTAS_ECOMMERCE, RUN_TS)
+    stateful.escribir_primeras(limpias, salida, marcas, "5 days").awaitTermination()
+    return stateful.leer_primeras(spark, salida).groupBy("parte").agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.count_distinct("venta_id").alias("ventas"),
+        F.sum("monto_total").cast(gold.MONTO).alias("monto"),
+    )
+
+
+@consulta
+def stream_totales_corregidos(spark, sf_dir):
+    """Totals over four triggers: sales in two files, then corrections that take a third of them back and add a
+    fifth once more. Each trigger writes the groups it changed."""
+    salida, marcas = espacio(spark, "gold"), espacio(spark, "checkpoint")
+    ventas = feeds.ventas_ecommerce(spark, sf_dir)
+    menos = ventas.where(_numero() % 3 == 0).withColumn("total_amount", -F.col("total_amount"))
+    carpeta = _en_archivos(
+        spark, ventas.where(_numero() % 2 == 0), ventas.where(_numero() % 2 == 1), menos, ventas.where(_numero() % 5 == 0)
+    )
+    flujo = microbatch.leer_eventos(spark, VENTAS_ECOMMERCE, carpeta, archivos_por_lote=1)
+    movimientos = stateful.movimientos(flujo, VENTAS_ECOMMERCE, RUN_TS)
+    stateful.escribir_totales(stateful.totales_en_flujo(movimientos), salida, marcas, junta_cada=3).awaitTermination()
+    return stateful.leer_totales(spark, salida)
 
 
 @consulta

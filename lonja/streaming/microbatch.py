@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from lonja.plans.gold import procesar_gold
 from lonja.plans.silver import exigir_utc, reprocesar
 from lonja.sources.bronze import esquema_texto
 from lonja.sources.lake import borrar, rutas_existentes
+from lonja.streaming.origen import identidad
 
 
 def leer_eventos(
@@ -42,21 +42,6 @@ def leer_eventos(
     return lector.load(carpeta).select("*", F.col("_metadata.file_modification_time").alias("_llegada"))
 
 
-def _identidad(spark: SparkSession, checkpoint: str, nombre: str) -> str:
-    """The stream's origin in Bronze: a name made up with the checkpoint and kept in it.
-
-    A second receiver has another checkpoint, and a lost checkpoint is replaced by one with another name, so
-    no stream can write where another one has.
-    """
-    carpeta = f"{checkpoint.rstrip('/')}/lonja"
-    halladas = rutas_existentes(spark, f"{carpeta}/origen=*")
-    if not halladas:
-        camino = spark._jvm.org.apache.hadoop.fs.Path(f"{carpeta}/origen={nombre}-{uuid4().hex[:12]}")
-        camino.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(camino)
-        halladas = rutas_existentes(spark, f"{carpeta}/origen=*")
-    return min(halladas).rpartition("=")[2]
-
-
 def iniciar_microlotes(
     flujo: DataFrame,
     fuente: Fuente,
@@ -76,7 +61,7 @@ def iniciar_microlotes(
     """
     spark = flujo.sparkSession
     exigir_utc(spark)
-    origen = _identidad(spark, checkpoint, nombre)
+    origen = identidad(spark, checkpoint, nombre)
     llegada = F.to_date("_llegada") if "_llegada" in flujo.columns else F.lit(None).cast("date")
     sin_fecha = F.raise_error(F.lit(f"{fuente.tabla}: an event has neither a run date nor an arrival date"))
     dia = F.coalesce(*([fecha.cast("date")] if fecha is not None else []), llegada, sin_fecha.cast("date"))

@@ -259,6 +259,23 @@ SELECT venta_id, vendido_en,
        CASE WHEN day(vendido_en) < 24 AND vendido_en < (SELECT max(vendido_en) FROM ventas WHERE canal = 'ecommerce')
                  - INTERVAL 10 DAY THEN 'tardias' ELSE 'a_tiempo' END AS parte
 FROM ventas WHERE canal = 'ecommerce'""",
+    "stream_entregas_repetidas": """
+SELECT parte, count(*) AS filas, count(DISTINCT venta_id) AS ventas, CAST(sum(monto_total) AS DECIMAL(18,2)) AS monto
+FROM (SELECT venta_id, monto_total, 'a_tiempo' AS parte FROM v
+      UNION ALL
+      SELECT venta_id, monto_total, CASE WHEN vendido_en < media - INTERVAL 5 DAY THEN 'tardias' ELSE 'repetidas' END
+      FROM v WHERE day(vendido_en) <= 15
+      UNION ALL
+      SELECT venta_id, monto_total, CASE WHEN vendido_en < fin - INTERVAL 5 DAY THEN 'tardias' ELSE 'repetidas' END
+      FROM v WHERE day(vendido_en) <= 15)
+GROUP BY parte""".replace("FROM v", """FROM (
+        SELECT *, max(vendido_en) FILTER (WHERE day(vendido_en) <= 15) OVER () AS media, max(vendido_en) OVER () AS fin
+        FROM ventas WHERE canal = 'ecommerce')"""),
+    "stream_totales_corregidos": """
+SELECT canal, CAST(vendido_en AS DATE) AS fecha, CAST(sum(monto_total * veces) AS DECIMAL(18,2)) AS ventas_totales
+FROM (SELECT *, 1 + CASE WHEN n % 3 = 0 THEN -1 ELSE 0 END + CASE WHEN n % 5 = 0 THEN 1 ELSE 0 END AS veces
+      FROM (SELECT *, CAST(venta_id AS BIGINT) AS n FROM ventas WHERE canal = 'ecommerce'))
+GROUP BY 1, 2""",
     "gold_catalogo_del_dia": f"{CONSOLIDADAS} HAVING fecha = DATE '2024-01-15'",
     "gold_ventas_de_hoy": f"SELECT canal, {SUMA} FROM con_fecha WHERE fecha = DATE '2024-01-15' GROUP BY canal",
     "personas_enmascaradas": """
