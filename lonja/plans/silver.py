@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 from functools import reduce
 from itertools import product
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from lonja.contracts import (
 from lonja.operators.conform import (
     DEVOLUCION,
     RECHAZO,
+    VALIDA,
     clasificar,
     completar,
     devueltas,
@@ -74,14 +77,10 @@ def unificar(*ventas: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, ventas)
 
 
-def _devueltas(df: DataFrame, fuente: Fuente, *, por: tuple[str, ...] = ()) -> DataFrame:
-    """Sound rows with a negative amount, the latest per key."""
-    return deduplicar(devueltas(df, fuente, conservar=por), (*por, *fuente.llave), fuente.orden)
-
-
 def devoluciones(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
     """Returns, once per key like sales; `transformar` leaves them out."""
-    return completar(_devueltas(df, fuente), fuente, run_ts).drop("_clase", "_motivos")
+    vueltas = deduplicar(devueltas(df, fuente), fuente.llave, fuente.orden)
+    return completar(vueltas, fuente, run_ts).drop("_clase", "_motivos")
 
 
 def rechazos(df: DataFrame, fuente: Fuente, run_ts: datetime) -> DataFrame:
@@ -101,6 +100,33 @@ def _de(df: DataFrame, fuente: Fuente) -> DataFrame:
     return df.withColumn("feed", F.lit(fuente.tabla))
 
 
+def _clase(todas: DataFrame, clase: str) -> DataFrame:
+    return todas.where(F.col("_clase") == clase)
+
+
+def _unicas(todas: DataFrame, clase: str, fuente: Fuente, *, por: tuple[str, ...] = ()) -> DataFrame:
+    """The latest row per key among those of a class; without the columns that only rejects need, if they are valid."""
+    filas = _clase(todas, clase).drop("_netas", "_corrupto", *(("_clase", "_faltas") if clase == VALIDA else ()))
+    return deduplicar(filas, (*por, *fuente.llave), fuente.orden)
+
+
+@contextmanager
+def _clasificadas(
+    crudas: Mapping[str, DataFrame], fuentes: Iterable[Fuente], *, conservar: tuple[str, ...] = ()
+) -> Iterator[dict[str, DataFrame]]:
+    """Every feed's rows, typed and classified once, for all outputs of a run.
+
+    They are kept on the executors (in memory, what doesn't fit on disk), as shuffle files are, and not in the
+    lake, since personal data is hashed in everything that is written. What a lost executor held is read again.
+    """
+    todas = {f.tabla: clasificar(crudas[f.tabla], f, conservar=conservar) for f in fuentes}
+    try:
+        yield {t: df.persist(StorageLevel.MEMORY_AND_DISK) for t, df in todas.items()}
+    finally:
+        for df in todas.values():
+            df.unpersist()
+
+
 def procesar_silver(
     spark: SparkSession,
     bronze: str,
@@ -119,8 +145,9 @@ def procesar_silver(
     Per Silver table there are two writes: the clean rows, and `<table>_apartadas` with the returns and
     rejects under `clase=`. Both are partitioned by `feed`, so a run of some feeds leaves the others'
     rows alone. With `hora` the run takes what arrived in that hour (`hora=` in Bronze) into the
-    partition `hour=`. The raw metrics are observed while the rejects are written, in a stage without a
-    shuffle, so they cost no extra scan and are exact when tasks are retried. They end up in the table
+    partition `hour=`. Each feed is read, typed and classified once for all of this. The raw metrics are
+    observed while the rejects are written, in a stage without a shuffle, so they cost no extra scan and are
+    exact when tasks are retried. They end up in the table
     `calidad`. All frames are planned before the first write, so a missing source or column stops the
     run before anything changes.
     """
@@ -139,30 +166,31 @@ def procesar_silver(
         )
         for f in fuentes
     }
-    planes: dict[str, tuple[DataFrame, DataFrame]] = {}
     medidas: dict[str, list[Observation]] = {}
-    for destino in dict.fromkeys(f.destino for f in fuentes):
-        buenas, malas = [], []
-        for f in (f for f in fuentes if f.destino == destino):
-            crudo, limpio, devuelto = (Observation(f"{n}_{f.tabla}") for n in ("crudo", "limpio", "devuelto"))
-            medidas[f.tabla] = [crudo, limpio, devuelto] if f.monto else [crudo, limpio]
-            unicas = transformar(crudas[f.tabla], f, run_ts, sal=sal)
-            buenas.append(_de(unicas.observe(limpio, F.count(F.lit(1)).alias("unicas")), f))
-            todas = clasificar(crudas[f.tabla], f).observe(crudo, *[c.alias(n) for n, c in metricas_crudas(f).items()])
-            malas.append(_de(completar(todas.where(F.col("_clase") == RECHAZO), f, run_ts, sal=sal), f))
-            if f.monto:
-                vueltas = _devueltas(crudas[f.tabla], f).observe(devuelto, F.count(F.lit(1)).alias("devueltas"))
-                malas.append(_de(completar(vueltas, f, run_ts, sal=sal), f))
-        apartada = unificar(*malas).withColumnsRenamed({"_clase": "clase", "_motivos": "motivos"})
-        planes[destino] = (unificar(*buenas), apartada)
     filas = {}
-    for destino, (buena, mala) in planes.items():
-        propias = [f for f in fuentes if f.destino == destino]
-        feeds = [f.tabla for f in propias]
-        filas[destino] = escribir_silver(buena, destino, silver, run_date, hora=hora, por={"feed": feeds})
-        filas[f"{destino}_apartadas"] = escribir_silver(
-            mala, f"{destino}_apartadas", silver, run_date, hora=hora, por={"clase": _clases(propias), "feed": feeds}
-        )
+    with _clasificadas(crudas, fuentes) as clasificadas:
+        planes: dict[str, tuple[DataFrame, DataFrame]] = {}
+        for destino in dict.fromkeys(f.destino for f in fuentes):
+            buenas, malas = [], []
+            for f in (f for f in fuentes if f.destino == destino):
+                todas = clasificadas[f.tabla]
+                crudo, limpio, devuelto = (Observation(f"{n}_{f.tabla}") for n in ("crudo", "limpio", "devuelto"))
+                medidas[f.tabla] = [crudo, limpio, devuelto] if f.monto else [crudo, limpio]
+                unicas = completar(_unicas(todas, VALIDA, f), f, run_ts, sal=sal)
+                buenas.append(_de(unicas.observe(limpio, F.count(F.lit(1)).alias("unicas")), f))
+                vistas = todas.observe(crudo, *[c.alias(n) for n, c in metricas_crudas(f).items()])
+                malas.append(_de(completar(_clase(vistas, RECHAZO), f, run_ts, sal=sal), f))
+                if f.monto:
+                    vueltas = _unicas(todas, DEVOLUCION, f).observe(devuelto, F.count(F.lit(1)).alias("devueltas"))
+                    malas.append(_de(completar(vueltas, f, run_ts, sal=sal), f))
+            apartada = unificar(*malas).withColumnsRenamed({"_clase": "clase", "_motivos": "motivos"})
+            planes[destino] = (unificar(*buenas), apartada)
+        for destino, (buena, mala) in planes.items():
+            propias = [f for f in fuentes if f.destino == destino]
+            feeds = [f.tabla for f in propias]
+            aparte, clases = f"{destino}_apartadas", {"clase": _clases(propias), "feed": feeds}
+            filas[destino] = escribir_silver(buena, destino, silver, run_date, hora=hora, por={"feed": feeds})
+            filas[aparte] = escribir_silver(mala, aparte, silver, run_date, hora=hora, por=clases)
     sin_devueltas = {"devueltas": 0}
     observado = [
         {"tabla": t, **sin_devueltas, **{k: v for o in medidas[t] for k, v in o.get.items()}} for t in crudas
@@ -202,17 +230,30 @@ def reprocesar(
         )
         for f in fuentes
     }
+    with _clasificadas(crudas, fuentes, conservar=por) as clasificadas:
+        return _escribir_fechas(spark, silver, dias, fuentes, clasificadas, run_ts, sal, por)
+
+
+def _escribir_fechas(
+    spark: SparkSession,
+    silver: str,
+    dias: list[date],
+    fuentes: tuple[Fuente, ...],
+    clasificadas: Mapping[str, DataFrame],
+    run_ts: datetime,
+    sal: str | None,
+    por: tuple[str, ...],
+) -> dict[str, dict[str, int]]:
     tablas: dict[str, tuple[list[DataFrame], dict[str, list[str]]]] = {}
     for f in fuentes:
-        cruda = crudas[f.tabla]
-        todas = clasificar(cruda, f, conservar=por)
-        malas = [completar(todas.where(F.col("_clase") == RECHAZO), f, run_ts, sal=sal, conservar=por)]
+        todas = clasificadas[f.tabla]
+        malas = [completar(_clase(todas, RECHAZO), f, run_ts, sal=sal, conservar=por)]
         if f.monto:
-            malas.append(completar(_devueltas(cruda, f, por=por), f, run_ts, sal=sal, conservar=por))
+            malas.append(completar(_unicas(todas, DEVOLUCION, f, por=por), f, run_ts, sal=sal, conservar=por))
         malas = [m.withColumnsRenamed({"_clase": "clase", "_motivos": "motivos"}) for m in malas]
         informe = calidad_fuente(todas, f, por=por).withColumn("_procesado_en", F.lit(run_ts).cast("timestamp"))
         clases = {"clase": list(_clases([f]))}
-        buena = transformar(cruda, f, run_ts, sal=sal, por=por)
+        buena = completar(_unicas(todas, VALIDA, f, por=por), f, run_ts, sal=sal, conservar=por)
         for tabla, partes, antes in (
             (f.destino, [buena], {}),
             (f"{f.destino}_apartadas", malas, clases),

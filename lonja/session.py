@@ -28,6 +28,8 @@ def configurar(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        # A few partitions of a task are written side by side without sorting by them first.
+        "spark.sql.maxConcurrentOutputFileWriters": "4",
         "spark.ui.enabled": "false",
     }
     if n:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from collections import Counter
 from datetime import date, timedelta
 
@@ -172,3 +173,26 @@ def test_command_line(capsys):
 
 def test_feeds_are_registered():
     assert set(FUENTES) == {"ventas_tiendas", "ventas_ecommerce", "inventario", "conteos_fisicos"}
+
+
+def test_every_feed_is_read_once(spark, sf_dir, tmp_path, monkeypatch):
+    """Once a table is written its Bronze is not needed any more: all outputs come from one classification."""
+    b, s = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    for tabla, feed in FEEDS.items():
+        feed(spark, sf_dir).write.parquet(bronze.ruta_bronze(b, tabla, DIA))
+    esperadas = silver.procesar_silver(spark, b, str(tmp_path / "otra"), DIA)
+    escribir = silver.escribir_silver
+
+    def y_borrar(df, tabla, *a, **k):
+        filas = escribir(df, tabla, *a, **k)
+        for feed in (f.tabla for f in FUENTES.values() if f.destino == tabla):
+            shutil.rmtree(tmp_path / "bronze" / feed, ignore_errors=True)
+        return filas
+
+    monkeypatch.setattr(silver, "escribir_silver", y_borrar)
+    assert silver.procesar_silver(spark, b, s, DIA) == esperadas
+    for tabla in ("ventas", "ventas_apartadas", "inventario", "calidad"):
+        una, otra = (lake.leer_silver(spark, tabla, r, DIA) for r in (s, str(tmp_path / "otra")))
+        una, otra = (df.select([F.col(c).cast("string").alias(c) for c in df.columns]) for df in (una, otra))
+        assert contenido(una) == contenido(otra)
+    assert not spark.sparkContext._jsc.getPersistentRDDs().size()
