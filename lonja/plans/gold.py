@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from lonja.contracts import ORDEN_VENTAS
 from lonja.functions import fecha_negocio
 from lonja.operators.dedup import deduplicar
+from lonja.operators.temporal import al_momento, con_version
 from lonja.sources import indice
 from lonja.sources.indice import CLAVE
 from lonja.sources.lake import (
@@ -83,6 +84,44 @@ def ventas_vigentes(ventas: DataFrame) -> DataFrame:
     return deduplicar(ventas, CLAVE, (*ORDEN_VENTAS, "_procesado_en"))
 
 
+NIVELES = {
+    "tienda_sku_dia": ("tienda_id", "sku", "fecha"),
+    "tienda_dia": ("tienda_id", "fecha"),
+    "sku_dia": ("sku", "fecha"),
+    "tienda": ("tienda_id",),
+    "sku": ("sku",),
+    "dia": ("fecha",),
+    "total": (),
+}
+
+
+def ventas_por_niveles(ventas: DataFrame, *, zona: str | None = None) -> DataFrame:
+    """The totals of all `NIVELES` from one scan and one exchange.
+
+    `nivel` and `grupo` (the grouping id: a bit per left-out key, the store's the highest) tell a level's missing
+    key from a sale that has none. Rows are reduced per level before the exchange.
+    """
+    llaves = ("tienda_id", "sku", "fecha")
+    agrupadas = con_fecha(ventas, zona).groupingSets([[F.col(c) for c in n] for n in NIVELES.values()], *llaves)
+    totales = agrupadas.agg(
+        F.sum("monto_total").cast(MONTO).alias("ventas_totales"),
+        F.sum("cantidad").alias("unidades"),
+        F.count(F.lit(1)).alias("n_ventas"),
+        F.grouping_id(*llaves).cast("int").alias("grupo"),
+    )
+    nombre = F.lit(None).cast("string")
+    for nivel, presentes in NIVELES.items():
+        bits = sum(1 << (len(llaves) - 1 - i) for i, c in enumerate(llaves) if c not in presentes)
+        nombre = F.when(F.col("grupo") == bits, F.lit(nivel)).otherwise(nombre)
+    return totales.withColumn("nivel", nombre)
+
+
+def escribir_niveles(ventas: DataFrame, gold: str, *, zona: str | None = None) -> int:
+    """Write all levels at once, one partition each; a level that no sale belongs to is emptied."""
+    esperadas = [{"nivel": n} for n in NIVELES]
+    return escribir_particiones(ventas_por_niveles(ventas, zona=zona), "ventas_por_niveles", gold, ["nivel"], esperadas)
+
+
 # --- star schema -----------------------------------------------------------------------------------
 
 
@@ -152,6 +191,22 @@ def consulta_estrella(
     )
 
 
+def consulta_estrella_con_historia(hechos: DataFrame, tiendas: DataFrame) -> DataFrame:
+    """Sales by channel, month and the name a store had on the day of the sale (`versiones_dimension`).
+
+    The fact is reduced to store and day first. Online sales, and those from before a store was first seen, belong
+    to the unknown member.
+    """
+    resumen = hechos.groupBy("canal", "tienda_id", "fecha").agg(
+        F.sum("monto_total").alias("monto"), F.sum("cantidad").alias("unidades")
+    )
+    nombre = F.coalesce("tienda_nombre", F.lit(DESCONOCIDO)).alias("tienda_nombre")
+    con_nombre = con_version(resumen, tiendas, "tienda_id", "fecha")
+    return con_nombre.groupBy("canal", nombre, F.year("fecha").alias("anio"), F.month("fecha").alias("mes")).agg(
+        F.sum("monto").cast(MONTO).alias("ventas_totales"), F.sum("unidades").alias("unidades")
+    )
+
+
 # --- sales and stock -------------------------------------------------------------------------------
 
 
@@ -165,6 +220,45 @@ def ventas_vs_inventario(ventas: DataFrame, inventario: DataFrame, *, como: str
     return vendido.join(stock, ["tienda_id", "sku"], como)
 
 
+EXISTENCIAS = ("stock_disponible", "stock_reservado", "ultima_actualizacion")
+
+
+def ventas_con_existencias(ventas: DataFrame, existencias: DataFrame) -> DataFrame:
+    """Every sale with the stock its store had of the product at that moment, from all stock versions."""
+    return al_momento(
+        ventas,
+        existencias,
+        ("tienda_id", "sku"),
+        tiempo="vendido_en",
+        desde="ultima_actualizacion",
+        valores=EXISTENCIAS,
+        desempate=("inventario_id",),
+    )
+
+
+def conteos_contra_existencias(conteos: DataFrame, existencias: DataFrame) -> DataFrame:
+    """Every physical count against the stock the system had at the moment of counting; NULL if it had none."""
+    vistos = al_momento(
+        conteos,
+        existencias,
+        ("tienda_id", "sku"),
+        tiempo="contado_en",
+        desde="ultima_actualizacion",
+        valores=EXISTENCIAS,
+        desempate=("inventario_id",),
+    )
+    en_sistema = F.col("stock_disponible") + F.col("stock_reservado")
+    return vistos.select(
+        "conteo_id",
+        "tienda_id",
+        "sku",
+        "contado",
+        "contado_en",
+        en_sistema.alias("en_sistema"),
+        (F.col("contado") - en_sistema).alias("diferencia"),
+    )
+
+
 def sku_conformidad(**sistemas: DataFrame) -> DataFrame:
     """For each sku, which systems know it, and whether all of them do.
 

@@ -21,7 +21,7 @@ from lonja.contracts import (
     VENTAS_ECOMMERCE,
     VENTAS_TIENDAS,
 )
-from lonja.operators import quality
+from lonja.operators import bosquejos, quality, temporal
 from lonja.operators.conform import clasificar, mask_pii, rechazar_vacios, validar_no_vacios, validas
 from lonja.operators.quality import calidad_fuente, duplicados, log_quality
 from lonja.plans import gold, silver
@@ -772,19 +772,154 @@ def gold_dim_fecha(spark, sf_dir):
 
 @consulta
 def gold_estrella_ventas(spark, sf_dir):
-    """Fact and dates from the sales, stores and products from the stock of T1 to T5 alone, as the star's job
-    writes them; sales that those dimensions lack go to the unknown members.
+    """Fact and dates from the sales, stores and products from the stock, as the star's job writes them; sales
+    that those dimensions lack go to the unknown members.
 
     Silver is written once; fact and dimensions are read from it instead of being rebuilt each.
     """
     raiz = espacio(spark, "silver")
     silver_ventas(spark, sf_dir).write.parquet(f"{raiz}/ventas")
-    silver_inventario(spark, sf_dir).where("tienda_id <= 'T5'").write.parquet(f"{raiz}/inventario")
+    silver_inventario(spark, sf_dir).write.parquet(f"{raiz}/inventario")
     ventas, stock = (spark.read.parquet(f"{raiz}/{t}") for t in ("ventas", "inventario"))
     hechos, productos = gold.hechos_ventas(ventas), gold.dim_producto(ventas, stock)
     return gold.consulta_estrella(hechos, gold.dim_tienda(stock), productos, gold.dim_fecha(ventas))
 
 
+RENOMBRE = date(1995, 6, 16)
+
+
+@consulta
+def gold_tiendas_con_historia(spark, sf_dir):
+    """Validity intervals of the stores' names; store T3 is renamed in the middle of a month."""
+    return temporal.versiones_dimension(
+        _tiendas_observadas(spark, sf_dir), "tienda_id", ("tienda_nombre",), tiempo="ultima_actualizacion"
+    )
+
+
+def _tiendas_observadas(spark, sf_dir):
+    stock = validas(feeds.inventario(spark, sf_dir), INVENTARIO_ERP)
+    otra = (F.col("tienda_id") == "T3") & (F.to_date("ultima_actualizacion") >= F.lit(RENOMBRE))
+    nombre = F.concat("tienda_nombre", F.when(otra, F.lit(" Norte")).otherwise(F.lit("")))
+    return stock.withColumn("tienda_nombre", nombre)
+
+
+@consulta
+def gold_estrella_con_historia(spark, sf_dir):
+    """Sales by the name their store had on the day of the sale."""
+    hechos = gold.hechos_ventas(silver_ventas(spark, sf_dir))
+    return gold.consulta_estrella_con_historia(hechos, gold_tiendas_con_historia(spark, sf_dir))
+
+
+def _caliente(df):
+    """A third of the skus become one, and its rows one store's."""
+    tercio = F.substring("sku", 5, 9).cast("int") % 3 == 0
+    return df.withColumns(
+        {
+            "sku": F.when(tercio, F.lit("SKU-0")).otherwise(F.col("sku")),
+            "tienda_id": F.when(tercio, F.lit("T1")).otherwise(F.col("tienda_id")),
+        }
+    )
+
+
+@consulta
+def ventas_con_existencias(spark, sf_dir):
+    """Every store sale with the stock version current at its time; one store and sku hold a third of all rows."""
+    ventas = _caliente(silver_ventas_tiendas(spark, sf_dir))
+    ventas = ventas.select("venta_id", "tienda_id", "sku", "vendido_en", "cantidad")
+    existencias = _caliente(validas(feeds.inventario(spark, sf_dir), INVENTARIO_ERP))
+    return gold.ventas_con_existencias(ventas, existencias)
+
+
+@consulta
+def conteos_contra_existencias(spark, sf_dir):
+    """Every physical count against the system's stock at the moment of counting."""
+    conteos = validas(feeds.conteos(spark, sf_dir), CONTEOS_FISICOS)
+    return gold.conteos_contra_existencias(conteos, validas(feeds.inventario(spark, sf_dir), INVENTARIO_ERP))
+
+
+@consulta
+def gold_niveles(spark, sf_dir):
+    """Totals by store, sku and day on seven levels, written at once and read back."""
+    oro = espacio(spark, "gold")
+    gold.escribir_niveles(silver_ventas(spark, sf_dir), oro)
+    return spark.read.parquet(f"{oro}/ventas_por_niveles")
+
+
+@consulta
+def bosquejos_por_corrida(spark, sf_dir):
+    """Distinct sales and skus of ranges of run dates from stored sketches, checked against the exact counts."""
+    oro, ventas = espacio(spark, "gold"), silver_ventas_ecommerce(spark, sf_dir)
+    fechas = [RUN_DATE + timedelta(days=d) for d in range(3)]
+    for resto, fecha in enumerate(fechas):
+        parte = ventas.where((_numero("venta_id") % 4).isin(resto, resto + 1))  # a quarter comes twice
+        bosquejo = bosquejos.bosquejar(parte, "canal", distintos="venta_id", frecuentes="sku")
+        bosquejos.escribir_bosquejos(bosquejo, "bosquejos", oro, fecha)
+    partes = []
+    for desde, hasta, restos in ((0, 1, (0, 1, 2)), (1, 2, (1, 2, 3)), (0, 2, (0, 1, 2, 3))):
+        rango = (fechas[desde], fechas[hasta])
+        estimadas = bosquejos.contar_distintos(spark, "bosquejos", oro, *rango, por=("canal",))
+        reales = ventas.where((_numero("venta_id") % 4).isin(*restos)).groupBy("canal").agg(
+            F.count_distinct("venta_id").alias("reales")
+        )
+        cerca = F.abs(F.col("distintos") - F.col("reales")) <= F.ceil(F.col("reales") * bosquejos.margen())
+        partes.append(
+            estimadas.join(reales, "canal").select(
+                F.lit(rango[0]).alias("desde"), F.lit(rango[1]).alias("hasta"), "canal", "filas", "reales", cerca.alias("cerca")
+            )
+        )
+    return silver.unificar(*partes)
+
+
+@consulta
+def motivos_frecuentes(spark, sf_dir):
+    """The reasons of the store feed's rejects over a range of run dates, from stored frequency sketches."""
+    oro = espacio(spark, "gold")
+    malas = silver.rechazos(feeds.ventas_tiendas(spark, sf_dir), VENTAS_TIENDAS, RUN_TS)
+    motivos = malas.select("venta_id", F.explode("_motivos").alias("motivo"))
+    numero = F.substring_index("venta_id", "-", 1).cast("long")
+    for resto in range(3):
+        bosquejo = bosquejos.bosquejar(
+            motivos.where(numero % 3 == resto), distintos="venta_id", frecuentes="motivo"
+        )
+        bosquejos.escribir_bosquejos(bosquejo, "motivos", oro, RUN_DATE + timedelta(days=resto))
+    return bosquejos.mas_frecuentes(spark, "motivos", oro, RUN_DATE, RUN_DATE + timedelta(days=2), 20)
+
+
+@consulta
+def bronze_campos_nuevos(spark, sf_dir):
+    """A stream whose events carry a coupon and a nested shipment from the middle of the month on: Silver is as
+    ever, and the new fields are read back from Bronze."""
+    crudas, limpias, marcas, carpeta = (espacio(spark, n) for n in ("bronze", "silver", "checkpoint", "eventos"))
+    ventas = feeds.ventas_ecommerce(spark, sf_dir).withColumn("created_at", F.col("created_at").cast("string"))
+    nueva = F.dayofmonth(F.col("created_at").cast("timestamp")) > 15
+    con_mas = ventas.where(nueva).withColumns(
+        {
+            "cupon": _numero() % 5,
+            "envio": F.struct(F.concat(F.lit("Z"), (_numero() % 3).cast("string")).alias("zona"), F.lit(True).alias("express")),
+        }
+    )
+    for parte in (ventas.where(~nueva), con_mas):
+        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).coalesce(1).write.mode("append").text(carpeta)
+    microbatch.ejecutar_microlotes(
+        microbatch.leer_eventos_abiertos(spark, VENTAS_ECOMMERCE, carpeta, archivos_por_lote=1),
+        VENTAS_ECOMMERCE,
+        bronze=crudas,
+        silver=limpias,
+        checkpoint=marcas,
+        fecha=F.lit(RUN_DATE),
+        run_ts=RUN_TS,
+    )
+    guardadas = bronze.leer_bronze(spark, VENTAS_ECOMMERCE, crudas, RUN_DATE)
+    extra = guardadas.select(
+        F.col("order_id").alias("venta_id"),
+        bronze.recuperar("cupon", "int").alias("cupon"),
+        bronze.recuperar("envio", "string", ruta="$.zona").alias("zona"),
+    )
+    return lake.leer_silver(spark, "ventas", limpias, RUN_DATE).join(extra, "venta_id").groupBy("cupon", "zona").agg(
+        F.count(F.lit(1)).alias("n_ventas"), F.sum("monto_total").cast(gold.MONTO).alias("ventas_totales")
+    )
+
+
 @consulta
 def gold_ventas_vs_inventario(spark, sf_dir):
     return gold.ventas_vs_inventario(silver_ventas(spark, sf_dir), silver_inventario(spark, sf_dir))

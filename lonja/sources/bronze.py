@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
@@ -22,6 +22,43 @@ def esquema_texto(fuente: Fuente) -> StructType:
     return StructType([*campos, StructField(CORRUPTO, StringType())])
 
 
+OTROS = "_otros"
+
+
+def abrir_json(lineas: DataFrame, fuente: Fuente, *, columna: str = "value") -> DataFrame:
+    """JSON lines of events that may have grown: the feed's fields as text, and all others, typed, in `_otros`.
+
+    `_otros` maps the names of fields outside the feed's description to VARIANT values, nested ones included, so a
+    field that appears overnight is kept in Bronze and can be read later (`recuperar`). A line that is no JSON
+    object is in the corrupt-record column, as with the JSON reader. Works on streams and tables alike.
+    """
+    esquema = StructType([f for f in esquema_texto(fuente) if f.name != CORRUPTO])
+    todos = F.from_json(columna, "map<string,variant>")
+    conocidos = F.from_json(columna, esquema)
+    otros = F.map_filter(todos, lambda k, _: ~k.isin(*fuente.bronze.names))
+    resto = [c for c in lineas.columns if c != columna]
+    return lineas.select(
+        *[conocidos[f.name].alias(f.name) for f in esquema],
+        F.when(todos.isNull(), F.col(columna)).alias(CORRUPTO),
+        F.when(F.size(otros) > 0, otros).alias(OTROS),
+        *resto,
+    )
+
+
+def campos_nuevos(bronze: DataFrame) -> DataFrame:
+    """Fields outside the feed's description: `campo`, the type that fits all values, and in how many rows."""
+    return (
+        bronze.select(F.explode(OTROS).alias("campo", "valor"))
+        .groupBy("campo")
+        .agg(F.schema_of_variant_agg("valor").alias("tipo"), F.count(F.lit(1)).alias("filas"))
+    )
+
+
+def recuperar(campo: str, tipo: str, *, ruta: str = "$") -> Column:
+    """A field out of `_otros`, NULL where it is missing or doesn't fit the type."""
+    return F.try_variant_get(F.element_at(F.col(OTROS), campo), ruta, tipo)
+
+
 def ruta_bronze(
     raiz: str,
     tabla: str,

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from lonja.contracts import CORRUPTO, Fuente
 from lonja.plans.gold import procesar_gold
 from lonja.plans.silver import exigir_utc, reprocesar
-from lonja.sources.bronze import esquema_texto
+from lonja.sources.bronze import abrir_json, esquema_texto
 from lonja.sources.lake import borrar, rutas_existentes
 from lonja.streaming.origen import identidad
 
@@ -42,6 +42,17 @@ def leer_eventos(
     return lector.load(carpeta).select("*", F.col("_metadata.file_modification_time").alias("_llegada"))
 
 
+def leer_eventos_abiertos(
+    spark: SparkSession, fuente: Fuente, carpeta: str, *, archivos_por_lote: int | None = None
+) -> DataFrame:
+    """Stream of JSON event files whose events may carry more fields than the feed describes (`abrir_json`)."""
+    lector = spark.readStream.format("text")
+    if archivos_por_lote:
+        lector = lector.option("maxFilesPerTrigger", archivos_por_lote)
+    lineas = lector.load(carpeta).where(F.trim("value") != "")
+    return abrir_json(lineas.select("value", F.col("_metadata.file_modification_time").alias("_llegada")), fuente)
+
+
 def iniciar_microlotes(
     flujo: DataFrame,
     fuente: Fuente,

@@ -114,6 +114,23 @@ SELECT * EXCLUDE rn
 FROM (SELECT *, row_number() OVER (PARTITION BY tienda_id, sku
         ORDER BY contado_en DESC NULLS LAST, conteo_id DESC, contado DESC) AS rn FROM cnt_t) WHERE rn = 1""",
     "con_fecha": "SELECT *, CAST(vendido_en AS DATE) AS fecha FROM ventas",
+    "inv_ok": "SELECT * FROM inv_t WHERE stock_reservado IS NOT NULL",
+    "tiendas_h": """
+SELECT tienda_id, tienda_nombre, dia AS desde, lead(dia) OVER (PARTITION BY tienda_id ORDER BY dia) AS hasta
+FROM (SELECT *, lag(tienda_nombre) OVER (PARTITION BY tienda_id ORDER BY dia) AS anterior
+      FROM (SELECT tienda_id, CAST(ultima_actualizacion AS DATE) AS dia,
+                   max(tienda_nombre || CASE WHEN tienda_id = 'T3' AND CAST(ultima_actualizacion AS DATE) >= DATE '1995-06-16'
+                                             THEN ' Norte' ELSE '' END) AS tienda_nombre
+            FROM inv_ok GROUP BY 1, 2))
+WHERE anterior IS NULL OR anterior <> tienda_nombre""",
+    "stock_h": """
+SELECT CASE WHEN tercio THEN 'T1' ELSE tienda_id END AS tienda_id, CASE WHEN tercio THEN 'SKU-0' ELSE sku END AS sku,
+       inventario_id, stock_disponible, stock_reservado, ultima_actualizacion
+FROM (SELECT *, CAST(substr(sku, 5) AS INTEGER) % 3 = 0 AS tercio FROM inv_ok)""",
+    "ventas_h": """
+SELECT venta_id, CASE WHEN tercio THEN 'T1' ELSE tienda_id END AS tienda_id,
+       CASE WHEN tercio THEN 'SKU-0' ELSE sku END AS sku, vendido_en, cantidad
+FROM (SELECT *, CAST(substr(sku, 5) AS INTEGER) % 3 = 0 AS tercio FROM ventas WHERE canal = 'tienda_fisica')""",
 }
 
 SUMA = "CAST(sum(monto_total) AS DECIMAL(18,2)) AS ventas_totales"
@@ -366,10 +383,55 @@ SELECT v.canal, coalesce(t.tienda_nombre, 'desconocido') AS tienda_nombre,
        {SUMA}, CAST(sum(cantidad) AS BIGINT) AS unidades
 FROM con_fecha v
 LEFT JOIN (SELECT tienda_id, max(tienda_nombre) AS tienda_nombre FROM inventario
-           WHERE tienda_id <= 'T5' GROUP BY tienda_id) t ON v.tienda_id = t.tienda_id
+           GROUP BY tienda_id) t ON v.tienda_id = t.tienda_id
 LEFT JOIN (SELECT sku, count(DISTINCT tienda_id) AS tiendas_con_stock FROM inventario
-           WHERE tienda_id <= 'T5' GROUP BY sku) p ON v.sku = p.sku
+           GROUP BY sku) p ON v.sku = p.sku
 GROUP BY 1, 2, 3, 4, 5""",
+    "gold_tiendas_con_historia": "SELECT * FROM tiendas_h",
+    "gold_estrella_con_historia": f"""
+SELECT v.canal, coalesce(t.tienda_nombre, 'desconocido') AS tienda_nombre, CAST(year(v.fecha) AS INTEGER) AS anio,
+       CAST(month(v.fecha) AS INTEGER) AS mes, {SUMA}, CAST(sum(cantidad) AS BIGINT) AS unidades
+FROM con_fecha v LEFT JOIN tiendas_h t
+  ON v.tienda_id = t.tienda_id AND v.fecha >= t.desde AND (t.hasta IS NULL OR v.fecha < t.hasta)
+GROUP BY 1, 2, 3, 4""",
+    "ventas_con_existencias": """
+SELECT v.venta_id, v.tienda_id, v.sku, v.vendido_en, v.cantidad, s.stock_disponible, s.stock_reservado, s.ultima_actualizacion
+FROM ventas_h v ASOF LEFT JOIN (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tienda_id, sku, ultima_actualizacion
+      ORDER BY inventario_id DESC, stock_disponible DESC, stock_reservado DESC) AS rn FROM stock_h) WHERE rn = 1) s
+  ON v.tienda_id = s.tienda_id AND v.sku = s.sku AND v.vendido_en >= s.ultima_actualizacion""",
+    "conteos_contra_existencias": """
+SELECT c.conteo_id, c.tienda_id, c.sku, c.contado, c.contado_en, stock_disponible + stock_reservado AS en_sistema,
+       c.contado - (stock_disponible + stock_reservado) AS diferencia
+FROM cnt_t c ASOF LEFT JOIN (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tienda_id, sku, ultima_actualizacion
+      ORDER BY inventario_id DESC, stock_disponible DESC, stock_reservado DESC) AS rn FROM inv_ok) WHERE rn = 1) s
+  ON c.tienda_id = s.tienda_id AND c.sku = s.sku AND c.contado_en >= s.ultima_actualizacion""",
+    "gold_niveles": f"""
+SELECT tienda_id, sku, fecha, {TOTALES}, CAST(grouping(tienda_id, sku, fecha) AS INTEGER) AS grupo,
+       CASE grouping(tienda_id, sku, fecha) WHEN 0 THEN 'tienda_sku_dia' WHEN 2 THEN 'tienda_dia' WHEN 4 THEN 'sku_dia'
+            WHEN 3 THEN 'tienda' WHEN 5 THEN 'sku' WHEN 6 THEN 'dia' ELSE 'total' END AS nivel
+FROM con_fecha GROUP BY GROUPING SETS ((tienda_id, sku, fecha), (tienda_id, fecha), (sku, fecha),
+                                       (tienda_id), (sku), (fecha), ())""",
+    "bosquejos_por_corrida": """
+SELECT DATE '2025-04-13' + CAST(desde AS INTEGER) AS desde, DATE '2025-04-13' + CAST(hasta AS INTEGER) AS hasta, canal,
+       CAST(sum((n BETWEEN desde AND hasta)::INTEGER + (n - 1 BETWEEN desde AND hasta)::INTEGER) AS BIGINT) AS filas,
+       count(DISTINCT venta_id) FILTER (n BETWEEN desde AND hasta + 1) AS reales, true AS cerca
+FROM (SELECT canal, venta_id, CAST(venta_id AS BIGINT) % 4 AS n FROM ventas WHERE canal = 'ecommerce')
+CROSS JOIN (VALUES (0, 1), (1, 2), (0, 2)) AS r(desde, hasta) GROUP BY 1, 2, 3""",
+    "motivos_frecuentes": """
+SELECT valor, count(*) AS veces
+FROM (SELECT unnest([CASE WHEN cantidad <= 0 THEN 'cantidad_no_positiva' END,
+                     CASE WHEN monto_total <= 0 THEN 'monto_no_positivo' END,
+                     CASE WHEN sin_sku THEN 'vacio:sku' END,
+                     CASE WHEN sin_tienda THEN 'vacio:tienda_id' END]) AS valor
+      FROM todas WHERE clase = 'rechazo' AND canal = 'tienda_fisica')
+WHERE valor IS NOT NULL GROUP BY valor""",
+    "bronze_campos_nuevos": f"""
+SELECT CASE WHEN nueva THEN CAST(n % 5 AS INTEGER) END AS cupon, CASE WHEN nueva THEN 'Z' || CAST(n % 3 AS VARCHAR) END AS zona,
+       count(*) AS n_ventas, {SUMA}
+FROM (SELECT *, day(vendido_en) > 15 AS nueva, CAST(venta_id AS BIGINT) AS n FROM ventas WHERE canal = 'ecommerce')
+GROUP BY 1, 2""",
     "gold_ventas_vs_inventario": f"""
 SELECT v.tienda_id, v.sku, ventas_totales, unidades, n_ventas, stock_disponible, stock_reservado
 FROM (SELECT tienda_id, sku, {TOTALES} FROM ventas GROUP BY tienda_id, sku) v
