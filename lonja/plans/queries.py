@@ -108,7 +108,7 @@ def rechazos_inventario(spark, sf_dir):
         "nombre_tienda AS store_name",
         "codigo_producto AS product_code",
         "qty AS qty_on_hand",
-        "CAST(NULL AS int) AS qty_reserved",
+        "0 AS qty_reserved",
         "fecha_hora_venta AS last_updated",
     )
     return _motivos_texto(silver.rechazos(crudo, INVENTARIO_ERP, RUN_TS))
@@ -208,13 +208,8 @@ def bronze_por_fecha(spark, sf_dir):
     raiz = espacio(spark, "bronze")
     crudo = feeds.ventas_tiendas(spark, sf_dir).withColumn("fecha", F.trunc("fecha_hora_venta", "year"))
     crudo.hint("rebalance", "fecha").write.partitionBy("fecha").parquet(f"{raiz}/{VENTAS_TIENDAS.tabla}")
-    fechas = [
-        f
-        for (f,) in spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .select(F.trunc("l_shipdate", "year"))
-        .distinct()
-        .collect()
-    ]
+    carpetas = lake.rutas_existentes(spark, f"{raiz}/{VENTAS_TIENDAS.tabla}/fecha=*")
+    fechas = [c.rpartition("=")[2] for c in carpetas]
     leido = bronze.leer_bronze(spark, VENTAS_TIENDAS, raiz, fechas)
     return leido.groupBy("fecha").agg(
         F.count(F.lit(1)).alias("filas"), F.sum(F.col("total").cast("decimal(18,2)")).cast("decimal(18,2)").alias("total")

@@ -228,13 +228,12 @@ SELECT {CANONICAS}, concat_ws(',',
 FROM todas WHERE clase = 'rechazo'""",
     "rechazos_inventario": f"""
 SELECT id_transaccion AS inventario_id, codigo_tienda AS tienda_id, nombre_tienda AS tienda_nombre,
-       upper(trim(codigo_producto)) AS sku, 0 AS stock_disponible, CAST(NULL AS INTEGER) AS stock_reservado,
+       upper(trim(codigo_producto)) AS sku, CAST(trunc(qty) AS INTEGER) AS stock_disponible, 0 AS stock_reservado,
        (fecha_hora_venta AT TIME ZONE 'America/Mexico_City') AT TIME ZONE 'UTC' AS ultima_actualizacion,
        'bronze/inventario' AS _fuente, {TS} AS _procesado_en,
-       concat_ws(',', 'nulo:stock_reservado',
-         CASE WHEN {CLAVES_POS['codigo_producto']} THEN 'vacio:sku' END,
+       concat_ws(',', CASE WHEN {CLAVES_POS['codigo_producto']} THEN 'vacio:sku' END,
          CASE WHEN {CLAVES_POS['codigo_tienda']} THEN 'vacio:tienda_id' END) AS motivos
-FROM pos""",
+FROM pos WHERE {CLAVES_POS['codigo_producto']} OR {CLAVES_POS['codigo_tienda']}""",
     "devoluciones": f"SELECT {CANONICAS} FROM vueltas",
     "devoluciones_repetidas": """
 SELECT (SELECT count(*) FROM vueltas WHERE canal = 'tienda_fisica') AS devueltas,
