@@ -271,7 +271,7 @@ def copies(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> Da
     """Found copies (doc, key, at, src_doc, src_start) of prepared documents, as a written table."""
     ship(docs.sparkSession)
     found = written(match_blocks(index_pieces(docs, window, anchor)), "lz-pieces")
-    edges = found.where(F.col("kind") == EDGE).groupBy("doc", "key").agg(F.collect_list("at").alias("ats"))
+    edges = found.where(F.col("kind") == EDGE).groupBy("doc", "key").agg(F.collect_set("at").alias("ats"))
     edges = docs.join(edges, ["doc", "key"])
     single = match_blocks(index_windows(edges, window)).where(F.col("kind") == COPY)
     single = written(single, "lz-windows")
@@ -335,9 +335,12 @@ def _parsed(rows: DataFrame, window: int, extra: str = "") -> DataFrame:
 
 
 def _with_hits(rows: DataFrame, base: DataFrame, window: int, anchor: int) -> DataFrame:
-    """`rows` with the copies found for their doc and key among the documents `base`."""
+    """`rows` with the copies found for their doc and key among the documents `base`.
+
+    Equal rows find the same copies: each is taken once for all of them, so n equal rows cost n times one row.
+    """
     found = copies(base, window=window, anchor=anchor)
-    per_row = found.groupBy("doc", "key").agg(F.collect_list(F.struct("at", "src_doc", "src_start")).alias("hits"))
+    per_row = found.groupBy("doc", "key").agg(F.collect_set(F.struct("at", "src_doc", "src_start")).alias("hits"))
     return rows.join(per_row, ["doc", "key"], "left").drop("key")
 
 

@@ -118,6 +118,21 @@ def test_factors_point_at_equal_earlier_text(docs):
     assert len(whole) < 60
 
 
+def test_equal_rows_are_parsed_like_one(spark):
+    rest = (None, None, 0, 0, 0, "r", 0, 0, 0, "d", "b")
+    text, before = edge.prose(450, 11), edge.prose(90, 12)
+    source = before + " " + text + " " + edge.prose(30, 13)
+
+    def parsed(n):
+        rows = [(1, source, *rest), *[(5, f"new words first {text} and last", *rest)] * n]
+        found = lempel_ziv.parse(edge.documents(spark, rows)).collect()
+        return Counter((r.doc_id, r.n_words, r.n_removed, r.kept_words, len(r.factors)) for r in found)
+
+    (one,) = [k for k in parsed(1) if k[0] == 5]
+    many = parsed(2000)  # two millions of pairs, were each row's copies joined to each row
+    assert many[one] == 2000 and one[4] <= 2 and one[2] >= 450
+
+
 def test_cut_copies_keeps_rows_columns_and_layout(docs):
     out = lempel_ziv.cut_copies(docs)
     assert out.columns == docs.columns and out.dtypes == docs.dtypes
