@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lonja.llm.common import table
-from lonja.llm.vector_shards import smallest_ids, top_k, vectors_of
+from lonja.llm.vector_shards import NO_ID, smallest_ids, top_k, vectors_of
 
 PAGE, MARGIN = 64, 1e-6
 LARGEST = float(1 << 46)  # squared length up to which distances are exact well within MARGIN
@@ -157,6 +157,69 @@ def search_tree(row: dict, ids: np.ndarray, ends: np.ndarray, v: np.ndarray, k:
             limit = distance_of_worst()
         return [(-i, s) for s, i in sorted(best, reverse=True)]
 
+    def many(queries: np.ndarray, query_ids: list[int]) -> list[list[tuple[int, int]]]:
+        """As `find` for every query of a block, which go through the tree together."""
+        own = squares(queries)
+        plain = np.flatnonzero(own < LARGEST) if not len(large) and len(objects) else np.zeros(0, int)
+        out: list = [None] * len(queries)
+        for i, best in zip(plain.tolist(), together(queries[plain], own[plain] + longest), strict=True):
+            offers = [(-int(s), x) for s, e in best for x in smallest_ids(e, ids, ends, k, query_ids[i])]
+            out[i] = [(x, -s) for s, x in sorted(offers)[:k]]
+        for i, found in enumerate(out):
+            if found is None:
+                out[i] = find(queries[i], query_ids[i])
+        return out
+
+    def together(queries: np.ndarray, whole: np.ndarray) -> list[list[tuple[float, int]]]:
+        """The k + 1 best (score, entry) of each query, ties to the entry with the smaller first id.
+
+        One entry more than asked for, since one may stand for the query alone. Pages are taken by the smallest
+        distance that any query of the block can find there, by those queries only that can still gain; inside a
+        page each pair of query and entry is ruled out by the stored parent distances, and what is left is one
+        product of matrices.
+        """
+        n, first_id = len(queries), ids[np.append(0, ends[:-1])]
+        score, entry = np.full((n, k + 1), -np.inf), np.full((n, k + 1), -1)
+        limit = np.full(n, np.inf)
+        todo = [(0.0, 0, np.zeros(n), None)] if n else []
+        while todo:
+            least, number, bound, to_query = heappop(todo)
+            if least > limit.max() + MARGIN:
+                break
+            lo, hi = starts[number], starts[number + 1]
+            who = np.flatnonzero(bound <= limit + MARGIN)
+            open_ = np.ones((len(who), hi - lo), bool)
+            if to_query is not None:
+                open_ = np.abs(to_query[who, None] - near[None, lo:hi]) - radii[None, lo:hi] <= limit[who, None] + MARGIN
+            at = np.flatnonzero(open_.any(axis=0))
+            some = open_.any(axis=1)
+            who, open_ = who[some], open_[some][:, at]
+            if not len(at):
+                continue
+            found = queries[who] @ entries[lo + at].T  # whole numbers below 2**53, so exact
+            apart = np.sqrt(np.maximum(whole[who, None] - 2 * found, 0))
+            if children[lo] >= 0:
+                for j, e in enumerate((lo + at).tolist()):
+                    reach = np.where(open_[:, j], np.maximum(apart[:, j] - radii[e], 0), np.inf)
+                    reach[reach > limit[who] + MARGIN] = np.inf
+                    if np.isfinite(reach).any():
+                        child_bound, child_apart = np.full(n, np.inf), np.zeros(n)
+                        child_bound[who], child_apart[who] = reach, apart[:, j]
+                        heappush(todo, (float(reach.min()), int(children[e]), child_bound, child_apart))
+                continue
+            found[~open_] = -np.inf
+            gain = (found >= score[who, -1:]).any(axis=1)
+            who, found = who[gain], found[gain]
+            all_scores = np.concatenate([score[who], found], axis=1)
+            all_entries = np.concatenate([entry[who], np.broadcast_to(objects[lo + at], found.shape)], axis=1)
+            order = np.lexsort((np.where(all_entries < 0, NO_ID, first_id[all_entries]), -all_scores), axis=1)[:, : k + 1]
+            score[who], entry[who] = (np.take_along_axis(x, order, axis=1) for x in (all_scores, all_entries))
+            worst = score[who, -1]
+            limit[who] = np.where(np.isfinite(worst), np.sqrt(np.maximum(whole[who] - 2 * worst, 0)), np.inf)
+        rows = zip(score.tolist(), entry.tolist(), strict=True)
+        return [[(s, e) for s, e in zip(*row, strict=True) if e >= 0 and s > -np.inf] for row in rows]
+
+    find.many = many
     return find
 
 

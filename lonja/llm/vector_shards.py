@@ -93,8 +93,9 @@ def query_blocks(queries: DataFrame, blocks: int) -> DataFrame:
 
 
 def search_index(index: DataFrame, blocks: DataFrame, search: Callable, k: int, score: str, counts: tuple[int, int]):
-    """The k best rows of every query in every shard. `search(row, ids, ends, vectors, query, id)` gives
-    (vec_id, score) pairs; `row` holds the index row's own fields."""
+    """The k best rows of every query in every shard. `search(row, ids, ends, vectors, k)` gives a function from a
+    query and its id to (vec_id, score) pairs, which may have `many` for a whole block; `row` holds the index row's
+    own fields."""
     kind = {"double": pa.float64(), "long": pa.int64()}[score]
     names = ["number", "query_id", "vec_id", "score"]
 
@@ -107,8 +108,9 @@ def search_index(index: DataFrame, blocks: DataFrame, search: Callable, k: int,
             for block in right.to_pylist():
                 number, query_id = (np.frombuffer(block[c], np.int64).tolist() for c in ("numbers", "query_ids"))
                 queries = np.frombuffer(block["queries"]).reshape(len(number), -1)
-                for n, q, x in zip(number, query_id, queries, strict=True):
-                    out += [(n, q, None if i == NO_ID else i, s) for i, s in find(x, q)]
+                many = getattr(find, "many", None) or (lambda x, q: [find(*one) for one in zip(x, q, strict=True)])
+                for n, q, best in zip(number, query_id, many(queries, query_id), strict=True):
+                    out += [(n, q, None if i == NO_ID else i, s) for i, s in best]
         cols = list(zip(*out, strict=True)) or [()] * 4
         types = [pa.int64()] * 3 + [kind]
         return pa.table([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names)
