@@ -3,9 +3,10 @@
 For every participant of a conversation the dialogue is rendered once with that speaker as the assistant;
 all others are users with their name in the header, and only the speaker's own turns are in the loss mask.
 
-A dialogue is rendered in blocks of `block_turns` consecutive turn numbers, so a conversation with a third of
-all rows is never gathered in one row or task: a shorter dialogue is one block, a longer one continues in the
-next. Turns of a block beyond `block_turns` (equal turn numbers) go to further parts of it.
+A dialogue is rendered in blocks of `block_turns` consecutive turns by rank, so a conversation with a third of
+all rows is never gathered in one row or task: a dialogue of up to that many turns is one row, a longer one
+continues in the next block, which begins with the dialogue's opening system turn again. Ranks come from ranges of
+(conversation, turn): a place inside a range plus the number of the conversation's turns in the ranges before.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lonja.llm.common import table
+from lonja.llm.common import partitions, table, written
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 BLOCK_TURNS = 64
@@ -24,26 +25,47 @@ def _header(role: Column, speaker: Column, system_role: str) -> Column:
     return F.concat(F.lit(OPEN), label.otherwise(F.concat(F.lit("user name="), role)), F.lit("\n"))
 
 
+def ranked(rows: DataFrame) -> DataFrame:
+    """Turns with their `rank` in the conversation, from 0; no task holds a whole conversation that is large."""
+    order = [F.col("turn").asc_nulls_last(), F.col("role"), F.col("text"), F.col("row")]
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(partitions(rows.sparkSession), F.col("conv_id"), *order)
+    dealt = written(dealt.withColumn("range", F.spark_partition_id()), "turns")
+    inside = Window.partitionBy("range", "conv_id").orderBy(*order)
+    before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("conv_id", "range").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select(
+        F.col("conv_id").alias("in_conv"), F.col("range").alias("in_range"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+    )
+    placed = dealt.withColumn("place", F.row_number().over(inside) - 1)
+    joined = placed.join(counts, (F.col("range") == F.col("in_range")) & F.col("conv_id").eqNullSafe(F.col("in_conv")))
+    return joined.select("conv_id", "role", "text", (F.col("place") + F.col("before")).alias("rank"))
+
+
 def rotate(turns: DataFrame, *, block_turns: int = BLOCK_TURNS, system_role: str = "system") -> DataFrame:
     """Turns (conv_id, turn, role, text) to one row per conversation, speaker and block.
 
-    Columns: conv_id, speaker, block (turn number // block_turns), part, n_turns, text, mask (spans of the
-    speaker's contents with their end marker, in characters of `text`, end exclusive).
+    Columns: conv_id, speaker, block (rank of the turn // block_turns), n_turns, text, mask (spans of the
+    speaker's contents with their end marker, in characters of `text`, end exclusive). If the first turn is a
+    system turn, later blocks begin with it too; `n_turns` counts a block's own turns.
 
-    Turns are ordered by number, nulls last, then by role and text, so ties have a fixed order. A null text
-    is empty, a null role is the participant "unknown", null conv_ids are one conversation. System turns are
-    context: they are rendered in every perspective and give none, so a conversation without other turns has
-    no rows. Repeated rows are repeated turns. Other columns are ignored.
+    Turns are ordered by number, nulls last, then by role and text, so ties have a fixed order; gaps between
+    numbers don't matter. A null text is empty, a null role is the participant "unknown", null conv_ids are one
+    conversation. System turns are context: they are rendered in every perspective and give none, so a
+    conversation without other turns has no rows. Repeated rows are repeated turns. Other columns are ignored.
     """
     role = F.coalesce(F.col("role"), F.lit("unknown"))
     rows = turns.select("conv_id", "turn", role.alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("block", F.floor(F.col("turn") / block_turns).cast("long"))
-    within = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
-    numbered = rows.withColumn("n", F.row_number().over(within) - 1)
-    numbered = numbered.withColumn("part", F.floor(F.col("n") / block_turns).cast("int"))
-    blocks = numbered.groupBy("conv_id", "block", "part").agg(
-        F.array_sort(F.collect_list(F.struct("n", "role", "text"))).alias("said")
+    numbered = written(ranked(rows), "ranked-turns").withColumn("block", F.floor(F.col("rank") / block_turns).cast("long"))
+    blocks = numbered.groupBy("conv_id", "block").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "role", "text"))).alias("said")
+    )
+    opening = numbered.where((F.col("rank") == 0) & (F.col("role") == system_role)).select(
+        F.col("conv_id").alias("open_conv"), F.array(F.struct("rank", "role", "text")).alias("opening")
     )
+    continues = F.col("conv_id").eqNullSafe(F.col("open_conv")) & (F.col("block") > 0)
+    blocks = blocks.join(opening, continues, "left").withColumn("n_turns", F.size("said"))
+    blocks = blocks.withColumn("said", F.when(F.col("opening").isNull(), F.col("said")).otherwise(F.concat("opening", "said")))
     speakers = rows.where(F.col("role") != system_role).select(
         F.col("conv_id").alias("speaker_conv"), F.col("role").alias("speaker")
     )
@@ -74,7 +96,7 @@ def rotate(turns: DataFrame, *, block_turns: int = BLOCK_TURNS, system_role: str
     )
     text = F.array_join(F.transform("pieces", lambda p: F.concat(p.head, p.body)), "")
     return joined.select(
-        "conv_id", "speaker", "block", "part", F.size("said").alias("n_turns"), text.alias("text"), mask.alias("mask")
+        "conv_id", "speaker", "block", "n_turns", text.alias("text"), mask.alias("mask")
     )
 
 
@@ -87,25 +109,28 @@ def op2_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP2_SQL = """
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-         CAST(floor(turn / 64.0) AS BIGINT) AS block
+  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS n
   FROM conversations),
-n AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn NULLS LAST, role, text) - 1 AS n FROM t),
-p AS (SELECT *, CAST(n // 64 AS INTEGER) AS part FROM n),
+p AS (
+  SELECT *, n // 64 AS block, 1 AS mine FROM t
+  UNION ALL
+  SELECT t.conv_id, t.role, t.text, -1, unnest(range(1, (SELECT max(n) // 64 + 1 FROM t AS u
+                                                         WHERE u.conv_id IS NOT DISTINCT FROM t.conv_id))), 0
+  FROM t WHERE n = 0 AND role = 'system'),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
 r AS (
-  SELECT p.conv_id, s.speaker, p.block, p.part, p.n, p.role = s.speaker AS own,
+  SELECT p.conv_id, s.speaker, p.block, p.n, p.mine, p.role = s.speaker AS own,
          '<|im_start|>' || CASE WHEN p.role = s.speaker THEN 'assistant' WHEN p.role = 'system' THEN 'system'
                                 ELSE 'user name=' || p.role END || chr(10) AS head,
          p.text || '<|im_end|>' || chr(10) AS body
   FROM p JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
 o AS (
   SELECT *, sum(length(head) + length(body)) OVER (
-              PARTITION BY conv_id, speaker, block, part ORDER BY n) - length(body) AS start
+              PARTITION BY conv_id, speaker, block ORDER BY n) - length(body) AS start
   FROM r)
-SELECT conv_id, speaker, block, part, CAST(count(*) AS INTEGER) AS n_turns,
+SELECT conv_id, speaker, CAST(block AS BIGINT) AS block, CAST(sum(mine) AS INTEGER) AS n_turns,
        string_agg(head || body, '' ORDER BY n) AS text,
        coalesce(string_agg(CAST(start AS VARCHAR) || '-' || CAST(start + length(body) AS VARCHAR), ',' ORDER BY n)
                 FILTER (WHERE own), '') AS mask
-FROM o GROUP BY conv_id, speaker, block, part"""
+FROM o GROUP BY conv_id, speaker, block"""

@@ -43,13 +43,31 @@ def test_rotation_renders_every_view(spark):
     assert [bo.text[m.start : m.end] for m in bo["mask"]] == ["Hello<|im_end|>\n"]
 
 
-def test_long_dialogues_and_ties_are_cut_in_parts(spark):
-    rows = talk([(1, t, "ab"[t % 2], f"t{t}") for t in range(150)] + [(2, 5, "a", f"x{i:03}") for i in range(70)] + [(2, 5, "a", "x000")])
-    found = perspectives.rotate(spark.createDataFrame(rows, TURNS)).collect()
-    sizes = sorted((r.conv_id, r.speaker, r.block, r.part, r.n_turns) for r in found)
-    assert sizes == [
-        (1, s, b, 0, n) for s in "ab" for b, n in ((0, 64), (1, 64), (2, 22))
-    ] + [(2, "a", 0, 0, 64), (2, "a", 0, 1, 7)]
+def by_hand(rows, size, system="system"):
+    """(conv, speaker, block) to number of turns, text and masked contents."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        said = [(r[1], r[2] or "unknown", r[3] or "") for r in rows if r[0] == conv]
+        said.sort(key=lambda t: (t[0] is None, t[0] or 0, t[1], t[2]))
+        for speaker in {t[1] for t in said if t[1] != system}:
+            for block in range(-(-len(said) // size)):
+                mine = said[block * size : (block + 1) * size]
+                shown = [said[0], *mine] if block and said[0][1] == system else mine
+                heads = ["assistant" if t[1] == speaker else system if t[1] == system else f"user name={t[1]}" for t in shown]
+                text = "".join(f"<|im_start|>{h}\n{t[2]}<|im_end|>\n" for h, t in zip(heads, shown, strict=True))
+                out[conv, speaker, block] = len(mine), text, [f"{t[2]}<|im_end|>\n" for t in shown if t[1] == speaker]
+    return out
+
+
+@pytest.mark.parametrize("size", [3, 64])
+def test_long_dialogues_continue_by_rank(spark, size):
+    rows = [(1, t, "ab"[t % 2], f"t{t}") for t in range(150)]
+    rows += [(2, 5, "a", f"x{i:03}") for i in range(70)] + [(2, 5, "a", "x000")] * 2  # equal numbers, repeated rows
+    rows += [(3, 0, "system", "Rules."), *[(3, 100 * t, "abc"[t % 3], "word " * 900 if t == 40 else f"s{t}") for t in range(1, 90)]]
+    rows += [(4, None, None, None)] * 5 + [(4, 9, "system", "not first"), (4, 3, "a", "first"), (None, 1, "z", "no id"), (None, 0, "system", "s")]
+    found = perspectives.rotate(spark.createDataFrame(talk(rows), TURNS), block_turns=size).collect()
+    got = {(r.conv_id, r.speaker, r.block): (r.n_turns, r.text, [r.text[m.start : m.end] for m in r["mask"]]) for r in found}
+    assert got == by_hand(rows, size) and len(got) == len(found)
     assert perspectives.rotate(spark.createDataFrame([], TURNS)).collect() == []
 
 
