@@ -7,9 +7,9 @@ unlabelled pool that it is sure about, and these are added to what the other vie
 are calibrated on labelled documents that no round has seen, and a logistic combination of the two calibrated
 scores is fitted there; it scores all documents.
 
-The models are fitted on the driver, on `SAMPLE` labelled and `POOL` unlabelled documents of at most `TEXT_BYTES`
-(drawn by a hash of doc_id); everything else, the scoring, covers whole texts of all rows. A model is at most
-`WORD_FEATURES` weights and a small table for the metadata.
+The models are fitted on the driver, on the views of `SAMPLE` labelled and `POOL` unlabelled documents (drawn by a
+hash of doc_id, whole texts read in tasks); everything else, the scoring, covers whole texts of all rows. A model is
+at most `WORD_FEATURES` weights and a small table for the metadata.
 """
 
 from __future__ import annotations
@@ -26,13 +26,14 @@ from pyspark.sql import functions as F
 
 from lonja.llm.common import ship, table
 
-SAMPLE, POOL, TEXT_BYTES = 5000, 3000, 1 << 16
+SAMPLE, POOL = 5000, 3000
 WORD_FEATURES, LEAST_Z, LEAST_DOCS = 1500, 4.0, 3
 STARTS = (4, 5, 6, 7)
 ROUNDS, PER_ROUND = 3, 0.05
 SURE_BAD, SURE_GOOD = 0.95, 0.04
 REJECT = 0.5
 CACHED_WORDS = 150_000
+FULL_TEXT = 1000  # word features (some 220 different words) beyond which a text's evidence is a share
 VIEWS = ("lang", "source", "n_chars")
 
 # classes of bytes: other symbols, lower, upper, digit, blank, line end, usual punctuation, beyond ASCII
@@ -95,9 +96,19 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     return w
 
 
+def share_of(features: int) -> float:
+    """What a count is multiplied by in a text of so many features."""
+    return FULL_TEXT / max(FULL_TEXT, features)
+
+
 @dataclass
 class Content:
-    """Weights of word features; a text's feature counts its different words that have it."""
+    """Weights of word features; a text's feature counts its different words that have it.
+
+    In texts of more than FULL_TEXT features the counts are scaled down to that many, so that evidence doesn't
+    grow with the length alone: a long text is judged by the share of its words that speak for bad. Fitting and
+    scoring see the same numbers.
+    """
 
     weights: dict[int, float]
     constant: float
@@ -118,13 +129,13 @@ class Content:
             at[at == len(keep)] = 0
             if len(keep):
                 hit = names[keep][at] == f
-                x[i] = np.bincount(at[hit], minlength=len(keep))
-        w = logistic(np.minimum(x, 3), y, weight_of_prior)
+                x[i] = np.bincount(at[hit], minlength=len(keep)) * share_of(len(f))
+        w = logistic(x, y, weight_of_prior)
         return Content(dict(zip(names[keep].tolist(), w[:-1].tolist(), strict=True)), float(w[-1]))
 
     def score(self, features: list[np.ndarray]) -> np.ndarray:
         get = self.weights.get
-        return np.array([self.constant + sum(get(f, 0.0) for f in doc.tolist()) for doc in features])
+        return np.array([self.constant + sum(get(f, 0.0) for f in doc.tolist()) * share_of(len(doc)) for doc in features])
 
 
 @dataclass
@@ -210,13 +221,15 @@ class Scorer:
     def content(self, different: set[str]) -> float:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        known, get, total = self.known, self.model.content.weights.get, self.model.content.constant
+        known, get, total, n = self.known, self.model.content.weights.get, 0.0, 0
         for w in different:
             s = known.get(w)
             if s is None:
-                s = known[w] = sum(get(f, 0.0) for f in word_features(w))
-            total += s
-        return total
+                found = word_features(w)
+                s = known[w] = (sum(get(f, 0.0) for f in found), len(found))
+            total += s[0]
+            n += s[1]
+        return self.model.content.constant + total * share_of(n)
 
 
 def sure(score: np.ndarray, free: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -263,12 +276,42 @@ def _drawn(ids: DataFrame, most: int) -> DataFrame:
     return near.distinct().orderBy(h, "doc_id").limit(most)
 
 
-def _examples(docs: DataFrame, ids: DataFrame) -> list[dict]:
-    """The drawn documents on the driver: one row per id, texts of TEXT_BYTES at most."""
-    short = docs.where(F.octet_length("text") <= TEXT_BYTES)
-    rows = short.join(F.broadcast(ids), "doc_id").groupBy(*ids.columns)
-    one = rows.agg(F.min(F.struct("text", *VIEWS)).alias("d")).select(*ids.columns, "d.*")
-    return one.orderBy("doc_id").toArrow().to_pylist()
+EXAMPLE = "lang string, source string, n_chars long, features array<long>, looks array<double>"
+
+
+def _examples(docs: DataFrame, ids: DataFrame) -> tuple[list[dict], list[tuple]]:
+    """The drawn documents' other columns, and their views: whole texts are read in tasks, one row per id.
+
+    The driver gets the views only: hashes of the features of a document's different words, and its looks.
+    """
+    ship(docs.sparkSession)
+    rows = docs.where("text IS NOT NULL").join(F.broadcast(ids), "doc_id").groupBy(*ids.columns)
+    one = rows.agg(F.min(F.struct("text", *VIEWS)).alias("d"))
+    one = one.select(*ids.columns, "d.text", *[F.col(f"d.{c}").cast(t).alias(c) for c, t in zip(VIEWS, ("string", "string", "long"), strict=True)])
+    kept, names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ids.schema), [*ids.columns, *VIEWS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader()
+        for batch in batches:
+            features, looks = [], []
+            for text in batch.column("text").to_pylist():
+                words, different = reader.words(text)
+                features.append(reader.features(different).view(np.int64))
+                looks.append(layout(text, words, len(different)))
+            cols = [pa.array(features, pa.list_(pa.int64())), pa.array(looks, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in names], *cols], [*names, "features", "looks"]
+            )
+
+    found = one.mapInArrow(run, f"{kept}, {EXAMPLE}").orderBy("doc_id").toArrow().combine_chunks()
+    if not found.num_rows:
+        return [], []
+    flat, looks = (found.column(c).combine_chunks() for c in ("features", "looks"))
+    at, numbers = flat.offsets.to_numpy(), looks.flatten().to_numpy().reshape(found.num_rows, -1)
+    hashes = flat.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    others = found.drop(["features", "looks"]).to_pylist()
+    views = [(hashes[lo:hi], (r, x)) for r, lo, hi, x in zip(others, at[:-1], at[1:], numbers, strict=True)]
+    return others, views
 
 
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, pool: int = POOL) -> Model | None:
@@ -283,17 +326,11 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, pool: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *VIEWS)
     drawn = _drawn(known.select("doc_id"), sample)
     ids = docs.select("doc_id").where("doc_id IS NOT NULL")
-    rows = _examples(docs, drawn.join(known, "doc_id"))
-    more = _examples(docs, _drawn(ids, pool))
-    reader, mine = Reader(), {r["doc_id"] for r in rows}
-
-    def views(r: dict) -> tuple:
-        text = r.pop("text")
-        words, different = reader.words(text)
-        return reader.features(different), (r, layout(text, words, len(different)))
-
-    labelled = [views(r) for r in rows]
-    return cotrain(labelled, np.array([r["bad"] for r in rows]), [views(r) for r in more if r["doc_id"] not in mine])
+    rows, labelled = _examples(docs, drawn.join(known, "doc_id"))
+    others, more = _examples(docs, _drawn(ids, pool))
+    mine = {r["doc_id"] for r in rows}
+    unknown = [view for r, view in zip(others, more, strict=True) if r["doc_id"] not in mine]
+    return cotrain(labelled, np.array([r["bad"] for r in rows]), unknown)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

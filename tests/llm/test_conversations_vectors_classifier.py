@@ -8,6 +8,7 @@ import edge
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from lonja.llm import cotraining, hnsw, mtree, perspectives, vector_shards
@@ -224,6 +225,39 @@ def test_cotraining_on_rows_without_labels(spark):
     assert min(shouted) > 0.5 and min(nasty) > 0.5  # each view sees its own
 
 
+def spelt(i):
+    """A word of its own for every number, without digits."""
+    return "w" + "".join("abcdefghij"[int(d)] for d in f"{i:05}") + "xy"
+
+
+def test_evidence_does_not_grow_with_the_length(spark):
+    """Many clean texts in a row stay clean to the content view, a rare word that speaks a little for bad included."""
+    docs, labels = corpus(spark)
+    model = cotraining.train(docs, labels)
+    clean = {r.doc_id: r.text for r in docs.collect() if r.doc_id % 4 not in (1, 2)}
+    rng = np.random.default_rng(4)
+    glued = [(5000 + i, "\n".join(clean[int(k)] for k in rng.choice(sorted(clean), 40)), "en", "src0", None) for i in range(40)]
+    glued += [(6000, " ".join(clean.values()), "en", "src0", None)]
+    rows = [(*g, *(0, 0, "r", 0, 0, 0, "d", "b")) for g in glued]
+    assert cotraining.score(edge.documents(spark, rows), model).where("p_content >= 0.5").count() == 0
+    slight = cotraining.Content({xxhash.xxh64_intdigest(spelt(i)): 0.05 for i in range(2000)}, -4.0)
+    scorer = cotraining.Scorer(cotraining.Model(slight, None, None, None))
+    scores = [scorer.content({spelt(i) for i in range(n)}) for n in (10, 500, 2000)]
+    assert scores[0] == pytest.approx(-3.5) and scores[1] == pytest.approx(scores[2]) and scores[1] < 0.05 * 1000
+
+
+def test_fit_and_score_see_the_same_numbers():
+    rng = np.random.default_rng(6)
+    texts = [" ".join(spelt(i) for i in rng.integers(0, 400, n)) + (" nasty" if n % 2 else "") for n in range(30, 3030, 10)]
+    texts += [t + " nasty nastier nastiest" for t in texts[::3]]
+    reader = cotraining.Reader()
+    features = [reader.features(set(t.split())) for t in texts]
+    content = cotraining.Content.fit(features, np.array([float("nasty" in t) for t in texts]))
+    scorer = cotraining.Scorer(cotraining.Model(content, None, None, None))
+    assert content.weights and max(map(len, features)) > cotraining.FULL_TEXT
+    assert np.allclose(content.score(features), [scorer.content(set(t.split())) for t in texts])
+
+
 def test_rounds_teach_the_other_view():
     """A word that no labelled document has is learnt from pages whose layout is surely bad."""
     rng = np.random.default_rng(2)
