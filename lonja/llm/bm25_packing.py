@@ -1,7 +1,8 @@
 """Lexical retrieval packing: windows filled with the nearest unused documents by BM25.
 
 Every document's ids are cut into full windows, which are sequences of their own, and a tail shorter than a
-window. Tails are dealt by hash into shards of about `SHARD_TOKENS`, each with an inverted index of its own; the
+window. Tails are dealt by content (`tail_routes.py`) into shards of at most about `SHARD_TOKENS`, each with an
+inverted index of its own, so a tail's neighbours are in its shard however many shards there are; the
 document frequencies behind the weights are counted over the whole texts of all documents, term frequencies and
 lengths over tails, which are what is retrieved. In a shard the first unused tail seeds
 a window, its heaviest terms query the index, and the unused neighbours fill the window in the order of their
@@ -22,12 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lonja.llm.common import grouped, ship, table, written
+from lonja.llm import tail_routes
+from lonja.llm.common import discard, grouped, ship, table, written
 from lonja.llm.word_ids import slices, word_ids
 
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, ROW_COST = 2_000_000, 64
-QUERY_TERMS = 24
+QUERY_TERMS, RANKED_FIRST = 24, 64
 K1, B = 1.2, 0.75
 SLICE_BYTES = 6_000_000
 
@@ -104,6 +106,11 @@ def frequencies(tokens: DataFrame, vocabulary: int, kind: str) -> tuple[np.ndarr
     return df, found.get(-1, 0), found.get(-3, 0) / max(1, found.get(-2, 0))
 
 
+def rarity(df: np.ndarray, rows: int) -> np.ndarray:
+    """The inverse document frequency of every id."""
+    return np.log1p((rows - df + 0.5) / (df + 0.5))
+
+
 class Index:
     """A shard's inverted index with BM25 weights."""
 
@@ -112,7 +119,7 @@ class Index:
         owner = np.repeat(np.arange(len(tails)), size)
         keys, tf = np.unique(owner * len(df) + np.concatenate(tails), return_counts=True)
         doc, term = np.divmod(keys, len(df))
-        self.idf = np.log1p((rows - df + 0.5) / (df + 0.5))
+        self.idf = rarity(df, rows)
         norm = K1 * (1 - B + B * size[doc] / mean)
         weight = (tf * (K1 + 1) / (tf + norm)).astype(np.float32)
         order = np.argsort(term, kind="stable")
@@ -122,7 +129,7 @@ class Index:
         self.bounds = np.searchsorted(doc, np.arange(len(tails) + 1))
         self.n = len(tails)
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share one of the seed's heaviest terms, best first, ties in order."""
         lo, hi = self.bounds[seed], self.bounds[seed + 1]
         best = np.argsort(-self.rare[lo:hi], kind="stable")[:QUERY_TERMS]
@@ -131,7 +138,14 @@ class Index:
             a, b = self.first[t], self.first[t + 1]
             scores[self.docs[a:b]] += self.weights[a:b] * self.idf[t]
         found = np.flatnonzero((scores > 0) & unused)
-        return found[np.argsort(-scores[found], kind="stable")]
+        score = scores[found]
+        if len(found) > RANKED_FIRST:  # a window rarely takes more; the others are sorted when it does
+            least = -np.partition(-score, RANKED_FIRST)[RANKED_FIRST]
+            parts = [score >= least, score < least]
+        else:
+            parts = [np.ones(len(found), bool)]
+        for part in parts:
+            yield from found[part][np.argsort(-score[part], kind="stable")].tolist()
 
 
 def fill(index: Index, sizes: list[int], window: int) -> list[tuple[int, int, int, int, int]]:
@@ -145,7 +159,7 @@ def fill(index: Index, sizes: list[int], window: int) -> list[tuple[int, int, in
                 (doc, start), rest = rest, None
             else:
                 if ranked is None and seed is not None:
-                    ranked = iter(index.neighbours(seed, unused).tolist())
+                    ranked = index.neighbours(seed, unused)
                 doc, start = next(ranked, None) if ranked else None, 0
                 if doc is None:  # a new seed, or no neighbour left
                     while after < len(sizes) and not unused[after]:
@@ -186,8 +200,13 @@ def pack(
     tokens = written(tokens.withColumn("deal", deal), "packing-tokens")
     df, rows, mean = frequencies(tokens, vocabulary, kind)
     volume = tokens.agg(F.sum(F.length("tail") / np.dtype(kind).itemsize + ROW_COST)).first()[0]
-    shards = max(1, ceil((volume or 0) / shard_tokens))
-    tokens = tokens.drop("more").withColumn("shard", F.pmod("deal", F.lit(shards)).cast("int"))
+    sketch = tail_routes.Sketch.of(rarity(df, rows))
+    tree = tail_routes.fit(tokens, sketch, kind, rows, ceil((volume or 0) / shard_tokens))
+    routed = written(tail_routes.with_leaf(tokens.drop("more"), sketch, tree, kind), "packing-routed")
+    discard(tokens)
+    size = F.sum(F.length("tail") / np.dtype(kind).itemsize + ROW_COST)
+    sizes = dict(routed.groupBy("leaf").agg(size).collect())  # a row per leaf
+    tokens = tail_routes.with_shard(routed, *tail_routes.shards(sizes, tree.leaves, shard_tokens))
     weights = spark.sparkContext.broadcast((df, rows, mean))
     schema = PIECES + (", ids binary" if with_ids else "")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -255,6 +257,68 @@ def test_document_frequencies_are_of_whole_documents(docs):
     assert (df == whole).all() and rows == len(ids) and mean == 0
 
 
+def bm25_best(tails, df, k):
+    """The k best neighbours of every tail among all of them, term by term."""
+    n, mean = len(tails), sum(map(len, tails)) / len(tails)
+    idf = {t: math.log1p((n - d + 0.5) / (d + 0.5)) for t, d in df.items()}
+    weight = [
+        {t: f * (bm25_packing.K1 + 1) / (f + bm25_packing.K1 * (1 - bm25_packing.B + bm25_packing.B * len(ids) / mean)) for t, f in Counter(ids).items()}
+        for ids in tails
+    ]
+    best = []
+    for i, mine in enumerate(weight):
+        scores = [(-sum(idf[t] * other[t] for t in mine if t in other), j) for j, other in enumerate(weight) if j != i]
+        best.append([j for _, j in sorted(scores)[:k]])
+    return best
+
+
+def test_many_shards_keep_the_neighbours_of_the_whole_corpus(spark):
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(5)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in ("a", "e", "i", "o", "u", "an", "er", "ist")]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(3))
+    common, topics = [word() for _ in range(300)], [[word() for _ in range(25)] for _ in range(60)]
+    texts = [" ".join(rng.choice(topics[i % 60] if rng.random() < 0.5 else common) for _ in range(80)) for i in range(600)]
+    rows = bm25_packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, shard_tokens=12_000).collect()
+    shard = {r.doc_id: r.sequence_id >> 32 for r in rows}
+    assert len(set(shard.values())) >= 10
+    model = Tokenizer.from_file(path)
+    tails = [[*model.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert max(map(len, tails)) < bm25_packing.WINDOW
+    best = bm25_best(tails, Counter(t for ids in tails for t in set(ids)), 5)
+    together = [shard[i] == shard[j] for i, mine in enumerate(best) for j in mine]
+    assert sum(together) >= 0.9 * len(together)
+
+
+def test_copies_leave_shards_bounded(spark):
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(6)
+    texts = ["the same page again and again " * 5] * 400 + [" ".join(f"w{rng.randrange(900)}" for _ in range(30)) for _ in range(400)] + [None, ""]
+    rows = bm25_packing.pack(
+        spark.createDataFrame([(None if i % 7 == 0 else i, t) for i, t in enumerate(texts)], "doc_id long, text string"), path, shard_tokens=5_000
+    ).collect()
+    expected, pieces, at = check_packing(rows, list(enumerate(texts)), bm25_packing.WINDOW)
+    held, heads = Counter(), Counter()
+    for r in rows:
+        held[r.sequence_id >> 32] += r.length
+        heads[r.sequence_id >> 32] += r.start == 0
+    assert sum(heads.values()) == len(texts) and sum(held.values()) == sum(r.doc_tokens for r in rows if r.start == 0)
+    assert max(n + bm25_packing.ROW_COST * heads[k] for k, n in held.items()) < 2 * 5_000
+
+
+def test_ranking_is_whole_beyond_the_first():
+    rng = np.random.default_rng(0)
+    tails = [rng.integers(0, 30, 12) for _ in range(500)]
+    df = np.bincount(np.concatenate([np.unique(t) for t in tails]), minlength=30)
+    index, unused = bm25_packing.Index(tails, df, 500, 12.0), np.ones(500, bool)
+    unused[0] = False
+    got = list(index.neighbours(0, unused))
+    scores = np.zeros(500, np.float32)
+    lo, hi = index.bounds[0], index.bounds[1]
+    for t in index.term[lo:hi][np.argsort(-index.rare[lo:hi], kind="stable")]:
+        at = slice(index.first[t], index.first[t + 1])
+        scores[index.docs[at]] += index.weights[at] * index.idf[t]
+    assert got == [i for i in np.argsort(-scores, kind="stable").tolist() if scores[i] > 0 and i]
+
+
 def test_packing_takes_neighbours_first():
     tails = [np.array(t) for t in ([1, 2, 3, 4], [9, 8, 7, 6], [1, 2, 3, 5], [9, 8, 7, 5])]
     df = np.bincount(np.concatenate(tails), minlength=10)
