@@ -2,14 +2,23 @@
 
 The content view sees which words, and which beginnings of words, a text has. The metadata view sees where the
 page comes from and what it looks like: source, language, declared length, and shares of character classes,
-repeated and upper-case words. Both are logistic models. In every round each view labels documents of an
-unlabelled pool that it is sure about, and these are added to what the other view is trained on. At the end both
-are calibrated on labelled documents that no round has seen, and a logistic combination of the two calibrated
+repeated and upper-case words. Both are logistic models, first fitted on labelled documents. In every round both
+views judge the whole corpus in one pass, and each is taught the documents that the other is sure about, but for bad
+ones that it is sure are good, and good ones that it holds for bad:
+
+* the content view learns from counts: in how many documents sure to be bad, and sure to be good, a word occurs. The
+  log odds of the features that speak for bad most add up to a number of its own, so words that no labelled document
+  has are learnt, and the labelled documents decide how much it counts;
+* the metadata view learns from the loss's gradient and curvature at its present weights, summed over the documents.
+  All corpus documents together weigh as much as all labelled ones.
+
+Tasks add up whole numbers, or fractions of fixed steps, so the sums don't depend on how rows are dealt. At the end
+both views are calibrated on labelled documents that no fit has seen, and a logistic combination of the two calibrated
 scores is fitted there; it scores all documents.
 
-The models are fitted on the driver, on the views of `SAMPLE` labelled and `POOL` unlabelled documents (drawn by a
-hash of doc_id, whole texts read in tasks); everything else, the scoring, covers whole texts of all rows. A model is
-at most `WORD_FEATURES` weights and a small table for the metadata.
+The driver holds the views of at most `SAMPLE` labelled documents (drawn by a hash of doc_id, whole texts read in
+tasks), the sums of the metadata view and the `CORPUS_FEATURES` log odds; a model is at most `WORD_FEATURES` and these
+weights, and a small table for the metadata.
 """
 
 from __future__ import annotations
@@ -24,13 +33,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lonja.llm.common import ship, table
+from lonja.llm.common import discard, ship, table, written
 
-SAMPLE, POOL = 5000, 3000
+SAMPLE = 5000
 WORD_FEATURES, LEAST_Z, LEAST_DOCS = 1500, 4.0, 3
 STARTS = (4, 5, 6, 7)
-ROUNDS, PER_ROUND = 3, 0.05
-SURE_BAD, SURE_GOOD = 0.95, 0.04
+ROUNDS = 2
+SURE_BAD, SURE_GOOD, DENIES = 0.95, 0.2, 0.04
+CORPUS_FEATURES, CORPUS_Z, CORPUS_DOCS = 3000, 8.0, 10
+LEAST_ODDS, MOST_ODDS = 1.0, 3.0  # of a feature, as logarithms
+COUNTED_WORDS = 200_000
+NUMBER_STEP, WEIGHT_STEP = 2.0**-8, 2.0**-12
 REJECT = 0.5
 CACHED_WORDS = 150_000
 FULL_TEXT = 1000  # word features (some 220 different words) beyond which a text's evidence is a share
@@ -55,7 +68,10 @@ def letters(word: str) -> str:
 
 def word_features(word: str) -> list[int]:
     """64-bit hashes of the word and of its beginnings."""
-    core = letters(word)
+    return core_features(letters(word))
+
+
+def core_features(core: str) -> list[int]:
     if not core:
         return []
     return [xxhash.xxh64_intdigest(core)] + [
@@ -82,14 +98,32 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
-    """Weights (the last is the constant) of a ridge logistic regression by Newton's method."""
+@dataclass
+class Taught:
+    """Sums over corpus documents: a model's gradient and curvature at `at`, and their number."""
+
+    at: np.ndarray
+    gradient: np.ndarray
+    curvature: np.ndarray
+    n: int
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, taught: Taught | None = None) -> np.ndarray:
+    """Weights (the last is the constant) of a ridge logistic regression by Newton's method.
+
+    `taught` adds the quadratic form of other rows, which together weigh as much as these.
+    """
     x = np.column_stack([x, np.ones(len(x))])
     w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
+    share = len(x) / taught.n if taught else 0.0
     for _ in range(25):
         p = sigmoid(x @ w)
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+        slope, curve = x.T @ (p - y) + penalty * w, (x.T * (p * (1 - p))) @ x + np.diag(penalty)
+        if taught:
+            slope += share * (taught.gradient + taught.curvature @ (w - taught.at))
+            curve += share * taught.curvature
+        step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-4:
             break
@@ -114,8 +148,14 @@ class Content:
     constant: float
 
     @staticmethod
-    def fit(features: list[np.ndarray], y: np.ndarray, weight_of_prior: float = 2.0) -> Content:
-        """Keeps the features that speak for bad most, by a z-score of their documents, and fits weights."""
+    def fit(
+        features: list[np.ndarray], y: np.ndarray, weight_of_prior: float = 2.0, corpus: dict[int, float] | None = None
+    ) -> Content:
+        """Keeps the features that speak for bad most, by a z-score of their documents, and fits weights.
+
+        `corpus`: weights that the corpus suggests. A text's sum of them is one more number, whose weight (how far
+        the corpus is trusted) is fitted with the others.
+        """
         once = [np.unique(f) for f in features]
         flat, of = np.concatenate(once), np.repeat(np.arange(len(once)), [len(f) for f in once])
         names, code, docs = np.unique(flat, return_inverse=True, return_counts=True)
@@ -130,8 +170,17 @@ class Content:
             if len(keep):
                 hit = names[keep][at] == f
                 x[i] = np.bincount(at[hit], minlength=len(keep)) * share_of(len(f))
-        w = logistic(x, y, weight_of_prior)
-        return Content(dict(zip(names[keep].tolist(), w[:-1].tolist(), strict=True)), float(w[-1]))
+        found = names[keep].tolist()
+        if not corpus:
+            w = logistic(x, y, weight_of_prior)
+            return Content(dict(zip(found, w[:-1].tolist(), strict=True)), float(w[-1]))
+        evidence = Content(corpus, 0.0).score(features)
+        w = logistic(np.column_stack([x, evidence]), y, weight_of_prior)
+        trust = max(0.0, float(w[-2]))
+        weights = {f: v * trust for f, v in corpus.items()}
+        for f, v in zip(found, w[:-2].tolist(), strict=True):
+            weights[f] = weights.get(f, 0.0) + v
+        return Content(weights, float(w[-1]))
 
     def score(self, features: list[np.ndarray]) -> np.ndarray:
         get = self.weights.get
@@ -146,14 +195,14 @@ class Metadata:
     weights: np.ndarray
 
     @staticmethod
-    def fit(pages: list[tuple[dict, np.ndarray]], y: np.ndarray) -> Metadata:
+    def fit(pages: list[tuple[dict, np.ndarray]], y: np.ndarray, taught: Taught | None = None) -> Metadata:
         seen: dict[tuple[str, str], int] = {}
         for values, _ in pages:
             for key in ("lang", "source"):
                 seen[key, str(values[key])] = seen.get((key, str(values[key])), 0) + 1
         often = sorted((k for k, n in seen.items() if n >= 10), key=lambda k: (-seen[k], k))[:200]
         model = Metadata({k: i for i, k in enumerate(often)}, np.zeros(0))
-        model.weights = logistic(model.matrix(pages), y, 0.5)
+        model.weights = logistic(model.matrix(pages), y, 0.5, taught)
         return model
 
     def matrix(self, pages: list[tuple[dict, np.ndarray]]) -> np.ndarray:
@@ -232,35 +281,22 @@ class Scorer:
         return self.model.content.constant + total * share_of(n)
 
 
-def sure(score: np.ndarray, free: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The free pool documents that a view is surest about: bad ones and good ones, `most` of each at most."""
-    p = sigmoid(score)
-    bad = np.flatnonzero(free & (p >= SURE_BAD))
-    good = np.flatnonzero(free & (p <= SURE_GOOD))
-    return bad[np.argsort(-p[bad], kind="stable")[:most]], good[np.argsort(p[good], kind="stable")[:most]]
-
+def cotrain(labelled: list[tuple], y: np.ndarray, judged) -> Model | None:
+    """`labelled`: (word features, (values, layout)) of documents; y: 1 for bad. None if y is all one.
 
-def cotrain(labelled: list[tuple], y: np.ndarray, pool: list[tuple]) -> Model | None:
-    """`labelled` and `pool`: (word features, (values, layout)) of documents; y: 1 for bad. None if y is all one."""
+    `judged(content, metadata)` gives what the corpus teaches under these views: weights of features and a `Taught`.
+    """
     if len(y) < 8 or not 0 < y.mean() < 1:
         return None
     held = np.random.default_rng(len(y)).permutation(len(y)) % 4 == 3  # for calibration
     if not 0 < y[held].mean() < 1 or not 0 < y[~held].mean() < 1:
         held[:] = False
-    learn = [(*labelled[i], y[i]) for i in np.flatnonzero(~held)]
-    extra: list[list[tuple]] = [[], []]
-    free = np.ones(len(pool), bool)
-    for turn in range(ROUNDS + 1):
-        content = Content.fit([d[0] for d in learn + extra[0]], np.array([d[2] for d in learn + extra[0]]))
-        metadata = Metadata.fit([d[1] for d in learn + extra[1]], np.array([d[2] for d in learn + extra[1]]))
-        if turn == ROUNDS or not pool:
-            break
-        most = max(1, int(PER_ROUND * len(pool)))
-        taught = ((1, content.score([d[0] for d in pool])), (0, metadata.score([d[1] for d in pool])))
-        for to, score in taught:
-            for chosen, label in zip(sure(score, free, most), (1.0, 0.0), strict=True):
-                extra[to] += [(*pool[i], label) for i in chosen.tolist()]
-                free[chosen] = False
+    learn = np.flatnonzero(~held)
+    words, pages = [labelled[i][0] for i in learn], [labelled[i][1] for i in learn]
+    content, metadata = Content.fit(words, y[learn]), Metadata.fit(pages, y[learn])
+    for _ in range(ROUNDS):
+        corpus, taught = judged(content, metadata)
+        content, metadata = Content.fit(words, y[learn], corpus=corpus), Metadata.fit(pages, y[learn], taught)
     at = np.flatnonzero(held) if held.any() else np.arange(len(y))
     a, b = content.score([labelled[i][0] for i in at]), metadata.score([labelled[i][1] for i in at])
     scales = np.array([logistic(s[:, None], y[at], 0.1) for s in (a, b)])
@@ -268,6 +304,126 @@ def cotrain(labelled: list[tuple], y: np.ndarray, pool: list[tuple]) -> Model |
     return Model(content, metadata, scales, logistic(both, y[at], 0.1))
 
 
+def lessons(p: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which documents the other view is sure are bad, and good, and this view, with chances `p`, doesn't deny.
+
+    Some pages are bad by one view alone, so a view without evidence isn't sure: it gives such a page the share of the
+    other view's bad ones, which is why SURE_GOOD is above that share.
+    """
+    return (other >= SURE_BAD) & (p > DENIES), (other <= SURE_GOOD) & (p < 0.5)
+
+
+class Sums:
+    """What a task's documents teach: word counts, and sums of the metadata view."""
+
+    def __init__(self, content: Content, metadata: Metadata):
+        self.scorer, self.metadata = Scorer(Model(content, metadata, None, None)), metadata
+        self.words: dict[str, list[int]] = {}
+        self.n = np.zeros(3, np.int64)  # documents that teach content bad, content good, metadata
+        size = len(metadata.weights)
+        self.gradient, self.curvature = np.zeros(size), np.zeros((size, size))
+
+    def add(self, texts: list[str | None], pages: list[dict]) -> None:
+        a, looks, different = [], [], []
+        for text, page in zip(texts, pages, strict=True):
+            words = (text or "").split()
+            different.append(set(words))
+            a.append(self.scorer.content(different[-1]))
+            looks.append((page, layout(text or "", words, len(different[-1]))))
+        x = np.column_stack([self.metadata.matrix(looks), np.ones(len(looks))])
+        mine, pb = sigmoid(np.array(a)), sigmoid(x @ self.metadata.weights)
+        bad, good = lessons(mine, pb)
+        for k, rows in enumerate((bad, good)):
+            self.n[k] += rows.sum()
+            for i in np.flatnonzero(rows).tolist():
+                for w in different[i]:
+                    self.words.setdefault(w, [0, 0])[k] += 1
+        bad, good = lessons(pb, mine)
+        use = bad | good
+        self.n[2] += use.sum()
+        x, p = np.round(x[use] / NUMBER_STEP) * NUMBER_STEP, np.round(pb[use] / WEIGHT_STEP) * WEIGHT_STEP
+        curve = np.round(p * (1 - p) / WEIGHT_STEP) * WEIGHT_STEP
+        self.gradient += x.T @ (p - bad[use])
+        self.curvature += (x.T * curve) @ x
+
+    def counts(self) -> list[tuple[int, str, int, int]]:
+        """(hash of the word, its first letters, bad, good), and forgets them."""
+        found: dict[tuple[int, str], list[int]] = {}
+        for w, (bad, good) in self.words.items():
+            core = letters(w)
+            if core:
+                n = found.setdefault((xxhash.xxh64_intdigest(core) - (1 << 63), core[: STARTS[-1] + 1]), [0, 0])
+                n[0] += bad
+                n[1] += good
+        self.words = {}
+        return [(*k, *n) for k, n in found.items()]
+
+    def numbers(self) -> list[tuple[int, None, int, int]]:
+        """The other sums, as whole numbers of their smallest steps, by position."""
+        step = NUMBER_STEP * WEIGHT_STEP
+        flat = np.concatenate([self.n, self.gradient / step, self.curvature.ravel() / (step * NUMBER_STEP)]).astype(np.int64)
+        return [(i, None, v, 0) for i, v in enumerate(flat.tolist()) if v]
+
+
+SUMS = "key long, start string, bad long, good long"
+
+
+def _judged(docs: DataFrame, content: Content, metadata: Metadata) -> tuple[dict[int, float], Taught | None]:
+    """One pass over all rows of `docs`: weights that word counts suggest, and the metadata view's sums."""
+    shared = docs.sparkSession.sparkContext.broadcast((content, metadata))
+    names = [c.split()[0] for c in SUMS.split(", ")]
+
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+        cols = zip(*found, strict=True) if found else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums(*shared.value)
+        for batch in batches:
+            pages = batch.select(list(VIEWS)).to_pylist()
+            sums.add(batch.column("text").to_pylist(), pages)
+            if len(sums.words) > COUNTED_WORDS:
+                yield rows(sums.counts())
+        yield rows(sums.counts())
+        yield rows(sums.numbers())
+
+    size, step = len(metadata.weights), NUMBER_STEP * WEIGHT_STEP
+    found = docs.select("text", *VIEWS).mapInArrow(run, SUMS).groupBy("key", "start")
+    found = written(found.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "cotraining-sums")
+    flat = np.zeros(3 + size + size * size)
+    for key, value in found.where("start IS NULL").select("key", "bad").collect():  # a row per number of the view
+        flat[key] = value
+    bad, good, n = flat[:3].tolist()
+    gradient, curvature = flat[3 : 3 + size] * step, flat[3 + size :].reshape(size, size) * step * NUMBER_STEP
+    weights = _odds(found.where("start IS NOT NULL"), bad, good) if bad and good else {}
+    discard(found)
+    return weights, Taught(metadata.weights, gradient, curvature, int(n)) if n else None
+
+
+def _odds(words: DataFrame, bad: float, good: float) -> dict[int, float]:
+    """Weights of the features that speak for bad most: their log odds, shared by the features of a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, start, b, g in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out.append((key, b, g))  # the whole word's hash is known, its beginnings follow from `start`
+                out += [(f - (1 << 63), b, g) for f in core_features(start)[1:]]
+            cols = zip(*out, strict=True) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], ["feature", "bad", "good"])
+
+    found = words.mapInArrow(run, "feature long, bad long, good long").groupBy("feature")
+    found = found.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    rate, docs = bad / (bad + good), F.col("bad") + F.col("good")
+    z = (F.col("bad") - docs * rate) / F.sqrt(docs * (rate * (1 - rate)))
+    odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5) * (good / bad))
+    found = found.select("feature", z.alias("z"), odds.alias("odds"), "bad")
+    found = found.where((F.col("bad") >= CORPUS_DOCS) & (F.col("z") >= CORPUS_Z) & (F.col("odds") >= LEAST_ODDS))
+    best = found.orderBy(F.desc("z"), "feature").limit(CORPUS_FEATURES).collect()
+    return {r.feature + (1 << 63): min(r.odds, MOST_ODDS) / (1 + len(STARTS)) for r in best}
+
+
 def _drawn(ids: DataFrame, most: int) -> DataFrame:
     """At most `most` different doc_ids, those with the smallest hashes; few rows beyond that are sorted."""
     share = min(1.0, 4 * most / max(1, ids.count()))
@@ -314,23 +470,22 @@ def _examples(docs: DataFrame, ids: DataFrame) -> tuple[list[dict], list[tuple]]
     return others, views
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, pool: int = POOL) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model | None:
     """Fits a model from `docs` (doc_id, text, lang, source, n_chars) and `labels` (doc_id, quality, toxic).
 
-    Bad is quality 0 or toxic 1; of several labels for a document one bad one decides. Labels with nulls and
-    documents with a null doc_id or text take no part. Without labels of both kinds there is no model.
+    Bad is quality 0 or toxic 1; of several labels for a document one bad one decides. Labels with nulls take no
+    part, and of documents with a null doc_id or text none is a labelled one. All rows of `docs` are judged in every
+    round, null texts as empty ones and repeated rows as often as they occur. Without labels of both kinds there is no
+    model.
     """
     bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("double")
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(bad).alias("bad"))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *VIEWS)
+    types = zip(("doc_id", "text", *VIEWS), ("long", "string", "string", "string", "long"), strict=True)
+    docs = docs.select(*[F.col(c).cast(t).alias(c) for c, t in types])
     drawn = _drawn(known.select("doc_id"), sample)
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL")
     rows, labelled = _examples(docs, drawn.join(known, "doc_id"))
-    others, more = _examples(docs, _drawn(ids, pool))
-    mine = {r["doc_id"] for r in rows}
-    unknown = [view for r, view in zip(others, more, strict=True) if r["doc_id"] not in mine]
-    return cotrain(labelled, np.array([r["bad"] for r in rows]), unknown)
+    return cotrain(labelled, np.array([r["bad"] for r in rows]), lambda a, b: _judged(docs, a, b))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -258,17 +258,56 @@ def test_fit_and_score_see_the_same_numbers():
     assert np.allclose(content.score(features), [scorer.content(set(t.split())) for t in texts])
 
 
-def test_rounds_teach_the_other_view():
+def shouting(spark, n):
+    """Pages of which every fourth shouts words of its own; the first 60 have labels, and never the last word."""
+    rng = np.random.default_rng(8)
+    texts = []
+    for i in range(n):
+        words = [spelt(k) for k in rng.integers(0, 300, 40)]
+        if i % 4 == 1:
+            more = [spelt(1000 + int(k)) for k in rng.integers(0, 30, 6)] + (["zorgblat"] if i >= 60 and i % 8 == 1 else [])
+            words = [w.upper() + "!!!" for w in words + more] + ["#$%", "#$%"] * 10
+        texts.append(" ".join(words))
+    docs = edge.documents(spark, [(i, t, "en", "src0", None, 0, 0, "r", 0, 0, 0, "d", "b") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, int(i % 4 != 1), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    return docs, labels, texts
+
+
+def test_rounds_teach_the_other_view(spark):
     """A word that no labelled document has is learnt from pages whose layout is surely bad."""
-    rng = np.random.default_rng(2)
-    good, bad = np.full(13, 0.1), np.full(13, 0.9)
-    page = lambda looks: ({"lang": "en", "source": "s", "n_chars": 1}, looks + rng.normal(0, 0.01, 13))
-    word = np.array([77], np.uint64)
-    noise = lambda: rng.integers(1000, 1100, 5).astype(np.uint64)
-    labelled = [(noise(), page(bad if i % 2 else good)) for i in range(80)]
-    pool = [(np.append(noise(), word), page(bad)) for _ in range(60)] + [(noise(), page(good)) for _ in range(200)]
-    model = cotraining.cotrain(labelled, np.array([i % 2 for i in range(80)], float), pool)
-    assert model.content.weights.get(77, 0) > 0.5
+    docs, labels, texts = shouting(spark, 600)
+    assert not any("ZORGBLAT" in t for t in texts[:60])
+    model = cotraining.train(docs, labels)
+    assert model.content.weights[xxhash.xxh64_intdigest("zorgblat")] > 0
+    scorer = cotraining.Scorer(model)
+    assert scorer.content({"quiet", "zorgblat"}) > scorer.content({"quiet"})
+    wrong = cotraining.score(docs, model).where("kept = (row.doc_id % 4 = 1)").count()
+    assert wrong <= 6
+
+
+def test_lessons_are_sums_over_all_rows(spark):
+    docs, labels, texts = shouting(spark, 240)
+    model = cotraining.train(docs, labels)
+    docs = docs.select("text", "lang", "source", "n_chars").unionAll(docs.limit(3).selectExpr("null", "null", "source", "n_chars"))
+    found = [cotraining._judged(docs.repartition(n), model.content, model.metadata) for n in (1, 7)]
+    assert found[0][0] == found[1][0] and found[0][1].n == found[1][1].n > 0
+    for name in ("gradient", "curvature"):
+        assert (getattr(found[0][1], name) == getattr(found[1][1], name)).all()
+    # brute force over all pages at once
+    looks, mine = [], []
+    for r in docs.collect():
+        words = (r.text or "").split()
+        looks.append((r.asDict(), cotraining.layout(r.text or "", words, len(set(words)))))
+        mine.append(cotraining.Scorer(model).content(set(words)))
+    x = np.column_stack([model.metadata.matrix(looks), np.ones(len(looks))])
+    p, q = cotraining.sigmoid(x @ model.metadata.weights), cotraining.sigmoid(np.array(mine))
+    bad = (q >= cotraining.SURE_BAD) & (p > cotraining.DENIES)
+    use = bad | ((q <= cotraining.SURE_GOOD) & (p < 0.5))
+    taught = found[0][1]
+    assert taught.n == use.sum()
+    assert np.allclose(taught.gradient, x[use].T @ (p[use] - bad[use]), atol=0.01 * use.sum())
+    assert np.allclose(taught.curvature, (x[use].T * (p * (1 - p))[use]) @ x[use], atol=0.02 * use.sum())
+    assert cotraining._judged(docs.limit(0), model.content, model.metadata) == ({}, None)
 
 
 def test_classifier_takes_awkward_rows(spark):
