@@ -23,6 +23,7 @@ weights, and a small table for the metadata.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -42,7 +43,7 @@ ROUNDS = 2
 SURE_BAD, SURE_GOOD, DENIES = 0.95, 0.2, 0.04
 CORPUS_FEATURES, CORPUS_Z, CORPUS_DOCS = 3000, 8.0, 10
 LEAST_ODDS, MOST_ODDS = 1.0, 3.0  # of a feature, as logarithms
-COUNTED_WORDS = 200_000
+COUNTED_WORDS, SLICE_ROWS = 150_000, 256
 NUMBER_STEP, WEIGHT_STEP = 2.0**-8, 2.0**-12
 REJECT = 0.5
 CACHED_WORDS = 150_000
@@ -261,24 +262,30 @@ class Reader:
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+class Known(dict):
+    """The summed weight of a word's features and their number, as a complex number, worked out when first asked for."""
+
+    def __init__(self, weights: dict[int, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> complex:
+        found = word_features(word)
+        value = self[word] = complex(sum(self.weights.get(f, 0.0) for f in found), len(found))
+        return value
+
+
 class Scorer:
-    """A model applied to single texts, with each word's summed weight remembered."""
+    """A model applied to single texts, with what each word adds remembered."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model, self.known = model, Known(model.content.weights)
 
     def content(self, different: set[str]) -> float:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        known, get, total, n = self.known, self.model.content.weights.get, 0.0, 0
-        for w in different:
-            s = known.get(w)
-            if s is None:
-                found = word_features(w)
-                s = known[w] = (sum(get(f, 0.0) for f in found), len(found))
-            total += s[0]
-            n += s[1]
-        return self.model.content.constant + total * share_of(n)
+        total = sum(map(self.known.__getitem__, different), 0j)
+        return self.model.content.constant + total.real * share_of(int(total.imag))
 
 
 def cotrain(labelled: list[tuple], y: np.ndarray, judged) -> Model | None:
@@ -318,7 +325,7 @@ class Sums:
 
     def __init__(self, content: Content, metadata: Metadata):
         self.scorer, self.metadata = Scorer(Model(content, metadata, None, None)), metadata
-        self.words: dict[str, list[int]] = {}
+        self.words: tuple[Counter, Counter] = (Counter(), Counter())  # in documents sure to be bad, and good
         self.n = np.zeros(3, np.int64)  # documents that teach content bad, content good, metadata
         size = len(metadata.weights)
         self.gradient, self.curvature = np.zeros(size), np.zeros((size, size))
@@ -336,8 +343,7 @@ class Sums:
         for k, rows in enumerate((bad, good)):
             self.n[k] += rows.sum()
             for i in np.flatnonzero(rows).tolist():
-                for w in different[i]:
-                    self.words.setdefault(w, [0, 0])[k] += 1
+                self.words[k].update(different[i])
         bad, good = lessons(pb, mine)
         use = bad | good
         self.n[2] += use.sum()
@@ -349,13 +355,12 @@ class Sums:
     def counts(self) -> list[tuple[int, str, int, int]]:
         """(hash of the word, its first letters, bad, good), and forgets them."""
         found: dict[tuple[int, str], list[int]] = {}
-        for w, (bad, good) in self.words.items():
-            core = letters(w)
-            if core:
-                n = found.setdefault((xxhash.xxh64_intdigest(core) - (1 << 63), core[: STARTS[-1] + 1]), [0, 0])
-                n[0] += bad
-                n[1] += good
-        self.words = {}
+        for k, counter in enumerate(self.words):
+            for w, n in counter.items():
+                core = letters(w)
+                if core:
+                    found.setdefault((xxhash.xxh64_intdigest(core) - (1 << 63), core[: STARTS[-1] + 1]), [0, 0])[k] += n
+            counter.clear()
         return [(*k, *n) for k, n in found.items()]
 
     def numbers(self) -> list[tuple[int, None, int, int]]:
@@ -381,10 +386,11 @@ def _judged(docs: DataFrame, content: Content, metadata: Metadata) -> tuple[dict
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums(*shared.value)
         for batch in batches:
-            pages = batch.select(list(VIEWS)).to_pylist()
-            sums.add(batch.column("text").to_pylist(), pages)
-            if len(sums.words) > COUNTED_WORDS:
-                yield rows(sums.counts())
+            for lo in range(0, batch.num_rows, SLICE_ROWS):  # few texts' words are held at a time
+                some = batch.slice(lo, SLICE_ROWS)
+                sums.add(some.column("text").to_pylist(), some.select(list(VIEWS)).to_pylist())
+                if sum(map(len, sums.words)) > COUNTED_WORDS:
+                    yield rows(sums.counts())
         yield rows(sums.counts())
         yield rows(sums.numbers())
 
