@@ -23,6 +23,7 @@ from lonja.operators.temporal import al_momento, con_version
 from lonja.sources import indice
 from lonja.sources.indice import CLAVE
 from lonja.sources.lake import (
+    CODEC,
     DIA,
     NOTA,
     anotar,
@@ -32,8 +33,11 @@ from lonja.sources.lake import (
     leer_dias,
     leer_nota,
     leer_silver,
+    mover_particiones,
     rutas_existentes,
+    vaciar,
 )
+
 MONTO = "decimal(18,2)"
 PATRON = {"fecha": "yyyy-MM-dd", "mes": "yyyy-MM"}
 DESCONOCIDO = "desconocido"
@@ -366,7 +370,8 @@ def preparar_gold(
     The index of sale keys says which sale dates the touched sales were on. The version that counts is the best of
     what the run dates deliver now and of Gold's own version, so history isn't read. Only where Gold's version came
     from these run dates and they now bring a lesser one or none, other run dates' versions are read, from just
-    those the index names, not before `desde`. The note is written last: with it the work is complete.
+    those the index names, not before `desde`. The note is written last: with it the work is complete. In a Gold
+    folder without history the deliveries are the result, which is then written once.
     """
     dias = [run_dates] if isinstance(run_dates, (date, str)) else list(run_dates)
     dias = sorted({date.fromisoformat(d) if isinstance(d, str) else d for d in dias})
@@ -380,15 +385,30 @@ def preparar_gold(
     def guardar(df: DataFrame, nombre: str, **vistas: Column) -> tuple[DataFrame, dict]:
         """The frame as written, and what the writing stage saw."""
         vista = Observation(nombre)
-        df.observe(vista, F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in vistas.items()]).write.parquet(
-            f"{trabajo}/{nombre}"
-        )
+        medida = df.observe(vista, F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in vistas.items()])
+        medida.write.option("compression", CODEC).parquet(f"{trabajo}/{nombre}")
         return spark.read.schema(df.schema).parquet(f"{trabajo}/{nombre}"), vista.get
 
     corrida = _con_corrida(leer_dias(spark, "ventas", silver, dias))
-    entregadas = indice.con_cubo(deduplicar(corrida, CLAVE, (*ORDEN_VENTAS, "_corrida")))
+    entregadas = deduplicar(corrida, CLAVE, (*ORDEN_VENTAS, "_corrida"))
+
+    def terminar(resultado: DataFrame, periodos: list[str] | None) -> str:
+        """The result by period, the index and the note; the periods are those of the result unless given."""
+        vista, ruta = Observation("resultado"), f"{trabajo}/ventas_vigentes"
+        resultado = resultado.select(*CLAVE, *[c for c in resultado.columns if c not in CLAVE])
+        medido = resultado.hint("rebalance", "periodo").observe(vista, F.collect_set("periodo").alias("periodos"))
+        medido.write.option("compression", CODEC).partitionBy("periodo").parquet(ruta)
+        con_filas = set(vista.get["periodos"])
+        partes = indice.preparar(spark, gold, indice.entradas(corrida), dias, f"{trabajo}/indice")
+        nota = {"periodos": {p: p in con_filas for p in sorted(con_filas if periodos is None else periodos)}}
+        nota["esquema"] = resultado.drop("periodo").schema.jsonValue()
+        anotar(spark, trabajo, {**nota, "partes": partes, "detalle": detalle, "grano": grano})
+        return trabajo
+
+    if not indice.tramos(spark, gold):
+        return terminar(entregadas.withColumn("periodo", periodo), None)
     entregadas, vistas = guardar(
-        entregadas, "entregadas", cubos=F.collect_set("cubo"), periodos=F.collect_set(periodo)
+        indice.con_cubo(entregadas), "entregadas", cubos=F.collect_set("cubo"), periodos=F.collect_set(periodo)
     )
     tocadas, cubos, estan = entregadas.select(*CLAVE, "cubo"), vistas["cubos"], vistas["periodos"]
     antes = indice.buscar_corridas(spark, gold, dias)
@@ -422,11 +442,7 @@ def preparar_gold(
             estan = vistas["periodos"]
     periodos = sorted({*estan, *estaban})
     siguen = _vigentes(spark, gold, periodos, elegidas).join(tocadas, [*CLAVE], "left_anti")
-    resultado = siguen.unionByName(elegidas.withColumn("periodo", periodo))
-    resultado.hint("rebalance", "periodo").write.partitionBy("periodo").parquet(f"{trabajo}/ventas_vigentes")
-    partes = indice.preparar(spark, gold, indice.entradas(corrida), dias, f"{trabajo}/indice")
-    anotar(spark, trabajo, {"periodos": periodos, "partes": partes, "detalle": detalle, "grano": grano})
-    return trabajo
+    return terminar(siguen.unionByName(elegidas.withColumn("periodo", periodo)), periodos)
 
 
 def _vigentes(spark: SparkSession, gold: str, periodos: list[str], como: DataFrame) -> DataFrame:
@@ -439,32 +455,43 @@ def _vigentes(spark: SparkSession, gold: str, periodos: list[str], como: DataFra
     return spark.read.schema(esquema).option("basePath", ruta).parquet(*carpetas)
 
 
-def escribir_vigentes(spark: SparkSession, gold: str, trabajo: str) -> DataFrame:
-    """First write of prepared work: the sales that count, in the periods it touches. Returns them as prepared."""
-    nota = leer_nota(spark, trabajo)
-    ruta = f"{trabajo}/ventas_vigentes"
-    vigentes = spark.read.option("basePath", ruta).parquet(ruta)
-    vigentes = vigentes.withColumn("periodo", F.date_format("fecha", PATRON[nota["grano"]]))
-    escribir_particiones(vigentes, "ventas_vigentes", gold, ["periodo"], [{"periodo": p} for p in nota["periodos"]])
-    return vigentes
+def escribir_vigentes(spark: SparkSession, gold: str, trabajo: str) -> None:
+    """Put the prepared sales that count in the place of Gold's, by period; one that lost all its sales is emptied."""
+    nota, ruta = leer_nota(spark, trabajo), f"{gold.rstrip('/')}/ventas_vigentes"
+    partes = {f"periodo={p}": con_filas for p, con_filas in nota["periodos"].items()}
+    mover_particiones(spark, f"{trabajo}/ventas_vigentes", ruta, partes)
+    for p in (p for p, con_filas in nota["periodos"].items() if not con_filas):
+        vaciar(spark.createDataFrame([], StructType.fromJson(nota["esquema"])), ruta, {"periodo": p})
+
+
+def _preparadas(spark: SparkSession, gold: str, trabajo: str, nota: dict) -> DataFrame:
+    """The prepared sales that count, with `periodo`; a period that `escribir_vigentes` has moved is read from Gold."""
+    esquema, carpetas = StructType.fromJson(nota["esquema"]), []
+    for p in (p for p, con_filas in nota["periodos"].items() if con_filas):
+        lugares = [f"{raiz}/ventas_vigentes/periodo={p}" for raiz in (trabajo, gold.rstrip("/"))]
+        carpetas += rutas_existentes(spark, *lugares)[:1]
+    leidas = spark.read.schema(esquema).parquet(*carpetas) if carpetas else spark.createDataFrame([], esquema)
+    return leidas.withColumn("periodo", F.date_format("fecha", PATRON[nota["grano"]]))
 
 
 def aplicar_gold(spark: SparkSession, gold: str, trabajo: str) -> int:
     """Put prepared work into Gold; returns the rows of consolidated sales.
 
-    Every write replaces its partitions by content from the folder of the work, never by Gold's own, so whatever
-    a stop left behind is right after the next try. The folder goes last.
+    Aggregates are worked out from the prepared sales, which then take the place of Gold's as they are, by period, as
+    the index does. Every step replaces whole partitions and can be repeated, so whatever a stop left behind is right
+    after the next try. The folder goes last.
     """
     nota, filas = leer_nota(spark, trabajo), 0
     esperadas = [{"periodo": p} for p in nota["periodos"]]
     if esperadas:
-        vigentes = escribir_vigentes(spark, gold, trabajo)
+        vigentes = _preparadas(spark, gold, trabajo, nota)
         periodo = F.date_format("fecha", PATRON[nota["grano"]]).alias("periodo")
         if nota["detalle"]:
             por_sku = _totales(vigentes, "canal", "tienda_id", "sku", "fecha").select("*", periodo)
             escribir_particiones(por_sku, "ventas_por_tienda_sku_dia", gold, ["periodo"], esperadas)
         consolidadas = _totales(vigentes, "canal", "fecha").select("canal", "fecha", "ventas_totales", periodo)
         filas = escribir_particiones(consolidadas, "ventas_consolidadas", gold, ["periodo"], esperadas)
+        escribir_vigentes(spark, gold, trabajo)
     indice.reemplazar(spark, gold, nota["partes"], f"{trabajo}/indice")
     borrar(spark, trabajo)
     return filas
@@ -476,7 +503,7 @@ def indexar_gold(spark: SparkSession, silver: str, gold: str) -> None:
     dias = sorted(d for (d,) in ventas.select("_corrida").distinct().collect())
     trabajo = f"{_pendientes(gold)}/{uuid4().hex}"
     partes = indice.preparar(spark, gold, indice.entradas(ventas), dias, f"{trabajo}/indice")
-    anotar(spark, trabajo, {"periodos": [], "partes": partes, "detalle": False, "grano": "fecha"})
+    anotar(spark, trabajo, {"periodos": {}, "partes": partes, "detalle": False, "grano": "fecha"})
     aplicar_gold(spark, gold, trabajo)
 
 

@@ -8,13 +8,13 @@ of files follows the months and the buckets, not the run dates, and a few keys a
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lonja.sources.lake import borrar, rutas_existentes
+from lonja.sources.lake import CODEC, mover_particiones, rutas_existentes
 
 CLAVE = ("canal", "venta_id")
 CUBOS = 16
@@ -66,11 +66,11 @@ def buscar_llaves(spark: SparkSession, gold: str, llaves: DataFrame, cubos: Iter
     return leidas if leidas is None else leidas.join(llaves.select(*CLAVE), [*CLAVE], "left_semi")
 
 
-def preparar(spark: SparkSession, gold: str, nuevas: DataFrame, dias: Iterable[date], destino: str) -> list[str]:
+def preparar(spark: SparkSession, gold: str, nuevas: DataFrame, dias: Iterable[date], destino: str) -> dict[str, bool]:
     """Writes what the index has to hold after the given run dates have delivered `nuevas` to the folder `destino`.
 
-    Returns the parts, as `mes=[/tramo=]`, that this content replaces. Besides the run dates' own parts these are
-    months that a later one has closed. Nothing of the index itself is changed.
+    Returns the parts, as `mes=[/tramo=]`, that this content replaces, and whether it has rows of them. Besides the
+    run dates' own parts these are months that a later one has closed. Nothing of the index itself is changed.
     """
     dias, hay = sorted(set(dias)), tramos(spark, gold)
     ultimo = max([f"{d:%Y-%m}" for d in dias] + list(hay))
@@ -91,22 +91,13 @@ def preparar(spark: SparkSession, gold: str, nuevas: DataFrame, dias: Iterable[d
         todas.withColumn("tramo", tramo)
         .hint("rebalance", "mes", "tramo", "cubo")
         .sortWithinPartitions("mes", "tramo", "cubo", *CLAVE)
-        .write.partitionBy("mes", "tramo", "cubo")
+        .write.option("compression", CODEC)
+        .partitionBy("mes", "tramo", "cubo")
         .parquet(destino)
     )
-    return partes
+    return {p: bool(rutas_existentes(spark, f"{destino}/{p}")) for p in partes}
 
 
-def reemplazar(spark: SparkSession, gold: str, partes: Iterable[str], origen: str) -> None:
+def reemplazar(spark: SparkSession, gold: str, partes: Mapping[str, bool], origen: str) -> None:
     """Puts prepared content in the place of `partes`. Can be repeated until it has gone through."""
-    for parte in partes:
-        borrar(spark, f"{ruta_indice(gold)}/{parte}")
-    (
-        spark.read.schema(ESQUEMA)
-        .parquet(origen)
-        .hint("rebalance", "mes", "tramo", "cubo")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("mes", "tramo", "cubo")
-        .parquet(ruta_indice(gold))
-    )
+    mover_particiones(spark, origen, ruta_indice(gold), partes)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 DIA = ("year", "month", "day")
+# Digests in hex take half the space that the default codec leaves them.
+CODEC = "zstd"
 
 
 def _fecha(x: date | str) -> date:
@@ -39,6 +41,26 @@ def borrar(spark: SparkSession, ruta: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def mover_particiones(spark: SparkSession, origen: str, ruta: str, partes: Mapping[str, bool]) -> None:
+    """Put finished partition folders of `origen` in the place of those of the table at `ruta`, without reading rows.
+
+    `partes` says of every folder whether it had rows when it was finished; one without only goes from the table.
+    Can be repeated: a folder that had rows and is no longer in `origen` is in its place already.
+    """
+    camino = spark._jvm.org.apache.hadoop.fs.Path
+    fs = camino(ruta).getFileSystem(spark._jsc.hadoopConfiguration())
+    for parte, con_filas in partes.items():
+        nueva, vieja = camino(f"{origen}/{parte}"), camino(f"{ruta}/{parte}")
+        if fs.exists(nueva):
+            fs.delete(vieja, True)
+            fs.mkdirs(vieja.getParent())
+            if not fs.rename(nueva, vieja):
+                raise OSError(f"{origen}/{parte} could not be moved to {ruta}")
+        elif not con_filas:
+            fs.delete(vieja, True)
+    spark.catalog.refreshByPath(ruta)
+
+
 NOTA = "_nota.json"
 
 
@@ -122,18 +144,18 @@ def escribir_silver(
     salida = salida.observe(medida, *cuentas).withColumns({c: F.lit(v) for c, v in valores.items()})
     (
         salida.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", compression=CODEC)
         .partitionBy(*por, *valores)
         .parquet(ruta)
     )
     filas = medida.get
     for i, parte in enumerate(partes):
         if filas[f"n{i}"] == 0:
-            _vaciar(df.drop(*por), ruta, {**parte, **valores})
+            vaciar(df.drop(*por), ruta, {**parte, **valores})
     return sum(filas.values())
 
 
-def _vaciar(df: DataFrame, ruta: str, particion: Mapping[str, object]) -> None:
+def vaciar(df: DataFrame, ruta: str, particion: Mapping[str, object]) -> None:
     """Leave a partition without rows but readable."""
     sub = "/".join(f"{c}={v}" for c, v in particion.items())
     df.limit(0).write.mode("overwrite").parquet(f"{ruta}/{sub}")
@@ -152,14 +174,14 @@ def escribir_particiones(
         df.hint("rebalance", *columnas)
         .observe(vistas, partes, F.count(F.lit(1)).alias("filas"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", compression=CODEC)
         .partitionBy(*columnas)
         .parquet(ruta)
     )
     con_filas = set(vistas.get["vistas"])
     for particion in esperadas:
         if "/".join(str(particion[c]) for c in columnas) not in con_filas:
-            _vaciar(df.drop(*columnas), ruta, {c: particion[c] for c in columnas})
+            vaciar(df.drop(*columnas), ruta, {c: particion[c] for c in columnas})
     return vistas.get["filas"]
 
 

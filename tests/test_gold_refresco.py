@@ -181,3 +181,31 @@ def test_a_rerun_reads_other_run_dates_only_for_what_it_takes_back(spark, rutas,
     gold.procesar_gold(spark, s, g, OTRO)
     assert pedidos == [[OTRO], [DIA]] and total(spark, g) == 30
     assert gold.leer_gold(spark, "ventas_vigentes", g).where(F.col("venta_id") == "o1").first()["_corrida"] == DIA
+
+
+def test_a_first_refresh_writes_its_sales_once(spark, rutas, monkeypatch):
+    b, s, g = rutas
+    entregar(spark, b, s, DIA, [pedido(1, 10), pedido(2, 10), pedido(9, 10, dia=2)])
+    escribir, escritas = DataFrameWriter.parquet, []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, ruta, **k: escritas.append(ruta) or escribir(self, ruta, **k))
+    gold.procesar_gold(spark, s, g, DIA)
+    monkeypatch.setattr(DataFrameWriter, "parquet", escribir)
+    assert sorted(r.rpartition("/")[2] for r in escritas) == ["indice", "ventas_consolidadas", "ventas_vigentes"]
+    assert gold.leer_gold(spark, "ventas_vigentes", g).count() == 3 and len(indexado(spark, g)) == 3
+
+
+@pytest.mark.parametrize("movidas", [False, True])
+def test_a_run_date_that_loses_all_its_sales_empties_their_periods(spark, rutas, tmp_path, movidas):
+    b, s, g = rutas
+    entregar(spark, b, s, DIA, [pedido(1, 10)])
+    entregar(spark, b, s, OTRO, [pedido(2, 10, dia=2)])
+    gold.procesar_gold(spark, s, g, [DIA, OTRO])
+    entregar(spark, str(tmp_path / "corregido"), s, OTRO, [pedido(2, 10, -1000, dia=2)])
+    trabajo = gold.preparar_gold(spark, s, g, OTRO)
+    if movidas:  # stopped between two steps
+        gold.escribir_vigentes(spark, g, trabajo)
+    gold.reanudar_gold(spark, g)
+    assert [f[1] for f in indexado(spark, g)] == [date(2025, 4, 1)]
+    assert [f[1] for f in contenido(spark, g)] == [date(2025, 4, 1)]
+    assert gold.leer_gold(spark, "ventas_vigentes", g).count() == 1
+    assert gold.leer_gold(spark, "ventas_vigentes", g, ["2025-04-02"]).count() == 0
