@@ -31,11 +31,18 @@ def al_momento(
     Facts and versions are united, dealt into ranges of (keys, time) and written, so a hot key is cut by time into
     as many ranges as its rows fill. Inside a range the last version is carried forward. A range that begins in the
     middle of a key takes over the last version of the ranges before it, one row each. No join meets a key's rows
-    with its versions, and none of them is gathered.
+    with its versions, and none of them is gathered. Keys and times travel once, and only versions are sorted to
+    find the last one of a range.
     """
     spark, llaves = hechos.sparkSession, list(llaves)
     n = particiones or int(spark.conf.get("spark.sql.shuffle.partitions"))
     desempate = [c for c in [*desempate, *valores] if c in versiones.columns]
+    tipos, suyos = dict(hechos.dtypes), dict(versiones.dtypes)
+    # Columns of the facts that the union holds already, in their own type.
+    comunes = {c: c for c in llaves if tipos[c] == suyos[c]} | ({tiempo: "_t"} if tipos[tiempo] == suyos[desde] else {})
+    resto = [c for c in hechos.columns if c not in comunes]
+    if not resto:
+        comunes, resto = {}, hechos.columns
     usables = versiones.where(F.col(desde).isNotNull()).select(
         *llaves,
         F.col(desde).alias("_t"),
@@ -49,7 +56,7 @@ def al_momento(
         F.col(tiempo).alias("_t"),
         F.lit(HECHO).alias("_tipo"),
         F.monotonically_increasing_id().alias("_fila"),
-        F.struct(*hechos.columns).alias("_hecho"),
+        F.struct(*resto).alias("_hecho"),
     )
     orden = [*llaves, "_t", "_tipo", "_orden", "_fila"]
     dealt = usables.unionByName(filas, allowMissingColumns=True).repartitionByRange(n, *orden)
@@ -58,17 +65,19 @@ def al_momento(
     juntas = spark.read.parquet(ruta)
     version = F.when(F.col("_tipo") == VERSION, F.struct(*llaves, "_valor"))
     # One row per range; their number is that of the ranges.
-    posicion = F.struct(*llaves, "_t", "_orden")
-    bordes = juntas.groupBy("_parte").agg(F.max_by(version, F.when(F.col("_tipo") == VERSION, posicion)).alias("_ultima"))
+    ultima = F.max_by(F.struct(*llaves, "_valor"), F.struct(*llaves, "_t", "_orden")).alias("_ultima")
+    ultimas = juntas.where(F.col("_tipo") == VERSION).groupBy("_parte").agg(ultima)
+    bordes = juntas.select("_parte").distinct().join(ultimas, "_parte", "left")
     antes = Window.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)
     heredadas = bordes.select("_parte", F.last("_ultima", ignorenulls=True).over(antes).alias("_heredada"))
-    dentro = Window.partitionBy("_parte").orderBy(*orden).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    dentro = Window.partitionBy("_parte").orderBy(*orden[:-1]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vistas = juntas.withColumn("_vista", F.last(version, ignorenulls=True).over(dentro)).where(F.col("_tipo") == HECHO)
     vistas = vistas.join(heredadas, "_parte").withColumn("_vista", F.coalesce("_vista", "_heredada"))
     suya = F.col("_t").isNotNull()
     for c in llaves:
         suya = suya & (F.col(f"_vista.{c}") == F.col(c))
-    return vistas.select("_hecho.*", *[F.when(suya, F.col(f"_vista._valor.{c}")).alias(c) for c in valores])
+    propias = [F.col(comunes.get(c, f"_hecho.{c}")).alias(c) for c in hechos.columns]
+    return vistas.select(*propias, *[F.when(suya, F.col(f"_vista._valor.{c}")).alias(c) for c in valores])
 
 
 def versiones_dimension(

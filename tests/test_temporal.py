@@ -63,6 +63,20 @@ def test_as_of_without_versions_or_facts(spark):
     assert al_momento(df, uno, ("tienda", "sku"), **opciones).first()["stock"] == 5
 
 
+def test_facts_keep_their_own_types_and_only_versions_are_sorted_for_the_borders(spark, tmp_path):
+    df = spark.createDataFrame([(7, T0.date()), (None, T0.date())], "llave int, dia date")
+    vs = spark.createDataFrame([(7, T0, 5), (8, T0, 6)], "llave long, desde timestamp, stock int")
+    visto = al_momento(df, vs, ("llave",), tiempo="dia", desde="desde", valores=("stock",), particiones=3)
+    assert visto.dtypes == [("llave", "int"), ("dia", "date"), ("stock", "int")]
+    assert sorted(visto.collect(), key=str) == [(7, T0.date(), 5), (None, T0.date(), None)]
+    solo = spark.createDataFrame([(7, T0)], "llave long, t timestamp")  # nothing but keys and time
+    visto = al_momento(solo, vs, ("llave",), tiempo="t", desde="desde", valores=("stock",), particiones=3)
+    assert visto.collect() == [(7, T0, 5)]
+    plan = visto._jdf.queryExecution().executedPlan().toString()
+    bordes = next(línea for línea in plan.split("SortAggregate")[-1].splitlines() if "PushedFilters" in línea)
+    assert "EqualTo(_tipo,0)" in bordes
+
+
 def test_a_name_that_comes_back_is_a_stretch_of_its_own(spark):
     dia = lambda n, h=0: datetime(2025, 3, n, h)
     filas = [
