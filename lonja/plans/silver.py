@@ -191,6 +191,8 @@ def procesar_silver(
             aparte, clases = f"{destino}_apartadas", {"clase": _clases(propias), "feed": feeds}
             filas[destino] = escribir_silver(buena, destino, silver, run_date, hora=hora, por={"feed": feeds})
             filas[aparte] = escribir_silver(mala, aparte, silver, run_date, hora=hora, por=clases)
+            for tabla in feeds:  # the next table's feeds need the room
+                clasificadas[tabla].unpersist()
     sin_devueltas = {"devueltas": 0}
     observado = [
         {"tabla": t, **sin_devueltas, **{k: v for o in medidas[t] for k, v in o.get.items()}} for t in crudas

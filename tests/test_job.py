@@ -196,3 +196,18 @@ def test_every_feed_is_read_once(spark, sf_dir, tmp_path, monkeypatch):
         una, otra = (df.select([F.col(c).cast("string").alias(c) for c in df.columns]) for df in (una, otra))
         assert contenido(una) == contenido(otra)
     assert not spark.sparkContext._jsc.getPersistentRDDs().size()
+
+
+def test_a_feed_is_released_when_its_table_is_written(spark, lago, tmp_path, monkeypatch):
+    b, _, _ = lago
+    escribir, guardados = silver.escribir_silver, {}
+    antes = spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def anotada(df, tabla, *a, **k):
+        filas = escribir(df, tabla, *a, **k)
+        guardados[tabla] = spark.sparkContext._jsc.getPersistentRDDs().size() - antes
+        return filas
+
+    monkeypatch.setattr(silver, "escribir_silver", anotada)
+    silver.procesar_silver(spark, b, str(tmp_path), DIA)
+    assert guardados["ventas"] == 2 and guardados["inventario"] == 1 and guardados["calidad"] == 0
