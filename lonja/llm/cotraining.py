@@ -23,18 +23,19 @@ weights, and a small table for the metadata.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lonja.llm.common import discard, ship, table, written
+from lonja.llm.word_ids import slices
 
 SAMPLE = 5000
 WORD_FEATURES, LEAST_Z, LEAST_DOCS = 1500, 4.0, 3
@@ -42,8 +43,9 @@ STARTS = (4, 5, 6, 7)
 ROUNDS = 2
 SURE_BAD, SURE_GOOD, DENIES = 0.95, 0.2, 0.04
 CORPUS_FEATURES, CORPUS_Z, CORPUS_DOCS = 3000, 8.0, 10
+BLOCK_ROWS = 500
 LEAST_ODDS, MOST_ODDS = 1.0, 3.0  # of a feature, as logarithms
-COUNTED_WORDS, SLICE_ROWS = 150_000, 256
+SLICE_BYTES = 4_000_000
 NUMBER_STEP, WEIGHT_STEP = 2.0**-8, 2.0**-12
 REJECT = 0.5
 CACHED_WORDS = 150_000
@@ -59,6 +61,8 @@ BYTE_CLASS[128:] = 7
 
 def letters(word: str) -> str:
     """The word in lower case without what isn't a letter at its ends."""
+    if word.isalpha():
+        return word.lower()
     lo, hi = 0, len(word)
     while lo < hi and not word[lo].isalpha():
         lo += 1
@@ -80,6 +84,14 @@ def core_features(core: str) -> list[int]:
     ]
 
 
+def beginnings(cores: list[str]) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """For each of STARTS, the positions of the longer cores, and the features that their beginnings are."""
+    size, marked = np.fromiter(map(len, cores), np.int64, len(cores)), ["^" + core for core in cores]
+    for n in STARTS:
+        at = np.flatnonzero(size > n)
+        yield at, [xxhash.xxh64_intdigest(marked[i][: n + 1]) for i in at.tolist()]
+
+
 def layout(text: str, words: list[str], different: int) -> np.ndarray:
     """What a text looks like, as numbers near 0 to 1."""
     n = max(1, len(words))
@@ -95,6 +107,47 @@ def layout(text: str, words: list[str], different: int) -> np.ndarray:
     return np.append(share, more)
 
 
+class Words:
+    """The different words of some texts (no null), which text has which, and what the texts look like.
+
+    Arrow splits where `str.split` does and names the words, so that each is worked on once, not once per text.
+    """
+
+    def __init__(self, texts: pa.Array):
+        trimmed = pc.utf8_trim_whitespace(texts)
+        split = pc.utf8_split_whitespace(trimmed)
+        coded = split.flatten().dictionary_encode()
+        self.words, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        n, full = np.diff(split.offsets.to_numpy()), pc.binary_length(trimmed).to_numpy() > 0
+        owner, size = np.repeat(np.arange(len(n)), n), max(1, len(self.words))
+        if not full.all():  # a blank text is split into one empty word
+            code, owner, n = code[full[owner]], owner[full[owner]], n * full
+        key = np.sort(owner * size + code)
+        key = key[np.diff(key, prepend=-1) > 0]
+        self.n, self.owner = len(n), key // size
+        self.which = key - self.owner * size  # the different words of each text, in the order of `owner`
+        upper = np.fromiter(map(str.isupper, self.words), bool, len(self.words))[code]
+        again = (code[1:] == code[:-1]) & (owner[1:] == owner[:-1])
+        self.looks = self._looks(texts, n, [self.owner, owner[1:][again], owner[upper]])
+
+    def _looks(self, texts: pa.Array, n: np.ndarray, counted: list[np.ndarray]) -> np.ndarray:
+        """`layout` of every text."""
+        share, some = np.zeros((len(n), 8)), np.maximum(1, n)
+        for i, data in enumerate(texts.cast(pa.binary()).to_pylist()):
+            share[i] = np.bincount(BYTE_CLASS[np.frombuffer(data, np.uint8)], minlength=8) / max(1, len(data))
+        chars = pc.utf8_length(texts).to_numpy()
+        more = [np.bincount(x, minlength=len(n)) / some for x in counted]
+        more += [np.minimum(1.0, chars / some / 20), np.minimum(1.0, np.log1p(n) / 12)]
+        return np.column_stack([share, *more])
+
+
+def numbered(words: list[str], known: dict[str, int]) -> tuple[np.ndarray, list[str]]:
+    """The numbers of different words, and the new ones among them, which `known` numbers in their order from now on."""
+    new = [w for w in words if w not in known]
+    known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+    return np.fromiter(map(known.__getitem__, words), np.int64, len(words)), new
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -120,7 +173,10 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, taught: Taught | None =
     share = len(x) / taught.n if taught else 0.0
     for _ in range(25):
         p = sigmoid(x @ w)
-        slope, curve = x.T @ (p - y) + penalty * w, (x.T * (p * (1 - p))) @ x + np.diag(penalty)
+        slope, curve = x.T @ (p - y) + penalty * w, np.diag(penalty)
+        for some in range(0, len(x), BLOCK_ROWS):  # no second matrix of this size
+            part = x[some : some + BLOCK_ROWS]
+            curve += (part.T * (p * (1 - p))[some : some + BLOCK_ROWS]) @ part
         if taught:
             slope += share * (taught.gradient + taught.curvature @ (w - taught.at))
             curve += share * taught.curvature
@@ -158,9 +214,11 @@ class Content:
         the corpus is trusted) is fitted with the others.
         """
         once = [np.unique(f) for f in features]
-        flat, of = np.concatenate(once), np.repeat(np.arange(len(once)), [len(f) for f in once])
-        names, code, docs = np.unique(flat, return_inverse=True, return_counts=True)
-        bad, rate = np.bincount(code, y[of], len(names)), y.mean()
+        names, docs = np.unique(np.concatenate(once), return_counts=True)  # the driver has little room: no inverse
+        seen, n = np.unique(np.concatenate([f for f, v in zip(once, y.tolist(), strict=True) if v]), return_counts=True)
+        del once
+        bad, rate = np.zeros(len(names)), y.mean()
+        bad[np.searchsorted(names, seen)] = n
         z = (bad - docs * rate) / np.sqrt(docs * rate * (1 - rate) + 1e-9)
         keep = np.flatnonzero((docs >= LEAST_DOCS) & (z >= LEAST_Z))
         keep = np.sort(keep[np.argsort(-z[keep], kind="stable")[:WORD_FEATURES]])
@@ -262,30 +320,48 @@ class Reader:
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-class Known(dict):
-    """The summed weight of a word's features and their number, as a complex number, worked out when first asked for."""
-
-    def __init__(self, weights: dict[int, float]):
-        super().__init__()
-        self.weights = weights
-
-    def __missing__(self, word: str) -> complex:
-        found = word_features(word)
-        value = self[word] = complex(sum(self.weights.get(f, 0.0) for f in found), len(found))
-        return value
-
-
 class Scorer:
-    """A model applied to single texts, with what each word adds remembered."""
+    """A model applied to texts; what the words seen before add is remembered until `forget`."""
 
     def __init__(self, model: Model):
-        self.model, self.known = model, Known(model.content.weights)
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.cores: dict[str, int] = {}
+        self.core = np.zeros(0, np.int64)  # of each word
+        self.weight, self.number = np.zeros(0), np.zeros(0, np.int64)  # of each core: its features' weight, and how many
+
+    def known(self, words: list[str]) -> np.ndarray:
+        """The numbers of the different words' cores."""
+        found, new = numbered(words, self.words)
+        if new:
+            core = list(map(letters, new))
+            _, cores = numbered(list(dict.fromkeys(core)), self.cores)
+            self.core = np.append(self.core, np.fromiter(map(self.cores.__getitem__, core), np.int64, len(core)))
+            get = self.model.content.weights.get
+            weight = np.array([get(xxhash.xxh64_intdigest(c), 0.0) if c else 0.0 for c in cores], float)
+            number = np.array([c != "" for c in cores], np.int64)
+            for at, features in beginnings(cores):
+                weight[at] += [get(f, 0.0) for f in features]
+                number[at] += 1
+            self.weight, self.number = np.append(self.weight, weight), np.append(self.number, number)
+        return self.core[found]
+
+    def contents(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' scores by content, and the cores of their different words in the order of `words.owner`."""
+        if len(self.words) > CACHED_WORDS:
+            self.forget()
+        core = self.known(words.words)[words.which]
+        total = np.bincount(words.owner, self.weight[core], words.n)
+        features = np.bincount(words.owner, self.number[core], words.n)
+        return self.model.content.constant + total * (FULL_TEXT / np.maximum(FULL_TEXT, features)), core
 
     def content(self, different: set[str]) -> float:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        total = sum(map(self.known.__getitem__, different), 0j)
-        return self.model.content.constant + total.real * share_of(int(total.imag))
+        """The score of a text with these words."""
+        core = self.known(list(different))
+        return self.model.content.constant + float(self.weight[core].sum()) * share_of(int(self.number[core].sum()))
 
 
 def cotrain(labelled: list[tuple], y: np.ndarray, judged) -> Model | None:
@@ -325,25 +401,22 @@ class Sums:
 
     def __init__(self, content: Content, metadata: Metadata):
         self.scorer, self.metadata = Scorer(Model(content, metadata, None, None)), metadata
-        self.words: tuple[Counter, Counter] = (Counter(), Counter())  # in documents sure to be bad, and good
+        self.words = np.zeros((2, 0), np.int64)  # by the scorer's cores: documents sure to be bad, and good
         self.n = np.zeros(3, np.int64)  # documents that teach content bad, content good, metadata
         size = len(metadata.weights)
         self.gradient, self.curvature = np.zeros(size), np.zeros((size, size))
 
-    def add(self, texts: list[str | None], pages: list[dict]) -> None:
-        a, looks, different = [], [], []
-        for text, page in zip(texts, pages, strict=True):
-            words = (text or "").split()
-            different.append(set(words))
-            a.append(self.scorer.content(different[-1]))
-            looks.append((page, layout(text or "", words, len(different[-1]))))
+    def add(self, texts: pa.Array, pages: list[dict]) -> None:
+        words = Words(pc.fill_null(texts, ""))
+        a, core = self.scorer.contents(words)
+        looks = list(zip(pages, words.looks, strict=True))
         x = np.column_stack([self.metadata.matrix(looks), np.ones(len(looks))])
-        mine, pb = sigmoid(np.array(a)), sigmoid(x @ self.metadata.weights)
-        bad, good = lessons(mine, pb)
-        for k, rows in enumerate((bad, good)):
+        mine, pb = sigmoid(a), sigmoid(x @ self.metadata.weights)
+        known = len(self.scorer.cores)
+        self.words = np.pad(self.words, ((0, 0), (0, known - self.words.shape[1])))
+        for k, rows in enumerate(lessons(mine, pb)):
             self.n[k] += rows.sum()
-            for i in np.flatnonzero(rows).tolist():
-                self.words[k].update(different[i])
+            self.words[k] += np.bincount(core[rows[words.owner]], minlength=known)
         bad, good = lessons(pb, mine)
         use = bad | good
         self.n[2] += use.sum()
@@ -352,22 +425,22 @@ class Sums:
         self.gradient += x.T @ (p - bad[use])
         self.curvature += (x.T * curve) @ x
 
-    def counts(self) -> list[tuple[int, str, int, int]]:
-        """(hash of the word, its first letters, bad, good), and forgets them."""
-        found: dict[tuple[int, str], list[int]] = {}
-        for k, counter in enumerate(self.words):
-            for w, n in counter.items():
-                core = letters(w)
-                if core:
-                    found.setdefault((xxhash.xxh64_intdigest(core) - (1 << 63), core[: STARTS[-1] + 1]), [0, 0])[k] += n
-            counter.clear()
-        return [(*k, *n) for k, n in found.items()]
-
-    def numbers(self) -> list[tuple[int, None, int, int]]:
+    def counts(self) -> list[list]:
+        """Hashes of the words, their first letters, bad, good; and forgets them."""
+        cores = list(self.scorer.cores)
+        at = [i for i in np.flatnonzero(self.words.any(0)).tolist() if cores[i]]
+        found = [[xxhash.xxh64_intdigest(cores[i]) - (1 << 63) for i in at], [cores[i][: STARTS[-1] + 1] for i in at]]
+        found += self.words[:, at].tolist()
+        self.scorer.forget()
+        self.words = np.zeros((2, 0), np.int64)
+        return found
+
+    def numbers(self) -> list[list]:
         """The other sums, as whole numbers of their smallest steps, by position."""
         step = NUMBER_STEP * WEIGHT_STEP
         flat = np.concatenate([self.n, self.gradient / step, self.curvature.ravel() / (step * NUMBER_STEP)]).astype(np.int64)
-        return [(i, None, v, 0) for i, v in enumerate(flat.tolist()) if v]
+        at = np.flatnonzero(flat)
+        return [at.tolist(), [None] * len(at), flat[at].tolist(), [0] * len(at)]
 
 
 SUMS = "key long, start string, bad long, good long"
@@ -378,18 +451,17 @@ def _judged(docs: DataFrame, content: Content, metadata: Metadata) -> tuple[dict
     shared = docs.sparkSession.sparkContext.broadcast((content, metadata))
     names = [c.split()[0] for c in SUMS.split(", ")]
 
-    def rows(found: list[tuple]) -> pa.RecordBatch:
+    def rows(found: list[list]) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
-        cols = zip(*found, strict=True) if found else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(found, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums(*shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE_ROWS):  # few texts' words are held at a time
-                some = batch.slice(lo, SLICE_ROWS)
-                sums.add(some.column("text").to_pylist(), some.select(list(VIEWS)).to_pylist())
-                if sum(map(len, sums.words)) > COUNTED_WORDS:
+            for lo, n in slices(pc.fill_null(batch.column("text"), ""), SLICE_BYTES):  # few texts' words are held at a time
+                some = batch.slice(lo, n)
+                sums.add(some.column("text"), some.select(list(VIEWS)).to_pylist())
+                if len(sums.scorer.words) > CACHED_WORDS:
                     yield rows(sums.counts())
         yield rows(sums.counts())
         yield rows(sums.numbers())
@@ -398,8 +470,8 @@ def _judged(docs: DataFrame, content: Content, metadata: Metadata) -> tuple[dict
     found = docs.select("text", *VIEWS).mapInArrow(run, SUMS).groupBy("key", "start")
     found = written(found.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "cotraining-sums")
     flat = np.zeros(3 + size + size * size)
-    for key, value in found.where("start IS NULL").select("key", "bad").collect():  # a row per number of the view
-        flat[key] = value
+    numbers = found.where("start IS NULL").select("key", "bad").toArrow()  # a row per number of the view
+    flat[numbers.column("key").to_numpy()] = numbers.column("bad").to_numpy()
     bad, good, n = flat[:3].tolist()
     gradient, curvature = flat[3 : 3 + size] * step, flat[3 + size :].reshape(size, size) * step * NUMBER_STEP
     weights = _odds(found.where("start IS NOT NULL"), bad, good) if bad and good else {}
@@ -412,13 +484,13 @@ def _odds(words: DataFrame, bad: float, good: float) -> dict[int, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for key, start, b, g in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out.append((key, b, g))  # the whole word's hash is known, its beginnings follow from `start`
-                out += [(f - (1 << 63), b, g) for f in core_features(start)[1:]]
-            cols = zip(*out, strict=True) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], ["feature", "bad", "good"])
+            key, start, b, g = batch.columns
+            yield pa.RecordBatch.from_arrays([key, b, g], names)  # the whole word's hash is known
+            for at, features in beginnings(start.to_pylist()):
+                shifted, at = pa.array([f - (1 << 63) for f in features], pa.int64()), pa.array(at)
+                yield pa.RecordBatch.from_arrays([shifted, b.take(at), g.take(at)], names)
 
+    names = ["feature", "bad", "good"]
     found = words.mapInArrow(run, "feature long, bad long, good long").groupBy("feature")
     found = found.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     rate, docs = bad / (bad + good), F.col("bad") + F.col("good")
@@ -491,7 +563,12 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model
     docs = docs.select(*[F.col(c).cast(t).alias(c) for c, t in types])
     drawn = _drawn(known.select("doc_id"), sample)
     rows, labelled = _examples(docs, drawn.join(known, "doc_id"))
-    return cotrain(labelled, np.array([r["bad"] for r in rows]), lambda a, b: _judged(docs, a, b))
+    y = np.array([r["bad"] for r in rows])
+    del rows
+    model = cotrain(labelled, y, lambda a, b: _judged(docs, a, b))
+    del labelled
+    pa.default_memory_pool().release_unused()  # the driver has little room for what comes next
+    return model
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -512,19 +589,16 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         scorer = Scorer(shared.value)
         for batch in batches:
             rows = batch.column("row")
-            texts = rows.field("text").to_pylist()
+            texts = pc.fill_null(rows.field("text"), "")
             pages = [dict(zip(VIEWS, v, strict=True)) for v in zip(*(rows.field(c).to_pylist() for c in VIEWS), strict=True)]
-            a, looks = [], []
-            for text, page in zip(texts, pages, strict=True):
-                words = (text or "").split()
-                different = set(words)
-                a.append(scorer.content(different))
-                looks.append((page, layout(text or "", words, len(different))))
-            found = scorer.model.chances(np.array(a), scorer.model.metadata.score(looks))
-            cols = [pa.array(x, pa.float64()) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [rows, *cols, pa.array(found[2] < REJECT)], ["row", "p_content", "p_metadata", "p_bad", "kept"]
-            )
+            for lo, n in slices(texts, SLICE_BYTES):
+                words = Words(texts.slice(lo, n))
+                looks = list(zip(pages[lo : lo + n], words.looks, strict=True))
+                found = scorer.model.chances(scorer.contents(words)[0], scorer.model.metadata.score(looks))
+                cols = [pa.array(x, pa.float64()) for x in found]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.slice(lo, n), *cols, pa.array(found[2] < REJECT)], ["row", "p_content", "p_metadata", "p_bad", "kept"]
+                )
 
     kind = whole.schema["row"].dataType.simpleString()
     return whole.mapInArrow(run, f"row {kind}, p_content double, p_metadata double, p_bad double, kept boolean")

@@ -28,6 +28,12 @@ SLICE_ROWS = 512
 TURNS = 8
 
 
+def flat(tails: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows in a row, and how many each has."""
+    size = pc.binary_length(tails).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(tails.to_pylist()), kind), size
+
+
 @dataclass
 class Sketch:
     """What an id adds to a sketch: the cell and the signed weight."""
@@ -43,11 +49,9 @@ class Sketch:
 
     def apply(self, tails: pa.Array, kind: str) -> np.ndarray:
         """One row per tail; an empty one is all zero."""
-        size = pc.binary_length(tails).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
         out = np.zeros((len(tails), CELLS), np.float32)
         for lo in range(0, len(tails), SLICE_ROWS):
-            n = size[lo : lo + SLICE_ROWS]
-            ids = np.frombuffer(b"".join(tails.slice(lo, SLICE_ROWS).to_pylist()), kind)
+            ids, n = flat(tails.slice(lo, SLICE_ROWS), kind)
             at = np.repeat(np.arange(len(n)) * CELLS, n) + self.cell[ids]
             x = np.bincount(at, self.weight[ids], len(n) * CELLS).reshape(len(n), CELLS)
             out[lo : lo + SLICE_ROWS] = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
@@ -55,14 +59,21 @@ class Sketch:
 
 
 def halves(x: np.ndarray) -> tuple[np.ndarray, float] | None:
-    """A direction and a cut that part the rows in two: 2-means, started at the median of the main direction."""
-    centred = x - x.mean(0)
-    way = centred[np.argmax((centred**2).sum(1))]
+    """A direction and a cut that part the rows in two: 2-means, started at the median of the main direction.
+
+    `x` may be in half precision; one copy of it in single precision is held at a time, the driver has little room.
+    """
+    centred = x.astype(np.float32)
+    centred -= centred.mean(0)
+    far = [(centred[lo : lo + SLICE_ROWS] ** 2).sum(1) for lo in range(0, len(centred), SLICE_ROWS)]
+    way = centred[np.argmax(np.concatenate(far))]
     for _ in range(TURNS):
         way = centred.T @ (centred @ way)
         way /= max(np.linalg.norm(way), 1e-12)
     along = centred @ way
+    del centred
     side = along > np.median(along)
+    x = x.astype(np.float32, copy=False)
     found = None
     for _ in range(TURNS):
         if side.all() or not side.any():
@@ -99,7 +110,7 @@ class Tree:
             way.append(split[0])
             cut.append(split[1])
             below.append([0, 0])
-            right = x[rows] @ split[0] > split[1]
+            right = x[rows].astype(np.float32, copy=False) @ split[0] > split[1]
             open_leaves += [(rows[~right], (node, 0)), (rows[right], (node, 1))]
         leaf, todo = 0, [(0, 1), (0, 0)] if way else []
         while todo:  # leaves are numbered from left to right, so neighbours are alike
@@ -156,9 +167,17 @@ def fit(tokens: DataFrame, sketch: Sketch, kind: str, rows: int, shards: int) ->
 
     if shards < 2:
         return Tree.fit(np.zeros((0, CELLS), np.float32), 1)
-    found = near.select("deal", "tail").mapInArrow(run, "deal long, x binary").toArrow().sort_by("deal")
-    x = np.frombuffer(b"".join(found.column("x").to_pylist()), np.float16).reshape(-1, CELLS)
-    return Tree.fit(x.astype(np.float32), LEAVES_PER_SHARD * shards)
+    found = near.select("deal", "tail").mapInArrow(run, "deal long, x binary").toArrow().sort_by("deal").column("x")
+    x = np.empty((len(found), CELLS), np.float16)
+    at = 0
+    for chunk in found.chunks:
+        for lo in range(0, len(chunk), SLICE_ROWS):
+            some = b"".join(chunk.slice(lo, SLICE_ROWS).to_pylist())
+            x[at : at + SLICE_ROWS] = np.frombuffer(some, np.float16).reshape(-1, CELLS)
+            at += len(chunk.slice(lo, SLICE_ROWS))
+    del found
+    pa.default_memory_pool().release_unused()
+    return Tree.fit(x, LEAVES_PER_SHARD * shards)
 
 
 def with_leaf(tokens: DataFrame, sketch: Sketch, tree: Tree, kind: str) -> DataFrame:

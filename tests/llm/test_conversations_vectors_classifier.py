@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import tracemalloc
 from collections import Counter
 
 import edge
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 import corpus_pipeline
-from lonja.llm import cotraining, hnsw, mtree, perspectives, vector_shards
+from lonja.llm import cotraining, hnsw, mtree, perspectives, tail_routes, vector_shards
 
 TURNS = "conv_id long, turn long, role string, text string, speaker string, said string, block int"
 
@@ -372,3 +374,57 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     _, labels = corpus(spark, 8)
     edge.write_tables(spark, path, documents=edge.documents(spark, []), labels=labels)
     assert corpus_pipeline.run(spark, path).collect() == []
+
+
+ODD_TEXTS = ["", " \t\n", "Éclair ÉCLAIR! eclair, Eclair", "one\x1ftwo two two THREE", "  #$% 12 a a a  ", "ΑΣ Σ ς İX", "nasty " * 300]
+
+
+def test_words_of_a_slice_are_those_of_its_texts(monkeypatch):
+    """Looks, scores and counts of whole slices equal those of single texts, and a word's letters are sought once."""
+    texts = ODD_TEXTS + [f"{spelt(i)} Nasty, {spelt(i % 3)}" for i in range(20)] + ["\n"]
+    words = cotraining.Words(pa.array(texts))
+    split = [t.split() for t in texts]
+    assert [{words.words[k] for k in words.which[words.owner == i]} for i in range(len(texts))] == [set(s) for s in split]
+    looks = [cotraining.layout(t, s, len(set(s))) for t, s in zip(texts, split, strict=True)]
+    assert np.allclose(words.looks, looks, rtol=1e-15)
+    weights = {f: 0.1 * k for k, f in enumerate(cotraining.word_features("nasty") + cotraining.word_features(spelt(2)))}
+    pages = [({"lang": "en", "source": f"s{i % 2}", "n_chars": None}, x) for i, x in enumerate(looks)]
+    metadata = cotraining.Metadata.fit(pages * 10, np.arange(10 * len(pages)) % 3 == 0)
+    metadata.weights[-1] = -20.0  # all are surely good to this view
+    content = cotraining.Content(weights, -9.0)
+    plain = content.score([np.array([f for w in set(s) for f in cotraining.word_features(w)], np.uint64) for s in split])
+    asked, letters = [], cotraining.letters
+    monkeypatch.setattr(cotraining, "letters", lambda w: asked.append(w) or letters(w))
+    sums = cotraining.Sums(content, metadata)
+    for some in (slice(0, 5), slice(5, None)):
+        sums.add(pa.array(texts[some]), [p for p, _ in pages[some]])
+    key, start, bad, good = sums.counts()
+    assert sorted(set(asked) - {""}) == sorted(w for w in asked if w) == sorted({w for s in split for w in s})
+    assert np.allclose(cotraining.Scorer(cotraining.Model(content, None, None, None)).contents(words)[0], plain)
+    counted = {}
+    for s in split:
+        for w in set(s):
+            counted[letters(w)] = counted.get(letters(w), 0) + 1
+    counted.pop("")
+    assert dict(zip(key, good, strict=True)) == {xxhash.xxh64_intdigest(c) - (1 << 63): n for c, n in counted.items()}
+    assert not any(bad) and set(start) == {c[:8] for c in counted}
+
+
+def test_fitting_holds_few_copies_of_the_views():
+    rng = np.random.default_rng(2)
+    features = [rng.integers(0, 40_000, 2000).astype(np.uint64) for _ in range(400)]
+    y = (np.arange(400) % 4 == 0).astype(float)
+    tracemalloc.start()
+    cotraining.Content.fit(features, y)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4.5 * sum(f.nbytes for f in features)
+
+
+def test_splitting_holds_few_copies_of_the_sketches():
+    x = np.random.default_rng(3).normal(size=(6000, 512)).astype(np.float16)
+    tracemalloc.start()
+    tree = tail_routes.Tree.fit(x, 12)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tree.leaves == 12 and peak < 5 * x.nbytes  # two bytes a number, four in single precision
