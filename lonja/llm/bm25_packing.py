@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from lonja.llm import tail_routes
 from lonja.llm.common import discard, grouped, ship, table, written
-from lonja.llm.word_ids import slices, word_ids
+from lonja.llm.word_ids import numbering, slices, word_ids
 
 WINDOW, END_ID = 2048, 1
 SHARD_TOKENS, ROW_COST = 2_000_000, 64
@@ -86,24 +86,27 @@ def frequencies(tokens: DataFrame, vocabulary: int, kind: str) -> tuple[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows, tails, length = np.zeros(vocabulary, np.int64), 0, 0, 0
         for batch in batches:
-            for tail, more in zip(batch.column("tail").to_pylist(), batch.column("more").to_pylist(), strict=True):
-                ids = np.frombuffer(tail, kind)
-                seen[np.unique(ids)] += 1
-                seen[np.frombuffer(more, kind)] += 1  # distinct, and none of the tail's
-                rows += 1
-                tails += len(ids) > 0
+            for lo in range(0, batch.num_rows, tail_routes.SLICE_ROWS):
+                some = batch.slice(lo, tail_routes.SLICE_ROWS)
+                ids, size = tail_routes.flat(some.column("tail"), kind)
+                key = np.sort(np.repeat(np.arange(len(size)) * vocabulary, size) + ids)  # an id counts once a document
+                seen += np.bincount(key[np.diff(key, prepend=-1) > 0] % vocabulary, minlength=vocabulary)
+                more, _ = tail_routes.flat(some.column("more"), kind)  # distinct, and none of the tail's
+                seen += np.bincount(more, minlength=vocabulary)
+                rows += len(size)
+                tails += int((size > 0).sum())
                 length += len(ids)
         at = np.flatnonzero(seen)
         term, n = np.append(at, [-1, -2, -3]), np.append(seen[at], [rows, tails, length])
         yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], ["term", "n"])
 
     parts = tokens.select("tail", "more").mapInArrow(run, "term long, n long")
-    found = dict(parts.groupBy("term").agg(F.sum("n")).collect())
-    df = np.zeros(vocabulary, np.int64)
-    for term, n in found.items():
-        if term >= 0:
-            df[term] = n
-    return df, found.get(-1, 0), found.get(-3, 0) / max(1, found.get(-2, 0))
+    found = parts.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = (found.column(c).to_numpy() for c in ("term", "n"))
+    df = np.zeros(vocabulary + 3, np.int64)  # the last three: mean's parts and the number of documents
+    df[term] = n
+    length, tails, rows = df[-3:].tolist()
+    return df[:vocabulary], rows, length / max(1, tails)
 
 
 def rarity(df: np.ndarray, rows: int) -> np.ndarray:
@@ -193,8 +196,8 @@ def pack(
     or repeated, every row is a document of its own. Other columns are ignored; no rows give no pieces.
     """
     spark = docs.sparkSession
-    encoder = word_ids(path)
-    kind, vocabulary = encoder.kind, max(encoder.vocabulary, end_id + 1)
+    kind, vocabulary = numbering(spark, path)
+    vocabulary = max(vocabulary, end_id + 1)
     tokens = tokenised(docs, path, window=window, end_id=end_id, with_ids=with_ids)
     deal = F.xxhash64("doc_id", F.spark_partition_id(), F.monotonically_increasing_id())
     tokens = written(tokens.withColumn("deal", deal), "packing-tokens")

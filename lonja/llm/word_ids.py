@@ -15,11 +15,15 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+
+from lonja.llm.common import ship
 
 REMEMBERED, TOGETHER, LONG_WORD = 150_000, 256, 64
 # fixed values: letters below U+0250 that keep their form under NFC and lower-casing apart from case; ASCII
@@ -43,17 +47,19 @@ class Recent:
         """Values, None where there is none, and the positions of these."""
         if len(self.young) > self.size:
             self.young, self.old = {}, self.young
-        found, missing, old, young = list(map(self.young.get, keys)), [], self.old.get, self.young
-        for i in [i for i, value in enumerate(found) if value is None]:
-            value = found[i] = old(keys[i])
-            if value is None:
-                missing.append(i)
-            else:
-                young[keys[i]] = value
-        return found, missing
+        found = list(map(self.young.get, keys))
+        at = [i for i, value in enumerate(found) if value is None]
+        again = list(map(self.old.get, [keys[i] for i in at]))
+        for i, value in zip(at, again, strict=True):
+            if value is not None:
+                found[i] = self.young[keys[i]] = value
+        return found, [i for i, value in zip(at, again, strict=True) if value is None]
 
     def add(self, keys: list[str], values: list[bytes]) -> None:
-        self.young.update((k, v) for k, v in zip(keys, values, strict=True) if len(k) <= LONG_WORD)
+        pairs = zip(keys, values, strict=True)
+        if max(map(len, keys), default=0) > LONG_WORD:
+            pairs = [(k, v) for k, v in pairs if len(k) <= LONG_WORD]
+        self.young.update(pairs)
 
 
 def gathered(ids: np.ndarray, size: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +91,16 @@ class WordIds:
         return [np.array(x.ids, self.kind) for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of texts that are one piece each."""
+        """Ids of texts that are one piece each; normalising leaves their lower case as it is."""
         if not pieces:
             return []
-        lines = [" ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
-        ids = np.concatenate(self._library(lines))
+        lines = [" ".join(pieces[i : i + TOGETHER]).lower() for i in range(0, len(pieces), TOGETHER)]
+        normalizer = self.model.normalizer
+        try:
+            self.model.normalizer = None
+            ids = np.concatenate(self._library(lines))
+        finally:
+            self.model.normalizer = normalizer
         blob, ends = ids.tobytes(), ((np.flatnonzero(self.closes[ids]) + 1) * ids.itemsize).tolist()
         if len(ends) != len(pieces) or ends[-1] != len(blob):
             raise ValueError("this tokenizer doesn't close every word")
@@ -124,7 +135,7 @@ class WordIds:
         rest = pc.if_else(whole, "", two.field("rest")).cast(letters.type)
         parts = pa.concat_arrays([letters, rest]).dictionary_encode()
         first, second = np.split(parts.indices.to_numpy(), 2)
-        names = parts.dictionary.to_pylist()
+        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         piece = np.zeros(len(names), bool)
         piece[first[~whole.to_numpy(zero_copy_only=False)]] = True
         piece[second] = True
@@ -144,6 +155,20 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def numbering(spark: SparkSession, path: str) -> tuple[str, int]:
+    """The type of a tokenizer's ids and their number, asked for in a task: the driver has little room for a tokenizer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            encoder = word_ids(path)
+            yield pa.RecordBatch.from_pydict(
+                {"kind": [encoder.kind] * batch.num_rows, "vocabulary": [encoder.vocabulary] * batch.num_rows}
+            )
+
+    ship(spark)
+    return tuple(spark.range(0, 1, 1, 1).mapInArrow(run, "kind string, vocabulary long").first())
+
+
 def slices(texts: pa.Array, size: int):
     """(first, number) of runs of texts of about `size` bytes; a longer text is a run of its own."""
     lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)

@@ -450,3 +450,26 @@ def test_write_shards(spark, sf_dir, tmp_path):
 )
 def test_empty_tables_give_no_rows(spark, sf_empty, query):
     assert query(spark, sf_empty).collect() == []
+
+
+def test_pieces_are_encoded_without_normalising():
+    """Lower-cased pieces need none, and all other words still go through it."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, seen = word_ids.WordIds(path), []
+    library, before = encoder._library, str(encoder.model.normalizer)
+    encoder._library = lambda x: seen.append(encoder.model.normalizer is None) or library(x)
+    texts = ["Éa ÀÖ. Ÿes STRASSE!! ßa ªº", "<|x|> ÉTÉ it's ΑΣ 12"]
+    ids, at = encoder.encode(pa.array(texts))
+    assert seen == [True, False] and str(encoder.model.normalizer) == before
+    for i, text in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == encoder.model.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_keeps_the_tokenizer_off_the_driver(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("the driver loads a tokenizer")
+
+    word_ids.word_ids.cache_clear()
+    monkeypatch.setattr(word_ids.WordIds, "__init__", refuse)
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    assert bm25_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).count() == 2
