@@ -571,13 +571,15 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model
     return model
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
+def score(docs: DataFrame, model: Model | None, *, row: tuple[str, ...] = ()) -> DataFrame:
     """(row, p_content, p_metadata, p_bad, kept): every row of `docs` as a struct with its chances to be bad.
 
     Rows with p_bad below REJECT are kept. A null text is empty, null metadata is a value of its own, and a
-    text's whole length is read. Without a model nothing is known: chances are null and every row is kept.
+    text's whole length is read. Without a model nothing is known: chances are null and every row is kept. `row` names
+    the columns that come back, if not all do; the text then goes to Python only.
     """
-    whole = docs.select(F.struct("*").alias("row"))
+    views = [F.struct("text", *VIEWS).alias("views")] if row else []
+    whole = docs.select(F.struct(*(row or "*")).alias("row"), *views)
     if model is None:
         nulls = [F.lit(None).cast("double").alias(c) for c in ("p_content", "p_metadata", "p_bad")]
         return whole.select("row", *nulls, F.lit(True).alias("kept"))
@@ -588,9 +590,9 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            rows = batch.column("row")
-            texts = pc.fill_null(rows.field("text"), "")
-            pages = [dict(zip(VIEWS, v, strict=True)) for v in zip(*(rows.field(c).to_pylist() for c in VIEWS), strict=True)]
+            rows, seen = batch.column("row"), batch.column("views" if row else "row")
+            texts = pc.fill_null(seen.field("text"), "")
+            pages = [dict(zip(VIEWS, v, strict=True)) for v in zip(*(seen.field(c).to_pylist() for c in VIEWS), strict=True)]
             for lo, n in slices(texts, SLICE_BYTES):
                 words = Words(texts.slice(lo, n))
                 looks = list(zip(pages[lo : lo + n], words.looks, strict=True))
@@ -608,4 +610,4 @@ def op8_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the chances that the two views and their combination give, and whether they are kept."""
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model).select("row.doc_id", "p_content", "p_metadata", "p_bad", "kept")
+    return score(docs, model, row=("doc_id",)).select("row.doc_id", "p_content", "p_metadata", "p_bad", "kept")
