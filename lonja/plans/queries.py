@@ -612,11 +612,11 @@ def stream_sin_perdidas(spark, sf_dir):
 
 
 def _en_archivos(spark, *partes) -> str:
-    """Event files, one per frame, in the order in which a stream takes them."""
+    """Event files, one per frame, in the order in which a stream takes them; one task writes, all others read."""
     carpeta = espacio(spark, "eventos")
     for parte in partes:
         parte = parte.withColumn("created_at", F.col("created_at").cast("string"))
-        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).coalesce(1).write.mode("append").text(carpeta)
+        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).repartition(1).write.mode("append").text(carpeta)
     return carpeta
 
 
@@ -894,7 +894,7 @@ def bronze_campos_nuevos(spark, sf_dir):
         }
     )
     for parte in (ventas.where(~nueva), con_mas):
-        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).coalesce(1).write.mode("append").text(carpeta)
+        parte.select(F.to_json(F.struct(*parte.columns)).alias("value")).repartition(1).write.mode("append").text(carpeta)
     microbatch.ejecutar_microlotes(
         microbatch.leer_eventos_abiertos(spark, VENTAS_ECOMMERCE, carpeta, archivos_por_lote=1),
         VENTAS_ECOMMERCE,

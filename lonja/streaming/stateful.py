@@ -181,35 +181,44 @@ def leer_totales(spark: SparkSession, ruta: str, periodos: Sequence[str] | None
 A_TIEMPO, REPETIDA, TARDIA = "a_tiempo", "repetidas", "tardias"
 NUNCA_TARDE = "TIMESTAMP '2200-01-01 00:00:00'"
 DECIDIDA = "fila string, parte string"
+# Keys meet in as many groups, each with one state row and one call per batch. A checkpoint keeps the number for life.
+CUBETAS = 1 << 12
+VISTAS = "llaves array<string>, hasta array<long>"
 EXACTO = {  # instants to the microsecond
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
 
-def _decidir(clave: tuple, tramos: Iterator[pd.DataFrame], estado: GroupState) -> Iterator[pd.DataFrame]:
-    """What becomes of the rows of one key; the state is the time up to which it must be remembered.
+def _decidir(_: tuple, tramos: Iterator[pd.DataFrame], estado: GroupState) -> Iterator[pd.DataFrame]:
+    """What becomes of the rows of the keys of one group; the state is until when each key must be remembered.
 
-    A row older than the watermark is late. The first other one is on time, the next ones repeat it. The timer
-    forgets the key when the watermark has passed its newest row, since from then on all its copies are late.
+    A row older than the watermark is late. The first other one of its key is on time, the next ones repeat it. A
+    key is forgotten when the watermark has passed its newest row, since from then on all its copies are late; the
+    timer is set for the next key to be forgotten.
     """
-    if estado.hasTimedOut:
+    marca, vistas = estado.getCurrentWatermarkMs(), dict(zip(*estado.get, strict=True)) if estado.exists else {}
+    if not estado.hasTimedOut:
+        for filas in tramos:
+            llaves = filas["llave"].to_numpy(object)
+            tiempo = filas["ms"].to_numpy("float64")  # exact for milliseconds; without a time a row is on time
+            tarde = tiempo < marca
+            parte = np.where(tarde, TARDIA, REPETIDA).astype(object)
+            momento = np.maximum(np.nan_to_num(tiempo, nan=0), marca).astype("int64").tolist()
+            for i, (llave, ms, es_tarde) in enumerate(zip(llaves, momento, tarde.tolist(), strict=True)):
+                hasta = vistas.get(llave)
+                if hasta is None:
+                    if es_tarde:
+                        continue
+                    parte[i] = A_TIEMPO
+                vistas[llave] = ms if hasta is None else max(hasta, ms)
+            yield pd.DataFrame({"fila": filas["fila"], "parte": parte})
+    vistas = {llave: hasta for llave, hasta in vistas.items() if hasta + 1 >= marca}
+    if vistas:
+        estado.update((list(vistas), list(vistas.values())))
+        estado.setTimeoutTimestamp(min(vistas.values()) + 1)
+    elif estado.exists:
         estado.remove()
-        return
-    marca, vista = estado.getCurrentWatermarkMs(), estado.get[0] if estado.exists else None
-    for filas in tramos:
-        tiempo = filas["ms"].to_numpy("float64")  # exact for milliseconds; without a time a row is on time
-        tarde = tiempo < marca
-        parte = np.where(tarde, TARDIA, REPETIDA).astype(object)
-        en_hora = np.flatnonzero(~tarde)
-        if len(en_hora):
-            if vista is None:
-                parte[en_hora[0]] = A_TIEMPO
-            vista = int(max(vista or 0, marca, np.nan_to_num(tiempo[en_hora], nan=0).max()))
-        yield pd.DataFrame({"fila": filas["fila"], "parte": parte})
-    if vista is not None:
-        estado.update((vista,))
-        estado.setTimeoutTimestamp(max(vista, marca) + 1)
 
 
 def decidir_entregas(
@@ -221,20 +230,23 @@ def decidir_entregas(
     store until the watermark passes them, so the state holds what the horizon holds. Spark drops rows behind the
     watermark before a stateful operator whose input carries the event time; here the time that drives the
     watermark is left out of the input and a second one, which is never late, stands in for it, so that late rows
-    reach the function too. Rows travel as JSON, which keeps their types exact. All copies of a key in a batch
+    reach the function too. Rows travel as JSON, which keeps their types exact. Keys are dealt into `CUBETAS` groups
+    by their hash, so that a batch costs one Python call per group and not one per key. All copies of a key in a batch
     meet in one task, some thousand at a time; `primera_entrega(reparto=...)` spreads them, without a second output.
     """
     esquema = ventas.schema
     fila = F.to_json(F.struct(*ventas.columns), EXACTO).alias("fila")
     reloj = ventas.withColumn("_reloj", F.col(tiempo)).withWatermark("_reloj", horizonte)
+    clave = F.col(llave).cast("string")
     entrada = reloj.select(
-        F.col(llave).cast("string").alias("llave"),
+        F.pmod(F.xxhash64(clave), F.lit(CUBETAS)).alias("cubeta"),
+        clave.alias("llave"),
         F.unix_millis(F.col(tiempo).cast("timestamp")).alias("ms"),
         fila,
         F.expr(NUNCA_TARDE).alias("_pasa"),
     ).withWatermark("_pasa", "0 seconds")
-    decididas = entrada.groupBy("llave").applyInPandasWithState(
-        _decidir, DECIDIDA, "hasta long", "append", GroupStateTimeout.EventTimeTimeout
+    decididas = entrada.groupBy("cubeta").applyInPandasWithState(
+        _decidir, DECIDIDA, VISTAS, "append", GroupStateTimeout.EventTimeTimeout
     )
     return decididas.select(F.from_json("fila", esquema, EXACTO).alias("f"), "parte").select("f.*", "parte")
 
