@@ -581,11 +581,12 @@ def extraccion_con_solape(spark, sf_dir):
 
 @consulta
 def devoluciones_repetidas(spark, sf_dir):
-    """The store feed delivered twice on one run date: returns once, and the accounts close."""
+    """The store feed delivered twice on one run date: returns once, and the accounts close. The feed is worked out
+    once; the second delivery is the first one as it was landed."""
     crudas, limpias = espacio(spark, "bronze"), espacio(spark, "silver")
-    ventas = feeds.ventas_tiendas(spark, sf_dir)
-    for origen in ("a", "b"):
-        ventas.write.parquet(bronze.ruta_bronze(crudas, VENTAS_TIENDAS.tabla, RUN_DATE, origen=origen))
+    primera, otra = (bronze.ruta_bronze(crudas, VENTAS_TIENDAS.tabla, RUN_DATE, origen=o) for o in ("a", "b"))
+    feeds.ventas_tiendas(spark, sf_dir).write.parquet(primera)
+    spark.read.parquet(primera).write.parquet(otra)
     silver.procesar_silver(spark, crudas, limpias, RUN_DATE, run_ts=RUN_TS, fuentes=(VENTAS_TIENDAS,))
     vueltas = lake.leer_silver(spark, "ventas_apartadas", limpias, RUN_DATE).where("clase = 'devolucion'")
     medida = lake.leer_silver(spark, "calidad", limpias, RUN_DATE)
