@@ -81,6 +81,15 @@ def motivos(fuente: Fuente) -> Column:
     return _presentes({m: falta(fuente, m) for m in reglas(fuente)})
 
 
+def por_motivo(df: DataFrame, *columnas: str | Column) -> DataFrame:
+    """One row per reason in `_motivos`, as `motivo` beside the given columns; rows without a reason have none.
+
+    For an inner explode Spark first drops rows by the array's size, and Catalyst copies that filter down into the
+    feed's joins with `_faltas`, all rules added up, in place of each rule's bit. An outer one brings no such filter.
+    """
+    return df.select(*columnas, F.explode_outer("_motivos").alias("motivo")).where("motivo IS NOT NULL")
+
+
 def _presentes(banderas: Mapping[str, Column]) -> Column:
     """Names whose flag is set, as an array."""
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in banderas.items()]))

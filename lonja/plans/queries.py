@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
@@ -22,7 +23,14 @@ from lonja.contracts import (
     VENTAS_TIENDAS,
 )
 from lonja.operators import bosquejos, quality, temporal
-from lonja.operators.conform import clasificar, mask_pii, rechazar_vacios, validar_no_vacios, validas
+from lonja.operators.conform import (
+    clasificar,
+    mask_pii,
+    por_motivo,
+    rechazar_vacios,
+    validar_no_vacios,
+    validas,
+)
 from lonja.operators.quality import calidad_fuente, duplicados, log_quality
 from lonja.plans import gold, silver
 from lonja.sources import bronze, incremental, lake
@@ -871,13 +879,17 @@ def motivos_frecuentes(spark, sf_dir):
     """The reasons of the store feed's rejects over a range of run dates, from stored frequency sketches."""
     oro = espacio(spark, "gold")
     malas = silver.rechazos(feeds.ventas_tiendas(spark, sf_dir), VENTAS_TIENDAS, RUN_TS)
-    motivos = malas.select("venta_id", F.explode("_motivos").alias("motivo"))
     numero = F.substring_index("venta_id", "-", 1).cast("long")
-    for resto in range(3):
-        bosquejo = bosquejos.bosquejar(
-            motivos.where(numero % 3 == resto), distintos="venta_id", frecuentes="motivo"
-        )
-        bosquejos.escribir_bosquejos(bosquejo, "motivos", oro, RUN_DATE + timedelta(days=resto))
+    # All run dates come from one feed, so it is worked out once; of the rejects only this is kept meanwhile.
+    motivos = por_motivo(malas, "venta_id", (numero % 3).alias("resto")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for resto in range(3):
+            bosquejo = bosquejos.bosquejar(
+                motivos.where(F.col("resto") == resto), distintos="venta_id", frecuentes="motivo"
+            )
+            bosquejos.escribir_bosquejos(bosquejo, "motivos", oro, RUN_DATE + timedelta(days=resto))
+    finally:
+        motivos.unpersist()
     return bosquejos.mas_frecuentes(spark, "motivos", oro, RUN_DATE, RUN_DATE + timedelta(days=2), 20)
 
 
